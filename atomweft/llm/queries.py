@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atomweft.llm import quality, sql
-from atomweft.llm.common import table
+from atomweft.llm import decontamination, quality, sql, url_rules, warc
+from atomweft.llm.common import checkpoint_dir, cut, table
+
+#: host, path, verdict
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path, least_bytes=0)
+    return warc.resolve(cut(warc.read_archives(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.summarise(decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +36,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_url_rules": op2_url_rules,
+        "op3_warc_revisits": op3_warc_revisits,
+        "op6_decontamination": op6_decontamination,
         "op7_quality_rules": op7_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_url_rules": sql.URL_RULES,
+        "op3_warc_revisits": sql.WARC,
+        "op6_decontamination": sql.DECONTAMINATION,
         "op7_quality_rules": sql.QUALITY,
     }
