@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from atomweft.llm import decontamination, quality, sql, url_rules, warc
+from atomweft.llm import decontamination, quality, simhash, sql, url_rules, warc
 from atomweft.llm.common import checkpoint_dir, cut, table
 
 #: host, path, verdict
@@ -25,6 +26,11 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(cut(warc.read_archives(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.summarise(decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -38,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_url_rules": op2_url_rules,
         "op3_warc_revisits": op3_warc_revisits,
+        "op5_simhash": op5_simhash,
         "op6_decontamination": op6_decontamination,
         "op7_quality_rules": op7_quality_rules,
     }
