@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atomweft.llm import decontamination, quality, simhash, sql, suffix_dedup, url_rules, warc
+from atomweft.llm import decontamination, lm_scoring, quality, simhash, sql, suffix_dedup, url_rules, warc
 from atomweft.llm.common import checkpoint_dir, cut, table
 
 #: host, path, verdict
@@ -44,6 +44,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, with_text=False)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), folds=7, fold=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_url_rules": op2_url_rules,
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontamination": op6_decontamination,
         "op7_quality_rules": op7_quality_rules,
         "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
