@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atomweft.llm import decontamination, lm_scoring, quality, simhash, sql, suffix_dedup, url_rules, warc
+from atomweft.llm import decontamination, lm_scoring, quality, simhash, sql, suffix_dedup, toxicity, url_rules, warc
 from atomweft.llm.common import checkpoint_dir, cut, table
 
 #: host, path, verdict
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, fold=0)
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -50,6 +54,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_url_rules": op2_url_rules,
         "op3_warc_revisits": op3_warc_revisits,
         "op5_simhash": op5_simhash,
