@@ -102,11 +102,11 @@ def summarise(found: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated documents (``remove="documents"``), or with the hit words and the gaps after them cut out of ``text``
     (``remove="spans"``). All columns stay; rows are matched by doc_id and text hash (null-safe)."""
-    hit = cut(find_contamination(docs, benchmark, n).where(F.size("at") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("at").alias("_at")).distinct())
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    hit = cut(find_contamination(docs, benchmark, n).where(F.size("at") > 0).select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), F.col("at").alias("_aw_at")).distinct())
+    on = F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash"))
     if remove == "documents":
-        return docs.join(hit.drop("_at"), on, "left_anti")
+        return docs.join(hit.drop("_aw_at"), on, "left_anti")
     parts = F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), 0)
     shift = F.when(F.get(parts, F.lit(0)).rlike(r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1).otherwise(0)
-    left = F.filter(parts, lambda x, i: ~F.array_contains("_at", F.floor((i - shift) / 2).cast("int") + 1))
-    return docs.join(hit, on, "left").withColumn("text", F.when(F.col("_at").isNotNull(), F.array_join(left, "")).otherwise(F.col("text"))).select(docs.columns)
+    left = F.filter(parts, lambda x, i: ~F.array_contains("_aw_at", F.floor((i - shift) / 2).cast("int") + 1))
+    return docs.join(hit, on, "left").withColumn("text", F.when(F.col("_aw_at").isNotNull(), F.array_join(left, "")).otherwise(F.col("text"))).select(docs.columns)

@@ -129,5 +129,5 @@ def quality_rules(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
 
 def keep_good(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
     """The rows of ``docs`` that pass, all columns kept. Rejected rows are matched by doc_id and text hash (null-safe)."""
-    bad = cut(quality_rules(docs, fences).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    bad = cut(quality_rules(docs, fences).where("NOT kept").select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash")).distinct())
+    return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash")), "left_anti")

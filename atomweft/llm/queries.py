@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atomweft.llm import decontamination, lm_scoring, quality, simhash, sql, suffix_dedup, toxicity, url_rules, warc
+from atomweft.llm import decontamination, language_id, lm_scoring, mixing, quality, simhash, sql, suffix_dedup, toxicity, url_rules, warc
 from atomweft.llm.common import checkpoint_dir, cut, table
 
 #: host, path, verdict
@@ -30,6 +30,10 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(cut(warc.read_archives(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
@@ -44,6 +48,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, with_text=False)
 
@@ -57,9 +65,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_url_rules": op2_url_rules,
         "op3_warc_revisits": op3_warc_revisits,
+        "op4_language_id": op4_language_id,
         "op5_simhash": op5_simhash,
         "op6_decontamination": op6_decontamination,
         "op7_quality_rules": op7_quality_rules,
+        "op8_pfair_mixing": op8_pfair_mixing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_lm_scoring": op10_lm_scoring,
     }

@@ -342,7 +342,7 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id. Groups are chains of links of five-word shingle sets with the
     given Jaccard similarity. Rows without doc_id stay unless an equal fingerprint with a doc_id exists; repeats of a doc_id go."""
     found = cut(near_duplicates(docs, **(WIDE | {"verify": similarity})).select("doc_id", "component_id"))
-    extra = cut(found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_id")).distinct())
-    left = docs.join(sized(extra), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    extra = cut(found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_aw_id")).distinct())
+    left = docs.join(sized(extra), F.col("doc_id").eqNullSafe(F.col("_aw_id")), "left_anti")
     counts = found.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
     return left if counts[0] == counts[1] else left.dropDuplicates(["doc_id"])

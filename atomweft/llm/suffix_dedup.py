@@ -190,7 +190,7 @@ def _cut_rows(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_aw_spans").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
                 kept, at, removed, runs = [], 0, 0, 0
                 merged: list[list[int]] = []
@@ -207,7 +207,7 @@ def _cut_rows(with_text: bool):
                 out.append((removed, runs, hashlib.sha256(rest).hexdigest()) + ((rest.decode("utf-8", "ignore"),) if with_text else ()))
             cols = list(zip(*out)) if out else [[]] * (3 + with_text)
             kinds = [pa.int64(), pa.int64(), pa.string()] + [pa.string()] * with_text
-            names = [c for c in batch.schema.names if c not in ("text", "spans")]
+            names = [c for c in batch.schema.names if c not in ("text", "_aw_spans")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(c, k) for c, k in zip(cols, kinds))], names + ["n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text)
 
     return run
@@ -249,18 +249,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``, or all columns of ``docs`` and these with the text cut.
 
     A null text is empty. Cut texts drop the bytes of characters that a cut splits. Repeated rows are copies of each other, so their texts
-    are removed; texts under ``length`` bytes and an empty table pass through. The id and a hash of the text stand for a row.
+    are removed; texts under ``length`` bytes and an empty table pass through. The id and a hash of the text stand for a row. Columns of
+    ``docs`` with the names of the results are replaced.
     """
+    results = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     spans = repeated_spans(docs, length, max_group)
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans", "whole")
-    kept = docs.columns if with_text else ["doc_id"]
+    spans = spans.select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), F.col("spans").alias("_aw_spans"), F.col("whole").alias("_aw_whole"))
+    kept = [c for c in docs.columns if c not in results] if with_text else ["doc_id"]
     rows = docs.select(*(c for c in kept if c != "text"), F.coalesce("text", F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("bigint"))
-    rows = rows.join(sized(spans, limit=100_000), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").drop("_id", "_hash")
-    plain = rows.where("spans IS NULL")
-    gone = F.col("whole").isNotNull()
+    rows = rows.join(sized(spans, limit=100_000), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash")), "left").drop("_aw_id", "_aw_hash")
+    plain = rows.where("_aw_spans IS NULL")
+    gone = F.col("_aw_whole").isNotNull()
     plain = plain.withColumns({"n_removed": F.when(gone, F.col("n_bytes")).otherwise(0).cast("bigint"), "n_spans": F.when(gone, 1).otherwise(0).cast("bigint"), "text": F.when(gone, "").otherwise(F.col("text"))}).withColumn("kept_sha256", F.sha2("text", 256))
-    some = rows.where("spans IS NOT NULL").drop("whole")
-    schema = ", ".join(f"`{n}` {t}" for n, t in some.dtypes if n not in ("text", "spans")) + ", n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_text
+    some = rows.where("_aw_spans IS NOT NULL").drop("_aw_whole")
+    schema = ", ".join(f"`{n}` {t}" for n, t in some.dtypes if n not in ("text", "_aw_spans")) + ", n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_text
     changed = some.mapInArrow(_cut_rows(with_text), schema)
-    out = [*docs.columns, "n_bytes", "n_removed", "n_spans", "kept_sha256"] if with_text else ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    out = [*kept, *results]
     return plain.select(out).unionByName(changed.select(out))
