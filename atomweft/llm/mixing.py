@@ -118,6 +118,6 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     rows = rows.withColumn("_aw_at", F.col("_aw_before") + F.col("_aw_rank")).withColumn("mix_block", F.floor(F.col("_aw_at") / block_docs))
     rows = rows.join(F.broadcast(by_source), "_aw_s").withColumn("_aw_step", F.filter("_aw_steps", lambda x: (F.col("mix_block") >= x.first) & (F.col("mix_block") < x.end))[0])
     local: Column = F.col("mix_block") - F.col("_aw_step.first")
-    rows = rows.withColumns({"_aw_phase": F.col("_aw_step.phase"), "_aw_j": F.pmod(local, F.col("_aw_step.part")), "_aw_base": F.col("_aw_step.start") + F.floor(local / F.col("_aw_step.part")) * period})
+    rows = rows.withColumns({"_aw_phase": F.col("_aw_step._aw_phase"), "_aw_j": F.pmod(local, F.col("_aw_step.part")), "_aw_base": F.col("_aw_step.start") + F.floor(local / F.col("_aw_step.part")) * period})
     rows = rows.join(F.broadcast(slots), ["_aw_s", "_aw_phase", "_aw_j"]).withColumn("mix_slot", F.col("_aw_base") + F.col("_aw_offset"))
     return rows.select(*(c for c in docs.columns if c not in RESULTS), "mix_block", "mix_slot", (F.col("mix_slot") * block_docs + F.pmod("_aw_at", F.lit(block_docs))).alias("mix_position"))
