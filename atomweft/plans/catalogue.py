@@ -1,15 +1,335 @@
-"""Registered queries and the SQL they are held against."""
+"""Registered queries and the SQL they are held against. Each applies an operator of the engine to whole tables in adapter views."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from atomweft.functions import columns as C
+from atomweft.functions.digest import structure_id
+from atomweft.operators import average, cache
+from atomweft.operators.explode import explode_atoms, explode_predictions
+from atomweft.operators.predict import FramePrediction, predict_frames
+from atomweft.operators.validate import failure
+from atomweft.plans import views as V
+from atomweft.plans.views import RESULTS_SQL, table
+from atomweft.schema import fill_missing, required_columns
+from atomweft.sinks import magres_blocks
+from atomweft.sources.index_log import latest, rank
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+PACK_GROUP = 500  # frames that one writer packs
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Norms:
+    """A predictor that needs no model: an atom's value is its distance from the origin."""
+
+    name = "norms"
+
+    def predict(self, frames, *, device="auto", committee=False, property="iso"):
+        return [FramePrediction(np.sqrt((f.positions**2).sum(axis=1))) for f in frames]
+
+
+def avg_unweighted(spark, sf_dir):
+    return average.grouped_mean(V.results(spark, sf_dir).withColumn("_weight", F.lit(1.0)), ["cs_iso", "cs_xx"])
+
+
+def _weights(rows: DataFrame, weight) -> DataFrame:
+    return rows.select(C.frame_key(F.col("source_file"), F.col("frame")).alias("frame_key"), "frame").distinct().select("frame_key", weight.cast("double").alias("weight"))
+
+
+def avg_weighted(spark, sf_dir):
+    rows = V.results(spark, sf_dir)
+    return average.grouped_mean(average.with_weights(rows, _weights(rows, 1 + F.col("frame") % 7)), ["cs_iso", "cs_xx"])
+
+
+def avg_nonfinite(spark, sf_dir):
+    value = F.when(F.col("frame") % 5 == 0, F.lit(float("nan"))).when(F.col("frame") % 5 == 1, F.lit(float("inf"))).when((F.col("frame") % 5 == 2) | (F.col("atom_i") == 0), None).otherwise(F.col("cs_iso"))
+    rows = V.results(spark, sf_dir).withColumns({"cs_iso": value, "x": F.lit(0.0), "y": F.lit(0.0), "_weight": F.lit(1.0)})
+    return average.grouped_mean(rows, ["cs_iso"]).select("atom_i", "element", "cs_iso")
+
+
+def avg_zero_weight(spark, sf_dir):
+    rows = V.results(spark, sf_dir)
+    return average.grouped_mean(average.with_weights(rows, _weights(rows, F.col("frame") % 3 - 1)), ["cs_iso", "cs_xx"])
+
+
+def weights_missing(spark, sf_dir):
+    frames = table(spark, sf_dir, "documents").select(F.lit("d").alias("source_file"), F.col("doc_id").alias("frame"))
+    labels = table(spark, sf_dir, "labels").select(F.concat(F.lit("d#"), F.col("doc_id").cast("string")).alias("frame_key"), (F.col("quality") + 1.0).alias("weight"))
+    return average.uncovered(average.with_weights(frames, labels)).select("frame")
+
+
+def manifest_latest(spark, sf_dir):
+    return cache.manifest(V.index_records(spark, sf_dir), "click").select("cache_key", "output_format", "seq", "value")
+
+
+def index_compact(spark, sf_dir):
+    return cache.compacted(V.index_records(spark, sf_dir)).select("cache_key", "output_format", "seq", "value")
+
+
+def index_parse(spark, sf_dir):
+    value = F.try_parse_json("props")
+    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(value, "$.k", "bigint").alias("k"))
+
+
+def index_write(spark, sf_dir):
+    rows = V.index_records(spark, sf_dir).select(F.col("cache_key").cast("string").alias("cache_key"), "output_format", "seq", F.when(F.col("seq") % 2 == 0, F.lit("m")).alias("model_name"))
+    return rows.select("seq", C.index_payload("cache_key", "model_name", "output_format", "seq").alias("line"))
+
+
+def utc_text(spark, sf_dir):
+    text = C.format_utc(F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("text"), (F.unix_timestamp(C.parse_utc(text))).alias("seconds"))
+
+
+def explode_rows(spark, sf_dir):
+    frames = V.frames(spark, sf_dir).withColumn("structure_id", F.col("frame").cast("string"))
+    return explode_atoms(frames).select("frame", "source_file", "atom_i", "element", "x", "y", "z")
+
+
+def tensor_unpack(spark, sf_dir):
+    value = F.transform("embedding", lambda x: x.cast("double"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", *C.unpack_tensor(value))
+
+
+def committee_std(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(C.committee_std(F.col("embedding")), 5).alias("std"))
+
+
+def schema_fill(spark, sf_dir):
+    needed = required_columns("tensor", True)
+    rows = V.results(spark, sf_dir).withColumn("structure_id", F.col("frame").cast("string"))
+    return fill_missing(rows, needed).select(needed)
+
+
+def cache_keys(spark, sf_dir):
+    key = C.cache_key(F.col("structure_id"), "model", "1", "1", False, "iso")
+    return V.contents(spark, sf_dir).select("frame_ord", key.alias("cache_key"))
+
+
+def content_hash(spark, sf_dir):
+    return V.contents(spark, sf_dir).select("frame_ord", "structure_id")
+
+
+def structure_ids(spark, sf_dir):
+    flat = F.flatten(F.transform("positions", lambda p: F.array(p.x, p.y, p.z)))
+    return V.frames(spark, sf_dir).select("frame", structure_id("numbers", flat, "cell", "pbc").alias("structure_id"))
+
+
+def cell_missing(spark, sf_dir):
+    return V.frames(spark, sf_dir).select("frame", C.missing_cell(F.col("cell"), F.col("pbc")).alias("missing"))
+
+
+def frame_slice(spark, sf_dir):
+    """Frames 1:6:2 of each conversation, by their number in it."""
+    w = W.partitionBy("conv_id").orderBy("turn")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.row_number().over(w) - 1).alias("at"))
+    return rows.where("at >= 1 AND at < 6 AND (at - 1) % 2 = 0").select("conv_id", "turn")
+
+
+def frame_last(spark, sf_dir):
+    """Frame -1 of each conversation: a grouped maximum needs no window."""
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max("turn").alias("turn"), F.max_by("role", "turn").alias("role"))
+
+
+def _cached(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("frame_cache_key"), (F.col("l_linenumber") - 1).alias("atom_i"), F.col("l_extendedprice").alias("cs_iso"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), F.col("l_shipdate").alias("t"))
+
+
+def _canonical(spark, sf_dir) -> DataFrame:
+    return cache.canonical(_cached(spark, sf_dir), "frame_cache_key", F.struct("t", "p", "s", "cs_iso"))
+
+
+def cache_canonical(spark, sf_dir):
+    return _canonical(spark, sf_dir).select("frame_cache_key", "atom_i", "cs_iso", "p")
+
+
+def cache_complete(spark, sf_dir):
+    return cache.complete_keys(_canonical(spark, sf_dir), "frame_cache_key")
+
+
+def cache_complete_turns(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("frame_cache_key"), F.col("turn").alias("atom_i"))
+    return cache.complete_keys(turns, "frame_cache_key")
+
+
+def cache_materialize(spark, sf_dir):
+    """One stored value for each content, given to every frame that has it."""
+    frames = V.contents(spark, sf_dir).select(F.col("frame_ord").alias("frame"), F.col("structure_id").alias("frame_cache_key"), F.lit(0).cast("bigint").alias("atom_i"))
+    values = V.contents(spark, sf_dir).groupBy(F.col("structure_id").alias("frame_cache_key")).agg(F.min("frame_ord").alias("first")).withColumn("atom_i", F.lit(0).cast("bigint"))
+    return cache.materialise(frames, values).select("frame", "first")
+
+
+def _later_and_hits(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    docs = V.contents(spark, sf_dir)
+    later, earlier = docs.where("frame_ord % 2 = 1"), docs.where("frame_ord % 2 = 0")
+    return later, later.join(earlier.select("structure_id").distinct(), "structure_id", "left_semi")
+
+
+def cache_hit(spark, sf_dir):
+    return _later_and_hits(spark, sf_dir)[1].select("frame_ord", "structure_id")
+
+
+def cache_miss(spark, sf_dir):
+    return cache.misses(*_later_and_hits(spark, sf_dir)).select("frame_ord", "structure_id")
+
+
+def manifest_probe(spark, sf_dir):
+    """Every customer with the latest record of its key, or none."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cache_key"))
+    return keys.join(latest(V.index_records(spark, sf_dir), ["cache_key"], rank()), "cache_key", "left").select("cache_key", F.coalesce("seq", F.lit(-1)).alias("seq"), "output_format")
+
+
+def union_align(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", "p_brand").unionByName(part.select("p_partkey", F.col("p_size").cast("double").alias("p_size")), allowMissingColumns=True)
+
+
+def unsupported(spark, sf_dir):
+    """Elements outside the supported set by brand; sizes stand for atomic numbers."""
+    symbols = F.array(*(F.lit(s) for s in ("H", "He", "C", "Ne", "N", "Na", "O")))
+    rows = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_set(F.get(symbols, F.col("p_size") % 7)).alias("found"))
+    return rows.select("p_brand", F.array_join(C.unsupported(F.col("found")), ", ").alias("unsupported"))
+
+
+def first_failure(spark, sf_dir):
+    """What is wrong with each frame, or null: frames of label 3 have no atoms, of label 5 a position that is not finite."""
+    frames = V.frames(spark, sf_dir)
+    positions = F.when(F.col("label") == 5, F.transform("positions", lambda p: F.struct(F.lit(float("nan")).alias("x"), p.y.alias("y"), p.z.alias("z")))).otherwise(F.col("positions"))
+    frames = frames.withColumns({"positions": positions, "element": F.when(F.col("label") == 3, F.array().cast("array<string>")).when(F.col("label") == 7, F.array(F.lit("Xe"), F.lit("He"))).otherwise(F.col("element"))})
+    return frames.select("frame", failure().alias("failure"))
+
+
+def warn_skip(spark, sf_dir):
+    """Per source the listing of flagged frames and the number of frames kept."""
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("source_file"), F.col("o_orderkey").alias("frame"), (F.col("o_orderstatus") == "P").alias("flagged"))
+    pairs = F.array_sort(F.collect_set(F.when(F.col("flagged"), F.col("frame"))))
+    listed = orders.groupBy("source_file").agg(pairs.alias("frames"), F.sum((~F.col("flagged")).cast("bigint")).alias("kept"))
+    return listed.select("source_file", "kept", F.array_join(F.transform("frames", lambda f: F.concat_ws("#", "source_file", f)), ", ").alias("listing"))
+
+
+def _sizes(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / PACK_GROUP).alias("writer"), "doc_id", F.col("n_chars").alias("bytes"))
+
+
+def pack_count(spark, sf_dir):
+    return cache.chunk_numbers(_sizes(spark, sf_dir), "writer", ["doc_id"], 200).select("doc_id", "writer", "chunk_no")
+
+
+def pack_bytes(spark, sf_dir):
+    return cache.pack(_sizes(spark, sf_dir), "doc_id", "writer", 20, 30_000).select("doc_id", "writer", "chunk_no")
+
+
+def result_order(spark, sf_dir):
+    """Places of rows within a file's frames, with a full tiebreak."""
+    w = W.partitionBy("source_file", "frame").orderBy("atom_i", "element", "x", "y", "cs_iso", "cs_xx")
+    return V.results(spark, sf_dir).withColumn("place", F.row_number().over(w)).select("source_file", "frame", "atom_i", "cs_iso", "place")
+
+
+def distinct_keys(spark, sf_dir):
+    return V.index_records(spark, sf_dir).select("cache_key", "output_format").distinct()
+
+
+def text_block(spark, sf_dir):
+    lines = F.array_sort(F.collect_list(F.struct("turn", F.concat_ws(" ", "role", "text").alias("line"))))
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(lines, lambda x: x.line), "\n").alias("block"))
+
+
+def counts(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").groupBy("role").agg(F.count_distinct("conv_id").alias("frames"), F.count(F.lit(1)).alias("atoms"))
+
+
+def frame_keys(spark, sf_dir):
+    return V.results(spark, sf_dir).select(C.frame_key(F.col("source_file"), F.col("frame")).alias("frame_key")).distinct()
+
+
+def number_coercion(spark, sf_dir):
+    """Text that is not a number becomes null, and so does what is not finite."""
+    text = F.when(F.col("event_id") % 4 == 0, F.lit("bad")).when(F.col("event_id") % 4 == 1, F.lit("NaN")).when(F.col("event_id") % 4 == 2, F.lit("Infinity")).otherwise(F.col("event_id").cast("string"))
+    return table(spark, sf_dir, "events").select("event_id", C.only_finite(C.number(text)).alias("number"))
+
+
+def predict_norms(spark, sf_dir):
+    """Predictions of all frames by a deterministic predictor, one for each content, joined to the atoms."""
+    flat = F.flatten(F.transform("positions", lambda p: F.array(p.x, p.y, p.z)))
+    frames = V.frames(spark, sf_dir).withColumn("structure_id", structure_id("numbers", flat, "cell", "pbc"))
+    frames = frames.withColumn("frame_cache_key", C.cache_key(F.col("structure_id"), "norms", "1", "1", False, "iso"))
+    made = predict_frames(frames.dropDuplicates(["frame_cache_key"]), lambda device: Norms(), device="cpu", committee=False, property_mode="iso", chunk_size=200, tasks=8)
+    rows = cache.materialise(explode_atoms(frames, "frame_cache_key"), explode_predictions(made, False, False))
+    return rows.select("frame", "atom_i", "element", F.round("cs_iso", 5).alias("cs_iso"))
+
+
+def magres_text(spark, sf_dir):
+    """Magres blocks of all frames; formatting to eight decimals has no equal in SQL."""
+    frames = V.frames(spark, sf_dir).withColumn("structure_id", F.col("frame").cast("string"))
+    return magres_blocks(explode_atoms(frames).withColumn("cs_iso", F.col("x")), frames)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    avg_unweighted, avg_weighted, avg_nonfinite, avg_zero_weight, weights_missing, manifest_latest, manifest_probe, index_compact, index_parse, index_write, utc_text, tensor_unpack, committee_std,
+    schema_fill, content_hash, structure_ids, cell_missing, frame_slice, frame_last, cache_canonical, cache_complete, cache_complete_turns, cache_materialize, cache_hit, cache_miss, union_align, unsupported, first_failure,
+    warn_skip, pack_count, pack_bytes, result_order, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text,
+)} | {"explode_atoms": explode_rows, "cache_key": cache_keys}
+
+_MEAN = "SELECT atom_i, element, x, y, z, sum(cs_iso * w) / nullif(sum(w), 0) AS cs_iso, sum(cs_xx * w) / nullif(sum(w), 0) AS cs_xx FROM (SELECT *, {w} AS w FROM r) GROUP BY ALL HAVING sum(w) <> 0"
+_INDEX = "SELECT user_id AS cache_key, event_type AS output_format, ts AS written_at, CAST(user_id % 3 AS VARCHAR) AS writer_id, event_id AS seq, value FROM events"
+_DOCS = "SELECT doc_id AS frame_ord, sha256(text) AS structure_id FROM documents"
+_CANON = "SELECT l_orderkey AS frame_cache_key, CAST(l_linenumber - 1 AS BIGINT) AS atom_i, l_extendedprice AS cs_iso, l_partkey AS p FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1"
+
+ORACLES: dict[str, str] = {
+    "avg_unweighted": f"WITH r AS ({RESULTS_SQL}) " + _MEAN.format(w="CAST(1 AS DOUBLE)"),
+    "avg_weighted": f"WITH r AS ({RESULTS_SQL}) " + _MEAN.format(w="CAST(1 + frame % 7 AS DOUBLE)"),
+    "avg_zero_weight": f"WITH r AS ({RESULTS_SQL}) " + _MEAN.format(w="CAST(frame % 3 - 1 AS DOUBLE)"),
+    "avg_nonfinite": f"WITH r AS ({RESULTS_SQL}) SELECT atom_i, element, sum(CASE WHEN frame % 5 > 2 AND atom_i <> 0 THEN cs_iso END) / nullif(count(CASE WHEN frame % 5 > 2 AND atom_i <> 0 THEN 1 END), 0) AS cs_iso FROM r GROUP BY ALL",
+    "weights_missing": "SELECT doc_id AS frame FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "manifest_latest": f"SELECT cache_key, output_format, seq, value FROM ({_INDEX}) QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY (output_format = 'click') DESC, written_at DESC, writer_id DESC, seq DESC) = 1",
+    "manifest_probe": f"SELECT c_custkey AS cache_key, coalesce(seq, -1) AS seq, output_format FROM customer LEFT JOIN (SELECT * FROM ({_INDEX}) QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY written_at DESC, writer_id DESC, seq DESC) = 1) ON cache_key = c_custkey",
+    "index_compact": f"SELECT cache_key, output_format, seq, value FROM ({_INDEX}) QUALIFY row_number() OVER (PARTITION BY cache_key, output_format ORDER BY written_at DESC, writer_id DESC, seq DESC) = 1",
+    "index_parse": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "index_write": """SELECT event_id AS seq, '{"cache_key":"' || user_id || '"' || CASE WHEN event_id % 2 = 0 THEN ',"model_name":"m"' ELSE '' END || ',"output_format":"' || event_type || '","seq":' || event_id || '}' AS line FROM events""",
+    "utc_text": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS text, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds FROM events",
+    "explode_atoms": "SELECT vec_id AS frame, 'label' || label AS source_file, CAST(i AS BIGINT) AS atom_i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS element, CAST(embedding[3 * i + 1] AS DOUBLE) AS x, CAST(embedding[3 * i + 2] AS DOUBLE) AS y, CAST(embedding[3 * i + 3] AS DOUBLE) AS z FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)",
+    "tensor_unpack": "SELECT vec_id, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS cs_{a}" for a, i in C.UPPER.items()) + " FROM embeddings",
+    "committee_std": "SELECT vec_id, round(stddev_pop(CAST(v AS DOUBLE)), 5) AS std FROM (SELECT vec_id, unnest(embedding) AS v FROM embeddings) GROUP BY 1",
+    "schema_fill": f"SELECT CAST(frame AS VARCHAR) AS structure_id, source_file, frame, atom_i, element, x, y, z, cs_iso, cs_xx, " + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in required_columns("tensor", True)[9:] if c != "cs_xx") + f" FROM ({RESULTS_SQL})",
+    "cache_key": """SELECT doc_id AS frame_ord, sha256('{"flags":{"committee":false,"property":"iso"},"model_name":"model","model_version":"1","schema_version":"1","structure_id":"' || sha256(text) || '"}') AS cache_key FROM documents""",
+    "content_hash": _DOCS,
+    "cell_missing": "SELECT vec_id AS frame, label = 0 AS missing FROM embeddings",
+    "frame_slice": "SELECT conv_id, turn FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) IN (2, 4, 6)",
+    "frame_last": "SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role FROM conversations GROUP BY 1",
+    "cache_canonical": _CANON,
+    "cache_complete": f"SELECT frame_cache_key, count(*) AS n_atoms FROM ({_CANON}) GROUP BY 1 HAVING min(atom_i) = 0 AND max(atom_i) = count(*) - 1",
+    "cache_complete_turns": "SELECT conv_id AS frame_cache_key, count(*) AS n_atoms FROM conversations GROUP BY 1 HAVING min(turn) = 0 AND max(turn) = count(*) - 1",
+    "cache_materialize": f"SELECT frame_ord AS frame, min(frame_ord) OVER (PARTITION BY structure_id) AS first FROM ({_DOCS})",
+    "cache_hit": f"WITH d AS ({_DOCS}) SELECT * FROM d WHERE frame_ord % 2 = 1 AND structure_id IN (SELECT structure_id FROM d WHERE frame_ord % 2 = 0)",
+    "cache_miss": f"WITH d AS ({_DOCS}) SELECT * FROM d WHERE frame_ord % 2 = 1 AND structure_id NOT IN (SELECT structure_id FROM d WHERE frame_ord % 2 = 0)",
+    "union_align": "SELECT p_partkey, p_brand, CAST(NULL AS DOUBLE) AS p_size FROM part UNION ALL SELECT p_partkey, NULL, CAST(p_size AS DOUBLE) FROM part",
+    "unsupported": "SELECT p_brand, coalesce(string_agg(DISTINCT s, ', ' ORDER BY s) FILTER (s IN ('He', 'Ne', 'Na')), '') AS unsupported FROM (SELECT p_brand, (['H', 'He', 'C', 'Ne', 'N', 'Na', 'O'])[p_size % 7 + 1] AS s FROM part) GROUP BY 1",
+    "first_failure": "SELECT vec_id AS frame, CASE label WHEN 3 THEN 'the frame has no atoms: label3#' || vec_id WHEN 5 THEN 'positions are not finite in label5#' || vec_id WHEN 7 THEN 'unsupported elements in label7#' || vec_id || ': He, Xe' END AS failure FROM embeddings",
+    "warn_skip": "SELECT 'c' || o_custkey AS source_file, CAST(count(*) FILTER (o_orderstatus <> 'P') AS BIGINT) AS kept, coalesce(string_agg('c' || o_custkey || '#' || o_orderkey, ', ' ORDER BY o_orderkey) FILTER (o_orderstatus = 'P'), '') AS listing FROM orders GROUP BY o_custkey",
+    "pack_count": f"SELECT doc_id, doc_id // {PACK_GROUP} AS writer, (row_number() OVER (PARTITION BY doc_id // {PACK_GROUP} ORDER BY doc_id) - 1) // 200 AS chunk_no FROM documents",
+    "pack_bytes": f"""WITH RECURSIVE d AS (SELECT doc_id, doc_id // {PACK_GROUP} AS writer, n_chars AS b, row_number() OVER (PARTITION BY doc_id // {PACK_GROUP} ORDER BY doc_id) AS i FROM documents),
+p AS (SELECT doc_id, writer, i, b AS held, 1 AS n, CAST(0 AS BIGINT) AS chunk_no FROM d WHERE i = 1 UNION ALL
+SELECT d.doc_id, d.writer, d.i, CASE WHEN n >= 20 OR held + b > 30000 THEN b ELSE held + b END, CASE WHEN n >= 20 OR held + b > 30000 THEN 1 ELSE n + 1 END, CASE WHEN n >= 20 OR held + b > 30000 THEN chunk_no + 1 ELSE chunk_no END
+FROM p JOIN d ON d.writer = p.writer AND d.i = p.i + 1) SELECT doc_id, writer, chunk_no FROM p""",
+    "result_order": f"SELECT source_file, frame, atom_i, cs_iso, CAST(row_number() OVER (PARTITION BY source_file, frame ORDER BY atom_i, element, x, y, cs_iso, cs_xx) AS INTEGER) AS place FROM ({RESULTS_SQL})",
+    "distinct_keys": "SELECT DISTINCT user_id AS cache_key, event_type AS output_format FROM events",
+    "text_block": "SELECT conv_id, string_agg(role || ' ' || text, chr(10) ORDER BY turn) AS block FROM conversations GROUP BY 1",
+    "counts": "SELECT role, count(DISTINCT conv_id) AS frames, count(*) AS atoms FROM conversations GROUP BY 1",
+    "frame_keys": f"SELECT DISTINCT source_file || '#' || frame AS frame_key FROM ({RESULTS_SQL})",
+    "number_coercion": "SELECT event_id, CASE WHEN event_id % 4 = 3 THEN CAST(event_id AS DOUBLE) END AS number FROM events",
+    "predict_norms": "SELECT vec_id AS frame, CAST(i AS BIGINT) AS atom_i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS element, round(sqrt(CAST(embedding[3 * i + 1] AS DOUBLE) ** 2 + CAST(embedding[3 * i + 2] AS DOUBLE) ** 2 + CAST(embedding[3 * i + 3] AS DOUBLE) ** 2), 5) AS cs_iso FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)",
+}
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
