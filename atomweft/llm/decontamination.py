@@ -74,8 +74,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, b
         rows = rows.select("d.doc_id", "d.text_hash", F.when(F.col("d.p") == 0, F.size("d.w")).alias("n_words"), "d.p", "d.len", "b.items")
     else:
         hits = _exploded(texts, lengths, *key).where("p > 0").join(wanted, ["h", "len"])
-        hits = hits.join(texts.distinct(), [hits.doc_id.eqNullSafe(texts.doc_id), hits.text_hash == texts.text_hash, F.slice(texts.w, hits.p, hits.len) == hits.win])
-        hits = hits.select(hits.doc_id, hits.text_hash, F.lit(None).cast("int").alias("n_words"), "p", "len", "items").distinct()
+        own = texts.distinct().select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "w")
+        hits = hits.join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")) & (F.slice("w", F.col("p"), F.col("len")) == F.col("win")))
+        hits = hits.select(*key, F.lit(None).cast("int").alias("n_words"), "p", "len", "items").distinct()
         rows = texts.select(*key, F.size("w").alias("n_words"), F.lit(0).alias("p"), F.lit(0).alias("len"), F.lit(None).cast("array<bigint>").alias("items")).unionByName(hits)
     found = rows.groupBy(*key).agg(
         F.max("n_words").alias("n_words"),

@@ -7,6 +7,7 @@ are all beyond the radius are abandoned. With ``exact_tables`` every pair within
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 from itertools import combinations
@@ -49,15 +50,15 @@ def fingerprint(text: str | None, shingle: int, lanes: int) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, lanes: int = 1) -> DataFrame:
-    """(doc_id, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``."""
+    """(doc_id, text_hash, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([fingerprint(t.as_py(), shingle, lanes) for t in batch.column("text")], dtype=np.uint64).reshape(-1, lanes)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", *(f"f{k}" for k in range(lanes))])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", "text_hash", *(f"f{k}" for k in range(lanes))])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, ", ".join([f"doc_id {kind}", *(f"f{k} bigint" for k in range(lanes))]))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ", ".join([f"doc_id {kind}", "text_hash bigint", *(f"f{k} bigint" for k in range(lanes))]))
 
 
 def exact_tables(bits: int = 64, radius: int = 4) -> list[list[int]]:
@@ -66,10 +67,27 @@ def exact_tables(bits: int = 64, radius: int = 4) -> list[list[int]]:
     return [a + b for a, b in combinations(blocks, 2)]
 
 
-def sampled_tables(bits: int, tables: int, width: int, seed: int = 7) -> list[list[int]]:
-    """``tables`` random masks of ``width`` bits, for radii too wide for ``exact_tables``."""
+def sampled_tables(n: int, bits: int, similarity: float, recall: float = 0.998, seed: int = 7) -> list[list[int]]:
+    """Random masks for radii too wide for ``exact_tables``.
+
+    Masks widen with the logarithm of the number ``n`` of fingerprints, so that a bucket of unrelated ones keeps a few hundred members, and
+    there are as many as a pair of shingle sets of that Jaccard ``similarity`` needs to share a bucket with the chance ``recall``.
+    """
+    width = min(bits // 2, max(12, math.ceil(math.log2(max(n, 1))) - 9))
+    agree = (1 - _angle(similarity)) ** width
     rng = random.Random(seed)
-    return [sorted(rng.sample(range(bits), width)) for _ in range(tables)]
+    return [sorted(rng.sample(range(bits), width)) for _ in range(math.ceil(math.log(1 - recall) / math.log(1 - agree)))]
+
+
+def _angle(similarity: float) -> float:
+    """The share of fingerprint bits in which two shingle sets of this Jaccard similarity differ: their angle, by its cosine, over pi."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def wide_radius(bits: int, similarity: float) -> int:
+    """The mean number of differing bits at that similarity and 3.2 deviations: one pair in a thousand is beyond."""
+    p = _angle(similarity)
+    return math.ceil(bits * p + 3.2 * math.sqrt(bits * p * (1 - p)))
 
 
 class _Counters:
@@ -294,20 +312,24 @@ def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: i
     return rows.mapInArrow(_compare(lanes, radius), "a bigint, b bigint, distance int")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, tables: list[list[int]] | None = None, verify: float | None = None) -> DataFrame:
-    """(doc_id, f0, ..., component_id) per row of ``docs``; component_id is the smallest doc_id reachable over links.
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, similarity: float | None = None) -> DataFrame:
+    """(doc_id, text_hash, f0, ..., component_id) per row of ``docs``; component_id is the smallest doc_id reachable over links.
 
     Equal fingerprints are one node, so copies cost one row each; a null or wordless text has the fingerprint zero and links like any other.
-    With ``verify`` a link between different fingerprints counts only if the shingle sets of the two texts have that Jaccard similarity. A
-    row without doc_id gets a component if its fingerprint equals that of a row with one, else null. Repeated rows get equal results.
+    Without ``similarity`` every pair within ``radius`` links. With it, candidates are pairs of a radius that suits it (found by sampled
+    tables), and a link counts if the shingle sets of the two texts have that Jaccard similarity. A row without doc_id gets a component
+    if its fingerprint equals that of a row with one, else null. Repeated rows get equal results.
     """
-    tables = tables or exact_tables(64 * lanes, radius)
     fs = [f"f{k}" for k in range(lanes)]
     prints = cut(fingerprints(docs, shingle, lanes))
     nodes = cut(prints.groupBy(*fs).agg(F.min("doc_id").alias("rep")))
+    if similarity is None:
+        tables = exact_tables(64 * lanes, radius)
+    else:
+        radius, tables = wide_radius(64 * lanes, similarity), sampled_tables(nodes.count(), 64 * lanes, similarity)
     edges = cut(bucket_links(nodes.where("rep IS NOT NULL"), tables, lanes, radius).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if verify is not None:
-        edges = cut(_similar(docs, edges, shingle, verify))
+    if similarity is not None:
+        edges = cut(_similar(docs, edges, shingle, similarity))
     components = cut(connected_components(edges))
     nodes = nodes.join(components, F.col("rep") == F.col("node"), "left").select(*fs, F.coalesce("component", "rep").alias("component_id"))
     return prints.join(nodes, fs, "left")
@@ -333,16 +355,13 @@ def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> D
     return both.where(F.col("common") >= F.lit(least) * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
 
 
-#: For shingle sets of Jaccard similarity 0.8 (cosine 0.89, an angle of 27 degrees) two of 128 bits in 13 differ; the radius is their mean
-#: plus two deviations, and 60 tables of 16 bits hold such a pair together with a chance of 0.99.
-WIDE = {"shingle": 5, "lanes": 2, "radius": 28, "tables": sampled_tables(128, 60, 16), "verify": 0.8}
-
-
-def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lanes: int = 2) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id. Groups are chains of links of five-word shingle sets with the
-    given Jaccard similarity. Rows without doc_id stay unless an equal fingerprint with a doc_id exists; repeats of a doc_id go."""
-    found = cut(near_duplicates(docs, **(WIDE | {"verify": similarity})).select("doc_id", "component_id"))
-    extra = cut(found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_aw_id")).distinct())
-    left = docs.join(sized(extra), F.col("doc_id").eqNullSafe(F.col("_aw_id")), "left_anti")
-    counts = found.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
-    return left if counts[0] == counts[1] else left.dropDuplicates(["doc_id"])
+    given Jaccard similarity. Rows are matched by doc_id and text hash (null-safe); of rows equal in both one stays. A row without doc_id
+    stays unless its fingerprint equals that of a row with one."""
+    found = cut(near_duplicates(docs, shingle, lanes=lanes, similarity=similarity).select("doc_id", "text_hash", "component_id"))
+    extra = found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)")
+    extra = cut(extra.select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash")).distinct())
+    left = docs.join(sized(extra), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash")), "left_anti")
+    repeated = found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
+    return left.withColumn("_aw_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_aw_hash"]).drop("_aw_hash") if repeated else left
