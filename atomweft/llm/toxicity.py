@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,14 @@ STEMS = (4, 5, 6, 7)
 RIDGE = 0.02
 
 _WORD = re.compile(r"[^\W_]+")
-_SIGNS = re.escape("".join(c for c in LEET if not c.isdigit()))
-_ODD = re.compile(rf"[a-z0-9{_SIGNS}]*(?:[a-z][0-9{_SIGNS}]|[0-9{_SIGNS}][a-z])[a-z0-9{_SIGNS}]*|[a-z]*([a-z])\1\1[a-z]*")
-_SPACED = re.compile(r"(?<![a-z0-9])(?:[a-z0-9@$!][ .\-_*]{1,2}){2,24}[a-z0-9@$!](?![a-z0-9])")
+_SIGN = re.compile("[" + re.escape("".join(LEET)) + "]")
+_LETTER = re.compile("[a-z]")
+_TRIPLE = re.compile(r"([a-z])\1\1")
+#: Signs that stand at the end of a token as punctuation do not belong to its word.
+_EDGES = ".,;:?\"'()[]{}<>=~`^%&#-_/\\!|+*"
+#: Single characters set apart, within a token by signs or over several by blanks.
+_DOTTED = re.compile(r"[a-z0-9@$!](?:[.\-_*][a-z0-9@$!]){2,24}")
+_BLANKS = re.compile(r"(?<!\S)[a-z0-9@$!](?:[ ][a-z0-9@$!]){2,24}(?!\S)")
 _GAPS = re.compile(r"[ .\-_*]+")
 LONGEST = 32
 
@@ -88,18 +94,42 @@ class Decoder:
         return max(((score + float(model[a, b, edge]), text) for (a, b), (score, text) in states.items()), default=(0.0, ""))[1]
 
 
-def restored_words(text: str | None, decode: Decoder) -> Counter:
-    """The words of the text with their counts, disguised ones restored. Plain words stand as they are; a restored token is added to them."""
+def token_words(token: str, decode: Decoder) -> tuple[str, ...]:
+    """The words of a lower-case token; a disguised token gives its plain words and the restored one."""
+    core = token.strip(_EDGES)
+    if core.isalpha():
+        return (core, decode(core)) if len(core) <= LONGEST and core.isascii() and _TRIPLE.search(core) else (core,)
+    found = _WORD.findall(token)
+    if core.isascii() and _LETTER.search(core):
+        if _DOTTED.fullmatch(core):
+            found.append(decode(_GAPS.sub("", core)))
+        else:
+            marked = token.lstrip(_EDGES).rstrip(".,;:?\"')]}>=~`^%&#-_/\\!|+*") if token[-1:] != "$" else token.lstrip(_EDGES)
+            if len(marked) <= LONGEST and _SIGN.search(marked):
+                found.append(decode(marked))
+    return tuple(found)
+
+
+def tokens_of(text: str | None, decode: Decoder) -> Counter:
+    """The distinct tokens of the text with their counts; letters set apart by blanks are restored and added as one token."""
     low = (text or "").lower()
-    found = Counter(_WORD.findall(low))
-    for m in _ODD.finditer(low):
-        if len(m[0]) <= LONGEST:
-            found[decode(m[0].strip("!|+(*"))] += 1
-    for m in _SPACED.finditer(low):
-        found[decode(_GAPS.sub("", m[0]))] += 1
+    found = Counter(low.split())
+    singles = sum(n for x, n in found.items() if len(x) == 1)
+    if singles >= 3:
+        for m in _BLANKS.finditer(low):
+            found[decode(_GAPS.sub("", m[0]))] += 1
     return found
 
 
+def restored_words(text: str | None, decode: Decoder) -> Counter:
+    """The words of the text with their counts, disguised ones restored."""
+    out: Counter = Counter()
+    for token, n in tokens_of(text, decode).items():
+        for word in token_words(token, decode):
+            out[word] += n
+    return out
+
+
 def terms(word: str) -> list[str]:
     return ["=" + word, *(word[:n] for n in STEMS if len(word) > n)]
 
@@ -107,14 +137,14 @@ def terms(word: str) -> list[str]:
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character trigram counts of plain words, each distinct word of a batch of texts counted once."""
     counts, edge = np.zeros(SIZE**3, np.int64), CODES[EDGE]
-    plain = re.compile(r"(?<![^\W_])[a-z]+(?![^\W_])")
     table = np.full(256, edge, np.int64)
     for c, i in CODES.items():
         table[ord(c)] = i
     for batch in batches:
         words: set[str] = set()
         for text in batch.column("text").to_pylist():
-            words.update(plain.findall((text or "").lower()))
+            words.update((text or "").lower().split())
+        words = {w for x in words if (w := x.strip(_EDGES)).isalpha() and w.isascii()}
         if words:
             codes = table[np.frombuffer((EDGE + EDGE + (EDGE + EDGE).join(words) + EDGE).encode(), np.uint8)]
             code = (codes[:-2] * SIZE + codes[1:-1]) * SIZE + codes[2:]
@@ -138,7 +168,7 @@ def char_model(docs: DataFrame) -> np.ndarray:
     return np.log(p3)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Weights:
     """A logistic model over the densities of terms: occurrences for each hundred words, five at most."""
 
@@ -147,21 +177,35 @@ class Weights:
     values: np.ndarray
     _seen: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
-    def densities(self, found: Counter) -> dict[int, float]:
-        index, seen, out = self.index, self._seen, {}
-        if len(seen) > 500_000:
-            seen.clear()  # a cache, bounded
-        for word, n in found.items():
-            hits = seen.get(word)
+    @cached_property
+    def starts(self) -> set[str]:
+        """The first letters of the terms: no other word can hit."""
+        return {x.removeprefix("=")[: STEMS[0]] for x in self.index}
+
+
+    def _hits(self, token: str, decode: Decoder) -> tuple[int, ...]:
+        index, starts, hits = self.index, self.starts, []
+        for word in token_words(token, decode):
+            if word[: STEMS[0]] in starts:
+                hits += [index[x] for x in terms(word) if x in index]
+        return tuple(hits)
+
+    def densities(self, text: str | None, decode: Decoder) -> dict[int, float]:
+        """Term number to density. Most tokens hit nothing, which a bounded cache knows."""
+        seen, out, found = self._seen, {}, tokens_of(text, decode)
+        if len(seen) > 300_000:
+            seen.clear()
+        for token, n in found.items():
+            hits = seen.get(token)
             if hits is None:
-                hits = seen[word] = tuple(index[x] for x in terms(word) if x in index)
+                hits = seen[token] = self._hits(token, decode)
             for i in hits:
                 out[i] = out.get(i, 0) + n
         scale = 100 / max(found.total(), 1)
         return {i: min(n * scale, 5.0) for i, n in out.items()}
 
-    def score(self, found: Counter) -> float:
-        x = self.bias + sum(self.values[i] * d for i, d in self.densities(found).items())
+    def score(self, text: str | None, decode: Decoder) -> float:
+        x = self.bias + sum(self.values[i] * d for i, d in self.densities(text, decode).items())
         return float(1 / (1 + math.exp(-max(-50.0, min(50.0, x)))))
 
 
@@ -178,23 +222,38 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 25) -> n
     return w
 
 
-def fit(train: DataFrame, model: np.ndarray, rows: int = FIT_ROWS, limit: int = FIT_TERMS) -> Weights:
-    """Fits on (text, toxic) rows: at most ``rows`` of them, those with the least hash of the text, and at most ``limit`` terms.
+def labelled_sample(docs: DataFrame, marks: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """(text, toxic) of about ``rows`` distinct labelled texts, or all if there are fewer: those whose hash is under a threshold.
 
-    Equal texts count once. A term is a feature if it is in clearly more toxic texts than chance explains.
+    Ids and hashes choose the rows; only the chosen texts are read, where they lie.
     """
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("_h")).join(sized(cut(marks)), F.col("doc_id") == F.col("_id"))
+    distinct = cut(keyed.groupBy("_h").agg(F.min("doc_id").alias("_id"), F.max("toxic").alias("toxic")))
+    n = distinct.count()
+    if n > rows:
+        distinct = distinct.where(F.col("_h") < F.lit(int((rows / n - 0.5) * 2**64)))
+    chosen = F.broadcast(distinct)  # about ``rows`` rows of three numbers
+    texts = docs.select("doc_id", "text").join(chosen, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_h")))
+    return stored(texts.select("text", F.col("toxic").cast("int").alias("toxic")), "labelled")
+
+
+def fit(train: DataFrame, model: np.ndarray, limit: int = FIT_TERMS) -> Weights:
+    """Fits on (text, toxic) rows, at most ``limit`` terms. A term is a feature if it is in clearly more toxic texts than chance explains."""
     shared = train.sparkSession.sparkContext.broadcast(model)
-    train = train.withColumn("_h", F.xxhash64("text")).dropDuplicates(["_h"]).orderBy("_h").limit(rows).select("text", F.col("toxic").cast("int").alias("toxic"))
-    train = stored(train, "labelled")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = Decoder(shared.value)
         for batch in batches:
+            every: Counter = Counter()
+            toxics: Counter = Counter()
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                found = sorted({x for w in restored_words(text, decode) for x in terms(w)})
-                yield pa.RecordBatch.from_arrays([pa.array(["", *found]), pa.array([toxic] * (len(found) + 1), pa.int32())], ["term", "toxic"])
+                found = {x for w in restored_words(text, decode) for x in terms(w)} | {""}
+                every.update(found)
+                if toxic:
+                    toxics.update(found)
+            yield pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array([toxics[x] for x in every], pa.int64()), pa.array(list(every.values()), pa.int64())], ["term", "t", "n"])
 
-    counts = train.mapInArrow(spread, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
+    counts = train.mapInArrow(spread, "term string, t bigint, n bigint").groupBy("term").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     counts = cut(counts.where((F.col("t") >= MIN_TOXIC) | (F.col("term") == "")))
     whole = counts.where("term = ''").first()
     toxic, total = (int(whole.t), int(whole.n)) if whole else (0, 0)
@@ -210,7 +269,7 @@ def fit(train: DataFrame, model: np.ndarray, rows: int = FIT_ROWS, limit: int =
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = Decoder(shared.value)
         for batch in batches:
-            found = [given.value.densities(restored_words(t, decode)) for t in batch.column("text").to_pylist()]
+            found = [given.value.densities(t, decode) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([list(d) for d in found], pa.list_(pa.int32())), pa.array([list(d.values()) for d in found], pa.list_(pa.float32()))], ["toxic", "at", "value"])
 
     sample = train.mapInArrow(measure, "toxic int, at array<int>, value array<float>").toArrow()
@@ -234,14 +293,14 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).select(F.col("doc_id").alias("_id"), "toxic")
     model = char_model(docs)
     texts = docs.select("doc_id", "text")
-    weights = fit(texts.join(sized(cut(marks)), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic"), model)
+    weights = fit(labelled_sample(docs, marks), model)
     shared = spark.sparkContext.broadcast((model, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, weights = shared.value
         decode = Decoder(model)
         for batch in batches:
-            scores = [weights.score(restored_words(t, decode)) for t in batch.column("text").to_pylist()]
+            scores = [weights.score(t, decode) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     scored = texts.mapInArrow(run, "doc_id bigint, score double")
