@@ -15,7 +15,7 @@ from atomweft.llm.common import cut, lower_ascii, words
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Item windows (about 200 bytes each) that may be broadcast; a larger set is joined by a shuffle on the window hash.
-BROADCAST_WINDOWS = 500_000
+BROADCAST_WINDOWS = 200_000
 
 
 def item_words(text: Column) -> Column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import cut
+from atomweft.llm.common import cut, sized
 from atomweft.llm.url_rules import host_of
 
 BUCKETS = 1 << 16
@@ -102,7 +102,7 @@ def identify(pages: DataFrame, docs: DataFrame, fit_rows: int = FIT_ROWS) -> Dat
     best = lambda a: F.get(names, (F.array_position(a, F.array_max(a)) - 1).cast("int"))
     rows = cut(rows.withColumn("text_lang", best(F.col("text"))).withColumn("suffix", suffix_of(F.col("host"))))
     sums = [F.sum((F.col("text_lang") == x).cast("double")) for x in langs]
-    counts = lambda by, to: rows.where("text_lang IS NOT NULL").groupBy(F.col(by).alias(f"_{by}")).agg(F.array(*(F.coalesce(s, F.lit(0.0)) for s in sums)).alias(to))
+    counts = lambda by, to: sized(cut(rows.where("text_lang IS NOT NULL").groupBy(F.col(by).alias(f"_{by}")).agg(F.array(*(F.coalesce(s, F.lit(0.0)) for s in sums)).alias(to))))
     whole = [float(x or 0) for x in rows.agg(*sums).first()]
     total = sum(whole)
     base = [(x + 1) / (total + len(langs)) for x in whole]

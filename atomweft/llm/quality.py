@@ -85,17 +85,16 @@ def thresholds(measured: DataFrame, fences: Fences = Fences(), lang: str = "lang
     group = good.groupBy(F.col(lang).alias("_lang"), F.col(source).alias("_source")).agg(F.count(F.lit(1)).alias("_n"), *(F.kll_sketch_agg_double(r, fences.sketch_k).alias(r) for r in ratios))
     group = cut(group)
     by_lang = group.groupBy("_lang").agg(F.sum("_n").alias("_n_lang"), *(F.kll_merge_agg_double(r, fences.sketch_k).alias(f"{r}_lang") for r in ratios))
-    overall = by_lang.agg(*(F.kll_merge_agg_double(f"{r}_lang", fences.sketch_k).alias(f"{r}_all") for r in ratios))  # one row
+    overall = by_lang.agg(*(F.kll_merge_agg_double(f"{r}_lang", fences.sketch_k).alias(r) for r in ratios)).first()  # one sketch per ratio
     pairs = measured.select(F.col(lang).alias("_lang"), F.col(source).alias("_source")).distinct()
     joined = (
         pairs.alias("p")
         .join(group.alias("g"), F.col("p._lang").eqNullSafe(F.col("g._lang")) & F.col("p._source").eqNullSafe(F.col("g._source")), "left")
         .join(by_lang.alias("l"), F.col("p._lang").eqNullSafe(F.col("l._lang")), "left")
-        .join(F.broadcast(overall), F.lit(True), "left")
     )
 
     def fence(ratio: str, least: float) -> Column:
-        sketch = F.when(F.col("_n") >= fences.min_rows, F.col(f"g.{ratio}")).when(F.col("_n_lang") >= fences.min_rows, F.col(f"{ratio}_lang")).otherwise(F.col(f"{ratio}_all"))
+        sketch = F.when(F.col("_n") >= fences.min_rows, F.col(f"g.{ratio}")).when(F.col("_n_lang") >= fences.min_rows, F.col(f"{ratio}_lang")).otherwise(F.lit(overall[ratio]))
         low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
         return (high + fences.whisker * F.greatest(high - low, F.lit(least))).alias(f"max_{ratio}")
 

@@ -29,6 +29,8 @@ MAX_GROUP = 20_000
 #: Segments whose columns are built together.
 BATCH = 4096
 BLOCK = 1 << 23
+#: Anchors or spans, of a few dozen bytes each, in all rows of a side that a join may broadcast.
+BROADCAST_ITEMS = 1_500_000
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -213,6 +215,12 @@ def _cut_rows(with_text: bool):
     return run
 
 
+def _light(df: DataFrame, items: str) -> DataFrame:
+    """``df`` with a broadcast hint if its rows hold few enough items: rows alone do not bound the size, as one text may hold very many."""
+    n, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(F.size(items), F.lit(0))), F.lit(0))).first()
+    return F.broadcast(df) if n + held <= BROADCAST_ITEMS else df
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
     """(doc_id, text_hash, spans array<struct<start, end>>, whole): bytes of each row's text that a repeated string of ``length`` covers.
 
@@ -231,7 +239,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     found = rows.join(often, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "n", "at", "low", "high")).alias("found"))
     found = stored(found, "found").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    there = single.join(sized(found, limit=100_000), on).select("doc_id", "text_hash", "text", "found")
+    there = single.join(_light(found, "found"), on).select("doc_id", "text_hash", "text", "found")
     segments = there.mapInArrow(_segment_rows(length), "anchor bigint, n bigint, doc_id bigint, text_hash bigint, low int, rel int, starts int, segment binary")
     small = segments.where(F.col("n") <= max_group).repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
     spans = small.mapInArrow(_mark(length), "doc_id bigint, text_hash bigint, start int, end int")
@@ -257,7 +265,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     spans = spans.select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), F.col("spans").alias("_aw_spans"), F.col("whole").alias("_aw_whole"))
     kept = [c for c in docs.columns if c not in results] if with_text else ["doc_id"]
     rows = docs.select(*(c for c in kept if c != "text"), F.coalesce("text", F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("bigint"))
-    rows = rows.join(sized(spans, limit=100_000), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash")), "left").drop("_aw_id", "_aw_hash")
+    rows = rows.join(_light(spans, "_aw_spans"), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash")), "left").drop("_aw_id", "_aw_hash")
     plain = rows.where("_aw_spans IS NULL")
     gone = F.col("_aw_whole").isNotNull()
     plain = plain.withColumns({"n_removed": F.when(gone, F.col("n_bytes")).otherwise(0).cast("bigint"), "n_spans": F.when(gone, 1).otherwise(0).cast("bigint"), "text": F.when(gone, "").otherwise(F.col("text"))}).withColumn("kept_sha256", F.sha2("text", 256))
