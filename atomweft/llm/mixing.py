@@ -16,15 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import cut
+from atomweft.llm.common import stored
 
 BLOCK_DOCS = 16
 #: Slots of a period: the resolution of the weights.
 PERIOD = 1024
 #: Bound on the sources, and so on phases and the rows that are broadcast (MAX_SOURCES * PERIOD).
 MAX_SOURCES = 256
-#: Documents that are ranked together in one task.
-BUCKET_ROWS = 20_000
+#: Documents that are ranked together in one group: each source has as many groups as its size needs.
+BUCKET_ROWS = 1_000
 SEED = 20
 RESULTS = ("mix_block", "mix_slot", "mix_position")
 
@@ -108,11 +108,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     slots = [(s, k, j, t) for k, p in enumerate(plan) for s in p.first for j, t in enumerate(p.offsets[s])]
     by_source = spark.createDataFrame(steps, "_aw_s string, _aw_phase int, first bigint, end bigint, part bigint, start bigint").groupBy("_aw_s").agg(F.collect_list(F.struct("_aw_phase", "first", "end", "part", "start")).alias("_aw_steps"))
     slots = spark.createDataFrame(slots, "_aw_s string, _aw_phase int, _aw_j bigint, _aw_offset bigint")
+    groups = spark.createDataFrame([(s, max(1, n // bucket_rows)) for s, n in totals.items()], "_aw_s string, _aw_k bigint")
 
-    buckets = max(1, -(-sum(totals.values()) // bucket_rows))
-    hashed = F.xxhash64(F.lit(SEED), *docs.columns)
-    rows = docs.withColumns({"_aw_s": name, "_aw_h": hashed}).withColumn("_aw_bucket", F.pmod("_aw_h", F.lit(buckets)))
-    sizes = cut(docs.select(name.alias("_aw_s"), F.pmod(hashed, F.lit(buckets)).alias("_aw_bucket")).groupBy("_aw_s", "_aw_bucket").agg(F.count(F.lit(1)).alias("_aw_n")))
+    hashed = F.xxhash64(F.lit(SEED), *([c for c in ("doc_id", "text") if c in docs.columns] or [source]))
+    rows = docs.withColumns({"_aw_s": name, "_aw_h": hashed}).join(F.broadcast(groups), "_aw_s").withColumn("_aw_bucket", F.pmod("_aw_h", "_aw_k")).drop("_aw_k")
+    sizes = stored(rows.groupBy("_aw_s", "_aw_bucket").agg(F.count(F.lit(1)).alias("_aw_n")), "groups")
     before = sizes.withColumn("_aw_before", F.sum("_aw_n").over(W.partitionBy("_aw_s").orderBy("_aw_bucket")) - F.col("_aw_n")).drop("_aw_n")
     rows = rows.withColumn("_aw_rank", F.row_number().over(W.partitionBy("_aw_s", "_aw_bucket").orderBy("_aw_h")) - 1).join(before, ["_aw_s", "_aw_bucket"])
     rows = rows.withColumn("_aw_at", F.col("_aw_before") + F.col("_aw_rank")).withColumn("mix_block", F.floor(F.col("_aw_at") / block_docs))
