@@ -22,15 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import partitions, sized, stored
+from atomweft.llm.common import BROADCAST_ROWS, partitions, sized, stored
 
 LENGTH = 400
 MAX_GROUP = 20_000
 #: Segments whose columns are built together.
 BATCH = 4096
 BLOCK = 1 << 23
-#: Anchors or spans, of a few dozen bytes each, in all rows of a side that a join may broadcast.
-BROADCAST_ITEMS = 1_500_000
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -189,36 +187,42 @@ def _window_rows(length: int):
 
 
 def _cut_rows(with_text: bool):
+    def rest_of(data: bytes, spans: list[dict] | None, whole: bool | None) -> tuple[bytes, int]:
+        """What is kept, and the number of maximal removed runs."""
+        if whole:
+            return b"", 1
+        kept, at, runs = [], 0, 0
+        for s, e in sorted((x["start"], x["end"]) for x in spans or ()):
+            if s > at or not runs:
+                kept.append(data[at:s])
+                runs += 1
+            at = max(at, e)
+        return b"".join([*kept, data[at:]]), runs
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_aw_spans").to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
-                kept, at, removed, runs = [], 0, 0, 0
-                merged: list[list[int]] = []
-                for s, e in sorted((x["start"], x["end"]) for x in spans):
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
-                for s, e in merged:
-                    kept.append(data[at:s])
-                    at, removed, runs = e, removed + e - s, runs + 1
-                kept.append(data[at:])
-                rest = b"".join(kept)
-                out.append((removed, runs, hashlib.sha256(rest).hexdigest()) + ((rest.decode("utf-8", "ignore"),) if with_text else ()))
+            for row in zip(*(batch.column(c).to_pylist() for c in ("text", "_aw_spans", "_aw_whole"))):
+                data = row[0].encode("utf-8", "surrogatepass")
+                rest, runs = rest_of(data, *row[1:])
+                out.append((len(data) - len(rest), runs, hashlib.sha256(rest).hexdigest()) + ((rest.decode("utf-8", "ignore"),) if with_text else ()))
             cols = list(zip(*out)) if out else [[]] * (3 + with_text)
             kinds = [pa.int64(), pa.int64(), pa.string()] + [pa.string()] * with_text
-            names = [c for c in batch.schema.names if c not in ("text", "_aw_spans")]
+            names = [c for c in batch.schema.names if c not in ("text", "text_hash", "_aw_spans", "_aw_whole")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(c, k) for c, k in zip(cols, kinds))], names + ["n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text)
 
     return run
 
 
-def _light(df: DataFrame, items: str) -> DataFrame:
-    """``df`` with a broadcast hint if its rows hold few enough items: rows alone do not bound the size, as one text may hold very many."""
-    n, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(F.size(items), F.lit(0))), F.lit(0))).first()
-    return F.broadcast(df) if n + held <= BROADCAST_ITEMS else df
+def _with_items(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows of ``texts`` that have a row in ``items`` (_aw_id, _aw_hash, ...), joined to it.
+
+    The ids alone filter the texts first, broadcast up to a checked number; what is left is shuffled to the items, which may be wide.
+    """
+    on = F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.col("text_hash") == F.col("_aw_hash"))
+    if (n := items.count()) <= BROADCAST_ROWS:
+        texts = texts.join(sized(items.select("_aw_id", "_aw_hash"), n), on, "left_semi")
+    return texts.join(items.hint("shuffle_hash"), on).drop("_aw_id", "_aw_hash")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
@@ -235,18 +239,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     joined = keyed.join(sized(copies, n_copies), "sha", "left")
     single = joined.where("n IS NULL OR doc_id <=> first").select("doc_id", "text_hash", "text")
     rows = stored(single.mapInArrow(_anchor_rows(length), "doc_id bigint, text_hash bigint, anchor bigint, at int, low int, high int"), "anchors")
-    often = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    found = rows.join(often, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "n", "at", "low", "high")).alias("found"))
-    found = stored(found, "found").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    there = single.join(_light(found, "found"), on).select("doc_id", "text_hash", "text", "found")
+    often = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    found = rows.join(sized(often), "anchor").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "n", "at", "low", "high")).alias("found"))
+    found = stored(found, "found").select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), "found")
+    there = _with_items(single, found).select("doc_id", "text_hash", "text", "found")
     segments = there.mapInArrow(_segment_rows(length), "anchor bigint, n bigint, doc_id bigint, text_hash bigint, low int, rel int, starts int, segment binary")
     small = segments.where(F.col("n") <= max_group).repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
     spans = small.mapInArrow(_mark(length), "doc_id bigint, text_hash bigint, start int, end int")
     if often.where(F.col("n") > max_group).limit(1).count():
         windows = segments.where(F.col("n") > max_group).mapInArrow(_window_rows(length), "digest binary, doc_id bigint, text_hash bigint, start int")
-        twice = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        spans = spans.unionByName(windows.join(twice, "digest").select("doc_id", "text_hash", "start", (F.col("start") + length).alias("end")))
+        twice = stored(windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "twice")
+        spans = spans.unionByName(windows.join(sized(twice), "digest").select("doc_id", "text_hash", "start", (F.col("start") + length).alias("end")))
     spans = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"), F.lit(False).alias("whole"))
     whole = joined.where("n > 1").select("doc_id", "text_hash", F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(True).alias("whole")).distinct()
     # the row that stands for a group of copies may have spans too: it is whole in any case
@@ -258,19 +261,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
 
     A null text is empty. Cut texts drop the bytes of characters that a cut splits. Repeated rows are copies of each other, so their texts
     are removed; texts under ``length`` bytes and an empty table pass through. The id and a hash of the text stand for a row. Columns of
-    ``docs`` with the names of the results are replaced.
+    ``docs`` with the names of the results are replaced, and text_hash goes.
     """
     results = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     spans = repeated_spans(docs, length, max_group)
     spans = spans.select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), F.col("spans").alias("_aw_spans"), F.col("whole").alias("_aw_whole"))
-    kept = [c for c in docs.columns if c not in results] if with_text else ["doc_id"]
-    rows = docs.select(*(c for c in kept if c != "text"), F.coalesce("text", F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("bigint"))
-    rows = rows.join(_light(spans, "_aw_spans"), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash")), "left").drop("_aw_id", "_aw_hash")
-    plain = rows.where("_aw_spans IS NULL")
-    gone = F.col("_aw_whole").isNotNull()
-    plain = plain.withColumns({"n_removed": F.when(gone, F.col("n_bytes")).otherwise(0).cast("bigint"), "n_spans": F.when(gone, 1).otherwise(0).cast("bigint"), "text": F.when(gone, "").otherwise(F.col("text"))}).withColumn("kept_sha256", F.sha2("text", 256))
-    some = rows.where("_aw_spans IS NOT NULL").drop("_aw_whole")
-    schema = ", ".join(f"`{n}` {t}" for n, t in some.dtypes if n not in ("text", "_aw_spans")) + ", n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_text
-    changed = some.mapInArrow(_cut_rows(with_text), schema)
+    kept = [c for c in docs.columns if c not in (*results, "text_hash")] if with_text else ["doc_id"]
+    rows = docs.select(*(c for c in kept if c != "text"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"n_bytes": F.octet_length("text").cast("bigint"), "text_hash": F.xxhash64("text")})
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n not in ("text", "text_hash")) + ", n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_text
     out = [*kept, *results]
+    if spans.count() > BROADCAST_ROWS:
+        on = F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.col("text_hash") == F.col("_aw_hash"))
+        return rows.join(spans.hint("shuffle_hash"), on, "left").drop("_aw_id", "_aw_hash").mapInArrow(_cut_rows(with_text), schema).select(out)
+    changed = _with_items(rows, spans).mapInArrow(_cut_rows(with_text), schema)
+    plain = rows.join(sized(spans.select("_aw_id", "_aw_hash"), 0), F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.col("text_hash") == F.col("_aw_hash")), "left_anti")
+    plain = plain.withColumns({"n_removed": F.lit(0).cast("bigint"), "n_spans": F.lit(0).cast("bigint"), "kept_sha256": F.sha2("text", 256)})
     return plain.select(out).unionByName(changed.select(out))

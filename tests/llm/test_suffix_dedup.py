@@ -70,3 +70,10 @@ def test_equal_windows_have_equal_anchors():
         assert low[0] == 0 and high[-1] == len(data) - 400 and (low[1:] == high[:-1] + 1).all()
         runs[name] = {s: (h_, p - s) for p, h_, lo, hi in zip(at, h, low, high) for s in range(lo, hi + 1)}
     assert all(runs["a"][333 + s] == x for s, x in runs["part"].items())
+
+
+def test_many_affected_rows_take_one_shuffle(spark, monkeypatch):
+    docs = odd_docs(spark)
+    want = key([tuple(r) for r in S.remove_repeats(docs, 100).collect()])
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
+    assert key([tuple(r) for r in S.remove_repeats(docs, 100).collect()]) == want
