@@ -10,7 +10,8 @@ from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atomweft.functions.columns import index_payload
@@ -22,6 +23,11 @@ from atomweft.sources.tables import read_csv
 FIELDS = [x.split()[0] for x in INDEX.split(", ")]
 
 
+def local_path() -> Column:
+    """The path of a row's file as the index has it."""
+    return F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"), "%20", " ")
+
+
 def now_utc() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
@@ -76,11 +82,9 @@ class CacheStore:
         parts = []
         for form in sorted({c.output_format for c in chunks}):
             paths = [c.chunk_path for c in chunks if c.output_format == form and Path(c.chunk_path).exists()]
-            for group in self._readable(paths, form):
-                rows = self._read(group, form)
-                own = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"), "%20", " ")
-                rows = rows.select("*", own.alias("_file"), F.monotonically_increasing_id().alias("_row"))
-                there = wanted.where(F.col("output_format") == form).select("frame_cache_key", "chunk_path")
+            there = wanted.where(F.col("output_format") == form).select("frame_cache_key", "chunk_path")
+            for rows in (self._parquet(paths) if form == "parquet" else self._csv(paths)) if paths else ():
+                rows = rows.select("*", local_path().alias("_file"), F.monotonically_increasing_id().alias("_row"))
                 parts.append(rows.join(there, [rows.frame_cache_key == there.frame_cache_key, rows._file.startswith(there.chunk_path)], "left_semi").drop("_file"))
         if not parts:
             return None
@@ -89,20 +93,21 @@ class CacheStore:
             found = found.unionByName(part, allowMissingColumns=True)
         return found
 
-    def _read(self, paths: list[str], form: str) -> DataFrame:
-        return self.spark.read.parquet(*paths) if form == "parquet" else read_csv(self.spark, *paths)
-
-    def _readable(self, paths: list[str], form: str) -> list[list[str]]:
-        """Paths grouped by columns; those without a key column or that cannot be read are left out."""
-        groups: dict[tuple, list[str]] = {}
-        for path in paths:
-            try:
-                columns = tuple(self._read([path], form).columns)
-            except Exception:
-                continue
-            if "frame_cache_key" in columns:
-                groups.setdefault(columns, []).append(path)
-        return list(groups.values())
+    def _parquet(self, paths: list[str]) -> list[DataFrame]:
+        """All chunks in one scan under their merged schema; broken files and chunks without keys have no rows."""
+        reader = self.spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+        try:
+            rows = reader.parquet(*paths)
+        except AnalysisException:  # no chunk has a readable schema
+            return []
+        return [rows] if "frame_cache_key" in rows.columns else []
+
+    def _csv(self, paths: list[str]) -> list[DataFrame]:
+        """One scan for each distinct header that names a key; the headers are found by the tasks."""
+        lines = self.spark.read.option("ignoreCorruptFiles", True).text(paths).where(F.col("value").contains("frame_cache_key"))
+        heads = lines.groupBy(local_path().alias("file")).agg(F.first("value").alias("head"))
+        groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
+        return [read_csv(self.spark, *sorted(g.files)) for g in groups]
 
     def store(self, rows: DataFrame, chunk_size: int = 200, max_chunk_mb: float = 100.0) -> int:
         """Writes result rows as chunks of whole frames, then their index lines; the number of chunks.

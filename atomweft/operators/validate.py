@@ -21,11 +21,18 @@ def failure() -> Column:
     )
 
 
-def missing_cell_text(frames: DataFrame) -> DataFrame:
-    """One row: the listing of frames without a cell, ordered by file and frame number; null if there are none."""
-    pairs = F.array_sort(F.collect_set(F.when(F.col("normalized_cell_pbc"), F.struct("source_file", "frame"))))
-    text = F.array_join(F.transform(pairs, lambda p: F.concat_ws("#", p.source_file, p.frame)), ", ")
-    return frames.agg(F.when(F.size(pairs) > 0, F.concat(F.lit("Missing cell/PBC normalized to zeros for frames: "), text)).alias("warning"))
+#: Frames that a warning lists by name; of more it tells the number.
+LISTED = 10_000
+
+
+def missing_cell_text(frames: DataFrame, listed: int = LISTED) -> str | None:
+    """The listing of frames without a cell, ordered by file and frame number; None if there are none."""
+    flagged = frames.where("normalized_cell_pbc").select("source_file", "frame").distinct()
+    n = flagged.count()
+    if not n:
+        return None
+    names = [f"{r.source_file}#{r.frame}" for r in flagged.orderBy("source_file", "frame").limit(listed).collect()]
+    return "Missing cell/PBC normalized to zeros for frames: " + ", ".join(names) + (f" and {n - listed} more" if n > listed else "")
 
 
 def validate_frames(frames: DataFrame, on_warning: str = "warn") -> tuple[DataFrame, list[str], bool]:
@@ -33,7 +40,7 @@ def validate_frames(frames: DataFrame, on_warning: str = "warn") -> tuple[DataFr
     first = frames.withColumn("failure", failure()).where("failure IS NOT NULL").orderBy("frame_ord").select("failure").limit(1).collect()
     if first:
         raise ValidationError(first[0].failure)
-    warning = missing_cell_text(frames).first().warning
+    warning = missing_cell_text(frames)
     if warning is None:
         return frames, [], False
     if on_warning == "error":

@@ -24,6 +24,8 @@ from atomweft.sinks import write_magres, write_table
 from atomweft.sources.structures import load_structures, resolve_inputs
 from atomweft.sources.tables import file_digests
 
+#: Cache keys that the run record holds; of larger runs it names a table of them.
+KEYS_IN_RECORD = 100_000
 ORDER = ["source_file", "frame", "atom_i"]
 
 
@@ -97,7 +99,12 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
             return summary
         key = cache_key(F.col("structure_id"), model_name, model_version, SCHEMA_VERSION, config.committee, mode)
         frames = keep(frames.withColumn("frame_cache_key", key))
-        keys = [r[0] for r in frames.select("frame_cache_key").orderBy("frame_cache_key").collect()]
+        listed = frames.select("frame_cache_key").orderBy("frame_cache_key")
+        if n_frames <= KEYS_IN_RECORD:
+            keys = [r[0] for r in listed.collect()]
+        else:
+            listed.write.mode("overwrite").parquet(str(config.outdir / "cache_keys.parquet"))
+            keys = [str(config.outdir / "cache_keys.parquet")]
         timing.setup = time.perf_counter() - began
         store, cached, hit = None, None, frames.limit(0)
         if config.cache_dir is not None:

@@ -400,3 +400,24 @@ def test_streaming_manifest(spark, tmp_path):
     finally:
         query.stop()
     assert read_index(spark, [str(tmp_path / "index_b.jsonl")]).count() == 1
+
+
+def test_broken_and_mixed_chunks(spark, tmp_path):
+    store = CacheStore(spark, tmp_path / "cache", "parquet")
+    broken, keyless = tmp_path / "broken.parquet", tmp_path / "keyless.parquet"
+    broken.write_bytes(b"no parquet")
+    pd.DataFrame({"x": [1]}).to_parquet(keyless)
+    iso, both = tmp_path / "iso.parquet", tmp_path / "both.parquet"
+    pd.DataFrame({"frame_cache_key": ["i"], "atom_i": [0], "cs_iso": [1.0]}).to_parquet(iso)
+    pd.DataFrame({"frame_cache_key": ["t"], "atom_i": [0], "cs_iso": [2.0], "cs_xx": [3.0]}).to_parquet(both)
+    lines = [record(k, p, form="parquet", seq=i) for i, (k, p) in enumerate({"b": broken, "n": keyless, "i": iso, "t": both}.items())]
+    (store.index_dir / "index_x.jsonl").write_text("\n".join(lines))
+    keys = spark.createDataFrame([(k,) for k in "bnit"], "frame_cache_key string")
+    assert sorted((r.frame_cache_key, r.cs_iso, r.cs_xx) for r in store.lookup(keys).collect()) == [("i", 1.0, None), ("t", 2.0, 3.0)]
+
+
+def test_warning_of_many_frames_is_bounded(spark):
+    from atomweft.operators.validate import missing_cell_text
+
+    frames = spark.range(30).selectExpr("'a' as source_file", "id as frame", "id % 2 = 0 as normalized_cell_pbc")
+    assert missing_cell_text(frames, 3).endswith("frames: a#0, a#2, a#4 and 12 more") and missing_cell_text(frames.where("frame = 1")) is None
