@@ -1,4 +1,4 @@
-"""Structure files to frame rows: XYZ and extended XYZ.
+"""Structure files to frame rows: XYZ and extended XYZ, and VASP's POSCAR by its usual names.
 
 Files are read by Spark, each parsed as a stream inside its task; a row is one selected frame. What is wrong with a file comes back as a row
 with ``error``, so that the driver can name the first failing file.
@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,12 +111,36 @@ def parse_xyz(text: str) -> Iterator[dict]:
         at += 2 + n
 
 
+def parse_poscar(text: str) -> Iterator[dict]:
+    """The one frame of a POSCAR text: a periodic cell, with direct or Cartesian positions. A negative scale is the cell's volume."""
+    lines = text.splitlines()
+    scale = float(lines[1].split()[0])
+    cell = np.array([[float(x) for x in line.split()[:3]] for line in lines[2:5]])
+    cell *= scale if scale > 0 else (-scale / abs(np.linalg.det(cell))) ** (1 / 3)
+    counts = [int(x) for x in lines[6].split()]
+    numbers = [NUMBERS[s.capitalize()] for s, n in zip(lines[5].split(), counts) for _ in range(n)]
+    at = 8 if lines[7].strip()[:1].lower() == "s" else 7
+    points = np.array([[float(x) for x in line.split()[:3]] for line in lines[at + 1 : at + 1 + len(numbers)]]).reshape(-1, 3)
+    if len(points) != len(numbers):
+        raise ValueError(f"{len(numbers)} atoms are announced")
+    cartesian = lines[at].strip()[:1].lower() in ("c", "k")
+    points = points * (scale if scale > 0 else 1.0) if cartesian else points @ cell
+    yield {"numbers": numbers, "element": [SYMBOLS[z - 1] for z in numbers], "positions": points.ravel().tolist(), "cell": cell.ravel().tolist(), "pbc": [1, 1, 1]}
+
+
+def parse_file(path: str, text: str) -> Iterator[dict]:
+    """The frames of a file, its format told by its name."""
+    name = path.rpartition("/")[2].lower()
+    poscar = name.startswith(("poscar", "contcar")) or name.endswith((".poscar", ".vasp"))
+    return parse_poscar(text) if poscar else parse_xyz(text)
+
+
 def _scan(selector: str):
     names = [x.split()[0] for x in RAW.split(", ")]
 
     def rows(path: str, content: bytes) -> Iterator[dict]:
         try:
-            frames = list(parse_xyz(content.decode("utf-8")))
+            frames = list(parse_file(path, content.decode("utf-8")))
             if not frames:
                 raise InputError(f"the file has no frames: {path}")
             chosen = select_frames(selector, len(frames))

@@ -57,6 +57,16 @@ def test_xyz_variants():
         list(parse_xyz("2\n\nH 0 0 0\n"))
 
 
+def test_poscar(spark, tmp_path):
+    text = "c\n2.0\n1 0 0\n0 2 0\n0 0 3\nH O\n1 2\n{kind}\n0.5 0.5 0.5\n0 0 0\n0.1 0 0\n"
+    direct, cartesian = (write(tmp_path / n, text.format(kind=k)) for n, k in (("POSCAR", "Direct"), ("a.vasp", "Selective\nCartesian")))
+    rows = {r.source_file: r for r in load_structures(spark, [direct, cartesian]).collect()}
+    assert rows[direct].element == ["H", "O", "O"] and tuple(rows[direct].positions[0]) == (1.0, 2.0, 3.0) and rows[direct].cell[8] == 6.0
+    assert tuple(rows[cartesian].positions[0]) == (1.0, 1.0, 1.0) and rows[cartesian].pbc == [1, 1, 1] and not rows[cartesian].normalized_cell_pbc
+    with pytest.raises(InputError):
+        load_structures(spark, [write(tmp_path / "CONTCAR", "c\n1\n")])
+
+
 def test_load_structures(spark, tmp_path):
     a, b = write(tmp_path / "a.xyz", hco(cell=False), hco(2.0, cell=False)), write(tmp_path / "b.xyz", hco())
     assert resolve_inputs([str(tmp_path / "*.xyz"), a]) == sorted([a, b])
