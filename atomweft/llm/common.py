@@ -47,7 +47,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows. ``df`` must be cheap to count: give ``cut`` or ``stored`` rows."""
+    """``df`` with a broadcast hint if it has at most ``limit`` rows. ``df`` must be cheap to count: give ``cut`` or ``stored`` rows.
+
+    Give grouped rows that another side joins by the group's key as ``stored`` rows: read back they have no partitioning, so both sides of
+    a shuffled join are plain exchanges and adaptive execution can split the partition of a hot key.
+    """
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
 
 
@@ -75,9 +79,10 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if not before[0]:
             break
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = sized(stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = cut(large)
+        least = sized(stored(large.groupBy("a").agg(F.min("b").alias("m")), "least"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         edges = cut(small.where("a <> b").distinct())
         after = state(edges)

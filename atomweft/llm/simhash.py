@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import connected_components, cut, partitions, sized
+from atomweft.llm.common import connected_components, cut, partitions, sized, stored
 
 #: Byte table that lower-cases A-Z; bytes.split() without arguments splits at exactly \x20 and \x09-\x0D.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -258,7 +258,7 @@ def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int) -
 
 
 def _compare(lanes: int, radius: int):
-    """Compares streams sorted by (bucket, t1, t2); whole groups are gathered up to BATCH rows."""
+    """Compares streams sorted by (bucket, t1, t2, rep), so that ties always break alike; whole groups are gathered up to BATCH rows."""
     names = ["bucket", "t1", "t2", "tile", "rep", *(f"f{k}" for k in range(lanes))]
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int32())])
 
@@ -304,11 +304,11 @@ def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: i
         return F.xxhash64(*parts)
 
     rows = reps.select("rep", *fs, F.explode(F.array(*(key(i, m) for i, m in enumerate(tables)))).alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = sized(stored(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"))
     rows = rows.join(shared, "bucket").withColumn("k", F.ceil(F.col("n") / tile).cast("int")).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
     rows = rows.select("bucket", "tile", "rep", *fs, other).select("bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rep", *fs)
-    rows = rows.repartition(partitions(spark), "bucket", "t1", "t2").sortWithinPartitions("bucket", "t1", "t2")
+    rows = rows.repartition(partitions(spark), "bucket", "t1", "t2").sortWithinPartitions("bucket", "t1", "t2", "rep")
     return rows.mapInArrow(_compare(lanes, radius), "a bigint, b bigint, distance int")
 
 
