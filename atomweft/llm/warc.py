@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import BROADCAST_ROWS, cut
+from atomweft.llm.common import BROADCAST_ROWS, cut, sized, stored
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records in one file, so that a reader holds tens of megabytes.
@@ -38,6 +38,7 @@ def decide(heads: DataFrame, least_bytes: int = 0) -> DataFrame:
     rows that repeat it are originals too. A null page_id comes after every other; a payload that only such rows hold has no revisits.
     """
     groups = heads.where(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1 AND keeper IS NOT NULL").drop("n")
+    groups = sized(stored(groups, "payloads"))
     return heads.where(F.col("bytes") >= least_bytes).join(groups, "digest").where("NOT (page_id <=> keeper)").select("page_id", "digest", "keeper").distinct()
 
 
