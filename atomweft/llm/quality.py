@@ -27,7 +27,7 @@ class Fences:
     whisker: float = 3.0
     min_rows: int = 50
     sketch_k: int = 800
-    least: tuple[tuple[str, float], ...] = (("symbol_ratio", 0.05), ("dup_line_ratio", 0.2), ("repeat_ratio", 0.1), ("word_length", 1.0))
+    least: tuple[tuple[str, float], ...] = (("symbol_ratio", 0.05), ("dup_line_ratio", 0.2), ("repeat_ratio", 0.16), ("word_length", 1.0))
 
     @property
     def ratios(self) -> list[str]:

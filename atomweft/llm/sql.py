@@ -33,7 +33,7 @@ pick AS (
   LEFT JOIN gl ON gl.lang IS NOT DISTINCT FROM p.lang AND gl.k = ga.k
   LEFT JOIN g ON g.lang IS NOT DISTINCT FROM p.lang AND g.source IS NOT DISTINCT FROM p.source AND g.k = ga.k),
 q AS (SELECT *, s[CAST(greatest(1, ceil(0.25 * len(s))) AS BIGINT)] AS low, s[CAST(greatest(1, ceil(0.75 * len(s))) AS BIGINT)] AS high FROM pick),
-f AS (SELECT lang, source, k, high + 3.0 * greatest(high - low, CASE k WHEN 1 THEN 0.05 WHEN 2 THEN 0.2 WHEN 3 THEN 0.1 ELSE 1.0 END) AS top FROM q),
+f AS (SELECT lang, source, k, high + 3.0 * greatest(high - low, CASE k WHEN 1 THEN 0.05 WHEN 2 THEN 0.2 WHEN 3 THEN 0.16 ELSE 1.0 END) AS top FROM q),
 bad AS (
   SELECT DISTINCT l.doc_id FROM long l JOIN f ON f.lang IS NOT DISTINCT FROM l.lang AND f.source IS NOT DISTINCT FROM l.source AND f.k = l.k
   WHERE l.x > f.top)
