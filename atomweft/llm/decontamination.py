@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import cut, lower_ascii, words
+from atomweft.llm.common import cut, lower_ascii, sized, words
 
 #: Everything in ASCII that is neither a digit nor a letter separates words; all other characters belong to words.
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -106,7 +106,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     hit = cut(find_contamination(docs, benchmark, n).where(F.size("at") > 0).select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), F.col("at").alias("_aw_at")).distinct())
     on = F.col("doc_id").eqNullSafe(F.col("_aw_id")) & (F.xxhash64("text") == F.col("_aw_hash"))
     if remove == "documents":
-        return docs.join(hit.drop("_aw_at"), on, "left_anti")
+        return docs.join(sized(hit.drop("_aw_at")), on, "left_anti")
     parts = F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), 0)
     shift = F.when(F.get(parts, F.lit(0)).rlike(r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1).otherwise(0)
     left = F.filter(parts, lambda x, i: ~F.array_contains("_aw_at", F.floor((i - shift) / 2).cast("int") + 1))
