@@ -32,9 +32,12 @@ SMALL = 64
 CHUNK = 1 << 20
 
 
-def fingerprint(text: str | None, shingle: int, lanes: int) -> list[int]:
-    """``lanes`` unsigned 64-bit words; a bit is 1 if it is set in over half of the shingle hashes."""
-    found = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+
+
+def fingerprint(found: list[bytes], shingle: int, lanes: int) -> list[int]:
+    """``lanes`` unsigned 64-bit words of a text's words; a bit is 1 if it is set in over half of the shingle hashes."""
     if not found:
         return [0] * lanes
     grams = map(b" ".join, zip(*(found[k:] for k in range(shingle)))) if len(found) >= shingle else iter([b" ".join(found)])
@@ -50,15 +53,21 @@ def fingerprint(text: str | None, shingle: int, lanes: int) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, lanes: int = 1) -> DataFrame:
-    """(doc_id, text_hash, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``."""
+    """(doc_id, text_hash, content, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``; content is a hash of the
+    text's words in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([fingerprint(t.as_py(), shingle, lanes) for t in batch.column("text")], dtype=np.uint64).reshape(-1, lanes)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", "text_hash", *(f"f{k}" for k in range(lanes))])
+            found, contents = [], []
+            for text in batch.column("text"):
+                words = words_of(text.as_py())
+                found.append(fingerprint(words, shingle, lanes))
+                contents.append(xxhash.xxh64_intdigest(b" ".join(words), ~SEED & 0xFFFF))
+            rows = np.array(found, dtype=np.uint64).reshape(-1, lanes)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(contents, np.uint64).view(np.int64)), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", "text_hash", "content", *(f"f{k}" for k in range(lanes))])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ", ".join([f"doc_id {kind}", "text_hash bigint", *(f"f{k} bigint" for k in range(lanes))]))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ", ".join([f"doc_id {kind}", "text_hash bigint", "content bigint", *(f"f{k} bigint" for k in range(lanes))]))
 
 
 def exact_tables(bits: int = 64, radius: int = 4) -> list[list[int]]:
@@ -67,18 +76,24 @@ def exact_tables(bits: int = 64, radius: int = 4) -> list[list[int]]:
     return [a + b for a, b in combinations(blocks, 2)]
 
 
-def sampled_tables(n: int, bits: int, similarity: float, recall: float = 0.998, seed: int = 7) -> list[list[int]]:
+def sampled_tables(n: int, bits: int, similarity: float, recall: float = 0.995, seed: int = 7) -> list[list[int]]:
     """Random masks for radii too wide for ``exact_tables``.
 
     Masks widen with the logarithm of the number ``n`` of fingerprints, so that a bucket of unrelated ones keeps a few hundred members, and
-    there are as many as a pair of shingle sets of that Jaccard ``similarity`` needs to share a bucket with the chance ``recall``.
+    there are as many as a pair needs to share a bucket with the chance ``recall`` that differs in two deviations more bits than the mean
+    of that Jaccard ``similarity``; most pairs differ in fewer.
     """
-    width = min(bits // 2, max(12, math.ceil(math.log2(max(n, 1))) - 9))
-    agree = (1 - _angle(similarity)) ** width
+    width = min(bits // 2, max(10, math.ceil(math.log2(max(n, 1))) - 9))
+    agree = (1 - _angle(similarity) - 2 * _deviation(bits, similarity) / bits) ** width
     rng = random.Random(seed)
     return [sorted(rng.sample(range(bits), width)) for _ in range(math.ceil(math.log(1 - recall) / math.log(1 - agree)))]
 
 
+def _deviation(bits: int, similarity: float) -> float:
+    p = _angle(similarity)
+    return math.sqrt(bits * p * (1 - p))
+
+
 def _angle(similarity: float) -> float:
     """The share of fingerprint bits in which two shingle sets of this Jaccard similarity differ: their angle, by its cosine, over pi."""
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -86,8 +101,7 @@ def _angle(similarity: float) -> float:
 
 def wide_radius(bits: int, similarity: float) -> int:
     """The mean number of differing bits at that similarity and 3.2 deviations: one pair in a thousand is beyond."""
-    p = _angle(similarity)
-    return math.ceil(bits * p + 3.2 * math.sqrt(bits * p * (1 - p)))
+    return math.ceil(bits * _angle(similarity) + 3.2 * _deviation(bits, similarity))
 
 
 class _Counters:
@@ -315,14 +329,15 @@ def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: i
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, similarity: float | None = None) -> DataFrame:
     """(doc_id, text_hash, f0, ..., component_id) per row of ``docs``; component_id is the smallest doc_id reachable over links.
 
-    Equal fingerprints are one node, so copies cost one row each; a null or wordless text has the fingerprint zero and links like any other.
-    Without ``similarity`` every pair within ``radius`` links. With it, candidates are pairs of a radius that suits it (found by sampled
-    tables), and a link counts if the shingle sets of the two texts have that Jaccard similarity. A row without doc_id gets a component
-    if its fingerprint equals that of a row with one, else null. Repeated rows get equal results.
+    Copies cost one row each: without ``similarity`` equal fingerprints are one node and every pair within ``radius`` links; a null or
+    wordless text has the fingerprint zero and links like any other. With ``similarity`` equal word sequences are one node; candidates are
+    pairs of a radius that suits it (found by sampled tables), and a link counts if the shingle sets of the two texts have that Jaccard
+    similarity. A row without doc_id gets a component if it shares its node with a row that has one, else null. Repeated rows get equal
+    results.
     """
-    fs = [f"f{k}" for k in range(lanes)]
+    node = [*(f"f{k}" for k in range(lanes)), *(["content"] if similarity is not None else [])]
     prints = cut(fingerprints(docs, shingle, lanes))
-    nodes = cut(prints.groupBy(*fs).agg(F.min("doc_id").alias("rep")))
+    nodes = cut(prints.groupBy(*node).agg(F.min("doc_id").alias("rep")))
     if similarity is None:
         tables = exact_tables(64 * lanes, radius)
     else:
@@ -331,8 +346,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
     if similarity is not None:
         edges = cut(_similar(docs, edges, shingle, similarity))
     components = cut(connected_components(edges))
-    nodes = nodes.join(components, F.col("rep") == F.col("node"), "left").select(*fs, F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(nodes, fs, "left")
+    nodes = nodes.join(components, F.col("rep") == F.col("node"), "left").select(*node, F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(nodes, node, "left")
 
 
 def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -342,7 +357,7 @@ def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> D
         for batch in batches:
             out = []
             for t in batch.column("text"):
-                w = (t.as_py() or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+                w = words_of(t.as_py())
                 grams = map(b" ".join, zip(*(w[k:] for k in range(shingle)))) if len(w) >= shingle else [b" ".join(w)]
                 out.append(np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "shingles"])
@@ -358,7 +373,7 @@ def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> D
 def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lanes: int = 2) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id. Groups are chains of links of five-word shingle sets with the
     given Jaccard similarity. Rows are matched by doc_id and text hash (null-safe); of rows equal in both one stays. A row without doc_id
-    stays unless its fingerprint equals that of a row with one."""
+    stays unless its words equal those of a row with one."""
     found = cut(near_duplicates(docs, shingle, lanes=lanes, similarity=similarity).select("doc_id", "text_hash", "component_id"))
     extra = found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)")
     extra = cut(extra.select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash")).distinct())
