@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -20,3 +23,17 @@ def get_session(app: str = "atomweft", master: str | None = None, shuffle_partit
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the Python workers this package once per session, so that tasks can import it wherever the driver found it."""
+    context = spark.sparkContext
+    if getattr(context, "_atomweft_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="atomweft-")) / "atomweft.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._atomweft_shipped = True
