@@ -250,12 +250,14 @@ def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int) -
     for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
         own = _planes(rows[s : s + n])[:, :-1]
         width, kept = own.shape[1], (np.zeros(0, np.int64),) * 3
-        for q in range(0, n, 64):
-            query = np.arange(q, min(q + 64, n))
+        step = max(64, 8192 // width)
+        for q in range(0, n, step):
+            query = np.arange(q, min(q + step, n))
             ones = np.where(np.unpackbits(np.ascontiguousarray(rows[s + query]).view(np.uint8), axis=1, bitorder="little").T > 0, ~np.uint64(0), np.uint64(0))
-            live = np.arange(n)[None, :] > query[:, None]
-            live &= (side[s : s + n][None, :] < 0) | (side[s : s + n][None, :] != side[s + query][:, None])
-            dead = ~np.concatenate([_packed(x, width) for x in live])
+            live = np.zeros((len(query), 64 * width), bool)
+            live[:, :n] = np.arange(n)[None, :] > query[:, None]
+            live[:, :n] &= (side[s : s + n][None, :] < 0) | (side[s : s + n][None, :] != side[s + query][:, None])
+            dead = ~np.packbits(live, axis=1, bitorder="little").view("<u8").ravel()
             at, match = _within(lambda b, k: own[b][k % width] ^ ones[b][k // width], bits, dead, radius)
             lane = _lanes(at, match)
             i, j = query[lane // (64 * width)], lane % (64 * width)
