@@ -27,6 +27,8 @@ SEED = 42
 TILE = 4096
 #: Rows that a task compares in one batch of small buckets.
 BATCH = 1 << 16
+#: Members of a tile and rows of a batch where every pair is listed, not a forest: bounds the pairs that a task holds.
+EVERY_TILE, EVERY_BATCH = 1024, 1 << 13
 #: Up to this many members all shifts of a bucket stay within neighbouring 64-bit words.
 SMALL = 64
 CHUNK = 1 << 20
@@ -36,11 +38,15 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
+def _grams(found: list[bytes], shingle: int) -> Iterator[bytes]:
+    return map(b" ".join, zip(*(found[k:] for k in range(shingle)))) if len(found) >= shingle else iter([b" ".join(found)])
+
+
 def fingerprint(found: list[bytes], shingle: int, lanes: int) -> list[int]:
     """``lanes`` unsigned 64-bit words of a text's words; a bit is 1 if it is set in over half of the shingle hashes."""
     if not found:
         return [0] * lanes
-    grams = map(b" ".join, zip(*(found[k:] for k in range(shingle)))) if len(found) >= shingle else iter([b" ".join(found)])
+    grams = _grams(found, shingle)
     total, n, counts = max(len(found) - shingle + 1, 1), 0, np.zeros((lanes, 64), np.int64)
     while n < total:
         part = [g for g, _ in zip(grams, range(min(CHUNK, total - n)))]
@@ -52,22 +58,23 @@ def fingerprint(found: list[bytes], shingle: int, lanes: int) -> list[int]:
     return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, lanes: int = 1) -> DataFrame:
-    """(doc_id, text_hash, content, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``; content is a hash of the
-    text's words in order."""
+def fingerprints(docs: DataFrame, shingle: int = 4, lanes: int = 1, sets: bool = False) -> DataFrame:
+    """(doc_id, text_hash, content, size, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``; content is a hash of
+    the text's words in order, size the number of distinct shingles (with ``sets``, else 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, contents = [], []
+            found, contents, sizes = [], [], []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
                 found.append(fingerprint(words, shingle, lanes))
+                sizes.append(len(set(_grams(words, shingle))) if sets else 0)
                 contents.append(xxhash.xxh64_intdigest(b" ".join(words), ~SEED & 0xFFFF))
             rows = np.array(found, dtype=np.uint64).reshape(-1, lanes)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(contents, np.uint64).view(np.int64)), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", "text_hash", "content", *(f"f{k}" for k in range(lanes))])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(contents, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", "text_hash", "content", "size", *(f"f{k}" for k in range(lanes))])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ", ".join([f"doc_id {kind}", "text_hash bigint", "content bigint", *(f"f{k} bigint" for k in range(lanes))]))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ", ".join([f"doc_id {kind}", "text_hash bigint", "content bigint", "size bigint", *(f"f{k} bigint" for k in range(lanes))]))
 
 
 def exact_tables(bits: int = 64, radius: int = 4) -> list[list[int]]:
@@ -224,8 +231,10 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.nda
     return order[np.concatenate(kept)] if kept else np.zeros(0, np.int64)
 
 
-def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forest edges (i, j, distance) between rows of equal ``group``; ``side`` -1 compares all, else only rows of different sides."""
+def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int, comp: np.ndarray | None = None, size: np.ndarray | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forest edges (i, j, distance) between rows of equal ``group``; ``side`` -1 compares all, else only rows of different sides.
+
+    With ``comp`` every pair of different components, not a forest, whose set sizes allow the Jaccard similarity ``least``."""
     found = []
     bits = rows.shape[1] * 64
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
@@ -236,11 +245,16 @@ def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int) -
         if len(i):
             found.append((i, j, np.bitwise_count(rows[i] ^ rows[j]).sum(axis=1, dtype=np.int64)))
 
+    def open_(i, j) -> np.ndarray:
+        return (comp[i] != comp[j]) & (np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]) - 1e-9)
+
     planes = _planes(rows)
     words = planes.shape[1] - 1
     small = size_of <= SMALL
     for lag in range(1, int(sizes[sizes <= SMALL].max(initial=0))):
         pair = (group[lag:] == group[:-lag]) & small[lag:] & ((side[lag:] < 0) | (side[lag:] != side[:-lag]))
+        if comp is not None:
+            pair &= open_(slice(lag, None), slice(None, -lag))
         if not pair.any():
             continue
         low, high = np.uint64(lag), np.uint64(64 - lag)
@@ -257,25 +271,34 @@ def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int) -
             live = np.zeros((len(query), 64 * width), bool)
             live[:, :n] = np.arange(n)[None, :] > query[:, None]
             live[:, :n] &= (side[s : s + n][None, :] < 0) | (side[s : s + n][None, :] != side[s + query][:, None])
+            if comp is not None:
+                live[:, :n] &= open_(slice(s, s + n), (s + query)[:, None])
             dead = ~np.packbits(live, axis=1, bitorder="little").view("<u8").ravel()
             at, match = _within(lambda b, k: own[b][k % width] ^ ones[b][k // width], bits, dead, radius)
             lane = _lanes(at, match)
             i, j = query[lane // (64 * width)], lane % (64 * width)
+            if comp is not None:
+                note(s + i, s + j)
+                continue
             d = np.bitwise_count(rows[s + i] ^ rows[s + j]).sum(axis=1, dtype=np.int64)
             a, b, d = (np.concatenate(x) for x in zip(kept, (i, j, d)))
             e = forest(n, a, b, d)
             kept = a[e], b[e], d[e]
-        found.append((s + kept[0], s + kept[1], kept[2]))
+        if comp is None:
+            found.append((s + kept[0], s + kept[1], kept[2]))
     if not found:
         return (np.zeros(0, np.int64),) * 3
     a, b, d = (np.concatenate(x) for x in zip(*found))
+    if comp is not None:
+        return a, b, d
     e = forest(len(rows), a, b, d)
     return a[e], b[e], d[e]
 
 
-def _compare(lanes: int, radius: int):
+def _compare(lanes: int, radius: int, least: float | None = None):
     """Compares streams sorted by (bucket, t1, t2, rep), so that ties always break alike; whole groups are gathered up to BATCH rows."""
-    names = ["bucket", "t1", "t2", "tile", "rep", *(f"f{k}" for k in range(lanes))]
+    names = ["bucket", "t1", "t2", "tile", "rep", *(f"f{k}" for k in range(lanes)), *(["comp", "size"] if least is not None else [])]
+    limit = BATCH if least is None else EVERY_BATCH
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int32())])
 
     def work(cols: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -284,7 +307,7 @@ def _compare(lanes: int, radius: int):
         for k in ("bucket", "t1", "t2"):
             change[1:] |= cols[k][1:] != cols[k][:-1]
         side = np.where(cols["t1"] == cols["t2"], -1, cols["tile"])
-        i, j, d = _links(rows, np.cumsum(change), side, radius)
+        i, j, d = _links(rows, np.cumsum(change), side, radius, *((cols["comp"], cols["size"], least) if least is not None else ()))
         return pa.RecordBatch.from_arrays([pa.array(cols["rep"][i]), pa.array(cols["rep"][j]), pa.array(d.astype(np.int32))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +315,7 @@ def _compare(lanes: int, radius: int):
         for batch in batches:
             held = {k: np.concatenate([held[k], batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k in names}
             n = len(held["bucket"])
-            if n >= BATCH:
+            if n >= limit:
                 change = (held["bucket"][1:] != held["bucket"][:-1]) | (held["t1"][1:] != held["t1"][:-1]) | (held["t2"][1:] != held["t2"][:-1])
                 ends = np.flatnonzero(change)
                 if len(ends):
@@ -304,13 +327,17 @@ def _compare(lanes: int, radius: int):
     return run
 
 
-def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: int, tile: int = TILE) -> DataFrame:
+def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: int, tile: int = TILE, least: float | None = None) -> DataFrame:
     """(a, b, distance): links between rows (rep, f0, ...) of ``reps`` that share a bucket, as a spanning forest of each bucket.
 
+    With ``least`` rows also have comp and size (of the shingle set), and every pair of different components is a link whose sizes allow
+    that Jaccard similarity.
     Buckets with one member are dropped after a grouped count; one with more than ``tile`` members is split over tasks by pairs of tiles.
     """
     spark = reps.sparkSession
-    fs = [f"f{k}" for k in range(lanes)]
+    fs = [*(f"f{k}" for k in range(lanes)), *(["comp", "size"] if least is not None else [])]
+    shares = "n > 1" if least is None else "n > 1 AND least <> most"
+    counts = [F.count(F.lit(1)).alias("n"), *([F.min("comp").alias("least"), F.max("comp").alias("most")] if least is not None else [])]
 
     def key(number: int, mask: list[int]) -> Column:
         parts = [F.lit(number)]
@@ -320,12 +347,12 @@ def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: i
         return F.xxhash64(*parts)
 
     rows = reps.select("rep", *fs, F.explode(F.array(*(key(i, m) for i, m in enumerate(tables)))).alias("bucket"))
-    shared = sized(stored(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"))
+    shared = sized(stored(rows.groupBy("bucket").agg(*counts).where(shares).select("bucket", "n"), "buckets"))
     rows = rows.join(shared, "bucket").withColumn("k", F.ceil(F.col("n") / tile).cast("int")).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
     rows = rows.select("bucket", "tile", "rep", *fs, other).select("bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rep", *fs)
     rows = rows.repartition(partitions(spark), "bucket", "t1", "t2").sortWithinPartitions("bucket", "t1", "t2", "rep")
-    return rows.mapInArrow(_compare(lanes, radius), "a bigint, b bigint, distance int")
+    return rows.mapInArrow(_compare(lanes, radius, least), "a bigint, b bigint, distance int")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, similarity: float | None = None) -> DataFrame:
@@ -333,23 +360,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
 
     Copies cost one row each: without ``similarity`` equal fingerprints are one node and every pair within ``radius`` links; a null or
     wordless text has the fingerprint zero and links like any other. With ``similarity`` equal word sequences are one node; candidates are
-    pairs of a radius that suits it (found by sampled tables), and a link counts if the shingle sets of the two texts have that Jaccard
+    pairs of a radius that suits it (found by sampled tables: first a forest of each bucket, then every pair whose ends the verified links leave apart), and a link counts if the shingle sets of the two texts have that Jaccard
     similarity. A row without doc_id gets a component if it shares its node with a row that has one, else null. Repeated rows get equal
     results.
     """
     node = [*(f"f{k}" for k in range(lanes)), *(["content"] if similarity is not None else [])]
-    prints = cut(fingerprints(docs, shingle, lanes))
-    nodes = cut(prints.groupBy(*node).agg(F.min("doc_id").alias("rep")))
+    prints = cut(fingerprints(docs, shingle, lanes, similarity is not None))
+    nodes = cut(prints.groupBy(*node).agg(F.min("doc_id").alias("rep"), F.max("size").alias("size")))
     if similarity is None:
         tables = exact_tables(64 * lanes, radius)
     else:
         radius, tables = wide_radius(64 * lanes, similarity), sampled_tables(nodes.count(), 64 * lanes, similarity)
-    edges = cut(bucket_links(nodes.where("rep IS NOT NULL"), tables, lanes, radius).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    listed = lambda links: cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    reps = nodes.where("rep IS NOT NULL")
+    edges = listed(bucket_links(reps, tables, lanes, radius))
     if similarity is not None:
         edges = cut(_similar(docs, edges, shingle, similarity))
     components = cut(connected_components(edges))
+    if similarity is not None:  # a forest may have chosen pairs that fail the check in place of pairs that pass it
+        apart = cut(reps.join(sized(components), F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep")))
+        more = listed(bucket_links(apart, tables, lanes, radius, EVERY_TILE, similarity))
+        more = cut(_similar(docs, more, shingle, similarity))
+        components = cut(connected_components(edges.unionAll(more)))
     nodes = nodes.join(components, F.col("rep") == F.col("node"), "left").select(*node, F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(nodes, node, "left")
+    return prints.drop("size").join(nodes, node, "left")
 
 
 def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -360,8 +394,7 @@ def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> D
             out = []
             for t in batch.column("text"):
                 w = words_of(t.as_py())
-                grams = map(b" ".join, zip(*(w[k:] for k in range(shingle)))) if len(w) >= shingle else [b" ".join(w)]
-                out.append(np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64)).view(np.int64))
+                out.append(np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in _grams(w, shingle)), np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
     ends = edges.select(F.col("a").alias("id")).unionAll(edges.select(F.col("b").alias("id"))).distinct()

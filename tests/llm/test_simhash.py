@@ -98,6 +98,30 @@ def test_pipeline_form_agrees_with_shingle_similarity(spark):
     assert [got[i] for i in range(n)] == want
 
 
+def shingle_components(texts):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    return components(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+
+
+def similar_components(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(docs, 5, lanes=2, similarity=0.8).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_variants_that_are_nearer_to_each_other_by_fingerprint_still_link_to_their_original(spark):
+    rng = np.random.default_rng(5)
+    words = [f"v{i}" for i in range(300)]
+    texts = [" ".join(words)]
+    for copy in range(400):
+        w = list(words)
+        for at in rng.choice(60, 6, replace=False) * 5:
+            w[at] = f"z{copy}y{at}"
+        texts.append(" ".join(w))
+    want = shingle_components(texts)
+    assert set(want) == {0} and similar_components(spark, texts) == want
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, k) for k in range(1001, 1200)] + [(5, 5), (0, 1)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).distinct().collect()}
