@@ -42,12 +42,13 @@ def _grams(found: list[bytes], shingle: int) -> Iterator[bytes]:
     return map(b" ".join, zip(*(found[k:] for k in range(shingle)))) if len(found) >= shingle else iter([b" ".join(found)])
 
 
-def fingerprint(found: list[bytes], shingle: int, lanes: int) -> list[int]:
-    """``lanes`` unsigned 64-bit words of a text's words; a bit is 1 if it is set in over half of the shingle hashes."""
+def fingerprint(found: list[bytes], shingle: int, lanes: int, distinct: set[bytes] | None = None) -> list[int]:
+    """``lanes`` unsigned 64-bit words of a text's words; a bit is 1 if it is set in over half of the shingle hashes. A repeated shingle counts
+    as often as it occurs, unless the set of the text's shingles is given as ``distinct``."""
     if not found:
         return [0] * lanes
-    grams = _grams(found, shingle)
-    total, n, counts = max(len(found) - shingle + 1, 1), 0, np.zeros((lanes, 64), np.int64)
+    grams, total = (_grams(found, shingle), max(len(found) - shingle + 1, 1)) if distinct is None else (iter(distinct), len(distinct))
+    n, counts = 0, np.zeros((lanes, 64), np.int64)
     while n < total:
         part = [g for g, _ in zip(grams, range(min(CHUNK, total - n)))]
         n += len(part)
@@ -60,15 +61,16 @@ def fingerprint(found: list[bytes], shingle: int, lanes: int) -> list[int]:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, lanes: int = 1, sets: bool = False) -> DataFrame:
     """(doc_id, text_hash, content, size, f0, f1, ...) with the fingerprint's words as longs, a row per row of ``docs``; content is a hash of
-    the text's words in order, size the number of distinct shingles (with ``sets``, else 0)."""
+    the text's words in order, size the number of distinct shingles. With ``sets`` a fingerprint counts each shingle once; without, repeats count and size is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, contents, sizes = [], [], []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
-                found.append(fingerprint(words, shingle, lanes))
-                sizes.append(len(set(_grams(words, shingle))) if sets else 0)
+                distinct = set(_grams(words, shingle)) if sets else None
+                found.append(fingerprint(words, shingle, lanes, distinct))
+                sizes.append(len(distinct) if sets else 0)
                 contents.append(xxhash.xxh64_intdigest(b" ".join(words), ~SEED & 0xFFFF))
             rows = np.array(found, dtype=np.uint64).reshape(-1, lanes)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(contents, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), *(pa.array(rows[:, k].view(np.int64)) for k in range(lanes))], ["doc_id", "text_hash", "content", "size", *(f"f{k}" for k in range(lanes))])

@@ -122,6 +122,12 @@ def test_variants_that_are_nearer_to_each_other_by_fingerprint_still_link_to_the
     assert set(want) == {0} and similar_components(spark, texts) == want
 
 
+def test_texts_that_differ_in_how_often_a_line_repeats_link(spark):
+    words, line = " ".join(f"v{i}" for i in range(100)), " ".join(f"r{i}" for i in range(10))
+    texts = [f"{words} {line}", words + f" {line}" * 9]
+    assert shingle_components(texts) == similar_components(spark, texts) == [0, 0]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, k) for k in range(1001, 1200)] + [(5, 5), (0, 1)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).distinct().collect()}
