@@ -2,17 +2,23 @@
 
 Each source is cut into blocks of documents. Block i of a source with weight w (a share of one slot per slot) is released at floor(i / w) and
 due at ceil((i + 1) / w); the earliest deadline goes first. So at every slot each source has got its weighted share, less or more than one
-block. Weights are whole parts of a period, after which the schedule repeats: one period is computed, and the slot of any block follows
-from it by arithmetic, so nothing walks through the corpus in order. When a source runs out, a new phase starts with the weights of the others.
+block. When a source runs out, a new phase starts with the weights of the others.
+
+The default form walks through the blocks in order, in one task, so that this holds against the target weights at any size. With a ``period``
+weights are rounded to whole parts of it, after which the schedule repeats: one period is computed, and the slot of any block follows by
+arithmetic; the share of a source then is off by what the rounding left, and so is its place, the more the longer the schedule.
 """
 
 from __future__ import annotations
 
 import bisect
 import heapq
+import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,8 +27,12 @@ from atomweft.llm.common import stored
 BLOCK_DOCS = 16
 #: Slots of a period: the resolution of the weights.
 PERIOD = 1024
-#: Bound on the sources, and so on phases and the rows that are broadcast (MAX_SOURCES * PERIOD).
+#: Bound on the sources unless a caller lifts it; with a period also on phases and the rows that are broadcast (MAX_SOURCES * PERIOD).
 MAX_SOURCES = 256
+#: ``timetable`` holds weights in so many whole parts: deadlines are exact integers, and rounding moves a share by about 2**-41.
+PARTS = 1 << 40
+#: Rows of a batch of the timetable.
+BATCH = 1 << 16
 #: Documents that are ranked together in one group: each source has as many groups as its size needs.
 BUCKET_ROWS = 1_000
 SEED = 20
@@ -89,35 +99,86 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERI
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, block_docs: int = BLOCK_DOCS, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS, source: str = "source") -> DataFrame:
+def timetable(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int]]:
+    """(source, block) slot by slot until all blocks have one: earliest deadline first among released blocks, ties by name."""
+    done = dict.fromkeys(blocks, 0)
+    while active := sorted(s for s, n in blocks.items() if done[s] < n):
+        total = sum(weights[s] for s in active)
+        parts = {s: max(1, round(weights[s] / total * PARTS)) for s in active}
+        whole, first, t = sum(parts.values()), {s: done[s] for s in active}, 0
+        coming = [(0, -(-whole // parts[s]), s) for s in active]
+        heapq.heapify(coming)
+        ready: list[tuple[int, str]] = []
+        while True:
+            while coming and coming[0][0] <= t:
+                _, due, s = heapq.heappop(coming)
+                heapq.heappush(ready, (due, s))
+            _, s = heapq.heappop(ready)
+            yield s, done[s]
+            done[s], t = done[s] + 1, t + 1
+            if done[s] == blocks[s]:
+                break
+            i, a = done[s] - first[s], parts[s]
+            heapq.heappush(coming, (i * whole // a, -(-(i + 1) * whole // a), s))
+
+
+def _slots(spark: SparkSession, blocks: dict[str, int], weights: dict[str, float]) -> DataFrame:
+    """(_aw_s, _aw_block, _aw_slot) of the timetable, walked once in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                slots = enumerate(timetable(blocks, weights))
+                while part := list(itertools.islice(slots, BATCH)):
+                    yield pa.RecordBatch.from_arrays([pa.array([s for _, (s, _) in part], pa.string()), pa.array([i for _, (_, i) in part], pa.int64()), pa.array([t for t, _ in part], pa.int64())], ["_aw_s", "_aw_block", "_aw_slot"])
+
+    return stored(spark.range(0, 1, 1, 1).mapInArrow(run, "_aw_s string, _aw_block bigint, _aw_slot bigint"), "slots")
+
+
+def _periodic(rows: DataFrame, plan: list[Phase], period: int) -> DataFrame:
+    """``rows`` with mix_slot by mix_block, from the offsets of each phase's period."""
+    spark = rows.sparkSession
+    steps = [(s, k, p.first[s], p.end[s], len(p.offsets[s]), p.start) for k, p in enumerate(plan) for s in p.first]
+    slots = [(s, k, j, t) for k, p in enumerate(plan) for s in p.first for j, t in enumerate(p.offsets[s])]
+    by_source = spark.createDataFrame(steps, "_aw_s string, _aw_phase int, first bigint, end bigint, part bigint, start bigint").groupBy("_aw_s").agg(F.collect_list(F.struct("_aw_phase", "first", "end", "part", "start")).alias("_aw_steps"))
+    slots = spark.createDataFrame(slots, "_aw_s string, _aw_phase int, _aw_j bigint, _aw_offset bigint")
+    rows = rows.join(F.broadcast(by_source), "_aw_s").withColumn("_aw_step", F.filter("_aw_steps", lambda x: (F.col("mix_block") >= x.first) & (F.col("mix_block") < x.end))[0])
+    local: Column = F.col("mix_block") - F.col("_aw_step.first")
+    rows = rows.withColumns({"_aw_phase": F.col("_aw_step._aw_phase"), "_aw_j": F.pmod(local, F.col("_aw_step.part")), "_aw_base": F.col("_aw_step.start") + F.floor(local / F.col("_aw_step.part")) * period})
+    return rows.join(F.broadcast(slots), ["_aw_s", "_aw_phase", "_aw_j"]).withColumn("mix_slot", F.col("_aw_base") + F.col("_aw_offset"))
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, block_docs: int = BLOCK_DOCS, period: int | None = None, bucket_rows: int = BUCKET_ROWS, source: str = "source", max_sources: int | None = MAX_SOURCES) -> DataFrame:
     """All rows of ``docs`` with mix_block, mix_slot and mix_position (the order to read in, from 0; gaps only after short last blocks).
 
     ``weights`` gives the target by source (a source without one gets the least given); the default is each source's number of rows to the
     power ``temperature``. Within a source rows are shuffled by a hash. Nothing is dropped or repeated. Rows without a source form a source
     of their own (an empty name counts as the same); ties and repeated rows keep separate places; an empty table gives an empty result.
-    Columns of ``docs`` with the names of the results are replaced.
+    Columns of ``docs`` with the names of the results are replaced. More than ``max_sources`` sources are an error; None takes any number.
     """
     spark = docs.sparkSession
     name = F.coalesce(F.col(source), F.lit(""))
-    totals = {r[0]: r[1] for r in docs.groupBy(name.alias("s")).count().limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
+    counts = docs.groupBy(name.alias("s")).count()
+    totals = {r[0]: r[1] for r in (counts if max_sources is None else counts.limit(max_sources + 1)).collect()}
+    if max_sources is not None and len(totals) > max_sources:
+        raise ValueError(f"more than {max_sources} sources: group them first")
     target = {s: float(n) ** temperature for s, n in totals.items()} if weights is None else {s: weights.get(s, min(weights.values())) for s in totals}
-    plan = phases({s: -(-n // block_docs) for s, n in totals.items()}, target, period)
-    steps = [(s, k, p.first[s], p.end[s], len(p.offsets[s]), p.start) for k, p in enumerate(plan) for s in p.first]
-    slots = [(s, k, j, t) for k, p in enumerate(plan) for s in p.first for j, t in enumerate(p.offsets[s])]
-    by_source = spark.createDataFrame(steps, "_aw_s string, _aw_phase int, first bigint, end bigint, part bigint, start bigint").groupBy("_aw_s").agg(F.collect_list(F.struct("_aw_phase", "first", "end", "part", "start")).alias("_aw_steps"))
-    slots = spark.createDataFrame(slots, "_aw_s string, _aw_phase int, _aw_j bigint, _aw_offset bigint")
+    blocks = {s: -(-n // block_docs) for s, n in totals.items()}
     groups = spark.createDataFrame([(s, max(1, n // bucket_rows)) for s, n in totals.items()], "_aw_s string, _aw_k bigint")
 
     hashed = F.xxhash64(F.lit(SEED), *([c for c in ("doc_id", "text") if c in docs.columns] or [source]))
     rows = docs.withColumns({"_aw_s": name, "_aw_h": hashed}).join(F.broadcast(groups), "_aw_s").withColumn("_aw_bucket", F.pmod("_aw_h", "_aw_k")).drop("_aw_k")
     sizes = stored(rows.groupBy("_aw_s", "_aw_bucket").agg(F.count(F.lit(1)).alias("_aw_n")), "groups")
-    before = sizes.withColumn("_aw_before", F.sum("_aw_n").over(W.partitionBy("_aw_s").orderBy("_aw_bucket")) - F.col("_aw_n")).drop("_aw_n")
+    before = sizes.withColumn("_aw_before", F.sum("_aw_n").over(W.partitionBy("_aw_s").orderBy("_aw_bucket")) - F.col("_aw_n"))
+    if period is None:  # the slots of a group's blocks come with the group, so that rows move no further
+        spans = before.withColumn("_aw_block", F.explode(F.sequence(F.floor(F.col("_aw_before") / block_docs), F.floor((F.col("_aw_before") + F.col("_aw_n") - 1) / block_docs))))
+        listed = spans.join(_slots(spark, blocks, target), ["_aw_s", "_aw_block"]).groupBy("_aw_s", "_aw_bucket", "_aw_before").agg(F.array_sort(F.collect_list(F.struct("_aw_block", "_aw_slot"))).alias("_aw_slots"))
+        before = stored(listed.withColumn("_aw_slots", F.col("_aw_slots._aw_slot")), "places")
+    before = before.drop("_aw_n")
     rows = rows.withColumn("_aw_rank", F.row_number().over(W.partitionBy("_aw_s", "_aw_bucket").orderBy("_aw_h")) - 1).join(before, ["_aw_s", "_aw_bucket"])
     rows = rows.withColumn("_aw_at", F.col("_aw_before") + F.col("_aw_rank")).withColumn("mix_block", F.floor(F.col("_aw_at") / block_docs))
-    rows = rows.join(F.broadcast(by_source), "_aw_s").withColumn("_aw_step", F.filter("_aw_steps", lambda x: (F.col("mix_block") >= x.first) & (F.col("mix_block") < x.end))[0])
-    local: Column = F.col("mix_block") - F.col("_aw_step.first")
-    rows = rows.withColumns({"_aw_phase": F.col("_aw_step._aw_phase"), "_aw_j": F.pmod(local, F.col("_aw_step.part")), "_aw_base": F.col("_aw_step.start") + F.floor(local / F.col("_aw_step.part")) * period})
-    rows = rows.join(F.broadcast(slots), ["_aw_s", "_aw_phase", "_aw_j"]).withColumn("mix_slot", F.col("_aw_base") + F.col("_aw_offset"))
+    if period is None:
+        rows = rows.withColumn("mix_slot", F.get("_aw_slots", (F.col("mix_block") - F.floor(F.col("_aw_before") / block_docs)).cast("int")))
+    else:
+        rows = _periodic(rows, phases(blocks, target, period), period)
     return rows.select(*(c for c in docs.columns if c not in RESULTS), "mix_block", "mix_slot", (F.col("mix_slot") * block_docs + F.pmod("_aw_at", F.lit(block_docs))).alias("mix_position"))

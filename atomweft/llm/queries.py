@@ -49,7 +49,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), max_sources=None)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their place in the mixture of the sources."""
-    return mixing.mix(docs)
+    return mixing.mix(docs, max_sources=None)
 
 
 STAGES = [

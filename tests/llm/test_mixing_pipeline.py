@@ -47,6 +47,36 @@ def test_mix_keeps_all_rows_in_the_places_of_a_plain_simulation(spark, weights):
     assert len({r.mix_position for r in got}) == 1500 and all(r.mix_position // 4 == r.mix_slot for r in got)
 
 
+def lag(slots, weights):
+    """The largest deviation from the target weights, in blocks, of sources by slot."""
+    total, got, worst = sum(weights.values()), dict.fromkeys(weights, 0), 0.0
+    for t, s in enumerate(slots, 1):
+        got[s] += 1
+        worst = max(worst, *(abs(w / total * t - got[x]) for x, w in weights.items()))
+    return worst
+
+
+def test_lag_behind_target_weights_stays_under_one_block_over_many_periods(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "concat('s', id % 20) as source")
+    rows = mixing.mix(docs, block_docs=1).select("source", "mix_slot").collect()
+    assert sorted(r.mix_slot for r in rows) == list(range(20_000))
+    assert lag([r.source for r in sorted(rows, key=lambda r: r.mix_slot)], {f"s{k}": 1.0 for k in range(20)}) < 1
+    rng = random.Random(1)
+    for _ in range(3):
+        weights = {f"s{k}": rng.choice([1, 30, 900]) * rng.random() for k in range(12)} | {"rare": 0.3}
+        plan = mixing.timetable(dict.fromkeys(weights, 10**9), weights)
+        assert lag([next(plan)[0] for _ in range(20_000)], weights) < 1
+
+
+def test_mix_of_many_sources_in_phases(spark):
+    docs = spark.range(1500).selectExpr("id as doc_id", "concat('s', id % 400) as source")
+    rows = mixing.mix(docs, block_docs=2, bucket_rows=1, max_sources=None).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1500)) and len({r.mix_position for r in rows}) == 1500
+    blocks = {f"s{k}": 2 for k in range(400)}
+    want = {t: x for t, x in enumerate(mixing.timetable(blocks, {f"s{k}": (4.0 if k < 300 else 3.0) ** 0.5 for k in range(400)}))}
+    assert {r.mix_slot: (r.source, r.mix_block) for r in rows} == want and all(r.mix_position // 2 == r.mix_slot for r in rows)
+
+
 def test_mix_of_odd_rows(spark):
     docs = odd_docs(spark, "mix_slot phase j _h")
     out = mixing.mix(docs)
