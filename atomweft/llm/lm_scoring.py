@@ -1,15 +1,25 @@
-"""Language-model scores from a weighted backoff automaton.
-
-Words are counted over the whole training corpus by a shuffle. Frequent words, and one class for all others, are the symbols of an n-gram
-automaton: kept n-grams are states, each with a failure arc to its longest kept suffix that carries a backoff weight; one left-to-right
-traversal of a text carries the state and adds log-probabilities. A word of the class adds its own probability within the class, which
-comes from the shuffled counts, so the vocabulary is never gathered in one place. Symbols and kept n-grams have a relative frequency of
-``head`` and ``arc`` at least, so there are at most ``1/head`` and ``1/arc`` per order: that bounds what is broadcast at any corpus size.
+"""Language-model scores from a weighted backoff automaton over all n-grams of the training texts, up to three words.
+
+A state is a context that training texts have: a pair of words, a word, or nothing. It has an arc for each word that followed it, and a
+failure arc to the context without its first word for all others. Counts are smoothed by hierarchical Dirichlet priors, so an arc weighs
+log((c + k * p) / (C + k)) with the probability p of the word in the shorter context, the failure arc log(k / (C + k)), and every state's
+arcs and failure path sum to one. Nothing is pruned: states and arcs grow with the corpus, and no table of them is ever in one place.
+
+1. Texts are tokenised once, in chunks of about two million tokens, kept as packed numbers of words in the shared folder.
+2. Each chunk sends the distinct n-grams of its texts, dealt over ``parts`` by hash, with their counts in its training texts. An n-gram comes
+   from a chunk once at most, so that no n-gram weighs more than the number of chunks, and a part adds the counts up.
+3. The counts go back to the chunks: each gets just the states and arcs of the automaton that its texts can reach. One left-to-right
+   traversal of the texts carries the state (the longest context that training texts have), follows failure arcs where a word has no arc, and
+   adds log-probabilities. The two words before a token determine the state, so the steps of all texts of a chunk are taken at once.
+
+N-grams are told apart by 40 bits of a hash besides those of their part (words by 48): about one n-gram in a million shares its count with
+another; that two of a hundred million words do has a chance under one in a hundred.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,19 +27,24 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import cut, stored
+from atomweft.llm.common import stored
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-END = b""
-CHUNK_BYTES = 32 << 20
-CHUNK_DOCS = 60_000
-HEAD = 2e-4
-ARC = 5e-6
+#: The token that ends a text, and the mark before it, which is context only. No word is empty or holds a blank.
+END, START = b"", b" "
+#: A chunk ends at so many tokens, distinct words or documents.
+CHUNK_TOKENS, CHUNK_WORDS, CHUNK_DOCS = 1 << 21, 1 << 19, 60_000
+#: Bytes of text for each part.
+PART_BYTES = 16 << 20
+#: Weights of the shorter context, in counts, for contexts of one and of two words.
+KAPPA = (256.0, 4.0)
+_CODEC = "zstd"
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -38,271 +53,256 @@ def tokens(text: str | None) -> list[bytes]:
     return found
 
 
-def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per chunk of documents a row per distinct token, with the packed (document, times) pairs, and a row per document."""
-    names = ["chunk", "word", "postings", "train", "idx", "doc_id", "text_hash", "n_tokens"]
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    seq = TaskContext.get().partitionId() << 24
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        doc = np.repeat(np.arange(len(ids), dtype=np.int64), [len(u) for u in uids])
-        word, times = np.concatenate(uids), np.concatenate(tfs).astype(np.int64)
-        train = np.bincount(word, weights=times * np.array(trains, np.int64)[doc], minlength=len(number)).astype(np.int64)
-        full = (times - 1) // 65535  # pairs that a count over 16 bits needs besides the last
-        if full.any():
-            doc, word = np.repeat(doc, full + 1), np.repeat(word, full + 1)
-            last = np.cumsum(full + 1) - 1
-            spread = np.full(len(doc), 65535)
-            spread[last] = times - full * 65535
-            times = spread
-        order = np.argsort(word, kind="stable")
-        pairs = np.column_stack([doc[order], times[order]]).astype("<u2")
-        offsets = np.r_[0, np.cumsum(np.bincount(word, minlength=len(number)) * 4)].astype(np.int32)
-        postings = pa.Array.from_buffers(pa.binary(), len(number), [None, pa.py_buffer(offsets), pa.py_buffer(pairs.tobytes())])
-        n = len(number)
-        cols = [pa.array(np.full(n, seq)), pa.array(list(number), pa.binary()), postings, pa.array(train), *(pa.nulls(n, k) for k in kinds[4:])]
-        whole = pa.RecordBatch.from_arrays(cols, names)
-        for start in range(0, n, 50_000):
-            yield whole.slice(start, 50_000)
-        m = len(ids)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, seq)), *(pa.nulls(m, k) for k in kinds[1:4]), pa.array(np.arange(m, dtype=np.int32)), pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lengths, pa.int64())], names)
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Unsigned numbers as planes of bytes, lowest first, compressed."""
+    out = []
+    for a in arrays:
+        width = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+        planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+        body = pa.Codec(_CODEC, compression_level=1).compress(planes, asbytes=True)
+        out.append(struct.pack("<QQB", len(a), len(body), width) + body)
+    return b"".join(out)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    found, at = [], 0
+    while at < len(data):
+        n, size, width = struct.unpack_from("<QQB", data, at)
+        at += 17
+        planes = np.frombuffer(pa.Codec(_CODEC).decompress(data[at : at + size], n * width, asbytes=True), np.uint8).reshape(width, n)
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :width] = planes.T
+        found.append(wide.view("<u8").ravel())
+        at += size
+    return found
+
+
+
+def _chunks(most: int):
+    """A row per chunk: packed word numbers (frequent words have small ones), the words' hashes, and the documents in order."""
 
     def fresh():
-        return defaultdict(count().__next__), [], [], [], [], [], [], 0
-
-    number, ids, hashes, trains, lengths, uids, tfs, size = fresh()
-    for batch in batches:
-        for i, text in enumerate(batch.column("text")):
-            found = tokens(text.as_py())
-            u, t = np.unique(np.fromiter(map(number.__getitem__, found), np.int64, len(found)), return_counts=True)
-            ids.append(batch.column("doc_id")[i].as_py())
-            hashes.append(batch.column("text_hash")[i].as_py())
-            trains.append(batch.column("train")[i].as_py())
-            lengths.append(len(found))
-            uids.append(u)
-            tfs.append(t)
-            size += 8 * len(found)
-            if size >= CHUNK_BYTES or len(ids) >= CHUNK_DOCS:
-                yield from flush()
-                seq += 1
-                number, ids, hashes, trains, lengths, uids, tfs, size = fresh()
-    if ids:
-        yield from flush()
+        number = defaultdict(count().__next__)
+        return number, [number[START], number[END]], [], [], [], []
+
+    def packed(seq: int, number: dict[bytes, int], seqs: list[np.ndarray], ids: list, lengths: list[int], trains: list[bool]) -> pa.RecordBatch:
+        flat = np.concatenate(seqs)
+        times = np.bincount(flat, minlength=len(number))
+        times[:2] = flat.size + 1  # the marks are numbers 0 and 1
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        words = list(number)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(words[i]) for i in order), np.uint64, len(order))
+        data = _packed(rank[flat].astype(np.uint64), hashes)
+        return pa.RecordBatch.from_arrays([pa.array([seq]), pa.array([data], pa.binary()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([trains], pa.list_(pa.bool_()))], ["chunk", "data", "doc_id", "length", "train"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seq, size = TaskContext.get().partitionId() << 24, 0
+        number, _, seqs, ids, lengths, trains = fresh()
+        for batch in batches:
+            for i, text in enumerate(batch.column("text")):
+                found = tokens(text.as_py())
+                seqs.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+                ids.append(batch.column("doc_id")[i].as_py())
+                trains.append(batch.column("train")[i].as_py())
+                lengths.append(len(found))
+                size += len(found)
+                if size >= most or len(number) >= CHUNK_WORDS or len(ids) >= CHUNK_DOCS:
+                    yield packed(seq, number, seqs, ids, lengths, trains)
+                    seq, size = seq + 1, 0
+                    number, _, seqs, ids, lengths, trains = fresh()
+        if ids:
+            yield packed(seq, number, seqs, ids, lengths, trains)
 
-@dataclass(frozen=True)
-class Corpus:
-    """Figures of the training tokens: n and v of all, the same and singles and pairs of the words outside the head."""
+    return run
 
-    n: int
-    v: int
-    head_min: int
-    tail_n: int
-    tail_v: int
-    tail_ones: int
-    tail_twos: int
 
-    def tail_log(self, c: np.ndarray) -> np.ndarray:
-        """log10 probability within the class: absolute discounting, the discounted mass goes to the one unknown type."""
-        if not self.tail_n:
-            return np.zeros(len(c))
-        d = self.tail_ones / (self.tail_ones + 2 * self.tail_twos) if self.tail_ones and self.tail_twos else 0.5
-        unknown = math.log10(d * self.tail_v / self.tail_n)
-        return np.where(c > 0, np.log10(np.maximum(c - d, 1e-9)) - math.log10(self.tail_n), unknown)
+@dataclass
+class Grams:
+    """The n-grams of a chunk: for each order the distinct ones (part and low hash bits in one number, ascending), and which each step has."""
 
+    doc: np.ndarray
+    steps: np.ndarray
+    inner: np.ndarray
+    first: np.ndarray
+    keys: list[np.ndarray]
+    at: list[np.ndarray]
+
+
+def _bits(n: int, part_bits: int) -> int:
+    """Hash bits of an n-gram besides those of its part."""
+    return min(48 if n == 1 else 40, 64 - part_bits)
+
+
+def grams(data: bytes, lengths: np.ndarray, part_bits: int, orders: tuple[int, ...] = (1, 2, 3)) -> Grams:
+    """``steps`` are the word numbers in order; ``inner`` tells which have two words (marks included) before them in their text."""
+    steps, hashes = _unpacked(data)
+    steps = steps.astype(np.int64)
+    ends = np.cumsum(lengths)
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    first = np.zeros(len(steps), bool)
+    first[ends - lengths] = True
+    inner = ~first
+    h = hashes[steps]
+    before = np.r_[hashes[:1], h[:-1]]
+    before[first] = hashes[0]
+    keys, at = [], []
+    with np.errstate(over="ignore"):
+        two = _mixed(before * _FACTORS[0] + h)
+        three = _mixed(np.r_[two[:1], two[:-1]] * _FACTORS[1] + h)[inner]
+    for n in orders:
+        value = [hashes, two, three][n - 1] >> np.uint64(64 - part_bits - _bits(n, part_bits))
+        distinct, inverse = np.unique(value, return_inverse=True)
+        keys.append(distinct)
+        at.append(inverse)
+    return Grams(doc, steps, inner, first, keys, at)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(31))
+    h = h * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def _split(keys: np.ndarray, n: int, part_bits: int) -> list[tuple[int, slice]]:
+    """(part, its slice) of ascending keys."""
+    part = (keys >> np.uint64(_bits(n, part_bits))).astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+    return [(int(part[a]), slice(a, b)) for a, b in zip(starts, np.r_[starts[1:], len(part)])]
+
+
+SENT = "chunk bigint, n int, part int, data binary"
 
-@dataclass(frozen=True)
-class Automaton:
-    """States 0 (no context), then one for each kept context. arcs: state * k + symbol -> arc number."""
-
-    k: int
-    start: int
-    symbols: dict[bytes, int]
-    arcs: dict[int, int]
-    log: list[float]
-    to: list[int]
-    fail: list[int]
-    back: list[float]
-
-    def walk(self, found: list[bytes]) -> float:
-        """log10 probability of the symbols of ``found``, in one traversal from the start state."""
-        arcs, log, to, fail, back, k = self.arcs, self.log, self.to, self.fail, self.back, self.k
-        other, state, total = self.k - 2, self.start, 0.0
-        for symbol in map(self.symbols.get, found):
-            if symbol is None:
-                symbol = other
-            arc = arcs.get(state * k + symbol)
-            while arc is None:
-                total += back[state]
-                state = fail[state]
-                arc = arcs.get(state * k + symbol)
-            total += log[arc]
-            state = to[arc]
-        return total
-
-
-def build(head: list[tuple[bytes, int]], tail_n: int, twos: dict[int, int], threes: dict[int, int]) -> Automaton:
-    """Absolute discounting with Katz-style backoff weights, so that every state's arcs and failure path sum to one.
-
-    Symbols are the head words, then the class of the others (k - 2), then the start mark (k - 1), which is context only.
-    ``twos`` and ``threes`` are kept n-gram counts with codes in base k.
-    """
-    k, discount = len(head) + 2, 0.5
-    ones = [c for _, c in head] + [tail_n]
-    total = sum(ones) + 0.5 * len(ones)
-    p1 = [(c + 0.5) / total for c in ones]
-    context: dict[int, int] = defaultdict(int)  # count of each one-symbol context, pruned continuations included
-    for s, c in enumerate(ones):
-        context[s] = c
-    seen = {code // k for code in threes}
-    states = {(): 0} | {(s,): s + 1 for s in range(k)}
-    for code in sorted(twos):
-        if code in seen:
-            states[(code // k, code % k)] = len(states)
-    arcs: dict[int, int] = {}
-    log: list[float] = []
-    to: list[int] = []
-    fail, back = [0] * len(states), [0.0] * len(states)
-    for (*_, last), number in ((c, i) for c, i in states.items() if c):
-        fail[number] = 0
-    for c, i in states.items():
-        if len(c) == 2:
-            fail[i] = states[(c[1],)]
-
-    def arc(state: int, symbol: int, p: float, target: tuple[int, ...]) -> None:
-        arcs[state * k + symbol] = len(log)
-        log.append(math.log10(p))
-        to.append(states[target] if target in states else states[target[-1:]])
-
-    for s in range(k - 1):
-        arc(0, s, p1[s], (s,))
-    starts = sum(c for code, c in twos.items() if code // k == k - 1)
-    context[k - 1] = max(starts, next((c for w, c in head if w == END), 0), 1)
-    p2: dict[int, float] = {}
-    sums: dict[int, list[float]] = defaultdict(lambda: [0.0, 0.0])
-    for code, c in twos.items():
-        a, b = divmod(code, k)
-        p2[code] = (c - discount) / context[a]
-        sums[a][0] += p2[code]
-        sums[a][1] += p1[b]
-    for code, p in p2.items():
-        arc(1 + code // k, code % k, p, (code // k, code % k))
-    for a in range(k):
-        up, down = sums[a]
-        back[1 + a] = math.log10(max(1 - up, 1e-12) / max(1 - down, 1e-12))
-
-    def low(a: int, b: int) -> float:
-        return p2[a * k + b] if a * k + b in p2 else 10 ** back[1 + a] * p1[b]
-
-    sums3: dict[int, list[float]] = defaultdict(lambda: [0.0, 0.0])
-    for code, c in threes.items():
-        ctx, s = divmod(code, k)
-        if (state := states.get((ctx // k, ctx % k))) is None:
-            continue
-        p = (c - discount) / twos[ctx]
-        arc(state, s, p, (ctx % k, s))
-        sums3[state][0] += p
-        sums3[state][1] += low(ctx % k, s)
-    for state, (up, down) in sums3.items():
-        back[state] = math.log10(max(1 - up, 1e-12) / max(1 - down, 1e-12))
-    return Automaton(k, states[(k - 1,)], {w: i for i, (w, _) in enumerate(head)}, arcs, log, to, fail, back)
-
-
-def _count_ngrams(symbols, k: int):
-    """Counts 2- and 3-grams of symbols of training texts, summed over about a chunk before they leave the task."""
-    schema = pa.schema([("n", pa.int32()), ("code", pa.int64()), ("c", pa.int64())])
-
-    def rows(seqs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        s = np.concatenate(seqs)
-        first = s == k - 1  # the start mark opens a text: no n-gram runs over it
-        two = s[:-1] * k + s[1:]
-        two = two[~first[1:]]
-        three = (s[:-2] * k + s[1:-1]) * k + s[2:]
-        three = three[~(first[1:-1] | first[2:])]
-        for n, codes in ((2, two), (3, three)):
-            u, c = np.unique(codes, return_counts=True)
-            for at in range(0, len(u), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u[at : at + 100_000]), n, np.int32)), pa.array(u[at : at + 100_000]), pa.array(c[at : at + 100_000].astype(np.int64))], schema=schema)
+
+def _send(part_bits: int, orders: tuple[int, ...]):
+    """The distinct n-grams of each chunk by part, as steps between ascending hashes, with their counts in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held, size = symbols.value, [], 0
         for batch in batches:
-            for text in batch.column("text"):
-                found = tokens(text.as_py())
-                held.append(np.fromiter((table.get(w, k - 2) for w in found), np.int64, len(found)))
-                held.append(np.array([k - 1]))
-                size += len(found)
-            if size >= CHUNK_BYTES // 8:
-                yield from rows([np.array([k - 1]), *held])
-                held, size = [], 0
-        if held:
-            yield from rows([np.array([k - 1]), *held])
+            for row in batch.to_pylist():
+                found = grams(row["data"], np.array(row["length"], np.int64), part_bits, orders)
+                train = np.array(row["train"], bool)[found.doc]
+                out = []
+                for n, keys, at in zip(orders, found.keys, found.at):
+                    if n == 1:
+                        times = np.bincount(at[found.steps], weights=train, minlength=len(keys))
+                        times[at[0]] = np.array(row["train"], bool).sum()  # the mark before each text
+                    else:
+                        times = np.bincount(at, weights=train if n == 2 else train[found.inner], minlength=len(keys))
+                    times, low = times.astype(np.uint64), keys & np.uint64((1 << _bits(n, part_bits)) - 1)
+                    out += [(n, part, _packed(np.diff(low[s], prepend=np.uint64(0)), times[s])) for part, s in _split(keys, n, part_bits)]
+                for k in range(0, len(out), 1000):
+                    some = out[k : k + 1000]
+                    yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([x[0] for x in some], pa.int32()), pa.array([x[1] for x in some], pa.int32()), pa.array([x[2] for x in some], pa.binary())], ["chunk", "n", "part", "data"])
+
+    return run
+
+
+FIGURES = "total bigint, types bigint, ones bigint, twos bigint"
+
+
+def _add_up(part_bits: int):
+    """One part: the counts of all chunks added up and given back to each, in its order. For words also a row of figures, without the start mark."""
+    schema = pa.schema([("chunk", pa.int64()), ("n", pa.int32()), ("part", pa.int32()), ("data", pa.binary()), ("total", pa.int64()), ("types", pa.int64()), ("ones", pa.int64()), ("twos", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        n, part = table.column("n")[0].as_py(), table.column("part")[0].as_py()
+        lows, counts, sizes = [], [], []
+        for data in table.column("data"):
+            steps, times = _unpacked(data.as_py())
+            lows.append(np.cumsum(steps, dtype=np.uint64))
+            counts.append(times)
+            sizes.append(len(times))
+        distinct, at = np.unique(np.concatenate(lows), return_inverse=True)
+        sums = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
+        back = [_packed(x) for x in np.split(sums[at], np.cumsum(sizes)[:-1])]
+        m = len(back)
+        rows = pa.Table.from_arrays([table.column("chunk").combine_chunks(), pa.array(np.full(m, n, np.int32)), pa.array(np.full(m, part, np.int32)), pa.array(back, pa.binary()), *(pa.nulls(m, pa.int64()) for _ in range(4))], schema=schema)
+        if n > 1:
+            return rows
+        mark = np.uint64(xxhash.xxh3_64_intdigest(START)) >> np.uint64(64 - part_bits - _bits(1, part_bits))
+        if int(mark) >> _bits(1, part_bits) == part:
+            sums = np.delete(sums, np.flatnonzero(distinct == (mark & np.uint64((1 << _bits(1, part_bits)) - 1))))
+        figures = pa.Table.from_arrays([pa.nulls(1, pa.int64()), pa.array([1], pa.int32()), pa.array([part], pa.int32()), pa.nulls(1, pa.binary()), *(pa.array([int(x)], pa.int64()) for x in (sums.sum(), (sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()))], schema=schema)
+        return pa.concat_tables([rows, figures])
 
     return run
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """Figures of the training tokens: all, distinct words, and words seen once and twice."""
+
+    total: int
+    types: int
+    ones: int
+    twos: int
+
+    def word_log(self, c: np.ndarray) -> np.ndarray:
+        """log10 probability of a word in the state without context: absolute discounting, the discounted mass goes to the one unknown word."""
+        if not self.total:
+            return np.full(len(c), math.log10(0.5))
+        d = self.ones / (self.ones + 2 * self.twos) if self.ones and self.twos else 0.5
+        return np.where(c > 0, np.log10(np.maximum(c - d, 1e-9)) - math.log10(self.total), math.log10(d * self.types / self.total))
+
+
+def follow(c: np.ndarray, context: np.ndarray, kappa: float, lower: np.ndarray) -> np.ndarray:
+    """log10 weights of one step from a state seen ``context`` times: its arc where it has one (count ``c``), else the failure arc and the
+    step from the shorter context, ``lower``."""
+    fail = math.log10(kappa) - np.log10(context + kappa)
+    return np.where(c > 0, np.log10(c + kappa * 10.0**lower) - np.log10(context + kappa), fail + lower)
+
+
+def traverse(found: Grams, counts: list[np.ndarray], corpus: Corpus, kappa: tuple[float, float] = KAPPA) -> np.ndarray:
+    """log10 probability of each step of the texts; ``counts`` are those of the chunk's distinct n-grams, by order."""
+    word, pair = counts[0][found.at[0]], counts[1][found.at[1]]
+    c1 = word[found.steps]
+    before = np.r_[word[:1], c1[:-1]]
+    before[found.first] = word[0]
+    log = follow(pair, before, kappa[0], corpus.word_log(c1))
+    context = np.r_[0.0, pair[:-1]][found.inner]
+    log[found.inner] = follow(counts[2][found.at[2]], context, kappa[1], log[found.inner])
+    return log
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(folds)) == fold, F.lit(False))
 
 
-def score_documents(docs: DataFrame, folds: int = 7, fold: int = 2, head: float = HEAD, arc: float = ARC) -> DataFrame:
+def _score(part_bits: int, corpus: Corpus):
+    """One chunk with the counts of its n-grams: a row per document."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: (r["n"], r["part"]))
+        chunk = rows[0]
+        lengths = np.array(chunk["length"], np.int64)
+        found = grams(chunk["data"], lengths, part_bits)
+        counts = [np.concatenate([*(_unpacked(r["data"])[0] for r in rows if r["n"] == n), np.zeros(0, np.uint64)]).astype(np.float64) for n in (1, 2, 3)]
+        c = counts[0][found.at[0]][found.steps]
+        add = lambda x: np.bincount(found.doc, weights=x, minlength=len(lengths))
+        base = add(np.log10(c + 1)) - lengths * math.log10(corpus.total + corpus.types + 1)
+        cols = [pa.array(chunk["doc_id"], pa.int64()), pa.array(lengths), pa.array(add(c > 0).astype(np.int64)), pa.array(base), pa.array(add(traverse(found, counts, corpus)))]
+        return pa.Table.from_arrays(cols, ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    return run
+
+
+def score_documents(docs: DataFrame, folds: int = 7, fold: int = 2, chunk_tokens: int = CHUNK_TOKENS, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     Texts of the held-out fold of crc32(doc_id) teach nothing. A null text has the end token only; a null doc_id is a training row;
-    repeated rows each count and get equal scores; without any training token all words are unknown and scores are finite.
+    repeated rows each count and get equal scores; without any training token all words are unknown and scores are finite. A text is in one
+    chunk, however long.
     """
-    spark = docs.sparkSession
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), (~held_out(F.col("doc_id"), folds, fold)).alias("train"))
-    schema = "chunk bigint, word binary, postings binary, train bigint, idx int, doc_id bigint, text_hash bigint, n_tokens bigint"
-    rows = stored(texts.mapInArrow(_count_chunks, schema), "chunks")
-    one = W.partitionBy("word").orderBy("chunk")
-    words = rows.where("word IS NOT NULL").select("chunk", "word", "postings", F.sum("train").over(one.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("c"), (F.row_number().over(one) == 1).alias("lead"))
-    n = rows.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
-    head_min = max(2, math.ceil(head * n))
-    counted = stored(words.select("chunk", "postings", "c", "lead", F.when(F.col("lead") & (F.col("c") >= head_min), F.col("word")).alias("word")), "counted")
-    tail = F.col("c") < head_min
-    figures = counted.where("lead").agg(F.sum((F.col("c") > 0).cast("int")), F.sum(F.when(tail, F.col("c"))), F.sum((tail & (F.col("c") > 0)).cast("int")), F.sum((F.col("c") == 1).cast("int")), F.sum((tail & (F.col("c") == 2)).cast("int"))).first()
-    v, tail_n, tail_v, ones, twos_ = (x or 0 for x in figures)
-    corpus = Corpus(n, v, head_min, tail_n, tail_v, ones, twos_)
-    top = sorted((bytes(r.word), r.c) for r in counted.where("word IS NOT NULL").select("word", "c").collect())  # at most 1/head rows
-    k = len(top) + 2
-    symbols = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(top)})
-    arc_min = max(2, math.ceil(arc * n))
-    grams = texts.where("train").select("text").mapInArrow(_count_ngrams(symbols, k), "n int, code bigint, c bigint")
-    kept = grams.groupBy("n", "code").agg(F.sum("c").alias("c")).where(F.col("c") >= arc_min).collect()  # at most 1/arc rows per order
-    twos, threes = ({r.code: r.c for r in kept if r.n == order} for order in (2, 3))
-    automaton = spark.sparkContext.broadcast(build(top, tail_n, twos, {c: x for c, x in threes.items() if c // k in twos}))
-    base = math.log10(n + v + 1)
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton.value
-        for batch in batches:
-            found = [machine.walk(tokens(t.as_py())) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.float64())], ["doc_id", "text_hash", "walked"])
-
-    def sums(table: pa.Table) -> pa.Table:
-        """Per document of one chunk: known tokens, the base sum, and the sum within the class of rare words."""
-        c = table.column("c").to_numpy()
-        postings = table.column("postings").to_pylist()
-        sizes = np.array([len(p) // 4 for p in postings])
-        pairs = np.frombuffer(b"".join(postings), "<u2").reshape(-1, 2)
-        doc, times = pairs[:, 0].astype(np.int64), pairs[:, 1].astype(np.float64)
-        m = int(doc.max()) + 1
-        add = lambda value: np.bincount(doc, weights=times * np.repeat(value, sizes), minlength=m)
-        inside = np.where(c < corpus.head_min, corpus.tail_log(c), 0.0)
-        return pa.table({"chunk": pa.array(np.full(m, table.column("chunk")[0].as_py())), "idx": pa.array(np.arange(m, dtype=np.int32)), "n_known": pa.array(add((c > 0) * 1.0).round().astype(np.int64)), "base": pa.array(add(np.log10(c + 1.0))), "inside": pa.array(add(inside))})
-
-    per_doc = counted.select("chunk", "postings", "c").groupBy("chunk").applyInArrow(sums, "chunk bigint, idx int, n_known bigint, base double, inside double")
-    listed = rows.where("idx IS NOT NULL").select("chunk", "idx", "doc_id", "text_hash", "n_tokens")
-    walked = cut(texts.select("doc_id", "text_hash", "text").mapInArrow(walk, "doc_id bigint, text_hash bigint, walked double").dropDuplicates(["doc_id", "text_hash"])).alias("w")
-    found = listed.join(per_doc, ["chunk", "idx"]).alias("l")
-    joined = found.join(walked, F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.text_hash") == F.col("w.text_hash")))
-    return joined.select(
-        F.col("l.doc_id").alias("doc_id"),
-        held_out(F.col("l.doc_id"), folds, fold).alias("held_out"),
-        "n_tokens",
-        "n_known",
-        F.lit(n).cast("bigint").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * base).alias("base_score"),
-        (F.col("walked") + F.col("inside")).alias("score"),
-    )
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    part_bits = min(20, max(3, math.ceil(math.log2(max(size / part_bytes, 1)))))
+    texts = docs.select("doc_id", "text", (~held_out(F.col("doc_id"), folds, fold)).alias("train"))
+    chunks = stored(texts.mapInArrow(_chunks(chunk_tokens), "chunk bigint, data binary, doc_id array<bigint>, length array<int>, train array<boolean>"), "chunks")
+    sent = lambda *orders: chunks.select("chunk", "data", "length", "train").mapInArrow(_send(part_bits, orders), SENT).groupBy("n", "part").applyInArrow(_add_up(part_bits), f"{SENT}, {FIGURES}")
+    words = stored(sent(1), "words")
+    corpus = Corpus(*(x or 0 for x in words.agg(*(F.sum(x.split()[0]) for x in FIGURES.split(", "))).first()))
+    back = words.where("chunk IS NOT NULL").unionByName(sent(2, 3)).select("chunk", "n", "part", "data")
+    rows = chunks.select("chunk", F.lit(0).alias("n"), F.lit(0).alias("part"), "data", "doc_id", "length").unionByName(back, allowMissingColumns=True)
+    scored = rows.groupBy("chunk").applyInArrow(_score(part_bits, corpus), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scored.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "n_tokens", "n_known", F.lit(corpus.total).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from atomweft.llm import language_id, lm_scoring, toxicity
@@ -56,40 +57,69 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score_documents(empty_docs(spark), labels.limit(0)).count() == 0
 
 
-def test_automaton_sums_to_one_in_every_state():
-    head = [(lm_scoring.END, 30), (b"a", 200), (b"b", 100)]
-    k = 5
-    other, start = 3, 4
-    twos = {1 * k + 2: 60, 1 * k + 1: 40, start * k + 1: 20, 2 * k + other: 30, other * k + 1: 10}
-    threes = {(1 * k + 2) * k + 1: 25, (start * k + 1) * k + 2: 12, (2 * k + other) * k + 1: 7}
-    m = lm_scoring.build(head, 50, twos, threes)
+class PlainModel:
+    """The same automaton in plain Python: counts of whole n-grams, one step at a time."""
 
-    def step(state, symbol):
-        total, arc = 0.0, m.arcs.get(state * k + symbol)
-        while arc is None:
-            total, state = total + m.back[state], m.fail[state]
-            arc = m.arcs.get(state * k + symbol)
-        return total + m.log[arc], m.to[arc]
+    def __init__(self, texts):
+        self.counts = Counter()
+        for t in texts:
+            seq = [lm_scoring.START, *lm_scoring.tokens(t)]
+            self.counts.update((n, *seq[i - n + 1 : i + 1]) for n in (1, 2, 3) for i in range(1, len(seq)) if i - n + 1 >= 0)
+            self.counts[1, lm_scoring.START] += 1
+        words = {g[1]: c for g, c in self.counts.items() if g[0] == 1 and g[1] != lm_scoring.START}
+        ones, twos = (sum(c == k for c in words.values()) for k in (1, 2))
+        self.total, self.words, self.d = sum(words.values()), words, ones / (ones + 2 * twos) if ones and twos else 0.5
 
-    for state in range(len(m.fail)):
-        assert math.isclose(sum(10 ** step(state, s)[0] for s in range(k - 1)), 1, rel_tol=1e-9)
-    state, total = m.start, 0.0
-    for s in (1, 2, 1, 3, 0):
-        p, state = step(state, s)
-        total += p
-    assert math.isclose(m.walk([b"a", b"b", b"a", b"zz", lm_scoring.END]), total)
+    def p(self, context, word):
+        if not context:
+            if not self.total:
+                return 0.5
+            return (self.words[word] - self.d) / self.total if word in self.words else self.d * len(self.words) / self.total
+        k, seen = lm_scoring.KAPPA[len(context) - 1], self.counts[len(context), *context]
+        return (self.counts[len(context) + 1, *context, word] + k * self.p(context[1:], word)) / (seen + k)
+
+    def score(self, text):
+        seq = [lm_scoring.START, *lm_scoring.tokens(text)]
+        return sum(math.log10(self.p(tuple(seq[max(0, i - 2) : i]), seq[i])) for i in range(1, len(seq)))
+
+
+def lm_docs(spark, name):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    some = [(i, prose(i, 20 + i % 9) + " Same Words here" * (i % 3), "en", "a", 1) for i in range(60)]
+    return {"odd": lambda: odd_docs(spark, "word chunk train"), "prose": lambda: spark.createDataFrame(some, schema), "none": lambda: empty_docs(spark), "all held out": lambda: spark.createDataFrame([(8, "a b a b", "en", "a", 1)], schema)}[name]()
+
+
+def test_every_state_sums_to_one():
+    model = PlainModel(["a b a c", "b a c", "a b a b", "c"])
+    for context in [(), (b"a",), (b"b",), (lm_scoring.START,), (b"a", b"b"), (lm_scoring.START, b"a"), (b"b", b"a")]:
+        assert math.isclose(sum(model.p(context, w) for w in [b"a", b"b", b"c", lm_scoring.END, b"unknown"]), 1)
+
+
+@pytest.mark.parametrize("docs", ["odd", "prose", "all held out"])
+@pytest.mark.parametrize("chunk, part_bytes", [(1 << 21, 1 << 24), (50, 100)])
+def test_scores_are_those_of_a_plain_model(spark, docs, chunk, part_bytes):
+    df = lm_docs(spark, docs)
+    rows = df.collect()
+    model = PlainModel([r.text for r in rows if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 7 != 2])
+    got = lm_scoring.score_documents(df, chunk_tokens=chunk, part_bytes=part_bytes).collect()
+    assert key([(r.doc_id, round(r.score, 6)) for r in got]) == key([(r.doc_id, round(model.score(r.text), 6)) for r in rows])
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(0)
+    some = [rng.integers(0, 2**k, 100).astype(np.uint64) for k in (1, 8, 33, 63)] + [np.zeros(0, np.uint64), np.array([2**64 - 1], np.uint64)]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(some, lm_scoring._unpacked(lm_scoring._packed(*some)), strict=True))
 
 
 @pytest.mark.parametrize("docs", ["odd", "prose", "none"])
-def test_lm_figures_by_brute_force(spark, docs, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "CHUNK_DOCS", 7)
-    df = {"odd": lambda: odd_docs(spark, "word chunk train"), "prose": lambda: spark.createDataFrame([(i, prose(i, 20 + i % 9) + " Same Words here" * (i % 3), "en", "a", 1) for i in range(60)], "doc_id bigint, text string, lang string, source string, n_chars bigint"), "none": lambda: empty_docs(spark)}[docs]()
+def test_lm_figures_by_brute_force(spark, docs):
+    df = lm_docs(spark, docs)
     rows = df.collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     tok = [lm_scoring.tokens(r.text) for r in rows]
     c = Counter(w for r, t in zip(rows, tok) if not held(r.doc_id) for w in t)
     n, v = sum(c.values()), len(c)
-    got = lm_scoring.score_documents(df).collect()
+    got = lm_scoring.score_documents(df, chunk_tokens=99).collect()
     want = [(r.doc_id, held(r.doc_id), len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 6)) for r, t in zip(rows, tok)]
     assert key([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got]) == key(want)
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
