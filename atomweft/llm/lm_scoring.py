@@ -5,7 +5,7 @@ failure arc to the context without its first word for all others. Counts are smo
 log((c + k * p) / (C + k)) with the probability p of the word in the shorter context, the failure arc log(k / (C + k)), and every state's
 arcs and failure path sum to one. Nothing is pruned: states and arcs grow with the corpus, and no table of them is ever in one place.
 
-1. Texts are tokenised once, in chunks of about two million tokens, kept as packed numbers of words in the shared folder.
+1. Texts are tokenised once, in chunks of about a million tokens, kept as packed numbers of words in the shared folder.
 2. Each chunk sends the distinct n-grams of its texts, dealt over ``parts`` by hash, with their counts in its training texts. An n-gram comes
    from a chunk once at most, so that no n-gram weighs more than the number of chunks, and a part adds the counts up.
 3. The counts go back to the chunks: each gets just the states and arcs of the automaton that its texts can reach. One left-to-right
@@ -38,7 +38,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: The token that ends a text, and the mark before it, which is context only. No word is empty or holds a blank.
 END, START = b"", b" "
 #: A chunk ends at so many tokens, distinct words or documents.
-CHUNK_TOKENS, CHUNK_WORDS, CHUNK_DOCS = 1 << 21, 1 << 19, 60_000
+CHUNK_TOKENS, CHUNK_WORDS, CHUNK_DOCS = 1_400_000, 1 << 18, 60_000
 #: Bytes of text for each part.
 PART_BYTES = 16 << 20
 #: Weights of the shorter context, in counts, for contexts of one and of two words.
@@ -138,9 +138,9 @@ def _bits(n: int, part_bits: int) -> int:
 def grams(data: bytes, lengths: np.ndarray, part_bits: int, orders: tuple[int, ...] = (1, 2, 3)) -> Grams:
     """``steps`` are the word numbers in order; ``inner`` tells which have two words (marks included) before them in their text."""
     steps, hashes = _unpacked(data)
-    steps = steps.astype(np.int64)
+    steps = steps.astype(np.int32)
     ends = np.cumsum(lengths)
-    doc = np.repeat(np.arange(len(lengths)), lengths)
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     first = np.zeros(len(steps), bool)
     first[ends - lengths] = True
     inner = ~first
@@ -150,12 +150,14 @@ def grams(data: bytes, lengths: np.ndarray, part_bits: int, orders: tuple[int, .
     keys, at = [], []
     with np.errstate(over="ignore"):
         two = _mixed(before * _FACTORS[0] + h)
-        three = _mixed(np.r_[two[:1], two[:-1]] * _FACTORS[1] + h)[inner]
+        del before
+        three = _mixed(np.r_[two[:1], two[:-1]] * _FACTORS[1] + h)[inner] if 3 in orders else None
+        del h
     for n in orders:
         value = [hashes, two, three][n - 1] >> np.uint64(64 - part_bits - _bits(n, part_bits))
         distinct, inverse = np.unique(value, return_inverse=True)
         keys.append(distinct)
-        at.append(inverse)
+        at.append(inverse.astype(np.int32))
     return Grams(doc, steps, inner, first, keys, at)
 
 
