@@ -20,9 +20,10 @@ m AS (
 r AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS r1, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS r2,
-         CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS r3, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS r4
+         CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS r3, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS r4,
+         CASE WHEN n_lines > 0 THEN n_words / n_lines ELSE 0 END AS r6
   FROM m),
-long AS (SELECT doc_id, lang, source, unnest([1, 2, 3, 4]) AS k, unnest([r1, r2, r3, r4]) AS x FROM r WHERE NOT base_failed),
+long AS (SELECT doc_id, lang, source, unnest([1, 2, 3, 4, 5, 6]) AS k, unnest([r1, r2, r3, r4, n_words, r6]) AS x FROM r WHERE NOT base_failed),
 g AS (SELECT lang, source, k, list_sort(list(x)) AS s FROM long GROUP BY ALL),
 gl AS (SELECT lang, k, list_sort(list(x)) AS s FROM long GROUP BY ALL),
 ga AS (SELECT k, list_sort(list(x)) AS s FROM long GROUP BY ALL),
@@ -32,11 +33,17 @@ pick AS (
   FROM (SELECT DISTINCT lang, source FROM r) p CROSS JOIN ga
   LEFT JOIN gl ON gl.lang IS NOT DISTINCT FROM p.lang AND gl.k = ga.k
   LEFT JOIN g ON g.lang IS NOT DISTINCT FROM p.lang AND g.source IS NOT DISTINCT FROM p.source AND g.k = ga.k),
-q AS (SELECT *, s[CAST(greatest(1, ceil(0.25 * len(s))) AS BIGINT)] AS low, s[CAST(greatest(1, ceil(0.75 * len(s))) AS BIGINT)] AS high FROM pick),
-f AS (SELECT lang, source, k, high + 3.0 * greatest(high - low, CASE k WHEN 1 THEN 0.05 WHEN 2 THEN 0.2 WHEN 3 THEN 0.16 ELSE 1.0 END) AS top FROM q),
+q AS (
+  SELECT lang, source, k, s[CAST(ceil(0.25 * len(s)) AS BIGINT)] AS low, s[CAST(ceil(0.5 * len(s)) AS BIGINT)] AS mid, s[CAST(ceil(0.75 * len(s)) AS BIGINT)] AS high FROM pick),
+f AS (SELECT lang, source, k, low, high FROM q WHERE k <= 4),
+n AS (SELECT lang, source, max(CASE WHEN k = 5 THEN mid END) AS words, max(CASE WHEN k = 6 THEN mid END) AS line FROM q GROUP BY ALL),
 bad AS (
-  SELECT DISTINCT l.doc_id FROM long l JOIN f ON f.lang IS NOT DISTINCT FROM l.lang AND f.source IS NOT DISTINCT FROM l.source AND f.k = l.k
-  WHERE l.x > f.top)
+  SELECT DISTINCT r.doc_id FROM r
+  JOIN f ON f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source
+  JOIN n ON n.lang IS NOT DISTINCT FROM r.lang AND n.source IS NOT DISTINCT FROM r.source,
+  LATERAL (SELECT CASE k WHEN 1 THEN r1 WHEN 2 THEN r2 WHEN 3 THEN r3 ELSE r4 END AS x,
+                  3.0 * greatest((high - low) * sqrt(greatest(1.0, words / n_words)), CASE k WHEN 1 THEN 1.0 / n_words WHEN 2 THEN 1.0 / n_lines WHEN 3 THEN 2.0 * line / n_words ELSE 0 END) AS reach) v
+  WHERE NOT base_failed AND (x > high + reach OR k = 4 AND x < low - reach))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept
 FROM r

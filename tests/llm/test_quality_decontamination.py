@@ -2,6 +2,9 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from atomweft.llm import decontamination, quality
 
 from .cases import empty_docs, key, odd_docs, prose
@@ -41,6 +44,37 @@ def test_limits_are_learnt_by_group(spark):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == kept
 
 
+def measured_rows(spark, rows):
+    """Rows of (lang, source, n_words, n_symbols, word_chars) as measured ones of ten-word lines without repeats."""
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, source string, n_words bigint, n_symbols bigint, word_chars bigint")
+    ratios = {"symbol_ratio": F.col("n_symbols") / F.col("n_words"), "dup_line_ratio": F.lit(0.0), "repeat_ratio": F.lit(0.0), "word_length": F.col("word_chars") / F.col("n_words"), "line_words": F.lit(10.0)}
+    return df.withColumns({"n_lines": F.ceil(F.col("n_words") / 10), "base_failed": F.lit(False), **ratios})
+
+
+def test_limits_of_large_groups_are_within_the_error_of_the_sketch(spark):
+    rng = np.random.default_rng(1)
+    rows = [("en", "ab"[i % 2], int(n), int(n * r), int(n * (5 + i % 2) + w * n**0.5)) for i, (n, r, w) in enumerate(zip(rng.integers(50, 900, 60_000), rng.random(60_000), rng.normal(0, 2, 60_000)))]  # means of words scatter by the root of their number
+    measured = measured_rows(spark, rows).cache()
+    limits = {r._source: r for r in quality.thresholds(measured).collect()}
+    for source in "ab":
+        own = measured.where(F.col("source") == source)
+        for ratio, side, q in [(r, side, q) for r in ("symbol_ratio", "word_length") for side, q in (("low", 0.25), ("high", 0.75))] + [("n_words", "mid", 0.5)]:
+            value = limits[source][f"{side}_{ratio}"]
+            below, upto = own.agg(F.avg((F.col(ratio) < value).cast("int")), F.avg((F.col(ratio) <= value).cast("int"))).first()
+            assert below - 0.006 <= q <= upto + 0.006
+    kept = quality.judge(measured, quality.thresholds(measured))
+    assert kept.where("NOT kept").count() < 60
+
+
+def test_the_groups_spread_decides_on_both_sides_and_one_event_where_there_is_none(spark):
+    rows = [("en", "wide", 100, i % 21, 480 + i % 41) for i in range(300)] + [("en", "plain", 100, 0, 500) for _ in range(300)]
+    odd = [("en", "wide", 100, 40, 500), ("en", "wide", 100, 50, 500), ("en", "plain", 100, 3, 500), ("en", "plain", 100, 4, 500), ("en", "wide", 100, 5, 430), ("en", "wide", 100, 5, 420), ("en", "wide", 100, 5, 580), ("en", "wide", 25, 5, 105)]
+    measured = measured_rows(spark, rows + odd)
+    got = {r.doc_id - 600: r.beyond for r in quality.judge(measured, quality.thresholds(measured)).collect()}
+    assert all(not x for i, x in got.items() if i < 0)
+    assert [got[i] for i in range(8)] == [[], ["symbol_ratio"], [], ["symbol_ratio"], [], ["word_length"], ["word_length"], []]
+
+
 def test_keep_good_of_odd_rows(spark):
     docs = odd_docs(spark, "_id _hash kept")
     out = quality.keep_good(docs)
