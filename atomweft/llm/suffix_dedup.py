@@ -2,6 +2,8 @@
 
 1. Anchors. In every window of ``length`` bytes the k-byte string with the least hash is the window's anchor, so equal windows have equal
    anchors at equal offsets. Anchors that occur once in the corpus rule out all their windows; the others name candidate segments.
+   Windows of a text with a short period equal their own neighbours: they are repeated as they stand, and only those of the first period stay
+   to be compared with other places.
 2. Construction. Segments with the same anchor are one collection, aligned at the anchor. One symbol of each segment is inserted per round,
    from the last column to the first: a stable sort by the new symbol updates the order of the suffixes (the column of the collection's
    Burrows-Wheeler transform), and range minima update their common prefixes. A window is repeated if, in the round of its first symbol, the
@@ -29,6 +31,10 @@ MAX_GROUP = 20_000
 #: Segments whose columns are built together.
 BATCH = 4096
 BLOCK = 1 << 23
+#: Periods up to this are taken out before segments are cut: of such texts every few bytes would be an anchor with a segment of its own.
+PERIODS = 64
+#: Bytes of segments in one batch of rows.
+BATCH_BYTES = 16 << 20
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -62,6 +68,31 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 4
 
 
+def without_periods(data: np.ndarray, length: int, found: tuple[np.ndarray, ...]) -> tuple[tuple[np.ndarray, ...], list[tuple[int, int]]]:
+    """(``found`` of ``anchors`` without the windows that equal the one a period before, spans of periodic text)."""
+    at, h, low, high = found
+    step = np.diff(at)
+    spans: list[tuple[int, int]] = []
+    for p in np.unique(step[(h[1:] == h[:-1]) & (step > 0) & (step <= PERIODS)]).tolist():
+        ends = np.flatnonzero(np.r_[True, data[p:] != data[:-p], True])  # data[i] equals data[i + p] between two of these
+        long = np.flatnonzero(np.diff(ends) > length)
+        for start, end in zip(ends[long].tolist(), (ends[long + 1] - 1).tolist()):
+            spans.append((start, end + p))
+            first, last = start + p, end + p - length  # these windows equal the one a period before
+            a, b = np.searchsorted(high, first), np.searchsorted(low, last, side="right")
+            if a >= b:
+                continue
+            head, tail = int(low[a] < first), int(high[b - 1] > last)
+            keep = np.r_[np.arange(a), [a] * head, [b - 1] * tail, np.arange(b, len(low))].astype(np.int64)
+            new_low, new_high = low[keep].copy(), high[keep].copy()
+            if head:
+                new_high[a] = first - 1
+            if tail:
+                new_low[a + head] = last + 1
+            at, h, low, high = at[keep], h[keep], new_low, new_high
+    return (at, h, low, high), spans
+
+
 def repeated_windows(segments: list[bytes], rel: np.ndarray, count: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """(segments, offsets) flags: the window at that offset of the segment occurs at another place of the same group.
 
@@ -109,7 +140,11 @@ def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, text in enumerate(batch.column("text")):
-                at, h, low, high = anchors(np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8), length)
+                data = np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
+                (at, h, low, high), spans = without_periods(data, length, anchors(data, length))
+                if spans:  # rows without an anchor are spans
+                    m, start, end = len(spans), *zip(*spans)
+                    yield pa.RecordBatch.from_arrays([pa.array([batch.column("doc_id")[i].as_py()] * m, pa.int64()), pa.array([batch.column("text_hash")[i].as_py()] * m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.array(start, pa.int32()), pa.array(end, pa.int32())], schema=schema)
                 if len(at):
                     n = len(at)
                     id_, th = batch.column("doc_id")[i].as_py(), batch.column("text_hash")[i].as_py()
@@ -136,10 +171,12 @@ def _segment_rows(length: int):
         for batch in batches:
             for row in batch.to_pylist():
                 data = row["text"].encode("utf-8", "surrogatepass")
-                found = row["found"]
-                lows = [x["low"] for x in found]
-                cols = [[x["anchor"] for x in found], [x["n"] for x in found], [row["doc_id"]] * len(found), [row["text_hash"]] * len(found), lows, [x["at"] - x["low"] for x in found], [x["high"] - x["low"] + 1 for x in found], [data[x["low"] : x["high"] + length] for x in found]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()])], names)
+                step = max(1, BATCH_BYTES // (2 * length))
+                for k in range(0, len(row["found"]), step):
+                    found = row["found"][k : k + step]
+                    lows = [x["low"] for x in found]
+                    cols = [[x["anchor"] for x in found], [x["n"] for x in found], [row["doc_id"]] * len(found), [row["text_hash"]] * len(found), lows, [x["at"] - x["low"] for x in found], [x["high"] - x["low"] + 1 for x in found], [data[x["low"] : x["high"] + length] for x in found]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()])], names)
 
     return run
 
@@ -239,13 +276,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     joined = keyed.join(sized(copies, n_copies), "sha", "left")
     single = joined.where("n IS NULL OR doc_id <=> first").select("doc_id", "text_hash", "text")
     rows = stored(single.mapInArrow(_anchor_rows(length), "doc_id bigint, text_hash bigint, anchor bigint, at int, low int, high int"), "anchors")
-    often = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    often = stored(rows.where("anchor IS NOT NULL").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
     found = rows.join(sized(often), "anchor").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "n", "at", "low", "high")).alias("found"))
     found = stored(found, "found").select(F.col("doc_id").alias("_aw_id"), F.col("text_hash").alias("_aw_hash"), "found")
     there = _with_items(single, found).select("doc_id", "text_hash", "text", "found")
     segments = there.mapInArrow(_segment_rows(length), "anchor bigint, n bigint, doc_id bigint, text_hash bigint, low int, rel int, starts int, segment binary")
     small = segments.where(F.col("n") <= max_group).repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
     spans = small.mapInArrow(_mark(length), "doc_id bigint, text_hash bigint, start int, end int")
+    spans = spans.unionByName(rows.where("anchor IS NULL").select("doc_id", "text_hash", F.col("low").alias("start"), F.col("high").alias("end")))
     if often.where(F.col("n") > max_group).limit(1).count():
         windows = segments.where(F.col("n") > max_group).mapInArrow(_window_rows(length), "digest binary, doc_id bigint, text_hash bigint, start int")
         twice = stored(windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "twice")

@@ -38,6 +38,32 @@ def test_removed_bytes_by_brute_force(spark, length, max_group):
     assert key([tuple(r) for r in got]) == key([(r.doc_id, *w) for r, w in zip(rows, want)])
 
 
+PERIODIC = ["a" * 399, "a" * 400, "a" * 401 + "b", "xy" + "a" * 900 + "z", "ab" * 250, "b" + "ab" * 200, "abc" * 133 + "abX", "abc" * 200 + "q" + "a" * 420 + "abc" * 150, "abcdefgh" * 60, "tail " + "abcdefgh" * 50 + "!", "0123456789" * 41]
+
+
+@pytest.mark.parametrize("some", [PERIODIC, PERIODIC[3:4], PERIODIC[4:6], PERIODIC[7:8], PERIODIC[8:10]])
+def test_periodic_texts_by_brute_force(spark, some):
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string")
+    got = S.remove_repeats(docs, 400, with_text=False).collect()
+    assert key([tuple(r) for r in got]) == key([(i, *w) for i, w in enumerate(brute(some, 400))])
+
+
+def test_periodic_texts_of_megabytes_leave_few_segments(spark):
+    texts = ["a" * 10_000_000, "head " + "ab" * 1_000_000, "-" * 400 + "=" * 399]
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        assert len(S.without_periods(data, 400, S.anchors(data, 400))[0][0]) < 300
+    got = S.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 400, with_text=False).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_spans) for r in got) == [(0, 10_000_000, 1), (1, 2_000_000, 1), (2, 0, 0)]
+
+
+def test_very_long_texts_share_a_passage(spark):
+    a, b, shared = prose(3, 400_000, 7), prose(11, 300_000, 11), prose(50, 200, 3).replace("w", "q")
+    a, b = " ".join(f"{w}-{i}" for i, w in enumerate(a.split())), " ".join(f"{w}+{i}" for i, w in enumerate(b.split()))
+    docs = spark.createDataFrame([(1, a + shared + "1"), (2, "0" + shared + b)], "doc_id bigint, text string")
+    assert {(r.n_removed, r.n_spans) for r in S.remove_repeats(docs, 400, with_text=False).collect()} == {(len(shared), 1)}
+
+
 def test_texts_are_cut(spark):
     docs = odd_docs(spark, "n_bytes kept_sha256 _aw_x")
     out = S.remove_repeats(docs, 100)
