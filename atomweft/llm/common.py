@@ -26,10 +26,13 @@ def words(col: Column, gap: str = ASCII_SPACE) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only where the session names none."""
+    """The shared folder that the session names; a temporary one only in local mode, where driver and tasks share the machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and (context.master.startswith("local-cluster") or not context.master.startswith("local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 
@@ -63,10 +66,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long); component is the smallest node it can reach.
 
-    Alternates the large-star and small-star steps until the edges stop changing. Every step is a grouped minimum, which combines before
+    Alternates the large-star and small-star steps until the edges stop changing, however many rounds that takes (about the logarithm of their number). Every step is a grouped minimum, which combines before
     the shuffle, and a join back; a hub with very many neighbours is split by the adaptive skew join. Self links and repeats are allowed.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -75,9 +78,7 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     before = state(edges)
-    for _ in range(rounds):
-        if not before[0]:
-            break
+    while before[0]:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = sized(stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()

@@ -9,27 +9,48 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atomweft.llm.common import cut, sized
+from atomweft.llm.common import cut, sized, stored
 from atomweft.llm.url_rules import host_of
 
 BUCKETS = 1 << 16
 #: Bound on the labelled texts that the trigram model is fitted on: those with the least hashes, by a threshold on the hash.
 FIT_ROWS = 20_000
-MAX_LANGUAGES = 64
 #: Neighbouring trigrams are not independent: a text counts as so many independent ones at most.
 EVIDENCE = 60.0
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 5.0, 50.0, 1.0
 
-_HIDDEN = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]{1,8};", re.S | re.I)
+_HIDES = re.compile(r"<(script|style)\b|<!--", re.I)
+_ENDS = {"script": re.compile(r"</script\s*>", re.I), "style": re.compile(r"</style\s*>", re.I), None: re.compile("-->")}
 _SKIP = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 65 or 91 <= b <= 96 or 123 <= b <= 127 else b for b in range(256))
 
 
+def visible(html: str) -> str:
+    """The text of a page: scripts, styles, comments and tags are blanks, character references are characters.
+
+    One pass from left to right; what is never closed is looked for once, so a page takes time in proportion to its length.
+    """
+    out, at, gone = [], 0, set()
+    while (start := html.find("<", at)) >= 0:
+        out.append(html[at:start])
+        end = None
+        if (m := _HIDES.match(html, start)) and (kind := m[1] and m[1].lower()) not in gone:
+            end = _ENDS[kind].search(html, m.end())
+            if end is None:
+                gone.add(kind)
+        if end is None and (close := html.find(">", start)) < 0:
+            at = start
+            break
+        at = end.end() if end else close + 1
+    return unescape(" ".join([*out, html[at:]]))
+
+
 def trigrams(text: bytes) -> np.ndarray:
     """Bucket numbers of the byte trigrams of the words of a text, A-Z in lower case, gaps between words as one space."""
     data = np.frombuffer(b" " + b" ".join(text.translate(_SKIP).split()) + b" ", np.uint8).astype(np.uint32)
@@ -40,11 +61,13 @@ def trigrams(text: bytes) -> np.ndarray:
 
 
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probabilities by bucket and language) from rows with lang and text; rows without either are left out."""
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    n = labelled.count()
-    if n > rows:  # hashes are uniform over 2**64: the threshold keeps about ``rows``
-        labelled = labelled.where(F.xxhash64("text") < F.lit(int((rows / n - 0.5) * 2**64)))
+    """(languages, log-probabilities by bucket and language) from rows with lang and text; rows without either are left out, repeated texts count
+    once. Every language of the fitted texts has a column of 65 536 numbers."""
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
+    n = labelled.select("h").distinct().count()
+    if n > rows:  # hashes are uniform over 2**64: the threshold keeps about ``rows`` distinct texts
+        labelled = labelled.where(F.col("h") < F.lit(int((rows / n - 0.5) * 2**64)))
+    labelled = labelled.groupBy("lang", "h").agg(F.any_value("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -57,10 +80,11 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(c[at])], ["lang", "bucket", "c"])
 
     found = cut(labelled.mapInArrow(count, "lang string, bucket int, c bigint").groupBy("lang", "bucket").agg(F.sum("c").alias("c")))
-    langs = sorted(r.lang for r in found.groupBy("lang").agg(F.sum("c").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
+    langs = sorted(r.lang for r in found.groupBy("lang").agg(F.sum("c").alias("n")).collect())
     table = np.full((BUCKETS, max(len(langs), 1)), 0.5)
-    for r in found.where(F.col("lang").isin(langs)).toArrow().to_pylist() if langs else []:  # MAX_LANGUAGES * BUCKETS rows at most
-        table[r["bucket"], langs.index(r["lang"])] += r["c"]
+    number = {x: i for i, x in enumerate(langs)}
+    for r in found.toArrow().to_pylist() if langs else []:  # at most BUCKETS rows for each language
+        table[r["bucket"], number[r["lang"]]] += r["c"]
     return langs, np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
@@ -88,7 +112,7 @@ def identify(pages: DataFrame, docs: DataFrame, fit_rows: int = FIT_ROWS) -> Dat
         for batch in batches:
             out = []
             for html in batch.column("html").to_pylist():
-                at = trigrams(_HIDDEN.sub(b" ", (html or "").encode("utf-8", "surrogatepass")))
+                at = trigrams(visible(html or "").encode("utf-8", "surrogatepass"))
                 score = model[at].sum(axis=0, dtype=np.float64) if len(at) else np.zeros(model.shape[1])
                 score *= min(1.0, EVIDENCE / max(len(at), 1))
                 out.append((score - score.max()).tolist() if len(at) else None)
@@ -102,7 +126,7 @@ def identify(pages: DataFrame, docs: DataFrame, fit_rows: int = FIT_ROWS) -> Dat
     best = lambda a: F.get(names, (F.array_position(a, F.array_max(a)) - 1).cast("int"))
     rows = cut(rows.withColumn("text_lang", best(F.col("text"))).withColumn("suffix", suffix_of(F.col("host"))))
     sums = [F.sum((F.col("text_lang") == x).cast("double")) for x in langs]
-    counts = lambda by, to: sized(cut(rows.where("text_lang IS NOT NULL").groupBy(F.col(by).alias(f"_{by}")).agg(F.array(*(F.coalesce(s, F.lit(0.0)) for s in sums)).alias(to))))
+    counts = lambda by, to: sized(stored(rows.where("text_lang IS NOT NULL").groupBy(F.col(by).alias(f"_{by}")).agg(F.array(*(F.coalesce(s, F.lit(0.0)) for s in sums)).alias(to)), to))
     whole = [float(x or 0) for x in rows.agg(*sums).first()]
     total = sum(whole)
     base = [(x + 1) / (total + len(langs)) for x in whole]

@@ -1,14 +1,17 @@
 """WARC archives with revisit resolution.
 
 Only headers (id, payload digest, length) are shuffled by digest to find the first record of each payload; the payloads themselves meet the
-decision by a join that broadcasts when the decisions are few and else hashes them, never by a sort of payloads. Records are written by
-Spark's text writer, whose committer survives lost tasks, and read back by length framing, each digest checked.
+decision by a join that broadcasts when the decisions are few and else hashes them, never by a sort of payloads. Each record is a gzip member
+of its own, as the format has it, so that a reader can seek to it; the tasks compress, and Spark's text writer, whose committer survives lost
+tasks, puts the bytes into files. They are read back member by member with length framing, each digest checked.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,8 +23,8 @@ from pyspark.sql import functions as F
 from atomweft.llm.common import BROADCAST_ROWS, cut, sized, stored
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records in one file, so that a reader holds tens of megabytes.
-FILE_RECORDS = 4000
+#: Bytes of compressed records in one row of the writer, and rows in one file: a file has about 64 MB, or as many of the largest records.
+ROW_BYTES, FILE_ROWS = 4 << 20, 16
 
 
 def base32_sha1(col: Column) -> Column:
@@ -49,7 +52,7 @@ def _record_id(page_id: Column, digest: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Writes one record per row of ``pages`` (page_id, url, html) under ``path`` as gzipped WARC/1.1 files.
+    """Writes one record per row of ``pages`` (page_id, url, html) under ``path`` as WARC/1.1 files, a gzip member for each record.
 
     Responses carry the payload in an HTTP message with fresh headers; revisits carry the HTTP head only and name the original. Line breaks
     in a url are percent-encoded; a null url or page_id has no header line; a null html is an empty payload.
@@ -77,9 +80,39 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str
         F.lit("\r\n"),
         F.col("http"),
         F.when(again, "").otherwise(F.col("payload")),
-        F.lit("\r\n\r"),  # the writer's line end completes it
+        F.lit("\r\n\r\n"),
     )
-    records.withColumn("http", http).select(record.alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    packed = records.withColumn("http", http).select(record.alias("value")).mapInArrow(_members, "value binary")
+    packed.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", FILE_ROWS).text(path)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records as gzip members, several in a row of about ROW_BYTES, without the zero byte at the end: the writer puts one after each row.
+
+    A member ends with its length, of which the highest byte is zero up to 16 MB; a longer one is followed by an empty member.
+    """
+    held: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for text in batch.column("value"):
+            data = text.as_py().encode("utf-8", "surrogatepass")
+            held.append(gzip.compress(data, 6, mtime=0))
+            if held[-1][-1]:
+                held.append(gzip.compress(b"", mtime=0))
+            size += len(held[-1])
+            if size >= ROW_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["value"])
+                held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["value"])
+
+
+def members(data: bytes) -> Iterator[bytes]:
+    """The contents of the gzip members of a file, one after the other."""
+    while data:
+        one = zlib.decompressobj(31)
+        yield one.decompress(data)
+        data = one.unused_data
 
 
 _HEADER = re.compile(rb"([^:\r\n]+): ?([^\r\n]*)\r\n")
@@ -97,12 +130,13 @@ def _parse(with_payload: bool):
             size = int(head[b"Content-Length"])
             start = end + 4
             text = lambda name: v.decode() if (v := head.get(name)) is not None else None  # noqa: E731, B023
-            kind, digest, page = text(b"WARC-Type"), text(b"WARC-Payload-Digest").removeprefix("sha1:"), text(b"X-Page-Id")
+            kind, digest, page = text(b"WARC-Type"), text(b"WARC-Payload-Digest"), text(b"X-Page-Id")
+            digest = digest and digest.removeprefix("sha1:")
             row = (kind, text(b"WARC-Record-ID"), int(page) if page else None, text(b"WARC-Refers-To"), text(b"WARC-Target-URI"), digest)
             if kind == "response":
                 body = memoryview(data)[data.index(b"\r\n\r\n", start) + 4 : start + size]
-                row += (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode() == digest)
-                yield row + ((str(body, "utf-8"),) if with_payload else ())
+                row += (len(body), digest and base64.b32encode(hashlib.sha1(body).digest()).decode() == digest)
+                yield row + ((str(body, "utf-8", "replace"),) if with_payload else ())
             else:
                 yield row + (None, None) + (None,) * with_payload
             at = start + size + 4
@@ -110,16 +144,17 @@ def _parse(with_payload: bool):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item in batch.column("content"):
-                rows = list(records(zlib.decompress(item.as_py(), 31)))
-                if rows:
+                found = (row for part in members(item.as_py()) for row in records(part))
+                while rows := list(itertools.islice(found, 1000)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return parse
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """A row per record of the archives under ``path``; payload figures of revisits are null until they are resolved."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    """A row per record of the archives under ``path``, whatever the number of records in a gzip member; records of other kinds, and revisits
+    until they are resolved, have no payload figures, and ``intact`` is null for a record without a digest."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).select("content")
     return files.mapInArrow(_parse(with_payload), READ + ", payload string" * with_payload)
 
 

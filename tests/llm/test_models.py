@@ -148,3 +148,42 @@ def test_language_id(spark):
     assert by[900].text_lang is None and by[900].lang == "de" and by[None].lang == "fr" and by[901].lang in names
     assert language_id.identify(pages.limit(0), docs).count() == 0
     assert {r.lang for r in language_id.identify(pages, docs.limit(0)).collect()} == {None}
+
+
+def test_visible_text_of_pages():
+    for html, text in [("a<script>x<b>y</SCRIPT >b", "a b"), ("caf&eacute; <!-- <p> --> &lt;b", "café <b"), ("a <b", "a <b"), ("<style>x", "x"), ("<!-- a > b", "b"), ("<scripts>x</scripts>", "x"), ("x</script>y<script>", "x y"), ("", "")]:
+        assert language_id.visible(html).split() == text.split(), html
+    for part in ("<script>", "<!--", "<style ", "<", "<script><!--</b>"):
+        assert len(language_id.visible(part * 200_000)) <= 400_000 * len(part)
+
+
+def test_language_posterior_by_brute_force(spark):
+    docs = spark.createDataFrame([(i, " ".join(LANGS[x].split()[(i * 3 + k) % 7] for k in range(9)), x) for i in range(30) for x in LANGS], "doc_id bigint, text string, lang string")
+    names = sorted(LANGS)
+    pages = [(i, f"http://h{i % 4}.{'xyz'[i % 3]}/", f'<html lang="{names[i % 2]}">' * (i % 3 > 0) + " ".join(LANGS[names[i * i % 3]].split()[: i % 5])) for i in range(60)]
+    pages += [(100, "http://h1.x/", "the la das"), (101, "http://new.q/", "the house"), (102, "http://h1.x/", None), (103, "http://h2.y/", "x " * 200_000)]
+    langs, table = language_id.fit(docs)
+    rows = []
+    for i, url, html in pages:
+        at = language_id.trigrams(language_id.visible(html or "").encode())
+        score = table[at].sum(axis=0, dtype=np.float64) * min(1.0, language_id.EVIDENCE / max(len(at), 1)) if len(at) else np.zeros(3)
+        host = url.split("/")[2]
+        declared = html[12:14] if (html or "").startswith("<html") else ""
+        rows.append((i, host, host.split(".")[-1], declared, score, int(np.argmax(score)) if len(at) else None))
+    votes = [r for r in rows if r[5] is not None]
+    n_declared = len({r[3] for r in rows})
+    got = {r.page_id: r for r in language_id.identify(spark.createDataFrame(pages, "page_id bigint, url string, html string"), docs).collect()}
+    for i, host, suffix, declared, score, own in rows:
+        log = []
+        for k in range(3):
+            count = lambda at, value: sum(v[5] == k for v in votes if v[at] == value) - (own == k)  # noqa: B023, E731
+            size = lambda at, value: sum(v[at] == value for v in votes) - (own is not None)  # noqa: B023, E731
+            base = (sum(v[5] == k for v in votes) + 1) / (len(votes) + 3)
+            by_suffix = (count(2, suffix) + language_id.SUFFIX_WEIGHT * base) / (size(2, suffix) + language_id.SUFFIX_WEIGHT)
+            by_host = (count(1, host) + language_id.HOST_WEIGHT * by_suffix) / (size(1, host) + language_id.HOST_WEIGHT)
+            said = (count(3, declared) + language_id.DECLARED_WEIGHT) / (sum(v[5] == k for v in votes) - (own == k) + language_id.DECLARED_WEIGHT * n_declared) if declared else 1.0
+            log.append(score[k] + math.log(by_host) + math.log(said))
+        p = np.exp(np.array(log) - max(log))
+        p /= p.sum()
+        assert math.isclose(got[i].probability, p.max(), rel_tol=1e-9) and got[i].lang in {x for x, y in zip(langs, p) if math.isclose(y, p.max(), rel_tol=1e-9)}
+        assert got[i].text_lang == (None if own is None else langs[own])

@@ -62,7 +62,10 @@ def test_round_trip(spark, tmp_path):
     assert sorted(map(repr, ((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got))) == sorted(map(repr, want))
     texts = {r.page_id: r.payload for r in records.where("record_type = 'response'").collect()}
     assert texts[5] == html[5] and texts[4] == html[6]
-    raw = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "w").glob("part-*.gz"))
+    parts = [m for p in (tmp_path / "w").glob("part-*") for m in warc.members(p.read_bytes())]
+    assert all(m.count(b"WARC-Type: ") == 1 and m.startswith(b"WARC/1.1\r\n") and m.endswith(b"\r\n\r\n") for m in parts) and len(parts) == len(rows)
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "w").glob("part-*"))
+    assert raw == b"".join(parts)
     assert raw.count(b"WARC-Type: revisit") == sum(w[3] == "revisit" for w in want)
     warc.write_archives(pages.limit(0), str(tmp_path / "e"))
     assert warc.read_archives(spark, str(tmp_path / "e")).count() == 0
@@ -72,3 +75,16 @@ def test_small_payloads_are_never_revisits(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id bigint, url string, html string")
     warc.write_archives(pages, str(tmp_path / "w"), least_bytes=3)
     assert {r.page_id for r in warc.read_archives(spark, str(tmp_path / "w")).where("record_type = 'revisit'").collect()} == {4}
+
+
+def test_large_payloads_and_files_of_others(spark, tmp_path):
+    big = "".join(chr(97 + i * i % 23) for i in range(1000)) * 20_000  # over 16 MB, where a member does not end with a zero byte
+    warc.write_archives(spark.createDataFrame([(1, "u", big), (2, "u", big), (3, "u", "x")], "page_id bigint, url string, html string"), str(tmp_path / "w"))
+    got = {r.page_id: (r.record_type, r.payload_bytes, r.intact) for r in warc.resolve(warc.read_archives(spark, str(tmp_path / "w"))).collect()}
+    assert got == {1: ("response", len(big), True), 2: ("revisit", len(big), None), 3: ("response", 1, True)}
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:a>\r\nContent-Length: 3\r\n\r\nx\r\n\r\n\r\n"
+    page = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:b>\r\nContent-Length: 22\r\n\r\nHTTP/1.1 200 OK\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "o").mkdir()
+    (tmp_path / "o" / "some.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(page) + gzip.compress(page + page))
+    rows = warc.read_archives(spark, str(tmp_path / "o"), with_payload=True).collect()
+    assert [(r.record_type, r.payload_bytes, r.intact, r.payload) for r in rows] == [("warcinfo", None, None, None)] + [("response", 3, None, "abc")] * 3
