@@ -25,6 +25,8 @@ from atomweft.llm.common import BROADCAST_ROWS, cut, sized, stored
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes of compressed records in one row of the writer, and rows in one file: a file has about 64 MB, or as many of the largest records.
 ROW_BYTES, FILE_ROWS = 4 << 20, 16
+#: Of gzip: most of the time goes into compression, and higher levels save little on pages.
+LEVEL = 2
 
 
 def base32_sha1(col: Column) -> Column:
@@ -96,7 +98,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column("value"):
             data = text.as_py().encode("utf-8", "surrogatepass")
-            held.append(gzip.compress(data, 6, mtime=0))
+            held.append(gzip.compress(data, LEVEL, mtime=0))
             if held[-1][-1]:
                 held.append(gzip.compress(b"", mtime=0))
             size += len(held[-1])
