@@ -10,8 +10,8 @@ from atomweft.schema import measure_columns
 
 KEYS = ["atom_i", "element", "x", "y", "z"]
 NEEDED = ["source_file", "frame", *KEYS]
-#: Weights that are broadcast at most; a larger map is joined by a shuffle.
-BROADCAST_WEIGHTS = 1_000_000
+#: Bytes of weights (keys and numbers) that are broadcast at most; a larger map is joined by a shuffle.
+BROADCAST_WEIGHTS = 64 << 20
 
 
 def check_columns(df: DataFrame) -> list[str]:
@@ -58,8 +58,8 @@ def average_per_atom(df: DataFrame, weights: DataFrame | None = None) -> DataFra
     if weights is None:
         weighted = df.withColumn("_weight", F.lit(1.0))
     else:
-        weights = weights.persist()
-        weighted = with_weights(df, F.broadcast(weights) if weights.count() <= BROADCAST_WEIGHTS else weights)
+        size = weights.agg(F.sum(F.octet_length("frame_key") + 8)).first()[0] or 0
+        weighted = with_weights(df, F.broadcast(weights) if size <= BROADCAST_WEIGHTS else weights)
         if uncovered(weighted).limit(1).count():
             raise ValueError("weights do not cover every frame of the results")
     typed = weighted.withColumns({"atom_i": F.col("atom_i").cast("bigint"), **{a: F.col(a).cast("double") for a in "xyz"}})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -60,38 +61,31 @@ def materialise(atoms: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def pack(sizes: DataFrame, order: str, group: str, limit_rows: int, limit_bytes: int) -> DataFrame:
-    """``sizes`` (group, order, bytes, ...) with chunk_no: greedy packing in order within each group.
+    """``sizes`` (group, order, bytes, ...) with chunk_no: greedy packing in order within each group, as one stream over sorted rows.
 
     A chunk closes at ``limit_rows`` rows, or when the next row would take it over ``limit_bytes``; a single larger row has its own chunk.
-    The fold is sequential, so a group is one writer's bounded share of the rows.
     """
-    key = sorted(c for c in sizes.columns if c != group)
-    rows = sizes.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(order, *(c for c in key if c != order)))).alias("rows"))
-    state = "struct<no: bigint, n: bigint, bytes: bigint, nos: array<bigint>>"
-    start = F.expr(f"cast(named_struct('no', 0, 'n', 0, 'bytes', 0, 'nos', array()) as {state})")
+    rows = sizes.repartition(F.col(group)).sortWithinPartitions(group, order)
+    schema = ", ".join(f"`{n}` {t}" for n, t in sizes.dtypes)
+    return rows.mapInPandas(pack_stream(limit_rows, limit_bytes, group), f"{schema}, chunk_no bigint, place bigint").drop("place")
 
-    def step(a: Column, x: Column) -> Column:
-        full = (a.n >= limit_rows) | ((a.n > 0) & (a.bytes + x.bytes > limit_bytes))
-        no = F.when(full, a.no + 1).otherwise(a.no)
-        return F.struct(no.alias("no"), F.when(full, F.lit(1)).otherwise(a.n + 1).cast("bigint").alias("n"), F.when(full, x.bytes).otherwise(a.bytes + x.bytes).cast("bigint").alias("bytes"), F.concat(a.nos, F.array(no)).alias("nos"))
 
-    nos = F.aggregate("rows", start, step, lambda a: a.nos)
-    return rows.select(group, F.explode(F.arrays_zip("rows", nos.alias("nos"))).alias("z")).select(group, "z.rows.*", F.col("z.nos").alias("chunk_no"))
-
-
-def pack_stream(limit_rows: int, limit_bytes: int):
-    """The same packing over the sorted rows of one task, for frames of any number: (chunk number in the task, row) as a stream."""
+def pack_stream(limit_rows: int, limit_bytes: int, group: str | None = None):
+    """The same packing over the sorted rows of one task: rows with chunk_no, from 0 in each ``group`` or in the task, and their place in the task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        no, n, held = 0, 0, 0
+        no, n, held, at, place = 0, 0, 0, None, 0
         for batch in batches:
             nos = []
-            for size in batch["bytes"]:
-                if n >= limit_rows or (n and held + size > limit_bytes):
+            for size, own in zip(batch["bytes"], batch[group] if group else itertools.repeat(None)):
+                if own != at:
+                    no, n, held, at = 0, 0, 0, own
+                elif n >= limit_rows or (n and held + size > limit_bytes):
                     no, n, held = no + 1, 0, 0
                 n, held = n + 1, held + size
                 nos.append(no)
-            yield batch.assign(chunk_no=nos)
+            yield batch.assign(chunk_no=nos, place=range(place, place + len(nos)))
+            place += len(nos)
 
     return run
 

@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from atomweft.functions.columns import index_payload
@@ -79,9 +80,10 @@ class CacheStore:
         """
         wanted = keys.select("frame_cache_key").distinct().join(self.manifest().withColumnRenamed("cache_key", "frame_cache_key"), "frame_cache_key")
         chunks = wanted.select("chunk_path", "output_format").distinct().collect()  # the files to read, which Spark lists on the driver anyway
+        beside = {parent: set(os.listdir(parent)) if os.path.isdir(parent) else set() for parent in {os.path.dirname(c.chunk_path) for c in chunks}}
         parts = []
         for form in sorted({c.output_format for c in chunks}):
-            paths = [c.chunk_path for c in chunks if c.output_format == form and Path(c.chunk_path).exists()]
+            paths = [c.chunk_path for c in chunks if c.output_format == form and os.path.basename(c.chunk_path) in beside[os.path.dirname(c.chunk_path)]]
             there = wanted.where(F.col("output_format") == form).select("frame_cache_key", "chunk_path")
             for rows in (self._parquet(paths) if form == "parquet" else self._csv(paths)) if paths else ():
                 rows = rows.select("*", local_path().alias("_file"), F.monotonically_increasing_id().alias("_row"))
@@ -124,16 +126,18 @@ class CacheStore:
             return 0
         self._stores += 1
         packed = sizes.repartition(max(1, min(-(-n // (8 * chunk_size)), 10_000)), "frame_cache_key").sortWithinPartitions("frame_cache_key").withColumn("task", F.spark_partition_id())
-        packed = packed.mapInPandas(pack_stream(chunk_size, int(max_chunk_mb * (1 << 20))), "frame_cache_key string, bytes bigint, task int, chunk_no bigint")
-        packed = packed.withColumn("chunk", F.format_string("%05d-%05d", "task", "chunk_no")).select("frame_cache_key", "chunk").persist()
+        packed = packed.mapInPandas(pack_stream(chunk_size, int(max_chunk_mb * (1 << 20))), "frame_cache_key string, bytes bigint, task int, chunk_no bigint, place bigint")
+        packed = packed.withColumn("chunk", F.format_string("%05d-%05d", "task", "chunk_no")).select("frame_cache_key", "chunk", "task", "place").persist()
+        tasks = packed.groupBy("task").count()  # 10 000 rows at most
+        first = tasks.select("task", (F.sum("count").over(W.orderBy("task")) - F.col("count") + F.lit(self._lines + 1)).alias("first"))
         target = self.chunk_dir / f"chunk_{self.writer_id}_{self._stores:06d}"
         staging = target.with_name(f".{target.name}")
-        writer = rows.join(packed, "frame_cache_key").repartition("chunk").sortWithinPartitions("chunk", "frame_cache_key", "atom_i").write.partitionBy("chunk")
+        writer = rows.join(packed.drop("task", "place"), "frame_cache_key").repartition("chunk").sortWithinPartitions("chunk", "frame_cache_key", "atom_i").write.partitionBy("chunk")
         writer.parquet(str(staging)) if self.output_format == "parquet" else writer.option("header", True).csv(str(staging))
         os.replace(staging, target)
-        lines = packed.withColumns({
+        lines = packed.join(F.broadcast(first), "task").withColumns({
             "cache_key": F.col("frame_cache_key"), "chunk_path": F.concat(F.lit(f"{target}/chunk="), "chunk"), "output_format": F.lit(self.output_format), "writer_id": F.lit(self.writer_id),
-            "seq": F.lit(self._lines + 1) + F.monotonically_increasing_id(), "written_at_utc": F.lit(now_utc()), **{k: F.lit(v).cast("string") for k, v in self.model.items()},
+            "seq": F.col("first") + F.col("place"), "written_at_utc": F.lit(now_utc()), **{k: F.lit(v).cast("string") for k, v in self.model.items()},
         }).select(index_payload(*FIELDS).alias("value"))
         publish_lines(lines, self.index_dir, f"index_{self.writer_id}_{self._stores:06d}")
         self._lines += n

@@ -16,7 +16,7 @@ from atomweft.functions.columns import cache_key
 from atomweft.operators.cache import canonical, hits, materialise, misses
 from atomweft.operators.explode import explode_atoms, explode_predictions
 from atomweft.operators.predict import PredictorFactory, allowed_workers, predict_frames, runtime_device
-from atomweft.operators.store import CacheStore
+from atomweft.operators.store import CacheStore, prepare_rows
 from atomweft.operators.validate import validate_frames
 from atomweft.provenance import Timing, run_record, write_record
 from atomweft.schema import SCHEMA_VERSION, fill_missing, required_columns
@@ -64,10 +64,11 @@ def assemble(atoms: DataFrame, values: DataFrame, property_mode: str, committee:
     return rows.select(*lead, *(c for c in rows.columns if c not in lead))
 
 
-def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, factory: PredictorFactory | None = None, model_name: str = "model", model_version: str = "unknown") -> RunSummary:
+def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, factory: PredictorFactory | None = None, model_name: str = "model", model_version: str = "unknown", single_file: bool = True) -> RunSummary:
     """Runs ``config`` over the inputs. Frames and atoms stay distributed; only counts, warnings and the first failure reach the driver.
 
-    Equal structures are predicted once. A record of the run is written on success and failure, but not for a dry run.
+    Equal structures are predicted once. A record of the run is written on success and failure, but not for a dry run. With
+    ``single_file=False`` the results are a range-sorted directory, for runs that one task should not write.
     """
     config.outdir.mkdir(parents=True, exist_ok=True)
     timing, warnings, files, error, keys, summary = Timing(), [], [], None, [], None
@@ -122,12 +123,12 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
             if n_miss:
                 predicted = keep(_predict(miss, factory, config, device, workers, mode))
                 if store is not None:
-                    store.store(materialise(explode_atoms(miss.dropDuplicates(["frame_cache_key"]), "frame_cache_key"), predicted), config.chunk_size, config.cache_chunk_max_mb)
+                    store.store(prepare_rows(materialise(explode_atoms(miss.dropDuplicates(["frame_cache_key"]), "frame_cache_key"), predicted), F.struct("source_file", "frame")), config.chunk_size, config.cache_chunk_max_mb)
                 values = predicted if values is None else values.unionByName(predicted, allowMissingColumns=True)
         if values is None:
             raise ValidationError("the run produced no results")
         results = keep(assemble(explode_atoms(frames, "frame_cache_key"), values, mode, config.committee))
-        write_table(results, config.outdir / f"results.{output_format}", output_format, ORDER)
+        write_table(results, config.outdir / f"results.{output_format}", output_format, ORDER, single_file)
         if config.magres_mode != "none":
             write_magres(results, config.outdir, config.magres_mode, frames)
         summary = summed(n_frames - n_miss, n_miss)

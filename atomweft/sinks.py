@@ -76,8 +76,8 @@ def magres_block(rows: pd.DataFrame, tensor: bool) -> str:
     out.append("units atom Angstrom")
     out += [f"atom {e} {e}{i + 1} {i + 1} {f8(x, y, z)}" for i, e, x, y, z in zip(rows["atom_i"], rows["element"], rows["x"], rows["y"], rows["z"])]
     out += ["[/atoms]", "[magres]", "units ms ppm"]
-    for at, (i, e, iso) in enumerate(zip(rows["atom_i"], rows["element"], rows["cs_iso"])):
-        xx, xy, xz, yy, yz, zz = (rows[c].iloc[at] for c in TENSOR_COLUMNS) if tensor else (iso, 0.0, 0.0, iso, 0.0, iso)
+    tensors = zip(*(rows[c] for c in TENSOR_COLUMNS)) if tensor else ((iso, 0.0, 0.0, iso, 0.0, iso) for iso in rows["cs_iso"])
+    for i, e, (xx, xy, xz, yy, yz, zz) in zip(rows["atom_i"], rows["element"], tensors):
         out.append(f"ms {e} {i + 1} {f8(xx, xy, xz, xy, yy, yz, xz, yz, zz)}")
     return "\n".join([*out, "[/magres]"]) + "\n"
 
