@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from atomweft.config import PredictConfig
 from atomweft.functions import columns as C
 from atomweft.functions.digest import structure_id
 from atomweft.operators import average, cache
 from atomweft.operators.explode import explode_atoms, explode_predictions
 from atomweft.operators.predict import FramePrediction, predict_frames
-from atomweft.operators.validate import failure
+from atomweft.operators.store import CacheStore
+from atomweft.operators.validate import failure, validate_frames
 from atomweft.plans import views as V
 from atomweft.plans.views import RESULTS_SQL, table
+from atomweft.run import run_predict
 from atomweft.schema import fill_missing, required_columns
-from atomweft.sinks import magres_blocks
-from atomweft.sources.index_log import latest, rank
+from atomweft.sinks import magres_blocks, write_table
+from atomweft.sources.index_log import latest, rank, read_index
+from atomweft.sources.structures import load_structures
+from atomweft.sources.tables import read_results
 
 PACK_GROUP = 500  # frames that one writer packs
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +79,12 @@ def index_compact(spark, sf_dir):
 
 
 def index_parse(spark, sf_dir):
-    value = F.try_parse_json("props")
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(value, "$.k", "bigint").alias("k"))
+    """Index lines, some of them broken, written to files and read back."""
+    broken = F.when(F.col("event_id") % 7 == 0, F.lit("{broken")).when(F.col("event_id") % 7 == 1, F.lit("[]"))
+    fields = {"cache_key": F.col("user_id").cast("string"), "chunk_path": F.col("event_type"), "output_format": F.lit("csv"), "seq": F.when(F.col("event_id") % 7 != 2, F.col("event_id")), "writer_id": F.lit("w"), "written_at_utc": F.when(F.col("event_id") % 7 == 3, F.lit("yesterday")).otherwise(C.format_utc(F.col("ts").cast("timestamp")))}
+    path = V.folder(spark, "index")
+    table(spark, sf_dir, "events").select(F.coalesce(broken, F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())))).alias("value")).write.text(path)
+    return read_index(spark, [path]).select("cache_key", "chunk_path", "seq", "written_at_utc")
 
 
 def index_write(spark, sf_dir):
@@ -126,10 +136,14 @@ def cell_missing(spark, sf_dir):
 
 
 def frame_slice(spark, sf_dir):
-    """Frames 1:6:2 of each conversation, by their number in it."""
-    w = W.partitionBy("conv_id").orderBy("turn")
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.row_number().over(w) - 1).alias("at"))
-    return rows.where("at >= 1 AND at < 6 AND (at - 1) % 2 = 0").select("conv_id", "turn")
+    """Frames 1:400:3 of each structure file."""
+    found = load_structures(spark, [V.structure_files(spark, sf_dir)], "1:400:3")
+    end = F.element_at("positions", -1)
+    return found.select(_part(), "frame", F.size("element").alias("n_atoms"), F.array_join("element", "").alias("elements"), F.col("positions")[0].x.alias("x"), end.z.alias("z"), F.col("cell")[0].alias("cell"), F.col("normalized_cell_pbc").alias("missing"))
+
+
+def _part():
+    return F.regexp_extract("source_file", r"part=(\d+)", 1).cast("bigint").alias("part")
 
 
 def frame_last(spark, sf_dir):
@@ -165,16 +179,18 @@ def cache_materialize(spark, sf_dir):
     return cache.materialise(frames, values).select("frame", "first")
 
 
+def cache_hit(spark, sf_dir):
+    """Orders as frames of one to seven atoms that have a cached row for each atom."""
+    frames = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("frame_cache_key"), F.col("o_orderkey").alias("frame_ord"), F.array_repeat(F.lit("H"), (F.col("o_custkey") % 7 + 1).cast("int")).alias("element"))
+    return cache.hits(frames, _canonical(spark, sf_dir)).select("frame_ord")
+
+
 def _later_and_hits(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     docs = V.contents(spark, sf_dir)
     later, earlier = docs.where("frame_ord % 2 = 1"), docs.where("frame_ord % 2 = 0")
     return later, later.join(earlier.select("structure_id").distinct(), "structure_id", "left_semi")
 
 
-def cache_hit(spark, sf_dir):
-    return _later_and_hits(spark, sf_dir)[1].select("frame_ord", "structure_id")
-
-
 def cache_miss(spark, sf_dir):
     return cache.misses(*_later_and_hits(spark, sf_dir)).select("frame_ord", "structure_id")
 
@@ -206,11 +222,11 @@ def first_failure(spark, sf_dir):
 
 
 def warn_skip(spark, sf_dir):
-    """Per source the listing of flagged frames and the number of frames kept."""
-    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("source_file"), F.col("o_orderkey").alias("frame"), (F.col("o_orderstatus") == "P").alias("flagged"))
-    pairs = F.array_sort(F.collect_set(F.when(F.col("flagged"), F.col("frame"))))
-    listed = orders.groupBy("source_file").agg(pairs.alias("frames"), F.sum((~F.col("flagged")).cast("bigint")).alias("kept"))
-    return listed.select("source_file", "kept", F.array_join(F.transform("frames", lambda f: F.concat_ws("#", "source_file", f)), ", ").alias("listing"))
+    """Frames with a cell by source, and those without one as the warning lists them."""
+    frames = V.frames(spark, sf_dir).withColumn("normalized_cell_pbc", C.missing_cell(F.col("cell"), F.col("pbc")))
+    kept, warnings, _ = validate_frames(frames, "skip")
+    listed = spark.createDataFrame([(w.partition(": ")[2],) for w in warnings], "text string").select(F.explode(F.split("text", ", ")).alias("name"), F.lit(0).cast("bigint").alias("kept"))
+    return kept.groupBy(F.col("source_file").alias("name")).agg(F.count(F.lit(1)).alias("kept")).unionByName(listed)
 
 
 def _sizes(spark, sf_dir) -> DataFrame:
@@ -226,9 +242,39 @@ def pack_bytes(spark, sf_dir):
 
 
 def result_order(spark, sf_dir):
-    """Places of rows within a file's frames, with a full tiebreak."""
-    w = W.partitionBy("source_file", "frame").orderBy("atom_i", "element", "x", "y", "cs_iso", "cs_xx")
-    return V.results(spark, sf_dir).withColumn("place", F.row_number().over(w)).select("source_file", "frame", "atom_i", "cs_iso", "place")
+    """Places of rows in the one result file, written in order and read back."""
+    path = write_table(V.results(spark, sf_dir), V.folder(spark, "results") + ".parquet", "parquet", ["source_file", "frame", "atom_i", "element", "x", "y", "cs_iso", "cs_xx"])
+    return read_results(spark, path).select("source_file", "frame", "atom_i", "cs_iso", F.col("_metadata.row_index").alias("place"))
+
+
+def results_csv(spark, sf_dir):
+    """Result rows with missing and infinite values through a CSV file."""
+    value = F.when(F.col("frame") % 5 == 0, F.lit(float("nan"))).when(F.col("frame") % 5 == 1, F.lit(float("inf"))).when(F.col("frame") % 5 == 2, F.lit(float("-inf"))).otherwise(F.col("cs_iso"))
+    path = write_table(V.results(spark, sf_dir).withColumn("cs_iso", value), V.folder(spark, "results") + ".csv", "csv")
+    return read_results(spark, path).select("source_file", "frame", "atom_i", "element", "x", "y", "cs_iso", "cs_xx")
+
+
+def avg_per_atom(spark, sf_dir):
+    """The average as the command line makes it, with a weight for every frame."""
+    rows = V.results(spark, sf_dir)
+    return average.average_per_atom(rows, _weights(rows, 1 + F.col("frame") % 7))
+
+
+def cache_store(spark, sf_dir):
+    """Rows stored twice with other values for some keys; a look-up of half of the keys finds the later ones."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_orderkey").cast("string").alias("frame_cache_key"), (F.col("l_linenumber") - 1).cast("bigint").alias("atom_i"), F.col("l_extendedprice").alias("cs_iso"))
+    store = CacheStore(spark, V.folder(spark, "cache"))
+    store.store(rows.drop("k"))
+    store.store(rows.where("k % 10 = 0").withColumn("cs_iso", F.col("cs_iso") + 1).drop("k"))
+    return store.lookup(rows.where("k % 2 = 0").select("frame_cache_key")).select("frame_cache_key", "atom_i", "cs_iso")
+
+
+def predict_run(spark, sf_dir):
+    """Two whole runs over structure files with one cache: the second finds every frame, and its result table is read back."""
+    pattern, cached = V.structure_files(spark, sf_dir), Path(V.folder(spark, "cache"))
+    for _ in range(2):
+        done = run_predict(spark, [pattern], PredictConfig(Path(V.folder(spark, "run")), device="cpu", cache_dir=cached, output_format="parquet"), lambda device: Norms(), "norms", "1")
+    return read_results(spark, done.output_path).select(_part(), "frame", "atom_i", "element", F.round("cs_iso", 5).alias("cs_iso"), F.lit(done.cache_misses).cast("bigint").alias("misses"))
 
 
 def distinct_keys(spark, sf_dir):
@@ -265,7 +311,7 @@ def predict_norms(spark, sf_dir):
 
 
 def magres_text(spark, sf_dir):
-    """Magres blocks of all frames; formatting to eight decimals has no equal in SQL."""
+    """Magres blocks of all frames."""
     frames = V.frames(spark, sf_dir).withColumn("structure_id", F.col("frame").cast("string"))
     return magres_blocks(explode_atoms(frames).withColumn("cs_iso", F.col("x")), frames)
 
@@ -273,7 +319,7 @@ def magres_text(spark, sf_dir):
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     avg_unweighted, avg_weighted, avg_nonfinite, avg_zero_weight, weights_missing, manifest_latest, manifest_probe, index_compact, index_parse, index_write, utc_text, tensor_unpack, committee_std,
     schema_fill, content_hash, structure_ids, cell_missing, frame_slice, frame_last, cache_canonical, cache_complete, cache_complete_turns, cache_materialize, cache_hit, cache_miss, union_align, unsupported, first_failure,
-    warn_skip, pack_count, pack_bytes, result_order, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text,
+    warn_skip, pack_count, pack_bytes, result_order, results_csv, avg_per_atom, cache_store, predict_run, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text,
 )} | {"explode_atoms": explode_rows, "cache_key": cache_keys}
 
 _MEAN = "SELECT atom_i, element, x, y, z, sum(cs_iso * w) / nullif(sum(w), 0) AS cs_iso, sum(cs_xx * w) / nullif(sum(w), 0) AS cs_xx FROM (SELECT *, {w} AS w FROM r) GROUP BY ALL HAVING sum(w) <> 0"
@@ -290,7 +336,7 @@ ORACLES: dict[str, str] = {
     "manifest_latest": f"SELECT cache_key, output_format, seq, value FROM ({_INDEX}) QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY (output_format = 'click') DESC, written_at DESC, writer_id DESC, seq DESC) = 1",
     "manifest_probe": f"SELECT c_custkey AS cache_key, coalesce(seq, -1) AS seq, output_format FROM customer LEFT JOIN (SELECT * FROM ({_INDEX}) QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY written_at DESC, writer_id DESC, seq DESC) = 1) ON cache_key = c_custkey",
     "index_compact": f"SELECT cache_key, output_format, seq, value FROM ({_INDEX}) QUALIFY row_number() OVER (PARTITION BY cache_key, output_format ORDER BY written_at DESC, writer_id DESC, seq DESC) = 1",
-    "index_parse": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "index_parse": "SELECT CAST(user_id AS VARCHAR) AS cache_key, event_type AS chunk_path, event_id AS seq, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS written_at_utc FROM events WHERE event_id % 7 > 3",
     "index_write": """SELECT event_id AS seq, '{"cache_key":"' || user_id || '"' || CASE WHEN event_id % 2 = 0 THEN ',"model_name":"m"' ELSE '' END || ',"output_format":"' || event_type || '","seq":' || event_id || '}' AS line FROM events""",
     "utc_text": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS text, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds FROM events",
     "explode_atoms": "SELECT vec_id AS frame, 'label' || label AS source_file, CAST(i AS BIGINT) AS atom_i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS element, CAST(embedding[3 * i + 1] AS DOUBLE) AS x, CAST(embedding[3 * i + 2] AS DOUBLE) AS y, CAST(embedding[3 * i + 3] AS DOUBLE) AS z FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)",
@@ -300,24 +346,32 @@ ORACLES: dict[str, str] = {
     "cache_key": """SELECT doc_id AS frame_ord, sha256('{"flags":{"committee":false,"property":"iso"},"model_name":"model","model_version":"1","schema_version":"1","structure_id":"' || sha256(text) || '"}') AS cache_key FROM documents""",
     "content_hash": _DOCS,
     "cell_missing": "SELECT vec_id AS frame, label = 0 AS missing FROM embeddings",
-    "frame_slice": "SELECT conv_id, turn FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) IN (2, 4, 6)",
+    "frame_slice": f"SELECT part, frame, 21 AS n_atoms, 'HCNOHCNOHCNOHCNOHCNOH' AS elements, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[63] AS DOUBLE) AS z, CASE WHEN label = 0 THEN 0.0 ELSE 8.0 END::DOUBLE AS cell, label = 0 AS missing FROM ({V.FILES_SQL}) WHERE frame BETWEEN 1 AND 399 AND frame % 3 = 1",
     "frame_last": "SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role FROM conversations GROUP BY 1",
     "cache_canonical": _CANON,
     "cache_complete": f"SELECT frame_cache_key, count(*) AS n_atoms FROM ({_CANON}) GROUP BY 1 HAVING min(atom_i) = 0 AND max(atom_i) = count(*) - 1",
     "cache_complete_turns": "SELECT conv_id AS frame_cache_key, count(*) AS n_atoms FROM conversations GROUP BY 1 HAVING min(turn) = 0 AND max(turn) = count(*) - 1",
     "cache_materialize": f"SELECT frame_ord AS frame, min(frame_ord) OVER (PARTITION BY structure_id) AS first FROM ({_DOCS})",
-    "cache_hit": f"WITH d AS ({_DOCS}) SELECT * FROM d WHERE frame_ord % 2 = 1 AND structure_id IN (SELECT structure_id FROM d WHERE frame_ord % 2 = 0)",
+    "cache_hit": f"SELECT o_orderkey AS frame_ord FROM orders JOIN (SELECT frame_cache_key, count(*) AS n FROM ({_CANON}) GROUP BY 1 HAVING min(atom_i) = 0 AND max(atom_i) = count(*) - 1) ON frame_cache_key = o_orderkey AND n = o_custkey % 7 + 1",
     "cache_miss": f"WITH d AS ({_DOCS}) SELECT * FROM d WHERE frame_ord % 2 = 1 AND structure_id NOT IN (SELECT structure_id FROM d WHERE frame_ord % 2 = 0)",
     "union_align": "SELECT p_partkey, p_brand, CAST(NULL AS DOUBLE) AS p_size FROM part UNION ALL SELECT p_partkey, NULL, CAST(p_size AS DOUBLE) FROM part",
     "unsupported": "SELECT p_brand, coalesce(string_agg(DISTINCT s, ', ' ORDER BY s) FILTER (s IN ('He', 'Ne', 'Na')), '') AS unsupported FROM (SELECT p_brand, (['H', 'He', 'C', 'Ne', 'N', 'Na', 'O'])[p_size % 7 + 1] AS s FROM part) GROUP BY 1",
     "first_failure": "SELECT vec_id AS frame, CASE label WHEN 3 THEN 'the frame has no atoms: label3#' || vec_id WHEN 5 THEN 'positions are not finite in label5#' || vec_id WHEN 7 THEN 'unsupported elements in label7#' || vec_id || ': He, Xe' END AS failure FROM embeddings",
-    "warn_skip": "SELECT 'c' || o_custkey AS source_file, CAST(count(*) FILTER (o_orderstatus <> 'P') AS BIGINT) AS kept, coalesce(string_agg('c' || o_custkey || '#' || o_orderkey, ', ' ORDER BY o_orderkey) FILTER (o_orderstatus = 'P'), '') AS listing FROM orders GROUP BY o_custkey",
+    "warn_skip": "SELECT 'label' || label AS name, count(*) AS kept FROM embeddings WHERE label <> 0 GROUP BY 1 UNION ALL SELECT 'label0#' || vec_id, 0 FROM embeddings WHERE label = 0",
     "pack_count": f"SELECT doc_id, doc_id // {PACK_GROUP} AS writer, (row_number() OVER (PARTITION BY doc_id // {PACK_GROUP} ORDER BY doc_id) - 1) // 200 AS chunk_no FROM documents",
     "pack_bytes": f"""WITH RECURSIVE d AS (SELECT doc_id, doc_id // {PACK_GROUP} AS writer, n_chars AS b, row_number() OVER (PARTITION BY doc_id // {PACK_GROUP} ORDER BY doc_id) AS i FROM documents),
 p AS (SELECT doc_id, writer, i, b AS held, 1 AS n, CAST(0 AS BIGINT) AS chunk_no FROM d WHERE i = 1 UNION ALL
 SELECT d.doc_id, d.writer, d.i, CASE WHEN n >= 20 OR held + b > 30000 THEN b ELSE held + b END, CASE WHEN n >= 20 OR held + b > 30000 THEN 1 ELSE n + 1 END, CASE WHEN n >= 20 OR held + b > 30000 THEN chunk_no + 1 ELSE chunk_no END
 FROM p JOIN d ON d.writer = p.writer AND d.i = p.i + 1) SELECT doc_id, writer, chunk_no FROM p""",
-    "result_order": f"SELECT source_file, frame, atom_i, cs_iso, CAST(row_number() OVER (PARTITION BY source_file, frame ORDER BY atom_i, element, x, y, cs_iso, cs_xx) AS INTEGER) AS place FROM ({RESULTS_SQL})",
+    "result_order": f"SELECT source_file, frame, atom_i, cs_iso, row_number() OVER (ORDER BY source_file, frame, atom_i, element, x, y, cs_iso, cs_xx) - 1 AS place FROM ({RESULTS_SQL})",
+    "results_csv": f"SELECT source_file, frame, atom_i, element, x, y, CASE frame % 5 WHEN 0 THEN NULL WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE ELSE cs_iso END AS cs_iso, cs_xx FROM ({RESULTS_SQL})",
+    "avg_per_atom": f"WITH r AS ({RESULTS_SQL}) " + _MEAN.format(w="CAST(1 + frame % 7 AS DOUBLE)"),
+    "cache_store": "SELECT CAST(l_orderkey AS VARCHAR) AS frame_cache_key, CAST(l_linenumber - 1 AS BIGINT) AS atom_i, l_extendedprice + CASE WHEN l_orderkey % 10 = 0 THEN 1 ELSE 0 END AS cs_iso FROM lineitem WHERE l_orderkey % 2 = 0",
+    "predict_run": f"SELECT part, frame, CAST(i AS BIGINT) AS atom_i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS element, round(sqrt(CAST(embedding[3 * i + 1] AS DOUBLE) ** 2 + CAST(embedding[3 * i + 2] AS DOUBLE) ** 2 + CAST(embedding[3 * i + 3] AS DOUBLE) ** 2), 5) AS cs_iso, 0 AS misses FROM (SELECT *, unnest(range(0, 21)) AS i FROM ({V.FILES_SQL}))",
+    "magres_text": """SELECT CAST(vec_id AS VARCHAR) AS structure_id, vec_id AS frame, '#$magres-abinitio-v1.0' || chr(10) || '[atoms]' || chr(10) || 'units lattice Angstrom' || chr(10) || 'lattice ' || CASE WHEN label = 0 THEN repeat('0.00000000 ', 8) || '0.00000000' ELSE '8.00000000' || repeat(' 0.00000000', 3) || ' 8.00000000' || repeat(' 0.00000000', 3) || ' 8.00000000' END || chr(10)
+|| CASE WHEN label = 0 THEN '# pbc 0 0 0' ELSE '# pbc 1 1 1' END || chr(10) || 'units atom Angstrom' || chr(10) || string_agg('atom ' || e || ' ' || e || (i + 1) || ' ' || (i + 1) || printf(' %.8f %.8f %.8f', x, y, z), chr(10) ORDER BY i) || chr(10) || '[/atoms]' || chr(10) || '[magres]' || chr(10) || 'units ms ppm' || chr(10)
+|| string_agg('ms ' || e || ' ' || (i + 1) || printf(' %.8f 0.00000000 0.00000000 0.00000000 %.8f 0.00000000 0.00000000 0.00000000 %.8f', x, x, x), chr(10) ORDER BY i) || chr(10) || '[/magres]' || chr(10) AS text
+FROM (SELECT vec_id, label, i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS e, CAST(embedding[3 * i + 1] AS DOUBLE) AS x, CAST(embedding[3 * i + 2] AS DOUBLE) AS y, CAST(embedding[3 * i + 3] AS DOUBLE) AS z FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)) GROUP BY vec_id, label""",
     "distinct_keys": "SELECT DISTINCT user_id AS cache_key, event_type AS output_format FROM events",
     "text_block": "SELECT conv_id, string_agg(role || ' ' || text, chr(10) ORDER BY turn) AS block FROM conversations GROUP BY 1",
     "counts": "SELECT role, count(DISTINCT conv_id) AS frames, count(*) AS atoms FROM conversations GROUP BY 1",

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Frames in one structure file.
+FILE_FRAMES = 500
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -45,3 +51,27 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(steps, lambda i: F.get(names, i % 4)).alias("element"), F.transform(steps, lambda i: F.struct(point(i, 0).alias("x"), point(i, 1).alias("y"), point(i, 2).alias("z"))).alias("positions"),
         cell.alias("cell"), F.when(F.col("label") == 0, F.array_repeat(F.lit(0), 3)).otherwise(F.array_repeat(F.lit(1), 3)).alias("pbc"), "label",
     )
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that the session names, or in a temporary one in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(shared or tempfile.gettempdir()).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+
+
+def structure_files(spark: SparkSession, sf_dir: str) -> str:
+    """The frames as extended XYZ files of FILE_FRAMES frames each, written by the tasks; a pattern that matches them. Frames of label 0 have no cell."""
+    atom = F.zip_with("element", "positions", lambda e, p: F.concat_ws(" ", e, p.x.cast("string"), p.y.cast("string"), p.z.cast("string")))
+    cell = F.when(F.col("label") == 0, "no cell").otherwise('Lattice="8 0 0 0 8 0 0 0 8" Properties=species:S:1:pos:R:3 pbc="T T T"')
+    text = F.concat_ws("\n", F.size("element").cast("string"), cell, F.array_join(atom, "\n"))
+    rows = frames(spark, sf_dir).select(F.floor(F.col("frame") / FILE_FRAMES).alias("part"), "frame", text.alias("text"))
+    whole = rows.groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frame", "text"))), lambda x: x.text), "\n").alias("value"))
+    path = folder(spark, "frames")
+    whole.write.partitionBy("part").text(path)
+    return f"{path}/part=*/part-*"
+
+
+#: embeddings by part and place in it, as ``structure_files`` writes them.
+FILES_SQL = f"SELECT *, vec_id // {FILE_FRAMES} AS part, row_number() OVER (PARTITION BY vec_id // {FILE_FRAMES} ORDER BY vec_id) - 1 AS frame FROM embeddings"
