@@ -1,14 +1,16 @@
 """Toxicity of restored text.
 
 A token that looks disguised (digits or signs among letters, repeated letters, letters set apart) is a noisy copy of a clean spelling. Its
-lattice has for each character the letters that it may stand for, and for each run the shorter runs; Viterbi decoding under a character
-trigram model of the corpus picks the likeliest clean spelling. Documents are then scored by restored words.
+lattice has for each character the letters that it may stand for, for each run the shorter runs, and, where letters are set apart, for each
+gap a word's end or nothing; Viterbi decoding under a character trigram model of the corpus picks the likeliest clean spelling. Accents are
+taken off before. Documents are then scored by restored words.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,14 +46,24 @@ RIDGE = 0.02
 _WORD = re.compile(r"[^\W_]+")
 _SIGN = re.compile("[" + re.escape("".join(LEET)) + "]")
 _LETTER = re.compile("[a-z]")
-_TRIPLE = re.compile(r"([a-z])\1\1")
+#: A letter three times, or two letters twice: spelling seldom has these.
+_STRETCHED = re.compile(r"([a-z])\1\1|([a-z])\2.*([a-z])\3")
+_RUN = re.compile(r"(.)\1{3,}", re.S)
 #: Signs that stand at the end of a token as punctuation do not belong to its word.
 _EDGES = ".,;:?\"'()[]{}<>=~`^%&#-_/\\!|+*"
 #: Single characters set apart, within a token by signs or over several by blanks.
-_DOTTED = re.compile(r"[a-z0-9@$!](?:[.\-_*][a-z0-9@$!]){2,24}")
-_BLANKS = re.compile(r"(?<!\S)[a-z0-9@$!](?:[ ][a-z0-9@$!]){2,24}(?!\S)")
-_GAPS = re.compile(r"[ .\-_*]+")
-LONGEST = 32
+_DOTTED = re.compile(r"[a-z0-9@$!](?:[.\-_*][a-z0-9@$!]){2,}")
+_BLANKS = re.compile(r"(?<!\S)[a-z0-9@$!](?:\s{1,3}[a-z0-9@$!]){2,}(?!\S)")
+_GAPS = re.compile(r"[\s.\-_*]+")
+#: Characters that are decoded together; what is longer is decoded piece by piece.
+PIECE = 64
+
+
+def plain(token: str) -> str:
+    """``token`` without accents and with runs of over three equal characters cut to three."""
+    if not token.isascii():
+        token = "".join(c for c in unicodedata.normalize("NFKD", token) if not unicodedata.combining(c))
+    return _RUN.sub(r"\1\1\1", token)
 
 
 @dataclass
@@ -61,17 +73,20 @@ class Decoder:
     model: np.ndarray
     known: dict[str, str] = field(default_factory=dict)
 
-    def __call__(self, token: str) -> str:
-        found = self.known.get(token)
+    def __call__(self, token: str, gaps: bool = False) -> str:
+        """The clean spelling; with ``gaps`` every place between two characters may end a word, which a blank then marks."""
+        key = " " * gaps + token
+        found = self.known.get(key)
         if found is None:
             if len(self.known) > 200_000:
                 self.known.clear()  # a cache, bounded
-            found = self.known[token] = self._decode(token)
+            found = self.known[key] = "".join(self._decode(token[k : k + PIECE], gaps) for k in range(0, len(token), PIECE))
         return found
 
-    def _decode(self, token: str) -> str:
+    def _decode(self, token: str, gaps: bool) -> str:
         model, edge = self.model, CODES[EDGE]
-        states: dict[tuple[int, int], tuple[float, str]] = {(edge, edge): (0.0, "")}
+        fresh = (edge, edge)
+        states: dict[tuple[int, int], tuple[float, str]] = {fresh: (0.0, "")}
         for at, char in enumerate(token):
             after: dict[tuple[int, int], tuple[float, str]] = {}
 
@@ -90,34 +105,48 @@ class Decoder:
                     offer((b, c), score + cost + float(model[a, b, c]), text + letter)
                     if repeat and text[-1:] == letter:
                         offer((a, b), score + (DROP if run else DROP_PAIR), text)
+            if gaps:
+                for (a, b), (score, text) in list(after.items()):
+                    if (a, b) != fresh:
+                        offer(fresh, score + float(model[a, b, edge]), text + " ")
             states = after
-        return max(((score + float(model[a, b, edge]), text) for (a, b), (score, text) in states.items()), default=(0.0, ""))[1]
+        return max(((score + (float(model[a, b, edge]) if (a, b) != fresh or not text else 0.0), text) for (a, b), (score, text) in states.items()), default=(0.0, ""))[1]
 
 
 def token_words(token: str, decode: Decoder) -> tuple[str, ...]:
     """The words of a lower-case token; a disguised token gives its plain words and the restored one."""
     core = token.strip(_EDGES)
     if core.isalpha():
-        return (core, decode(core)) if len(core) <= LONGEST and core.isascii() and _TRIPLE.search(core) else (core,)
+        base = plain(core)
+        return (core, decode(base)) if base.isascii() and _STRETCHED.search(base) else (core,)
     found = _WORD.findall(token)
-    if core.isascii() and _LETTER.search(core):
+    base = plain(token)
+    core = base.strip(_EDGES)
+    if _LETTER.search(core):
         if _DOTTED.fullmatch(core):
-            found.append(decode(_GAPS.sub("", core)))
+            found += apart(core, decode)
         else:
-            marked = token.lstrip(_EDGES).rstrip(".,;:?\"')]}>=~`^%&#-_/\\!|+*") if token[-1:] != "$" else token.lstrip(_EDGES)
-            if len(marked) <= LONGEST and _SIGN.search(marked):
+            marked = base.lstrip(_EDGES).rstrip(".,;:?\"')]}>=~`^%&#-_/\\!|+*") if base[-1:] != "$" else base.lstrip(_EDGES)
+            if _SIGN.search(marked):
                 found.append(decode(marked))
     return tuple(found)
 
 
+def apart(text: str, decode: Decoder) -> list[str]:
+    """The words of characters that were set apart: as one word, and as the likeliest words where that is several."""
+    letters = _GAPS.sub("", text)
+    several = decode(letters, gaps=True).split()
+    return [decode(letters), *(several if len(several) > 1 else [])]
+
+
 def tokens_of(text: str | None, decode: Decoder) -> Counter:
-    """The distinct tokens of the text with their counts; letters set apart by blanks are restored and added as one token."""
+    """The distinct tokens of the text with their counts; letters set apart by blanks are restored and added as tokens."""
     low = (text or "").lower()
     found = Counter(low.split())
     singles = sum(n for x, n in found.items() if len(x) == 1)
     if singles >= 3:
         for m in _BLANKS.finditer(low):
-            found[decode(_GAPS.sub("", m[0]))] += 1
+            found.update(apart(m[0], decode))
     return found
 
 

@@ -41,6 +41,47 @@ def test_disguised_words_are_restored(spark):
         assert word in toxicity.restored_words(text, decode), text
 
 
+def test_long_stretched_spaced_and_accented_words_are_restored(spark):
+    docs, _ = toxic_docs(spark)
+    decode = toxicity.Decoder(toxicity.char_model(docs))
+    for text, word in [("sn" + "a" * 60 + "rkle", "snarkle"), ("a s n a r k l e", "snarkle"), ("s  n\ta\nr k l e", "snarkle"), ("snnaarrkle", "snarkle"), ("sn\u00e4rk1e", "snarkle"), ("g r u m b o l s n a r k l e g r u m b o l s n a r k l e", "snarkle"), ("g.r.u.m.b.o.l.s.n.a.r.k.l.e.g.r.u.m.b.o.l.s.n.a.r.k.l.e", "grumbol")]:
+        assert word in toxicity.restored_words(text, decode), text
+    assert len(toxicity.restored_words("4" * 500_000 + "a " + "x1" * 100_000, decode)) > 0
+
+
+def paths(token, model, gaps):
+    """All spellings of the lattice with their scores."""
+    code, edge = toxicity.CODES, toxicity.CODES["^"]
+
+    def go(at, a, b, text, score):
+        if at == len(token):
+            yield score + (model[a, b, edge] if (a, b) != (edge, edge) or not text else 0.0), text
+            return
+        char = token[at]
+        options = [(char, toxicity.KEEP)] if char in code else [(c, toxicity.SWAP) for c in toxicity.LEET.get(char, "")]
+        steps = [(a, b, text, score + toxicity.DROP)] if not options else []
+        for letter, cost in options:
+            steps.append((b, code[letter], text + letter, score + cost + model[a, b, code[letter]]))
+            if at and token[at - 1] == char and text[-1:] == letter:
+                steps.append((a, b, text, score + (toxicity.DROP if char * 3 in token[max(at - 2, 0) : at + 3] else toxicity.DROP_PAIR)))
+        for x, y, t, s in steps:
+            yield from go(at + 1, x, y, t, s)
+            if gaps and (x, y) != (edge, edge):
+                yield from go(at + 1, edge, edge, t + " ", s + model[x, y, edge])
+
+    yield from go(0, edge, edge, "", 0.0)
+
+
+@pytest.mark.parametrize("gaps", [False, True])
+def test_decoding_finds_the_best_of_all_paths(gaps):
+    rng = np.random.default_rng(2)
+    model = np.log(rng.dirichlet(np.ones(toxicity.SIZE), (toxicity.SIZE, toxicity.SIZE)))
+    for token in ["a1b", "1*1", "aab", "abc", "$0", "x", "7ab1", "é1a"] + (["aaab1", "b**b", "1111"] if not gaps else []):
+        score, text = max(paths(token, model, gaps))
+        got = toxicity.Decoder(model)(token, gaps)
+        assert any(math.isclose(s, score, rel_tol=1e-12) for s, t in paths(token, model, gaps) if t == got), (token, text, got)
+
+
 def test_disguised_held_out_documents_score_high(spark):
     docs, labels = toxic_docs(spark)
     hidden, _ = toxic_docs(spark, lambda w: w.replace("o", "0").replace("a", "@"))
