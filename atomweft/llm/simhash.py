@@ -27,8 +27,8 @@ SEED = 42
 TILE = 4096
 #: Rows that a task compares in one batch of small buckets.
 BATCH = 1 << 16
-#: Members of a tile and rows of a batch where every pair is listed, not a forest: bounds the pairs that a task holds.
-EVERY_TILE, EVERY_BATCH = 1024, 1 << 13
+#: Members of a tile and rows of a batch where every pair is looked at, not a forest: bounds the pairs that a task holds. Shingles compared at once.
+EVERY_TILE, EVERY_BATCH, COLUMNS = 1024, 1 << 13, 4096
 #: Up to this many members all shifts of a bucket stay within neighbouring 64-bit words.
 SMALL = 64
 CHUNK = 1 << 20
@@ -297,43 +297,99 @@ def _links(rows: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int, c
     return a[e], b[e], d[e]
 
 
-def _compare(lanes: int, radius: int, least: float | None = None):
-    """Compares streams sorted by (bucket, t1, t2, rep), so that ties always break alike; whole groups are gathered up to BATCH rows."""
-    names = ["bucket", "t1", "t2", "tile", "rep", *(f"f{k}" for k in range(lanes)), *(["comp", "size"] if least is not None else [])]
-    limit = BATCH if least is None else EVERY_BATCH
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int32())])
-
-    def work(cols: dict[str, np.ndarray]) -> pa.RecordBatch:
-        rows = np.stack([cols[f"f{k}"].view(np.uint64) for k in range(lanes)], axis=1)
-        change = np.zeros(len(rows), bool)
-        for k in ("bucket", "t1", "t2"):
-            change[1:] |= cols[k][1:] != cols[k][:-1]
-        side = np.where(cols["t1"] == cols["t2"], -1, cols["tile"])
-        i, j, d = _links(rows, np.cumsum(change), side, radius, *((cols["comp"], cols["size"], least) if least is not None else ()))
-        return pa.RecordBatch.from_arrays([pa.array(cols["rep"][i]), pa.array(cols["rep"][j]), pa.array(d.astype(np.int32))], schema=schema)
+def _whole_groups(names: list[str], limit: int, work):
+    """Runs ``work`` on columns of a stream sorted by (bucket, t1, t2): whole groups, gathered up to ``limit`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {k: np.zeros(0, np.int64) for k in names}
+        held: pa.Table | None = None
         for batch in batches:
-            held = {k: np.concatenate([held[k], batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k in names}
-            n = len(held["bucket"])
-            if n >= limit:
-                change = (held["bucket"][1:] != held["bucket"][:-1]) | (held["t1"][1:] != held["t1"][:-1]) | (held["t2"][1:] != held["t2"][:-1])
-                ends = np.flatnonzero(change)
+            part = pa.Table.from_batches([batch]).select(names)
+            held = part if held is None else pa.concat_tables([held, part])
+            if held.num_rows >= limit:
+                keys = [held.column(k).to_numpy() for k in ("bucket", "t1", "t2")]
+                ends = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
                 if len(ends):
-                    yield work({k: v[: ends[-1] + 1] for k, v in held.items()})
-                    held = {k: v[ends[-1] + 1 :] for k, v in held.items()}
-        if len(held["bucket"]):
-            yield work(held)
+                    yield work(held.slice(0, ends[-1]).combine_chunks())
+                    held = held.slice(ends[-1]).combine_chunks()
+        if held is not None and held.num_rows:
+            yield work(held.combine_chunks())
 
     return run
 
 
+def _groups(cols: dict[str, np.ndarray]) -> np.ndarray:
+    change = np.zeros(len(cols["bucket"]), bool)
+    for k in ("bucket", "t1", "t2"):
+        change[1:] |= cols[k][1:] != cols[k][:-1]
+    return np.cumsum(change)
+
+
+def _compare(lanes: int, radius: int, least: float | None = None):
+    """Compares streams sorted by (bucket, t1, t2, rep), so that ties always break alike. With ``least`` the rows of each group that are within the
+    radius of one of another component come out, else the links of a forest."""
+    names = ["bucket", "t1", "t2", "tile", "rep", *(f"f{k}" for k in range(lanes)), *(["comp", "size"] if least is not None else [])]
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        cols = {k: table.column(k).to_numpy().astype(np.int64) for k in names}
+        rows = np.stack([cols[f"f{k}"].view(np.uint64) for k in range(lanes)], axis=1)
+        side = np.where(cols["t1"] == cols["t2"], -1, cols["tile"])
+        i, j, d = _links(rows, _groups(cols), side, radius, *((cols["comp"], cols["size"], least) if least is not None else ()))
+        if least is not None:
+            at = np.unique(np.r_[i, j])
+            return pa.RecordBatch.from_arrays([pa.array(cols[k][at]) for k in CLOSE], CLOSE)
+        return pa.RecordBatch.from_arrays([pa.array(cols["rep"][i]), pa.array(cols["rep"][j]), pa.array(d.astype(np.int32))], ["a", "b", "distance"])
+
+    return _whole_groups(names, BATCH if least is None else EVERY_BATCH, work)
+
+
+CLOSE = ["bucket", "t1", "t2", "tile", "rep", "comp"]
+
+
+def shared_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """The number of common elements of each two sets, by products of blocks of their incidence matrix."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times[column] > 1  # others are common to none
+    owner, column = owner[often], column[often]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], np.cumsum(np.r_[False, np.diff(column[order]) != 0]) if len(column) else column
+    common = np.zeros((m, m), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        block = np.zeros((m, COLUMNS), np.float32)
+        block[owner[a:b], column[a:b] - low] = 1
+        common += block @ block.T
+    return common
+
+
+def _verify(least: float):
+    """A forest of the links of each group of rows (CLOSE and shingles) that join different components: only verified links leave the task."""
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        cols = {k: table.column(k).to_numpy() for k in CLOSE}
+        sets = [x.values.to_numpy() for x in table.column("shingles")]
+        group = _groups(cols)
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for start, end in zip(starts := np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), np.r_[starts[1:], len(group)]):
+            own = {k: v[start:end] for k, v in cols.items()}
+            common, sizes = shared_shingles(sets[start:end]), np.array([len(x) for x in sets[start:end]])
+            link = (common >= least * (sizes[:, None] + sizes[None] - common) - 1e-6) & (own["comp"][:, None] != own["comp"][None])
+            if own["t1"][0] != own["t2"][0]:
+                link &= own["tile"][:, None] != own["tile"][None]
+            i, j = np.nonzero(np.triu(link, 1))
+            e = forest(end - start, i, j, np.zeros(len(i)))
+            out.append((own["rep"][i[e]], own["rep"][j[e]]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out)], ["a", "b"])
+
+    return _whole_groups([*CLOSE, "shingles"], EVERY_TILE, work)
+
+
 def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: int, tile: int = TILE, least: float | None = None) -> DataFrame:
     """(a, b, distance): links between rows (rep, f0, ...) of ``reps`` that share a bucket, as a spanning forest of each bucket.
 
-    With ``least`` rows also have comp and size (of the shingle set), and every pair of different components is a link whose sizes allow
-    that Jaccard similarity.
+    With ``least`` rows also have comp and size (of the shingle set), and the result is the rows (CLOSE) of each bucket and pair of tiles that are
+    within the radius of a row of another component whose size allows that Jaccard similarity.
     Buckets with one member are dropped after a grouped count; one with more than ``tile`` members is split over tasks by pairs of tiles.
     """
     spark = reps.sparkSession
@@ -354,7 +410,7 @@ def bucket_links(reps: DataFrame, tables: list[list[int]], lanes: int, radius: i
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
     rows = rows.select("bucket", "tile", "rep", *fs, other).select("bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rep", *fs)
     rows = rows.repartition(partitions(spark), "bucket", "t1", "t2").sortWithinPartitions("bucket", "t1", "t2", "rep")
-    return rows.mapInArrow(_compare(lanes, radius, least), "a bigint, b bigint, distance int")
+    return rows.mapInArrow(_compare(lanes, radius, least), "a bigint, b bigint, distance int" if least is None else ", ".join(f"{c} bigint" for c in CLOSE))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, similarity: float | None = None) -> DataFrame:
@@ -362,7 +418,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
 
     Copies cost one row each: without ``similarity`` equal fingerprints are one node and every pair within ``radius`` links; a null or
     wordless text has the fingerprint zero and links like any other. With ``similarity`` equal word sequences are one node; candidates are
-    pairs of a radius that suits it (found by sampled tables: first a forest of each bucket, then every pair whose ends the verified links leave apart), and a link counts if the shingle sets of the two texts have that Jaccard
+    pairs of a radius that suits it (found by sampled tables: first a forest of each bucket, then, inside the tasks, every pair whose ends the verified links leave apart), and a link counts if the shingle sets of the two texts have that Jaccard
     similarity. A row without doc_id gets a component if it shares its node with a row that has one, else null. Repeated rows get equal
     results.
     """
@@ -381,15 +437,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
     components = cut(connected_components(edges))
     if similarity is not None:  # a forest may have chosen pairs that fail the check in place of pairs that pass it
         apart = cut(reps.join(sized(components), F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep")))
-        more = listed(bucket_links(apart, tables, lanes, radius, EVERY_TILE, similarity))
-        more = cut(_similar(docs, more, shingle, similarity))
+        close = stored(bucket_links(apart, tables, lanes, radius, EVERY_TILE, similarity), "close")
+        sets = stored(_sets(docs, close.select(F.col("rep").alias("id")), shingle), "sets")
+        close = close.join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id").repartition(partitions(docs.sparkSession), "bucket", "t1", "t2").sortWithinPartitions("bucket", "t1", "t2", "rep")
+        more = listed(close.mapInArrow(_verify(similarity), "a bigint, b bigint"))
         components = cut(connected_components(edges.unionAll(more)))
     nodes = nodes.join(components, F.col("rep") == F.col("node"), "left").select(*node, F.coalesce("component", "rep").alias("component_id"))
     return prints.drop("size").join(nodes, node, "left")
 
 
-def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The edges whose texts have shingle sets of Jaccard similarity ``least`` or more; only texts on an edge are read into sets."""
+def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids`` (id): the sorted hashes of their distinct shingles."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,9 +457,13 @@ def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> D
                 out.append(np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in _grams(w, shingle)), np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
-    ends = edges.select(F.col("a").alias("id")).unionAll(edges.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(sized(cut(ends)), F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text")
-    found = cut(texts.mapInArrow(sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"]))
+    texts = docs.join(sized(cut(ids.distinct())), F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text")
+    return texts.mapInArrow(sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
+
+
+def _similar(docs: DataFrame, edges: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The edges whose texts have shingle sets of Jaccard similarity ``least`` or more; only texts on an edge are read into sets."""
+    found = cut(_sets(docs, edges.select(F.col("a").alias("id")).unionAll(edges.select(F.col("b").alias("id"))), shingle))
     a, b = (found.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     both = edges.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     return both.where(F.col("common") >= F.lit(least) * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")

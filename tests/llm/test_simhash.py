@@ -122,6 +122,27 @@ def test_variants_that_are_nearer_to_each_other_by_fingerprint_still_link_to_the
     assert set(want) == {0} and similar_components(spark, texts) == want
 
 
+def test_common_elements_of_sets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 9000, n)) for n in (1, 50, 3000, 3000, 8000, 7)]
+    got = S.shared_shingles(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(6) for j in range(6) if i != j)
+
+
+def test_large_families_lose_no_link_that_the_tables_hold(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for family in range(40):
+        words = [f"f{family}w{i}" for i in range(120)]
+        for copy in range(60):
+            w, n = list(words), int(rng.integers(4, 9))
+            at = int(rng.integers(0, 120 - n))
+            w[at : at + n] = [f"z{family}c{copy}k{k}" for k in range(n)]
+            texts.append(" ".join(w))
+    got, want = similar_components(spark, texts), shingle_components(texts)
+    assert sum(a != b for a, b in zip(got, want)) <= 60  # pairs that share no table
+
+
 def test_texts_that_differ_in_how_often_a_line_repeats_link(spark):
     words, line = " ".join(f"v{i}" for i in range(100)), " ".join(f"r{i}" for i in range(10))
     texts = [f"{words} {line}", words + f" {line}" * 9]
