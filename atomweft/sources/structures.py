@@ -1,4 +1,4 @@
-"""Structure files to frame rows: XYZ and extended XYZ, and VASP's POSCAR by its usual names.
+"""Structure files to frame rows: XYZ and extended XYZ, and by their names VASP's POSCAR, CIF, PDB and magres.
 
 Files are read by Spark, each parsed as a stream inside its task; a row is one selected frame. What is wrong with a file comes back as a row
 with ``error``, so that the driver can name the first failing file.
@@ -29,6 +29,11 @@ SYMBOLS = (
 NUMBERS = {s: i for i, s in enumerate(SYMBOLS, 1)}
 RAW = "source_file string, n_frames bigint, frame bigint, at bigint, numbers array<int>, element array<string>, positions array<double>, cell array<double>, pbc array<int>, error string"
 _PAIR = re.compile(r"""(\w+)\s*=\s*(?:"([^"]*)"|\{([^}]*)\}|'([^']*)'|(\S+))""")
+#: Values of a CIF text: text fields, comments (no group), quoted and bare words.
+_CIF = re.compile(r"""^;(.*?)\n;|\#[^\n]*|'([^\n]*?)'(?=\s|\Z)|"([^\n]*?)"(?=\s|\Z)|(\S+)""", re.S | re.M)
+_TERM = re.compile(r"([+-]?)(?:([xyz])|(\d+\.?\d*|\.\d+)(?:/(\d+))?)")
+#: Images of a CIF site closer than this, in fractions of the cell, are one atom.
+SAME_SITE = 1e-3
 BATCH = 500
 
 
@@ -128,11 +133,145 @@ def parse_poscar(text: str) -> Iterator[dict]:
     yield {"numbers": numbers, "element": [SYMBOLS[z - 1] for z in numbers], "positions": points.ravel().tolist(), "cell": cell.ravel().tolist(), "pbc": [1, 1, 1]}
 
 
+def _frame(symbols: list[str], points: np.ndarray, cell: np.ndarray | None) -> dict:
+    """A frame, periodic if it has a cell; deuterium counts as hydrogen."""
+    numbers = [NUMBERS["H" if s in ("D", "d") else s.capitalize()] for s in symbols]
+    cell = np.zeros(9) if cell is None else np.asarray(cell, float)
+    return {"numbers": numbers, "element": [SYMBOLS[z - 1] for z in numbers], "positions": np.asarray(points, float).ravel().tolist(), "cell": cell.ravel().tolist(), "pbc": [int(cell.any())] * 3}
+
+
+def cell_of(a: float, b: float, c: float, alpha: float, beta: float, gamma: float) -> np.ndarray:
+    """Cell vectors of lengths and angles in degrees: the first along x, the second in the plane of x and y."""
+    if not all(0 < angle < 180 for angle in (alpha, beta, gamma)):
+        raise ValueError(f"no cell has the angles {alpha}, {beta}, {gamma}")
+    x, y, z = (0.0 if abs(angle - 90) < 1e-10 else float(np.cos(np.radians(angle))) for angle in (alpha, beta, gamma))
+    sine = np.sqrt(1 - z * z)
+    up = (x - y * z) / sine
+    if not (height := 1 - y * y - up * up) > 0:
+        raise ValueError(f"no cell has the angles {alpha}, {beta}, {gamma}")
+    return np.array([[a, 0, 0], [b * z, b * sine, 0], [c * y, c * up, c * np.sqrt(height)]])
+
+
+def _cif_blocks(text: str) -> Iterator[dict[str, list[str]]]:
+    """The data blocks of a CIF text: values by lower-case name, a list for each."""
+    block: dict[str, list[str]] | None = None
+    names, loop, seen = [], False, 0
+    for m in _CIF.finditer(text):
+        if m.lastindex is None:
+            continue
+        word, bare = m[m.lastindex], m.lastindex == 4
+        low = word.lower() if bare else ""
+        if low.startswith("data_"):
+            if block is not None:
+                yield block
+            block, names = {}, []
+        elif block is None:
+            raise ValueError("a value stands before the first data block")
+        elif low == "loop_":
+            names, loop, seen = [], True, 0
+        elif low.startswith("_"):
+            if not loop or seen:
+                names, loop, seen = [], False, 0
+            names.append(low)
+            block[low] = []
+        elif names:
+            block[names[seen % len(names)]].append(word)
+            seen += 1
+    if block is not None:
+        yield block
+
+
+def symmetry_operation(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Rotation and shift of an operation such as ``-x+1/2, y, -z``."""
+    parts = text.lower().replace(" ", "").split(",")
+    if len(parts) != 3:
+        raise ValueError(f"not a symmetry operation: {text}")
+    turn, shift = np.zeros((3, 3)), np.zeros(3)
+    for k, part in enumerate(parts):
+        for sign, axis, number, below in _TERM.findall(part):
+            value = -1.0 if sign == "-" else 1.0
+            if axis:
+                turn[k, "xyz".index(axis)] += value
+            else:
+                shift[k] += value * float(number) / float(below or 1)
+    return turn, shift
+
+
+def parse_cif(text: str) -> Iterator[dict]:
+    """A frame for each data block with atom sites: every site's distinct images under the listed symmetry operations, inside the cell.
+
+    Standard uncertainties are dropped. A block of a space group other than P 1 must list its operations; occupancies are not read.
+    """
+    for block in _cif_blocks(text):
+        site = lambda name: block.get(f"_atom_site_{name}")
+        given = next((axes for kind in ("fract", "cartn") if all(axes := [site(f"{kind}_{k}") for k in "xyz"])), None)
+        if given is None:
+            continue
+        number = lambda word: float(word.partition("(")[0])
+        cell = cell_of(*(number(block[f"_cell_{n}"][0]) for n in ("length_a", "length_b", "length_c", "angle_alpha", "angle_beta", "angle_gamma")))
+        points = np.array([[number(word) for word in axis] for axis in given]).T
+        points = points if site("fract_x") else points @ np.linalg.inv(cell)
+        listed = next((block[n] for n in ("_space_group_symop_operation_xyz", "_symmetry_equiv_pos_as_xyz", "_space_group_symop.operation_xyz") if block.get(n)), None)
+        if listed is None:
+            group = next((block[n][0] for n in ("_space_group_name_h-m_alt", "_symmetry_space_group_name_h-m", "_space_group_it_number", "_symmetry_int_tables_number") if block.get(n)), "1")
+            if group.replace(" ", "").upper() not in ("P1", "1", "?", "."):
+                raise ValueError(f"the operations of the space group {group} are not listed")
+            listed = ["x,y,z"]
+        operations = [symmetry_operation(x) for x in listed]
+        symbols, images = [], []
+        for name, point in zip(site("type_symbol") or site("label"), points):
+            kept: list[np.ndarray] = []
+            for turn, shift in operations:
+                image = (turn @ point + shift) % 1.0
+                if all(np.abs(d - np.round(d)).max() > SAME_SITE for d in (image - k for k in kept)):
+                    kept.append(image)
+            images += kept
+            symbols += [re.match("[A-Z][a-z]?", name)[0]] * len(kept)
+        yield _frame(symbols, np.array(images) @ cell, cell)
+
+
+def parse_pdb(text: str) -> Iterator[dict]:
+    """A frame for each model of a PDB text, or one; CRYST1 gives the cell."""
+    cell, symbols, points = None, [], []
+    for line in [*text.splitlines(), "END"]:
+        if line.startswith("CRYST1"):
+            cell = cell_of(*(float(line[k:n]) for k, n in ((6, 15), (15, 24), (24, 33), (33, 40), (40, 47), (47, 54))))
+        elif line.startswith(("ATOM  ", "HETATM")):
+            symbols.append(line[76:78].strip() or line[12:14].strip(" 0123456789"))
+            points.append([float(line[k : k + 8]) for k in (30, 38, 46)])
+        elif line.startswith("END") and symbols:
+            yield _frame(symbols, np.array(points), cell)
+            symbols, points = [], []
+
+
+def parse_magres(text: str) -> Iterator[dict]:
+    """A frame for each block of atoms of a magres text, in Angstrom."""
+    cell, symbols, points, inside = None, [], [], False
+    for line in text.splitlines():
+        parts = line.partition("#")[0].split()
+        if not parts:
+            continue
+        if parts[0].strip("[]<>") in ("atoms", "/atoms"):
+            inside = "/" not in parts[0]
+            if not inside:
+                yield _frame(symbols, np.array(points), cell)
+            cell, symbols, points = None, [], []
+        elif inside and parts[0] == "units" and parts[1] in ("atom", "lattice") and parts[2] != "Angstrom":
+            raise ValueError(f"unit {parts[2]} of {parts[1]}")
+        elif inside and parts[0] == "lattice":
+            cell = np.array([float(x) for x in parts[1:10]]).reshape(3, 3)
+        elif inside and parts[0] == "atom":
+            symbols.append(parts[1])
+            points.append([float(x) for x in parts[-3:]])
+
+
 def parse_file(path: str, text: str) -> Iterator[dict]:
     """The frames of a file, its format told by its name."""
     name = path.rpartition("/")[2].lower()
-    poscar = name.startswith(("poscar", "contcar")) or name.endswith((".poscar", ".vasp"))
-    return parse_poscar(text) if poscar else parse_xyz(text)
+    if name.startswith(("poscar", "contcar")):
+        return parse_poscar(text)
+    known = {"poscar": parse_poscar, "vasp": parse_poscar, "cif": parse_cif, "pdb": parse_pdb, "magres": parse_magres}
+    return known.get(name.rpartition(".")[2], parse_xyz)(text)
 
 
 def _scan(selector: str):

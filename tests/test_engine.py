@@ -7,6 +7,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,52 @@ def test_poscar(spark, tmp_path):
         load_structures(spark, [write(tmp_path / "CONTCAR", "c\n1\n")])
 
 
+CIF = """data_salt
+_cell_length_a 4.0(1)
+_cell_length_b 4.0
+_cell_length_c 6.0
+_cell_angle_alpha 90
+_cell_angle_beta 90
+_cell_angle_gamma 120
+_note
+;
+loop_ in a text field
+;
+loop_
+_symmetry_equiv_pos_as_xyz
+x,y,z
+'-x, -y, z+1/2' # a comment
+loop_
+_atom_site_label
+_atom_site_type_symbol
+_atom_site_fract_x
+_atom_site_fract_y
+_atom_site_fract_z
+Na1 Na1+ 0 0 0.25(3)
+"O1'" O 0.25 0.5 1.5
+data_empty
+_cell_length_a 1
+"""
+
+
+def test_crystal_and_molecule_files(spark, tmp_path):
+    pdb = "CRYST1   10.000   11.000   12.000  90.00  90.00  90.00 P 1\n" + "".join(f"MODEL {k}\nHETATM    1  C1  LIG A   1    {k:8.3f}   2.000   3.000  1.00  0.00{e:>12}\nENDMDL\n" for k, e in ((1, "C"), (2, ""))) + "END\n"
+    magres = "#$magres-abinitio-v1.0\n[atoms]\nunits lattice Angstrom\nlattice 5 0 0 0 5 0 0 0 5\nunits atom Angstrom\natom H H 1 0.5 0 0\natom O O 1 1 1 1\n[/atoms]\n[magres]\nms H 1 1 0 0 0 1 0 0 0 1\n[/magres]\n"
+    cif, two, three = write(tmp_path / "a.cif", CIF), write(tmp_path / "b.pdb", pdb), write(tmp_path / "c.magres", magres)
+    rows = {(r.source_file, r.frame): r for r in load_structures(spark, [cif, two, three]).collect()}
+    assert sorted(rows) == [(cif, 0), (two, 0), (two, 1), (three, 0)] and all(r.pbc == [1, 1, 1] for r in rows.values())
+    salt = rows[cif, 0]
+    assert salt.element == ["Na", "Na", "O", "O"] and np.allclose(np.reshape(salt.cell, (3, 3)), [[4, 0, 0], [-2, 12**0.5, 0], [0, 0, 6]])
+    assert np.allclose([tuple(p) for p in salt.positions], [(0, 0, 1.5), (0, 0, 4.5), (0, 3**0.5, 3), (2, 3**0.5, 0)])
+    assert [tuple(rows[two, k].positions[0]) for k in (0, 1)] == [(1, 2, 3), (2, 2, 3)] and rows[two, 1].element == ["C"]
+    assert rows[three, 0].numbers == [1, 8] and tuple(rows[three, 0].positions[0]) == (0.5, 0, 0)
+    twice = CIF.replace("'-x, -y, z+1/2'", "'-x, -y, z+1'")
+    assert load_structures(spark, [write(tmp_path / "d.cif", twice)]).first().element == ["Na", "O", "O"]  # on the axis the images are one atom
+    for name, text in (("e.cif", CIF.replace("_symmetry_equiv_pos_as_xyz", "_symmetry_space_group_name_H-M")), ("f.cif", "x " + CIF), ("g.cif", CIF.replace("gamma 120", "gamma 200")), ("h.magres", magres.replace("atom Angstrom", "atom bohr")), ("i.pdb", "")):
+        with pytest.raises(InputError):
+            load_structures(spark, [write(tmp_path / name, text)])
+
+
 def test_load_structures(spark, tmp_path):
     a, b = write(tmp_path / "a.xyz", hco(cell=False), hco(2.0, cell=False)), write(tmp_path / "b.xyz", hco())
     assert resolve_inputs([str(tmp_path / "*.xyz"), a]) == sorted([a, b])
