@@ -12,7 +12,7 @@ win AS (
 rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep CROSS JOIN (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
 m AS (
-  SELECT b.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT b.doc_id, lang, source, t, coalesce(list_sum(list_transform(w, lambda x: length(x) * length(x))), 0) AS squares, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines
@@ -21,28 +21,30 @@ r AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS r1, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS r2,
          CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS r3, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS r4,
-         CASE WHEN n_lines > 0 THEN n_words / n_lines ELSE 0 END AS r6
+         CASE WHEN n_lines > 0 THEN n_words / n_lines ELSE 0 END AS r6,
+         CASE WHEN n_words > 0 THEN sqrt(greatest(0.0, squares / n_words - (word_chars / n_words) * (word_chars / n_words))) ELSE 0 END AS r7
   FROM m),
-long AS (SELECT doc_id, lang, source, unnest([1, 2, 3, 4, 5, 6]) AS k, unnest([r1, r2, r3, r4, n_words, r6]) AS x FROM r WHERE NOT base_failed),
+votes AS (SELECT DISTINCT lang, source, t, n_words, r1, r2, r3, r4, r6, r7 FROM r WHERE NOT base_failed),
+long AS (SELECT lang, source, unnest([1, 2, 3, 4, 5, 6, 7]) AS k, unnest([r1, r2, r3, r4, n_words, r6, r7]) AS x FROM votes),
 g AS (SELECT lang, source, k, list_sort(list(x)) AS s FROM long GROUP BY ALL),
 gl AS (SELECT lang, k, list_sort(list(x)) AS s FROM long GROUP BY ALL),
 ga AS (SELECT k, list_sort(list(x)) AS s FROM long GROUP BY ALL),
 pick AS (
   SELECT p.lang, p.source, ga.k,
-         CASE WHEN len(g.s) >= 50 THEN g.s WHEN len(gl.s) >= 50 THEN gl.s ELSE ga.s END AS s
+         CASE WHEN len(g.s) >= 50 THEN g.s WHEN len(gl.s) >= 50 THEN gl.s WHEN len(ga.s) >= 50 THEN ga.s END AS s
   FROM (SELECT DISTINCT lang, source FROM r) p CROSS JOIN ga
   LEFT JOIN gl ON gl.lang IS NOT DISTINCT FROM p.lang AND gl.k = ga.k
   LEFT JOIN g ON g.lang IS NOT DISTINCT FROM p.lang AND g.source IS NOT DISTINCT FROM p.source AND g.k = ga.k),
 q AS (
   SELECT lang, source, k, s[CAST(ceil(0.25 * len(s)) AS BIGINT)] AS low, s[CAST(ceil(0.5 * len(s)) AS BIGINT)] AS mid, s[CAST(ceil(0.75 * len(s)) AS BIGINT)] AS high FROM pick),
 f AS (SELECT lang, source, k, low, high FROM q WHERE k <= 4),
-n AS (SELECT lang, source, max(CASE WHEN k = 5 THEN mid END) AS words, max(CASE WHEN k = 6 THEN mid END) AS line FROM q GROUP BY ALL),
+n AS (SELECT lang, source, max(CASE WHEN k = 5 THEN mid END) AS words, max(CASE WHEN k = 6 THEN mid END) AS line, max(CASE WHEN k = 7 THEN mid END) AS spread FROM q GROUP BY ALL),
 bad AS (
   SELECT DISTINCT r.doc_id FROM r
   JOIN f ON f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source
   JOIN n ON n.lang IS NOT DISTINCT FROM r.lang AND n.source IS NOT DISTINCT FROM r.source,
   LATERAL (SELECT CASE k WHEN 1 THEN r1 WHEN 2 THEN r2 WHEN 3 THEN r3 ELSE r4 END AS x,
-                  3.0 * greatest((high - low) * sqrt(greatest(1.0, words / n_words)), CASE k WHEN 1 THEN 1.0 / n_words WHEN 2 THEN 1.0 / n_lines WHEN 3 THEN 2.0 * line / n_words ELSE 0 END) AS reach) v
+                  3.0 * greatest((high - low) * sqrt(greatest(1.0, words / n_words)), CASE k WHEN 1 THEN 1.0 / n_words WHEN 2 THEN 1.0 / n_lines WHEN 3 THEN 2.0 * line / n_words ELSE spread / sqrt(n_words) END) AS reach) v
   WHERE NOT base_failed AND (x > high + reach OR k = 4 AND x < low - reach))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept

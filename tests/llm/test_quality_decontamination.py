@@ -47,7 +47,7 @@ def test_limits_are_learnt_by_group(spark):
 def measured_rows(spark, rows):
     """Rows of (lang, source, n_words, n_symbols, word_chars) as measured ones of ten-word lines without repeats."""
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, source string, n_words bigint, n_symbols bigint, word_chars bigint")
-    ratios = {"symbol_ratio": F.col("n_symbols") / F.col("n_words"), "dup_line_ratio": F.lit(0.0), "repeat_ratio": F.lit(0.0), "word_length": F.col("word_chars") / F.col("n_words"), "line_words": F.lit(10.0)}
+    ratios = {"symbol_ratio": F.col("n_symbols") / F.col("n_words"), "dup_line_ratio": F.lit(0.0), "repeat_ratio": F.lit(0.0), "word_length": F.col("word_chars") / F.col("n_words"), "line_words": F.lit(10.0), "word_spread": F.lit(0.0)}
     return df.withColumns({"n_lines": F.ceil(F.col("n_words") / 10), "base_failed": F.lit(False), **ratios})
 
 
@@ -75,6 +75,21 @@ def test_the_groups_spread_decides_on_both_sides_and_one_event_where_there_is_no
     assert [got[i] for i in range(8)] == [[], ["symbol_ratio"], [], ["symbol_ratio"], [], ["word_length"], ["word_length"], []]
 
 
+def test_copies_of_one_text_do_not_set_the_limits(spark):
+    rng = np.random.default_rng(3)
+    clean = [(i, " ".join(f"{'abcdefghijklmnop'[:rng.integers(2, 12)]}{rng.integers(90)}" for _ in range(80 + i % 7)), "en", "a", 1) for i in range(100)]
+    odd = [(900, " ".join(["x" * 40 + str(i) for i in range(80)]), "en", "a", 1)]
+    for copies in (0, 50, 150, 400):
+        docs = spark.createDataFrame(clean + odd + [(1000 + i, *clean[7][1:]) for i in range(copies)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        kept = {r.doc_id for r in quality.quality_rules(docs).where("kept").select("doc_id").collect()}
+        assert kept == set(range(100)) | set(range(1000, 1000 + copies))
+
+
+def test_no_limits_of_too_few_rows(spark):
+    docs = spark.createDataFrame([(i, prose(i, 60), "en", "a", 1) for i in range(30)] + [(30, prose(3, 60).replace(" ", " # "), "en", "a", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert quality.quality_rules(docs).where("kept").count() == 31
+
+
 def test_keep_good_of_odd_rows(spark):
     docs = odd_docs(spark, "_id _hash kept")
     out = quality.keep_good(docs)
