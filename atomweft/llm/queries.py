@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atomweft.llm import decontamination, language_id, lm_scoring, mixing, quality, simhash, sql, suffix_dedup, toxicity, url_rules, warc
+from atomweft.llm import collocations, decontamination, fill_in_middle, language_id, lm_scoring, mixing, quality, simhash, sql, suffix_dedup, token_files, toxicity, url_rules, warc
 from atomweft.llm.common import checkpoint_dir, cut, table
 
 #: host, path, verdict
@@ -60,6 +60,24 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"), folds=7, fold=2)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{checkpoint_dir(spark)}/ids-{uuid.uuid4().hex}"
+    token_files.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.placed(token_files.read_ids(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -72,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pfair_mixing": op8_pfair_mixing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_token_files": op11_token_files,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -81,4 +102,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc_revisits": sql.WARC,
         "op6_decontamination": sql.DECONTAMINATION,
         "op7_quality_rules": sql.QUALITY,
+        "op12_fill_in_middle": sql.FILL_IN_MIDDLE,
+        "op13_collocations": sql.COLLOCATIONS,
     }

@@ -96,3 +96,40 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+FILL_IN_MIDDLE = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+d AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+         CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4
+  FROM h),
+c AS (
+  SELECT doc_id, t, w, CAST(len(w) AS BIGINT) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (SELECT doc_id, t, n, form, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:b], '') AS mid, array_to_string(w[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CAST(CASE WHEN form <> 'plain' THEN length(pre) END AS BIGINT) AS prefix_chars, CAST(CASE WHEN form <> 'plain' THEN length(mid) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda v: v <> '') AS w FROM (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+f AS (
+  SELECT lang, w[i:i + k - 1] AS g, count(*) AS c
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM p, (VALUES (1), (2), (3), (4), (5)) v(k) WHERE len(w) >= k) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, c AS a FROM f WHERE len(g) BETWEEN 2 AND 5 AND c >= 100),
+held AS (SELECT lang, s, max(a) AS most FROM (SELECT lang, a, unnest([g[2:], g[:len(g) - 1]]) AS s FROM c) GROUP BY ALL),
+kept AS (SELECT c.lang, g, a, n FROM c JOIN n USING (lang) LEFT JOIN held ON held.lang = c.lang AND s = g WHERE coalesce(most, 0) < a),
+cut AS (SELECT lang, g, a, n, k, g[1:k] AS x, g[k + 1:] AS y FROM (SELECT *, unnest(generate_series(1, len(g) - 1)) AS k FROM kept)),
+s AS (
+  SELECT cut.lang, g, a, n, k, fl.c AS l, fr.c AS r, (CAST(1000 AS HUGEINT) * a * n) // (CAST(fl.c AS HUGEINT) * fr.c) AS score
+  FROM cut JOIN f fl ON fl.lang = cut.lang AND fl.g = x JOIN f fr ON fr.lang = cut.lang AND fr.g = y),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+r AS (SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 2000
+"""

@@ -117,7 +117,7 @@ def test_pipeline_and_queries(spark):
     assert 0.5 * len(docs) < len(out) < len(docs) and len({r.doc_id for r in out}) == len(out)
     assert all(r.text == docs[r.doc_id].text or len(r.text) < len(docs[r.doc_id].text) for r in out)
     names = entry.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_stages_take_odd_and_empty_tables(spark, tmp_path):
@@ -130,7 +130,7 @@ def test_stages_take_odd_and_empty_tables(spark, tmp_path):
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="needs the test tables")
-@pytest.mark.parametrize("name", ["op2_url_rules", "op3_warc_revisits", "op6_decontamination", "op7_quality_rules"])
+@pytest.mark.parametrize("name", ["op2_url_rules", "op3_warc_revisits", "op6_decontamination", "op7_quality_rules", "op12_fill_in_middle", "op13_collocations"])
 def test_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
