@@ -127,7 +127,7 @@ held AS (SELECT lang, s, max(a) AS most FROM (SELECT lang, a, unnest([g[2:], g[:
 kept AS (SELECT c.lang, g, a, n FROM c JOIN n USING (lang) LEFT JOIN held ON held.lang = c.lang AND s = g WHERE coalesce(most, 0) < a),
 cut AS (SELECT lang, g, a, n, k, g[1:k] AS x, g[k + 1:] AS y FROM (SELECT *, unnest(generate_series(1, len(g) - 1)) AS k FROM kept)),
 s AS (
-  SELECT cut.lang, g, a, n, k, fl.c AS l, fr.c AS r, (CAST(1000 AS HUGEINT) * a * n) // (CAST(fl.c AS HUGEINT) * fr.c) AS score
+  SELECT cut.lang, cut.g, a, n, k, fl.c AS l, fr.c AS r, (CAST(1000 AS HUGEINT) * a * n) // (CAST(fl.c AS HUGEINT) * fr.c) AS score
   FROM cut JOIN f fl ON fl.lang = cut.lang AND fl.g = x JOIN f fr ON fr.lang = cut.lang AND fr.g = y),
 best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
 r AS (SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best)
