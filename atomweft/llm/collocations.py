@@ -35,7 +35,7 @@ from atomweft.llm.common import sized, stored
 LEAST, LONGEST, TOP = 100, 5, 2000
 UNKNOWN = "und"
 #: Phrases that are sent to the chunks at once, and the share of all words that the first band covers (a count of first words at least).
-NODES, SHARE = 200_000, 32
+NODES, SHARE = 200_000, 8
 CHUNK_WORDS = 1 << 20
 #: Bytes of text that are tokenised at once.
 SLICE_BYTES = 8 << 20
@@ -157,14 +157,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def tokenised(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     """(chunks, words): stored rows (lang, codes, hashes) and (lang, word, h, f), the hashes under ``seed``."""
     rows = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    chunks = stored(rows.mapInArrow(_chunks, CHUNK), "chunks")
-    each = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("lang", F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-    words = each.groupBy("lang", "word").agg(F.sum("c").alias("f"))
     for salt in range(seed, seed + 64):
         name = lambda lang, word: F.xxhash64(F.lit(salt), lang, word)  # noqa: B023, E731
-        named = stored(words.withColumn("h", name(F.col("lang"), F.col("word"))), "words")
-        if not named.groupBy("h").count().where("count > 1").limit(1).count():
-            return chunks.withColumn("hashes", F.transform("words", lambda w: name(F.col("lang"), w))).select("lang", "codes", "hashes"), named
+        chunks = stored(rows.mapInArrow(_chunks, CHUNK).withColumn("hashes", F.transform("words", lambda w: name(F.col("lang"), w))), "chunks")
+        each = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("lang", F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
+        words = stored(each.groupBy("lang", "word").agg(F.sum("c").alias("f")).withColumn("h", name(F.col("lang"), F.col("word"))), "words")
+        if not words.groupBy("h").count().where("count > 1").limit(1).count():
+            return chunks.select("lang", "codes", "hashes"), words
     raise AssertionError("words share hashes under every seed")
 
 
