@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from atomweft.functions.columns import index_payload
 from atomweft.operators.cache import canonical, compacted, manifest, pack_stream
 from atomweft.schema import INDEX
+from atomweft.sinks import write_lines
 from atomweft.sources.index_log import parse_records, read_index, read_lines
 from atomweft.sources.tables import read_csv
 
@@ -160,23 +161,22 @@ def number_or_null(name: str):
 
 
 def compact_index(spark: SparkSession, cache_dir: str | Path, remove_source_indexes: bool = False) -> dict[str, Any]:
-    """Writes the latest record of each key and format as a new index file, sorted; optionally removes the files it was read from."""
+    """Writes the latest record of each key and format as a new index file, sorted by many tasks; optionally removes the files it was read from."""
     index_dir = Path(cache_dir) / "index"
     index_dir.mkdir(parents=True, exist_ok=True)
     sources = index_files(index_dir)
     stem = f"index_compacted_{now_utc().replace('-', '').replace(':', '')}_{secrets.token_hex(2)}"
     target, scanned, kept = index_dir / f"{stem}.jsonl", 0, 0
-    written: list[str] = []
     if sources:
         records = parse_records(read_lines(spark, sources)).persist()
         scanned = records.count()
         best = compacted(records).persist()
         kept = best.count()
         if kept:
-            written = publish_lines(best.orderBy("cache_key", "output_format").select(index_payload(*FIELDS).alias("value")).coalesce(1), index_dir, stem)
+            write_lines(best.orderBy("cache_key", "output_format").select(index_payload(*FIELDS).alias("value")), target)
         records.unpersist()
         best.unpersist()
-    if not written:
+    if not kept:
         target.touch()
     removed = 0
     if remove_source_indexes:

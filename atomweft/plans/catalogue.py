@@ -16,17 +16,18 @@ from atomweft.functions.digest import structure_id
 from atomweft.operators import average, cache
 from atomweft.operators.explode import explode_atoms, explode_predictions
 from atomweft.operators.predict import FramePrediction, predict_frames
-from atomweft.operators.store import CacheStore
+from atomweft.operators.store import CacheStore, compact_index, index_files
 from atomweft.operators.validate import failure, validate_frames
 from atomweft.plans import views as V
 from atomweft.plans.views import RESULTS_SQL, table
 from atomweft.run import run_predict
 from atomweft.schema import fill_missing, required_columns
-from atomweft.sinks import magres_blocks, write_table
-from atomweft.sources.index_log import latest, rank, read_index
+from atomweft.sinks import magres_blocks, write_lines, write_magres, write_table
+from atomweft.sources.index_log import latest, rank, read_index, read_lines
 from atomweft.sources.structures import load_structures
 from atomweft.sources.tables import read_results
 
+BLOCK_LINES = 53  # of 21 atoms and a cell, with the blank line after it
 PACK_GROUP = 500  # frames that one writer packs
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +88,19 @@ def index_parse(spark, sf_dir):
     return read_index(spark, [path]).select("cache_key", "chunk_path", "seq", "written_at_utc")
 
 
+def index_compacted(spark, sf_dir):
+    """Index files of three writers, some of their lines broken, compacted into one file that is read back."""
+    path = Path(V.folder(spark, "cache"))
+    broken = F.when(F.col("seq") % 7 == 0, F.lit("{broken"))
+    line = C.index_payload("cache_key", "chunk_path", "output_format", "seq", "writer_id", "written_at_utc")
+    rows = V.index_records(spark, sf_dir).withColumns({"cache_key": F.col("cache_key").cast("string"), "chunk_path": F.col("value").cast("string"), "written_at_utc": C.format_utc(F.col("written_at").cast("timestamp"))})
+    for writer in "012":
+        write_lines(rows.where(F.col("writer_id") == writer).orderBy("seq").select(F.coalesce(broken, line).alias("value")), path / f"index/index_{writer}.jsonl")
+    done = compact_index(spark, path, remove_source_indexes=True)
+    found = read_index(spark, [done["compacted_index_file"]])
+    return found.select("cache_key", "output_format", "seq", "writer_id", "line_no", F.lit(done["scanned_records"]).cast("bigint").alias("scanned"), F.lit(len(index_files(path / "index"))).alias("files"))
+
+
 def index_write(spark, sf_dir):
     rows = V.index_records(spark, sf_dir).select(F.col("cache_key").cast("string").alias("cache_key"), "output_format", "seq", F.when(F.col("seq") % 2 == 0, F.lit("m")).alias("model_name"))
     return rows.select("seq", C.index_payload("cache_key", "model_name", "output_format", "seq").alias("line"))
@@ -316,10 +330,22 @@ def magres_text(spark, sf_dir):
     return magres_blocks(explode_atoms(frames).withColumn("cs_iso", F.col("x")), frames)
 
 
+def magres_files(spark, sf_dir):
+    """Blocks of all frames through the one file, with their places in it, and through a file for each frame, with its name."""
+    frames = V.frames(spark, sf_dir).withColumn("structure_id", F.col("frame").cast("string"))
+    results, out = explode_atoms(frames).withColumn("cs_iso", F.col("x")), V.folder(spark, "magres")
+    (one,), (folder,) = write_magres(results, out, "single", frames), write_magres(results, out, "per-frame", frames)
+    block = F.floor((F.col("line_no") - 1) / BLOCK_LINES)
+    lines = read_lines(spark, [str(one)]).withColumn("place", block).groupBy("place").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("x"))
+    text = F.concat(F.array_join(F.slice("x.line", 1, BLOCK_LINES - 1), "\n"), F.lit("\n"))
+    each = spark.read.text(str(folder), wholetext=True).select(F.lit("per-frame").alias("mode"), F.lit(None).cast("bigint").alias("place"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    return lines.select(F.lit("single").alias("mode"), "place", F.lit(None).cast("string").alias("name"), text.alias("text")).unionAll(each)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     avg_unweighted, avg_weighted, avg_nonfinite, avg_zero_weight, weights_missing, manifest_latest, manifest_probe, index_compact, index_parse, index_write, utc_text, tensor_unpack, committee_std,
     schema_fill, content_hash, structure_ids, cell_missing, frame_slice, frame_last, cache_canonical, cache_complete, cache_complete_turns, cache_materialize, cache_hit, cache_miss, union_align, unsupported, first_failure,
-    warn_skip, pack_count, pack_bytes, result_order, results_csv, avg_per_atom, cache_store, predict_run, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text,
+    warn_skip, pack_count, pack_bytes, result_order, results_csv, avg_per_atom, cache_store, predict_run, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text, magres_files, index_compacted,
 )} | {"explode_atoms": explode_rows, "cache_key": cache_keys}
 
 _MEAN = "SELECT atom_i, element, x, y, z, sum(cs_iso * w) / nullif(sum(w), 0) AS cs_iso, sum(cs_xx * w) / nullif(sum(w), 0) AS cs_xx FROM (SELECT *, {w} AS w FROM r) GROUP BY ALL HAVING sum(w) <> 0"
@@ -380,6 +406,11 @@ FROM (SELECT vec_id, label, i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS e, CAST(embe
     "predict_norms": "SELECT vec_id AS frame, CAST(i AS BIGINT) AS atom_i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS element, round(sqrt(CAST(embedding[3 * i + 1] AS DOUBLE) ** 2 + CAST(embedding[3 * i + 2] AS DOUBLE) ** 2 + CAST(embedding[3 * i + 3] AS DOUBLE) ** 2), 5) AS cs_iso FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)",
 }
 
+ORACLES["magres_files"] = f"WITH m AS ({ORACLES['magres_text']}) SELECT 'single' AS mode, row_number() OVER (ORDER BY structure_id) - 1 AS place, NULL::VARCHAR AS name, text FROM m UNION ALL SELECT 'per-frame', NULL, structure_id || '_f' || frame || '.magres', text FROM m"
+ORACLES["index_compacted"] = f"""WITH v AS (SELECT *, CAST(cache_key AS VARCHAR) AS k FROM ({_INDEX}) WHERE seq % 7 <> 0),
+b AS (SELECT k, output_format, seq, writer_id FROM v QUALIFY row_number() OVER (PARTITION BY k, output_format ORDER BY date_trunc('second', written_at) DESC, writer_id DESC, seq DESC) = 1)
+SELECT k AS cache_key, output_format, seq, writer_id, row_number() OVER (ORDER BY k, output_format) AS line_no, (SELECT count(*) FROM v) AS scanned, 1 AS files FROM b"""
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

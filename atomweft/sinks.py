@@ -1,7 +1,14 @@
-"""Single-file tables published in one step, JSON documents, and magres text."""
+"""Single-file tables published in one step, JSON documents, and magres text.
+
+A single file is still written by many tasks: they write sorted parts, running sums of the parts' sizes give each its place in the file, and tasks
+copy them there. Only names and sizes of parts reach the driver. Targets lie in a file system that all machines have mounted.
+"""
 
 from __future__ import annotations
 
+import csv
+import io
+import itertools
 import os
 import secrets
 import shutil
@@ -9,50 +16,111 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atomweft.errors import ConfigError
 from atomweft.schema import TENSOR_COLUMNS
 
+COPY_BYTES = 8 << 20
+
+
+def concatenate(spark: SparkSession, parts: list[Path], target: Path, head: bytes = b"", cut: int = 0) -> None:
+    """``head`` and the bytes of ``parts`` in order, but for the last ``cut``, as one file that appears in one step; tasks copy the parts side by side."""
+    sizes = [p.stat().st_size for p in parts]
+    places = list(itertools.accumulate(sizes, initial=len(head)))
+    staging = target.with_name(f".{target.name}.tmp-{secrets.token_hex(4)}")
+    with staging.open("wb") as f:
+        f.write(head)
+        f.truncate(places[-1])
+    at = str(staging)
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part, place in zip(batch["part"], batch["place"].tolist()):
+                with open(part, "rb") as source, open(at, "r+b") as f:
+                    f.seek(place)
+                    shutil.copyfileobj(source, f, COPY_BYTES)
+                    f.flush()
+                    os.fsync(f.fileno())
+                    yield pd.DataFrame({"end": [f.tell()]})
+
+    if parts:
+        rows = spark.createDataFrame([(str(p), n) for p, n in zip(parts, places)], "part string, place bigint")
+        copied = rows.repartitionByRange(len(parts), "place").mapInPandas(copy, "end bigint").agg(F.max("end"), F.count(F.lit(1))).first()
+        if tuple(copied) != (places[-1], len(parts)):
+            raise OSError(f"the parts of {target} were not copied whole")
+    os.truncate(staging, places[-1] - cut if parts else places[-1])
+    os.replace(staging, target)
+
+
+def _one_parquet(spark: SparkSession, parts: list[Path], target: Path) -> None:
+    """One Parquet file of the row groups of ``parts`` in order, copied as a stream by one task: row groups cannot be moved as bytes, as a file's
+    footer has their places. A single part is moved as it is."""
+    if len(parts) == 1:
+        os.replace(parts[0], target)
+        return
+    staging, names = str(target.with_name(f".{target.name}.tmp-{secrets.token_hex(4)}")), [str(p) for p in parts]
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            with pq.ParquetWriter(staging, pq.read_schema(names[0])) as writer:
+                for name in names:
+                    with pq.ParquetFile(name) as source:
+                        for k in range(source.num_row_groups):
+                            writer.write_table(source.read_row_group(k))
+            yield batch
+
+    spark.range(1).mapInPandas(copy, "id bigint").count()
+    os.replace(staging, target)
+
 
 def write_table(df: DataFrame, path: str | Path, output_format: str, order: list[str] | None = None, single_file: bool = True) -> Path:
     """Writes ``df`` in order as one file that appears in one step; with ``single_file=False`` as a range-sorted directory, for large tables.
 
-    CSV has a header, empty cells for null, and ``inf`` as text.
+    Rows are sorted and written by many tasks in both cases. CSV has a header, empty cells for null, and ``inf`` as text.
     """
     if output_format not in ("csv", "parquet"):
         raise ValueError(f"not an output format: {output_format}")
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
     staging = path.with_name(f".{path.name}.tmp-{secrets.token_hex(4)}")
+    ordered = df.orderBy(*order) if order else df
     if output_format == "csv":
         text = lambda c: F.when(F.isnan(c), None).when(F.col(c) == float("inf"), "inf").when(F.col(c) == float("-inf"), "-inf").otherwise(F.col(c).cast("string")).alias(c)
         kinds = dict(df.dtypes)
-        ordered = df.select(*df.columns)
-        shown = lambda d: d.select(*(text(c) if kinds[c] == "double" else F.col(c) for c in d.columns))
+        ordered = ordered.select(*(text(c) if kinds[c] == "double" else F.col(c) for c in df.columns))
+        ordered.write.option("header", not single_file).csv(str(staging))
     else:
-        ordered, shown = df, lambda d: d
-    if order:
-        ordered = ordered.repartition(1).sortWithinPartitions(*order) if single_file else ordered.orderBy(*order)
-    elif single_file:
-        ordered = ordered.coalesce(1)
-    writer = shown(ordered).write
-    writer.option("header", True).csv(str(staging)) if output_format == "csv" else writer.parquet(str(staging))
+        ordered.write.parquet(str(staging))
     if not single_file:
         if path.exists():
             raise ConfigError(f"the output exists: {path}")
         os.replace(staging, path)
         return path
-    parts = sorted(staging.glob("part-*"))
-    if parts:
-        os.replace(parts[0], path)
+    parts = sorted(p for p in staging.glob("part-*") if p.stat().st_size)
+    if output_format == "csv":
+        head = io.StringIO()
+        csv.writer(head, lineterminator="\n").writerow(df.columns)
+        concatenate(df.sparkSession, parts, path, head.getvalue().encode())
     else:
-        path.write_text(",".join(df.columns) + "\n" if output_format == "csv" else "")
+        _one_parquet(df.sparkSession, parts, path)
     shutil.rmtree(staging)
     return path
 
 
+def write_lines(lines: DataFrame, target: str | Path, cut: int = 0) -> Path:
+    """The one text column of ``lines`` as one file in their order, each with a line feed after it; of the end ``cut`` bytes are left out."""
+    target = Path(target)
+    staging = target.with_name(f".{target.name}.parts-{secrets.token_hex(4)}")
+    lines.write.text(str(staging))
+    concatenate(lines.sparkSession, sorted(p for p in staging.glob("part-*") if p.stat().st_size), target, cut=cut)
+    shutil.rmtree(staging)
+    return target
+
+
 def write_text(path: str | Path, text: str) -> None:
     """Writes a text file through a synced temporary file, so that readers see the old or the new one."""
     path = Path(path)
@@ -100,7 +168,8 @@ def magres_blocks(results: DataFrame, frames: DataFrame | None = None) -> DataFr
 
 
 def write_magres(results: DataFrame, outdir: str | Path, mode: str, frames: DataFrame | None = None) -> list[Path]:
-    """``none``; ``per-frame`` files under magres/, written by the tasks; or ``single``, one file of all blocks in order."""
+    """``none``; ``per-frame`` files under magres/, written by the tasks; or ``single``, one file of all blocks in order, a blank line between them.
+    Gives the file or the folder."""
     if mode == "none":
         return []
     if mode not in ("per-frame", "single"):
@@ -109,20 +178,16 @@ def write_magres(results: DataFrame, outdir: str | Path, mode: str, frames: Data
     outdir.mkdir(parents=True, exist_ok=True)
     blocks = magres_blocks(results, frames)
     if mode == "single":
-        target = outdir / "predictions.magres"
-        with target.open("w", encoding="utf-8") as f:
-            for k, row in enumerate(blocks.orderBy("structure_id", "frame").toLocalIterator()):
-                f.write(("\n" if k else "") + row.text)
-        return [target]
+        return [write_lines(blocks.orderBy("structure_id", "frame").select("text"), outdir / "predictions.magres", cut=1)]
     folder = outdir / "magres"
     folder.mkdir(parents=True, exist_ok=True)
     at = str(folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names = [f"{at}/{s}_f{n}.magres" for s, n in zip(batch["structure_id"], batch["frame"])]
-            for name, text in zip(names, batch["text"]):
-                write_text(name, text)
-            yield pd.DataFrame({"path": names})
+            for structure, frame, text in zip(batch["structure_id"], batch["frame"], batch["text"]):
+                write_text(f"{at}/{structure}_f{frame}.magres", text)
+            yield pd.DataFrame({"n": [len(batch)]})
 
-    return [Path(r.path) for r in blocks.mapInPandas(write, "path string").orderBy("path").collect()]
+    blocks.mapInPandas(write, "n bigint").agg(F.sum("n")).first()
+    return [folder]

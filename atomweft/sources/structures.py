@@ -1,11 +1,12 @@
 """Structure files to frame rows: XYZ and extended XYZ, and by their names VASP's POSCAR, CIF, PDB and magres.
 
-Files are read by Spark, each parsed as a stream inside its task; a row is one selected frame. What is wrong with a file comes back as a row
-with ``error``, so that the driver can name the first failing file.
+XYZ files are read in byte ranges by many tasks (trajectories.py), the other formats, which hold one structure or a few, file by file; a row is
+one selected frame. What is wrong with a file comes back as a row with ``error``, so that the driver can name the first failing file.
 """
 
 from __future__ import annotations
 
+import functools
 import glob
 import re
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from atomweft.errors import InputError
 from atomweft.functions.columns import missing_cell
 from atomweft.functions.digest import structure_id
+from atomweft.sources.trajectories import scan_xyz
 
 #: Element symbols in the order of their numbers, from 1.
 SYMBOLS = (
@@ -88,7 +90,9 @@ def _columns(properties: str) -> tuple[int, int, bool]:
 
 def parse_xyz(text: str) -> Iterator[dict]:
     """Frames of an XYZ text, in order."""
-    lines = text.splitlines()
+    lines = re.split("\r\n|[\r\n]", text)
+    if not lines[-1]:
+        lines.pop()
     at = 0
     while at < len(lines):
         if not lines[at].strip():
@@ -265,13 +269,13 @@ def parse_magres(text: str) -> Iterator[dict]:
             points.append([float(x) for x in parts[-3:]])
 
 
-def parse_file(path: str, text: str) -> Iterator[dict]:
-    """The frames of a file, its format told by its name."""
+def parser(path: str):
+    """What reads the frames of a file, told by its name."""
     name = path.rpartition("/")[2].lower()
     if name.startswith(("poscar", "contcar")):
-        return parse_poscar(text)
+        return parse_poscar
     known = {"poscar": parse_poscar, "vasp": parse_poscar, "cif": parse_cif, "pdb": parse_pdb, "magres": parse_magres}
-    return known.get(name.rpartition(".")[2], parse_xyz)(text)
+    return known.get(name.rpartition(".")[2], parse_xyz)
 
 
 def _scan(selector: str):
@@ -279,7 +283,7 @@ def _scan(selector: str):
 
     def rows(path: str, content: bytes) -> Iterator[dict]:
         try:
-            frames = list(parse_file(path, content.decode("utf-8")))
+            frames = list(parser(path)(content.decode("utf-8")))
             if not frames:
                 raise InputError(f"the file has no frames: {path}")
             chosen = select_frames(selector, len(frames))
@@ -309,9 +313,12 @@ def _scan(selector: str):
 
 def scan(spark: SparkSession, files: list[str], selector: str = ":") -> DataFrame:
     """A row per selected frame with the columns of RAW; a row with ``error`` per unreadable file."""
-    parse_selector(selector)
-    content = spark.read.format("binaryFile").load(files).select("path", "content")
-    return content.mapInPandas(_scan(selector), RAW)
+    chosen = parse_selector(selector)
+    long = [f for f in files if parser(f) is parse_xyz]
+    parts = [scan_xyz(spark, long, chosen, parse_xyz)] if long else []
+    if small := sorted(set(files) - set(long)):
+        parts.append(spark.read.format("binaryFile").load(small).select("path", "content").mapInPandas(_scan(selector), RAW))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def as_frames(raw: DataFrame, files: list[str]) -> DataFrame:
