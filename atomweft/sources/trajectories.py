@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 Parser = Callable[[str], Iterator[dict]]
 _LONE = re.compile(rb"\s*[+-]?\d+\s*$")
 BATCH = 500
+#: Byte ranges of files (about 150 bytes a row) that may be broadcast.
+BROADCAST_BLOCKS = 100_000
 OUTLINE = "source_file string, block bigint, started boolean, n bigint, head binary, tail binary, error string"
 FRAME = "numbers array<int>, element array<string>, positions array<double>, cell array<double>, pbc array<int>"
 NUMBERED = f"source_file string, block bigint, ord bigint, {FRAME}, error string"
@@ -159,22 +161,24 @@ def scan_xyz(spark: SparkSession, files: list[str], selector: slice | int, parse
     path = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"), "%20", " ")
     lines = spark.read.text(files).select(path.alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
     outline = lines.mapInPandas(_outline, OUTLINE).persist()  # less than a frame for each block
+    few = outline.count() <= BROADCAST_BLOCKS
     joined = outline.where("error IS NULL").groupBy("source_file").applyInPandas(_joined(parse), NUMBERED).persist()
-    counts = outline.select("source_file", "block", "n", F.lit(0).cast("bigint").alias("cut")).unionAll(joined.where("error IS NULL").groupBy("source_file", "block").agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("cut")))
-    counts = counts.groupBy("source_file", "block").agg(F.sum("n").alias("n"), F.sum("cut").alias("cut"))
-    file = W.partitionBy("source_file")
-    counts = counts.select("source_file", "block", "cut", (F.sum(F.col("n") + F.col("cut")).over(file.orderBy("block")) - F.col("n") - F.col("cut")).alias("before"), F.sum(F.col("n") + F.col("cut")).over(file).alias("n_frames"))
-    inner = lines.mapInPandas(_inner(parse), NUMBERED).join(counts, ["source_file", "block"]).withColumn("frame", F.col("before") + F.col("cut") + F.col("ord"))
-    outer = joined.join(counts, ["source_file", "block"]).withColumn("frame", F.col("before") + F.col("ord"))
-    every = inner.unionAll(outer).withColumn("at", place(selector, F.col("frame"), F.col("n_frames")))
+    zero = F.lit(0).cast("bigint")
+    counts = outline.select("source_file", "block", "n", zero.alias("cut"), F.col("error").isNotNull().alias("bad")).unionAll(joined.select("source_file", "block", zero, F.col("error").isNull().cast("bigint"), F.col("error").isNotNull()))
+    counts = counts.groupBy("source_file", "block").agg(F.sum("n").alias("n"), F.sum("cut").alias("cut"), F.max("bad").alias("bad"))
+    file, own = W.partitionBy("source_file"), F.col("n") + F.col("cut")
+    counts = counts.select("source_file", "block", "cut", (F.sum(own).over(file.orderBy("block")) - own).alias("before"), F.sum(own).over(file).alias("n_frames"), F.max("bad").over(file).alias("bad")).persist()
+    places = counts.drop("bad")
+    places = F.broadcast(places) if few else places
+    inner = lines.mapInPandas(_inner(parse), NUMBERED).join(places, ["source_file", "block"]).withColumn("frame", F.col("before") + F.col("cut") + F.col("ord"))
+    outer = joined.join(places, ["source_file", "block"]).withColumn("frame", F.col("before") + F.col("ord"))
+    rows = inner.unionAll(outer).withColumn("at", place(selector, F.col("frame"), F.col("n_frames"))).where("error IS NOT NULL OR at IS NOT NULL")
     names = ["source_file", "n_frames", "frame", "at", *(x.split()[0] for x in FRAME.split(", ")), "error"]
-    chosen = every.where("error IS NULL AND at IS NOT NULL").select(names)
-    given = spark.createDataFrame([(f,) for f in files], "source_file string").join(counts.select("source_file", "n_frames").distinct(), "source_file", "left")
     lacks = F.when(F.coalesce("n_frames", F.lit(0)) == 0, F.concat(F.lit("the file has no frames: "), "source_file"))
     if isinstance(selector, int):
         lacks = lacks.when(~F.lit(selector).between(-F.col("n_frames"), F.col("n_frames") - 1), F.concat(F.lit(f"frame {selector} is out of bounds for "), F.col("n_frames").cast("string"), F.lit(" frames")))
-    errors = outline.select("source_file", "error").unionAll(joined.select("source_file", "error")).unionAll(every.select("source_file", "error")).where("error IS NOT NULL")
-    errors = errors.unionAll(given.join(errors.select("source_file"), "source_file", "left_anti").select("source_file", lacks.alias("error"))).where("error IS NOT NULL")
-    errors = errors.groupBy("source_file").agg(F.min("error").alias("error"))
-    kinds = dict(chosen.dtypes)
-    return chosen.unionAll(errors.select("source_file", *(F.lit(None).cast(kinds[c]).alias(c) for c in names[1:-1]), "error"))
+    files_seen = counts.groupBy("source_file").agg(F.max("n_frames").alias("n_frames"), F.max("bad").alias("bad"))
+    given = spark.createDataFrame([(f,) for f in files], "source_file string").join(files_seen, "source_file", "left").where("bad IS NULL OR NOT bad")
+    given = given.select("source_file", lacks.alias("error")).where("error IS NOT NULL")
+    kinds = dict(rows.dtypes)
+    return rows.select(names).unionAll(given.select("source_file", *(F.lit(None).cast(kinds[c]).alias(c) for c in names[1:-1]), "error"))
