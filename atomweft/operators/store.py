@@ -12,15 +12,16 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from atomweft.functions.columns import index_payload
-from atomweft.operators.cache import canonical, compacted, manifest, pack_stream
+from atomweft.operators.cache import canonical, compacted, manifest
+from atomweft.operators.packing import pack_all
 from atomweft.schema import INDEX
 from atomweft.sinks import write_lines
 from atomweft.sources.index_log import parse_records, read_index, read_lines
 from atomweft.sources.tables import read_csv
+from atomweft.work import Workspace
 
 FIELDS = [x.split()[0] for x in INDEX.split(", ")]
 
@@ -112,41 +113,41 @@ class CacheStore:
         groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
         return [read_csv(self.spark, *sorted(g.files)) for g in groups]
 
-    def store(self, rows: DataFrame, chunk_size: int = 200, max_chunk_mb: float = 100.0) -> int:
+    def store(self, rows: DataFrame, chunk_size: int = 200, max_chunk_mb: float = 100.0, order: list[str] | None = None) -> int:
         """Writes result rows as chunks of whole frames, then their index lines; the number of chunks.
 
-        Frames are dealt over tasks and packed greedily in each: ``chunk_size`` frames or ``max_chunk_mb`` of row data a chunk.
+        Frames are packed greedily over all of them, by the least values of the ``order`` columns in each and then by key: ``chunk_size`` frames or
+        ``max_chunk_mb`` of row data a chunk. Lines are numbered in that order.
         """
         if "frame_cache_key" not in rows.columns:
             raise ValueError("rows to store need a frame_cache_key")
-        rows = rows.where(F.col("frame_cache_key").isNotNull())
-        width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in rows.columns)
-        sizes = rows.groupBy("frame_cache_key").agg(F.sum(width).alias("bytes")).persist()
-        n = sizes.count()
-        if not n:
-            return 0
-        self._stores += 1
-        packed = sizes.repartition(max(1, min(-(-n // (8 * chunk_size)), 10_000)), "frame_cache_key").sortWithinPartitions("frame_cache_key").withColumn("task", F.spark_partition_id())
-        packed = packed.mapInPandas(pack_stream(chunk_size, int(max_chunk_mb * (1 << 20))), "frame_cache_key string, bytes bigint, task int, chunk_no bigint, place bigint")
-        packed = packed.withColumn("chunk", F.format_string("%05d-%05d", "task", "chunk_no")).select("frame_cache_key", "chunk", "task", "place").persist()
-        tasks = packed.groupBy("task").count()  # 10 000 rows at most
-        first = tasks.select("task", (F.sum("count").over(W.orderBy("task")) - F.col("count") + F.lit(self._lines + 1)).alias("first"))
-        target = self.chunk_dir / f"chunk_{self.writer_id}_{self._stores:06d}"
-        staging = target.with_name(f".{target.name}")
-        writer = rows.join(packed.drop("task", "place"), "frame_cache_key").repartition("chunk").sortWithinPartitions("chunk", "frame_cache_key", "atom_i").write.partitionBy("chunk")
-        writer.parquet(str(staging)) if self.output_format == "parquet" else writer.option("header", True).csv(str(staging))
-        os.replace(staging, target)
-        lines = packed.join(F.broadcast(first), "task").withColumns({
-            "cache_key": F.col("frame_cache_key"), "chunk_path": F.concat(F.lit(f"{target}/chunk="), "chunk"), "output_format": F.lit(self.output_format), "writer_id": F.lit(self.writer_id),
-            "seq": F.col("first") + F.col("place"), "written_at_utc": F.lit(now_utc()), **{k: F.lit(v).cast("string") for k, v in self.model.items()},
-        }).select(index_payload(*FIELDS).alias("value"))
-        publish_lines(lines, self.index_dir, f"index_{self.writer_id}_{self._stores:06d}")
-        self._lines += n
-        chunks = packed.select("chunk").distinct().count()
-        for df in (packed, sizes, *([self._manifest] if self._manifest is not None else [])):
-            df.unpersist()
+        with Workspace(self.spark, self.cache_dir) as work:
+            rows = work.keep(rows.where(F.col("frame_cache_key").isNotNull()))
+            width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in rows.columns)
+            first = [F.min(F.struct(*order)).alias("first")] if order else []
+            sizes = rows.groupBy("frame_cache_key").agg(F.sum(width).cast("bigint").alias("bytes"), *first)
+            sizes = sizes.select("frame_cache_key", "bytes", *(F.col(f"first.{c}").alias(f"order_{i}") for i, c in enumerate(order or ())))
+            packed = pack_all(sizes, [*sizes.columns[2:], "frame_cache_key"], chunk_size, int(max_chunk_mb * (1 << 20)), work)
+            packed, seen = work.keep(packed.select("frame_cache_key", "place", "chunk_no"), n=F.count(F.lit(1)), last=F.max("chunk_no"))
+            if not seen["n"]:
+                return 0
+            self._stores += 1
+            chunk = F.format_string("%09d", "chunk_no")
+            target = self.chunk_dir / f"chunk_{self.writer_id}_{self._stores:06d}"
+            staging = target.with_name(f".{target.name}")
+            writer = rows.join(packed.select("frame_cache_key", chunk.alias("chunk")), "frame_cache_key").repartition("chunk").sortWithinPartitions("chunk", "frame_cache_key", "atom_i").write.partitionBy("chunk")
+            writer.parquet(str(staging)) if self.output_format == "parquet" else writer.option("header", True).csv(str(staging))
+            os.replace(staging, target)
+            lines = packed.withColumns({
+                "cache_key": F.col("frame_cache_key"), "chunk_path": F.concat(F.lit(f"{target}/chunk="), chunk), "output_format": F.lit(self.output_format), "writer_id": F.lit(self.writer_id),
+                "seq": F.col("place") + F.lit(self._lines + 1), "written_at_utc": F.lit(now_utc()), **{k: F.lit(v).cast("string") for k, v in self.model.items()},
+            }).select(index_payload(*FIELDS).alias("value"))
+            publish_lines(lines, self.index_dir, f"index_{self.writer_id}_{self._stores:06d}")
+        self._lines += seen["n"]
+        if self._manifest is not None:
+            self._manifest.unpersist()
         self._manifest = None
-        return chunks
+        return seen["last"] + 1
 
 
 def prepare_rows(rows: DataFrame, order) -> DataFrame:

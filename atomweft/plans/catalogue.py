@@ -15,6 +15,7 @@ from atomweft.functions import columns as C
 from atomweft.functions.digest import structure_id
 from atomweft.operators import average, cache
 from atomweft.operators.explode import explode_atoms, explode_predictions
+from atomweft.operators.packing import pack_all
 from atomweft.operators.predict import FramePrediction, predict_frames
 from atomweft.operators.store import CacheStore, compact_index, index_files
 from atomweft.operators.validate import failure, validate_frames
@@ -26,6 +27,7 @@ from atomweft.sinks import magres_blocks, write_lines, write_magres, write_table
 from atomweft.sources.index_log import latest, rank, read_index, read_lines
 from atomweft.sources.structures import load_structures
 from atomweft.sources.tables import read_results
+from atomweft.work import Workspace
 
 BLOCK_LINES = 53  # of 21 atoms and a cell, with the blank line after it
 PACK_GROUP = 500  # frames that one writer packs
@@ -255,6 +257,12 @@ def pack_bytes(spark, sf_dir):
     return cache.pack(_sizes(spark, sf_dir), "doc_id", "writer", 20, 30_000).select("doc_id", "writer", "chunk_no")
 
 
+def pack_whole(spark, sf_dir):
+    """Documents as one stream of rows packed by number and size, in blocks side by side."""
+    sizes = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("n_chars"), F.lit(0)).cast("bigint").alias("bytes"))
+    return pack_all(sizes, ["doc_id"], 20, 30_000, Workspace(spark, V.folder(spark, "packing"))).select("doc_id", "place", "chunk_no")
+
+
 def result_order(spark, sf_dir):
     """Places of rows in the one result file, written in order and read back."""
     path = write_table(V.results(spark, sf_dir), V.folder(spark, "results") + ".parquet", "parquet", ["source_file", "frame", "atom_i", "element", "x", "y", "cs_iso", "cs_xx"])
@@ -291,6 +299,15 @@ def predict_run(spark, sf_dir):
     return read_results(spark, done.output_path).select(_part(), "frame", "atom_i", "element", F.round("cs_iso", 5).alias("cs_iso"), F.lit(done.cache_misses).cast("bigint").alias("misses"))
 
 
+def run_figures(spark, sf_dir):
+    """Frames, atoms, hits and misses of two runs with one cache: every second frame first, then all, of which the first run's are found."""
+    pattern, cached, figures = V.structure_files(spark, sf_dir), Path(V.folder(spark, "cache")), []
+    for run, chosen in enumerate(("::2", ":")):
+        done = run_predict(spark, [pattern], PredictConfig(Path(V.folder(spark, "run")), device="cpu", frames=chosen, cache_dir=cached, output_format="parquet"), lambda device: Norms(), "norms", "1")
+        figures.append((run, done.frame_count, done.atom_count, done.cache_hits, done.cache_misses))
+    return spark.createDataFrame(figures, "run int, frames bigint, atoms bigint, hits bigint, misses bigint")
+
+
 def distinct_keys(spark, sf_dir):
     return V.index_records(spark, sf_dir).select("cache_key", "output_format").distinct()
 
@@ -345,7 +362,7 @@ def magres_files(spark, sf_dir):
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     avg_unweighted, avg_weighted, avg_nonfinite, avg_zero_weight, weights_missing, manifest_latest, manifest_probe, index_compact, index_parse, index_write, utc_text, tensor_unpack, committee_std,
     schema_fill, content_hash, structure_ids, cell_missing, frame_slice, frame_last, cache_canonical, cache_complete, cache_complete_turns, cache_materialize, cache_hit, cache_miss, union_align, unsupported, first_failure,
-    warn_skip, pack_count, pack_bytes, result_order, results_csv, avg_per_atom, cache_store, predict_run, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text, magres_files, index_compacted,
+    warn_skip, pack_count, pack_bytes, pack_whole, result_order, results_csv, avg_per_atom, cache_store, predict_run, run_figures, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text, magres_files, index_compacted,
 )} | {"explode_atoms": explode_rows, "cache_key": cache_keys}
 
 _MEAN = "SELECT atom_i, element, x, y, z, sum(cs_iso * w) / nullif(sum(w), 0) AS cs_iso, sum(cs_xx * w) / nullif(sum(w), 0) AS cs_xx FROM (SELECT *, {w} AS w FROM r) GROUP BY ALL HAVING sum(w) <> 0"
@@ -389,6 +406,10 @@ ORACLES: dict[str, str] = {
 p AS (SELECT doc_id, writer, i, b AS held, 1 AS n, CAST(0 AS BIGINT) AS chunk_no FROM d WHERE i = 1 UNION ALL
 SELECT d.doc_id, d.writer, d.i, CASE WHEN n >= 20 OR held + b > 30000 THEN b ELSE held + b END, CASE WHEN n >= 20 OR held + b > 30000 THEN 1 ELSE n + 1 END, CASE WHEN n >= 20 OR held + b > 30000 THEN chunk_no + 1 ELSE chunk_no END
 FROM p JOIN d ON d.writer = p.writer AND d.i = p.i + 1) SELECT doc_id, writer, chunk_no FROM p""",
+    "pack_whole": """WITH RECURSIVE d AS (SELECT doc_id, coalesce(n_chars, 0) AS b, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents),
+p AS (SELECT doc_id, place, b AS held, 1 AS n, CAST(0 AS BIGINT) AS chunk_no FROM d WHERE place = 0 UNION ALL
+SELECT d.doc_id, d.place, CASE WHEN n >= 20 OR held + b > 30000 THEN b ELSE held + b END, CASE WHEN n >= 20 OR held + b > 30000 THEN 1 ELSE n + 1 END, CASE WHEN n >= 20 OR held + b > 30000 THEN chunk_no + 1 ELSE chunk_no END
+FROM p JOIN d ON d.place = p.place + 1) SELECT doc_id, place, chunk_no FROM p""",
     "result_order": f"SELECT source_file, frame, atom_i, cs_iso, row_number() OVER (ORDER BY source_file, frame, atom_i, element, x, y, cs_iso, cs_xx) - 1 AS place FROM ({RESULTS_SQL})",
     "results_csv": f"SELECT source_file, frame, atom_i, element, x, y, CASE frame % 5 WHEN 0 THEN NULL WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE ELSE cs_iso END AS cs_iso, cs_xx FROM ({RESULTS_SQL})",
     "avg_per_atom": f"WITH r AS ({RESULTS_SQL}) " + _MEAN.format(w="CAST(1 + frame % 7 AS DOUBLE)"),
@@ -398,6 +419,8 @@ FROM p JOIN d ON d.writer = p.writer AND d.i = p.i + 1) SELECT doc_id, writer, c
 || CASE WHEN label = 0 THEN '# pbc 0 0 0' ELSE '# pbc 1 1 1' END || chr(10) || 'units atom Angstrom' || chr(10) || string_agg('atom ' || e || ' ' || e || (i + 1) || ' ' || (i + 1) || printf(' %.8f %.8f %.8f', x, y, z), chr(10) ORDER BY i) || chr(10) || '[/atoms]' || chr(10) || '[magres]' || chr(10) || 'units ms ppm' || chr(10)
 || string_agg('ms ' || e || ' ' || (i + 1) || printf(' %.8f 0.00000000 0.00000000 0.00000000 %.8f 0.00000000 0.00000000 0.00000000 %.8f', x, x, x), chr(10) ORDER BY i) || chr(10) || '[/magres]' || chr(10) AS text
 FROM (SELECT vec_id, label, i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS e, CAST(embedding[3 * i + 1] AS DOUBLE) AS x, CAST(embedding[3 * i + 2] AS DOUBLE) AS y, CAST(embedding[3 * i + 3] AS DOUBLE) AS z FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)) GROUP BY vec_id, label""",
+    "run_figures": f"""WITH f AS ({V.FILES_SQL}) SELECT 0 AS run, count(*) AS frames, 21 * count(*) AS atoms, 0 AS hits, count(*) AS misses FROM f WHERE frame % 2 = 0
+UNION ALL SELECT 1, count(*), 21 * count(*), count(*) FILTER (frame % 2 = 0), count(*) FILTER (frame % 2 = 1) FROM f""",
     "distinct_keys": "SELECT DISTINCT user_id AS cache_key, event_type AS output_format FROM events",
     "text_block": "SELECT conv_id, string_agg(role || ' ' || text, chr(10) ORDER BY turn) AS block FROM conversations GROUP BY 1",
     "counts": "SELECT role, count(DISTINCT conv_id) AS frames, count(*) AS atoms FROM conversations GROUP BY 1",

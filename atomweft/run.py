@@ -23,6 +23,7 @@ from atomweft.schema import SCHEMA_VERSION, fill_missing, required_columns
 from atomweft.sinks import write_magres, write_table
 from atomweft.sources.structures import load_structures, resolve_inputs
 from atomweft.sources.tables import file_digests
+from atomweft.work import Workspace
 
 #: Cache keys that the run record holds; of larger runs it names a table of them.
 KEYS_IN_RECORD = 100_000
@@ -67,29 +68,28 @@ def assemble(atoms: DataFrame, values: DataFrame, property_mode: str, committee:
 def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, factory: PredictorFactory | None = None, model_name: str = "model", model_version: str = "unknown", single_file: bool = True) -> RunSummary:
     """Runs ``config`` over the inputs. Frames and atoms stay distributed; only counts, warnings and the first failure reach the driver.
 
-    Equal structures are predicted once. A record of the run is written on success and failure, but not for a dry run. With
+    What a run needs more than once is written as tables that are removed at its end: a lost executor costs no prediction. Equal structures are
+    predicted once. A record of the run is written on success and failure, but not for a dry run. With
     ``single_file=False`` the results are a range-sorted directory, for runs that one task should not write.
     """
     config.outdir.mkdir(parents=True, exist_ok=True)
     timing, warnings, files, error, keys, summary = Timing(), [], [], None, [], None
     device, workers, normalized = config.device, config.workers, False
     began = time.perf_counter()
-    kept: list[DataFrame] = []
-
-    def keep(df: DataFrame) -> DataFrame:
-        kept.append(df.persist())
-        return kept[-1]
-
+    work = Workspace(spark, config.outdir)
+    keep = work.keep
     try:
         files = resolve_inputs(inputs)
-        frames, found, normalized = validate_frames(keep(load_structures(spark, files, config.frames)), config.on_warning)
+        frames, found, normalized = validate_frames(keep(load_structures(spark, files, config.frames, keep)), config.on_warning)
         warnings += found
         device = runtime_device(config.device)
         workers, found = allowed_workers(device, config.workers, config.force_multi_gpu)
         warnings += found
         mode = config.property_mode or "iso"
         output_format = resolve_output_format(config.output_format)
-        n_frames, n_atoms = frames.agg(F.count(F.lit(1)), F.sum(F.size("element"))).first()
+        key = cache_key(F.col("structure_id"), model_name, model_version, SCHEMA_VERSION, config.committee, mode)
+        frames, seen = keep(frames.withColumn("frame_cache_key", key), frames=F.count(F.lit(1)), atoms=F.sum(F.size("element")))
+        n_frames, n_atoms = seen["frames"] or 0, seen["atoms"] or 0
 
         def summed(hit: int, miss: int) -> RunSummary:
             return RunSummary(config.outdir, config.outdir / f"results.{output_format}", output_format, n_frames, n_atoms, hit, miss, device, workers, mode, config.committee, warnings, timing, keys, normalized)
@@ -98,8 +98,6 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
             timing.setup = time.perf_counter() - began
             summary = summed(0, n_frames)
             return summary
-        key = cache_key(F.col("structure_id"), model_name, model_version, SCHEMA_VERSION, config.committee, mode)
-        frames = keep(frames.withColumn("frame_cache_key", key))
         listed = frames.select("frame_cache_key").orderBy("frame_cache_key")
         if n_frames <= KEYS_IN_RECORD:
             keys = [r[0] for r in listed.collect()]
@@ -116,14 +114,14 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
                     dropped = [c for c in ("structure_id", "source_file", "frame", "element", "x", "y", "z", "_row", "chunk") if c in rows.columns]
                     cached = keep(canonical(rows.drop(*(c for c in dropped if c != "_row")), "frame_cache_key", F.col("_row")).drop("_row"))
                     hit = keep(hits(frames, cached))
-        miss = keep(misses(frames, hit))
-        n_miss = miss.count()
+        miss, seen = keep(misses(frames, hit), frames=F.count(F.lit(1)))
+        n_miss = seen["frames"] or 0
         values = cached.join(hit.select("frame_cache_key").distinct(), "frame_cache_key", "left_semi") if cached is not None else None
         with timing.part("predict"):
             if n_miss:
-                predicted = keep(_predict(miss, factory, config, device, workers, mode))
+                predicted = _predict(miss, factory, config, device, workers, mode, work)
                 if store is not None:
-                    store.store(prepare_rows(materialise(explode_atoms(miss.dropDuplicates(["frame_cache_key"]), "frame_cache_key"), predicted), F.struct("source_file", "frame")), config.chunk_size, config.cache_chunk_max_mb)
+                    store.store(prepare_rows(materialise(explode_atoms(miss.dropDuplicates(["frame_cache_key"]), "frame_cache_key"), predicted), F.struct("source_file", "frame")), config.chunk_size, config.cache_chunk_max_mb, ["source_file", "frame"])
                 values = predicted if values is None else values.unionByName(predicted, allowMissingColumns=True)
         if values is None:
             raise ValidationError("the run produced no results")
@@ -147,25 +145,22 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
             if not timing.setup:
                 timing.setup = time.perf_counter() - began
             _write_record(spark, config, summary, timing, error, files or inputs, warnings, keys, device, workers, normalized)
-        for df in kept:
-            df.unpersist()
+        work.close()
 
 
-def _predict(miss: DataFrame, factory: PredictorFactory | None, config: PredictConfig, device: str, workers: int, mode: str) -> DataFrame:
+def _predict(miss: DataFrame, factory: PredictorFactory | None, config: PredictConfig, device: str, workers: int, mode: str, work: Workspace) -> DataFrame:
     """(frame_cache_key, atom_i, measures) of one frame for each missing key, computed now so that a failure shows here."""
     if factory is None:
         raise MissingDependencyError("no predictor was given")
     frames = miss.dropDuplicates(["frame_cache_key"])
     tasks = min(-(-frames.count() // config.chunk_size), workers if device == "cuda" else 100_000)
     made = predict_frames(frames, factory, device=device, committee=config.committee, property_mode=mode, chunk_size=config.chunk_size, tasks=tasks)
-    rows = explode_predictions(made, mode in ("tensor", "both"), config.committee).persist()
     try:
-        rows.count()
+        return work.keep(explode_predictions(made, mode in ("tensor", "both"), config.committee))
     except Exception as e:
         if "ModuleNotFoundError" in str(e):
             raise MissingDependencyError(f"the predictor needs a package that is missing: {e}") from e
         raise BackendRuntimeError(f"prediction failed: {e}") from e
-    return rows
 
 
 def _write_record(spark, config, summary, timing, error, inputs, warnings, keys, device, workers, normalized) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 import glob
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -342,10 +342,10 @@ def as_frames(raw: DataFrame, files: list[str]) -> DataFrame:
     )
 
 
-def load_structures(spark: SparkSession, inputs: list[str], selector: str = ":") -> DataFrame:
-    """Frames of all inputs. The first unreadable file, or no selected frame at all, is an InputError."""
+def load_structures(spark: SparkSession, inputs: list[str], selector: str = ":", keep: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> DataFrame:
+    """Frames of all inputs. The first unreadable file, or no selected frame at all, is an InputError. ``keep`` holds the scanned rows for the caller."""
     files = resolve_inputs(inputs)
-    raw = scan(spark, files, selector).persist()
+    raw = keep(scan(spark, files, selector))
     bad = raw.where("error IS NOT NULL").select("source_file", "error").orderBy("source_file").limit(1).collect()
     if bad:
         raise InputError(bad[0].error)
