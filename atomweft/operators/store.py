@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import secrets
 import shutil
@@ -18,7 +19,7 @@ from atomweft.functions.columns import index_payload
 from atomweft.operators.cache import canonical, compacted, manifest
 from atomweft.operators.packing import pack_all
 from atomweft.schema import INDEX
-from atomweft.sinks import write_lines
+from atomweft.sinks import write_lines, write_text
 from atomweft.sources.index_log import parse_records, read_index, read_lines
 from atomweft.sources.tables import read_csv
 from atomweft.work import Workspace
@@ -39,6 +40,59 @@ def index_files(index_dir: Path) -> list[str]:
     return sorted(str(p) for p in Path(index_dir).glob("index_*.jsonl"))
 
 
+#: Bytes of index lines outside the snapshot from which a store renews it, if they also are half of those in it: so all renewals together write a
+#: small multiple of the log.
+SNAPSHOT_BYTES = 64 << 20
+
+
+def _snapshots(index_dir: Path) -> list[Path]:
+    return sorted(Path(index_dir).glob(".snapshot_*"))
+
+
+def log_parts(index_dir: Path) -> tuple[Path | None, list[str], int]:
+    """(newest snapshot that holds, index files to replay after it, bytes that it covers).
+
+    A snapshot names the index files that it was made of, with their sizes. It holds while each of them is there and has not shrunk. Files that it does not
+    know or that have grown since are replayed whole: the latest record is a maximum, to which a record may be added twice.
+    """
+    sizes = {p: os.path.getsize(p) for p in index_files(index_dir)}
+    for snapshot in reversed(_snapshots(index_dir)):
+        try:
+            covered = {str(Path(index_dir) / name): size for name, size in json.loads((snapshot / "files.json").read_text()).items()}
+        except (OSError, ValueError):
+            continue
+        if all(sizes.get(p, -1) >= size for p, size in covered.items()):
+            return snapshot, [p for p, size in sizes.items() if covered.get(p) != size], sum(covered.values())
+    return None, list(sizes), 0
+
+
+def log_records(spark: SparkSession, index_dir: Path) -> DataFrame:
+    """Records from which the latest ones follow: those of the snapshot and of the files after it."""
+    snapshot, files, _ = log_parts(index_dir)
+    tail = read_index(spark, files) if files else parse_records(spark.createDataFrame([], "index_path string, line_no bigint, line string"))
+    return tail if snapshot is None else spark.read.schema(tail.schema).parquet(str(snapshot / "records")).unionByName(tail)
+
+
+def snapshot_index(spark: SparkSession, cache_dir: str | Path) -> Path:
+    """Writes the latest record of each key and format as a new snapshot, sorted by key, from the one before and the files after it.
+
+    It appears in one step. The snapshot before stays for those who read it; older ones are removed.
+    """
+    index_dir = Path(cache_dir) / "index"
+    index_dir.mkdir(parents=True, exist_ok=True)
+    before = _snapshots(index_dir)
+    sizes = {os.path.basename(p): os.path.getsize(p) for p in index_files(index_dir)}
+    number = int(before[-1].name.split("_")[1]) + 1 if before else 0
+    target = index_dir / f".snapshot_{number:08d}_{secrets.token_hex(4)}"
+    staging = index_dir / f".staging_{target.name[1:]}"
+    compacted(log_records(spark, index_dir)).orderBy("cache_key", "output_format").write.parquet(str(staging / "records"))
+    write_text(staging / "files.json", json.dumps(sizes, sort_keys=True))
+    os.replace(staging, target)
+    for old in before[:-1]:
+        shutil.rmtree(old, ignore_errors=True)
+    return target
+
+
 def publish_lines(lines: DataFrame, index_dir: Path, stem: str) -> list[str]:
     """Writes text lines by Spark beside the index and moves each part to ``<stem>[_k].jsonl`` in one step."""
     staging = Path(index_dir) / f".{stem}-{secrets.token_hex(4)}"
@@ -70,9 +124,7 @@ class CacheStore:
     def manifest(self) -> DataFrame:
         """One record for each key; kept until the next store."""
         if self._manifest is None:
-            files = index_files(self.index_dir)
-            records = read_index(self.spark, files) if files else parse_records(self.spark.createDataFrame([], "index_path string, line_no int, line string"))
-            self._manifest = manifest(records, self.output_format).persist()
+            self._manifest = manifest(log_records(self.spark, self.index_dir), self.output_format).persist()
         return self._manifest
 
     def lookup(self, keys: DataFrame) -> DataFrame | None:
@@ -143,6 +195,9 @@ class CacheStore:
                 "seq": F.col("place") + F.lit(self._lines + 1), "written_at_utc": F.lit(now_utc()), **{k: F.lit(v).cast("string") for k, v in self.model.items()},
             }).select(index_payload(*FIELDS).alias("value"))
             publish_lines(lines, self.index_dir, f"index_{self.writer_id}_{self._stores:06d}")
+        _, files, covered = log_parts(self.index_dir)
+        if sum(os.path.getsize(f) for f in files) >= max(SNAPSHOT_BYTES, covered // 2):
+            snapshot_index(self.spark, self.cache_dir)
         self._lines += seen["n"]
         if self._manifest is not None:
             self._manifest.unpersist()

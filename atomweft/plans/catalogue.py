@@ -17,7 +17,7 @@ from atomweft.operators import average, cache
 from atomweft.operators.explode import explode_atoms, explode_predictions
 from atomweft.operators.packing import pack_all
 from atomweft.operators.predict import FramePrediction, predict_frames
-from atomweft.operators.store import CacheStore, compact_index, index_files
+from atomweft.operators.store import CacheStore, compact_index, index_files, log_parts, snapshot_index
 from atomweft.operators.validate import failure, validate_frames
 from atomweft.plans import views as V
 from atomweft.plans.views import RESULTS_SQL, table
@@ -90,14 +90,31 @@ def index_parse(spark, sf_dir):
     return read_index(spark, [path]).select("cache_key", "chunk_path", "seq", "written_at_utc")
 
 
-def index_compacted(spark, sf_dir):
-    """Index files of three writers, some of their lines broken, compacted into one file that is read back."""
-    path = Path(V.folder(spark, "cache"))
+def _write_index(spark, sf_dir, path: Path, name: str, chosen) -> None:
+    """The chosen index records as lines of an index file, a seventh of them broken."""
     broken = F.when(F.col("seq") % 7 == 0, F.lit("{broken"))
     line = C.index_payload("cache_key", "chunk_path", "output_format", "seq", "writer_id", "written_at_utc")
     rows = V.index_records(spark, sf_dir).withColumns({"cache_key": F.col("cache_key").cast("string"), "chunk_path": F.col("value").cast("string"), "written_at_utc": C.format_utc(F.col("written_at").cast("timestamp"))})
+    write_lines(rows.where(chosen).orderBy("seq").select(F.coalesce(broken, line).alias("value")), path / f"index/index_{name}.jsonl")
+
+
+def index_snapshot(spark, sf_dir):
+    """The manifest from a snapshot of the index log and the file that came after it, with the number of files that were read again."""
+    path = Path(V.folder(spark, "cache"))
+    late = F.col("seq") % 5 == 0
+    _write_index(spark, sf_dir, path, "a", ~late & (F.col("writer_id") == "0"))
+    _write_index(spark, sf_dir, path, "b", ~late & (F.col("writer_id") != "0"))
+    snapshot_index(spark, path)
+    _write_index(spark, sf_dir, path, "c", late)
+    store = CacheStore(spark, path, "click")
+    return store.manifest().select("cache_key", "output_format", "seq", "writer_id", F.lit(len(log_parts(store.index_dir)[1])).alias("replayed"))
+
+
+def index_compacted(spark, sf_dir):
+    """Index files of three writers, some of their lines broken, compacted into one file that is read back."""
+    path = Path(V.folder(spark, "cache"))
     for writer in "012":
-        write_lines(rows.where(F.col("writer_id") == writer).orderBy("seq").select(F.coalesce(broken, line).alias("value")), path / f"index/index_{writer}.jsonl")
+        _write_index(spark, sf_dir, path, writer, F.col("writer_id") == writer)
     done = compact_index(spark, path, remove_source_indexes=True)
     found = read_index(spark, [done["compacted_index_file"]])
     return found.select("cache_key", "output_format", "seq", "writer_id", "line_no", F.lit(done["scanned_records"]).cast("bigint").alias("scanned"), F.lit(len(index_files(path / "index"))).alias("files"))
@@ -362,7 +379,7 @@ def magres_files(spark, sf_dir):
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     avg_unweighted, avg_weighted, avg_nonfinite, avg_zero_weight, weights_missing, manifest_latest, manifest_probe, index_compact, index_parse, index_write, utc_text, tensor_unpack, committee_std,
     schema_fill, content_hash, structure_ids, cell_missing, frame_slice, frame_last, cache_canonical, cache_complete, cache_complete_turns, cache_materialize, cache_hit, cache_miss, union_align, unsupported, first_failure,
-    warn_skip, pack_count, pack_bytes, pack_whole, result_order, results_csv, avg_per_atom, cache_store, predict_run, run_figures, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text, magres_files, index_compacted,
+    warn_skip, pack_count, pack_bytes, pack_whole, result_order, results_csv, avg_per_atom, cache_store, predict_run, run_figures, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text, magres_files, index_compacted, index_snapshot,
 )} | {"explode_atoms": explode_rows, "cache_key": cache_keys}
 
 _MEAN = "SELECT atom_i, element, x, y, z, sum(cs_iso * w) / nullif(sum(w), 0) AS cs_iso, sum(cs_xx * w) / nullif(sum(w), 0) AS cs_xx FROM (SELECT *, {w} AS w FROM r) GROUP BY ALL HAVING sum(w) <> 0"
@@ -434,6 +451,9 @@ ORACLES["index_compacted"] = f"""WITH v AS (SELECT *, CAST(cache_key AS VARCHAR)
 b AS (SELECT k, output_format, seq, writer_id FROM v QUALIFY row_number() OVER (PARTITION BY k, output_format ORDER BY date_trunc('second', written_at) DESC, writer_id DESC, seq DESC) = 1)
 SELECT k AS cache_key, output_format, seq, writer_id, row_number() OVER (ORDER BY k, output_format) AS line_no, (SELECT count(*) FROM v) AS scanned, 1 AS files FROM b"""
 
+ORACLES["index_snapshot"] = f"""SELECT CAST(cache_key AS VARCHAR) AS cache_key, output_format, seq, writer_id, 1 AS replayed FROM ({_INDEX}) WHERE seq % 7 <> 0
+QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY (output_format = 'click') DESC, date_trunc('second', written_at) DESC, writer_id DESC, seq DESC) = 1"""
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

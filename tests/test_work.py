@@ -1,10 +1,12 @@
 """Written intermediate tables, and packing over all rows against the same packing done row by row."""
 
+import json
 import random
 
+import atomweft.operators.store
 import pytest
 from atomweft.operators.packing import pack_all
-from atomweft.operators.store import CacheStore
+from atomweft.operators.store import CacheStore, compact_index, index_files, log_parts, snapshot_index
 from atomweft.work import Workspace
 from pyspark.sql import functions as F
 
@@ -64,3 +66,38 @@ def _lines(spark, store):
     from atomweft.sources.index_log import read_index
 
     return read_index(spark, index_files(store.index_dir)).select(F.col("seq").alias("line_no"), "cache_key", "chunk_path").collect()
+
+
+def _index_line(key, path, at, form="parquet", seq=1):
+    return json.dumps({"cache_key": key, "chunk_path": path, "output_format": form, "seq": seq, "writer_id": "w", "written_at_utc": f"2024-01-{at:02d}T00:00:00Z"}) + "\n"
+
+
+def test_a_snapshot_and_the_files_after_it_give_the_whole_manifest(spark, tmp_path):
+    index = tmp_path / "index"
+    found = lambda: {r.cache_key: r.chunk_path for r in CacheStore(spark, tmp_path).manifest().collect()}
+    assert found() == {} and snapshot_index(spark, tmp_path).is_dir() and found() == {}
+    (index / "index_a.jsonl").write_text(_index_line("k", "1", 1) + _index_line("k", "2", 2, "csv") + _index_line("m", "3", 1) + "{broken")
+    first = snapshot_index(spark, tmp_path)
+    assert log_parts(index)[:2] == (first, []) and found() == {"k": "1", "m": "3"}
+    (index / "index_b.jsonl").write_text(_index_line("k", "4", 3))
+    assert log_parts(index)[1] == [str(index / "index_b.jsonl")] and found() == {"k": "4", "m": "3"}
+    with (index / "index_a.jsonl").open("a") as f:  # a line that was being written, and one more
+        f.write("\n" + _index_line("m", "5", 4))
+    assert log_parts(index)[1] == index_files(index) and found() == {"k": "4", "m": "5"}
+    second, third = snapshot_index(spark, tmp_path), snapshot_index(spark, tmp_path)
+    assert log_parts(index)[:2] == (third, []) and found() == {"k": "4", "m": "5"} and second.is_dir() and not first.exists()
+    (third / "files.json").write_text("{")  # one that cannot be read is passed over
+    assert log_parts(index)[0] == second and found() == {"k": "4", "m": "5"}
+    compact_index(spark, tmp_path, remove_source_indexes=True)  # what it was made of is gone
+    assert log_parts(index)[0] is None and found() == {"k": "4", "m": "5"}
+
+
+def test_a_store_renews_its_snapshot(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(atomweft.operators.store, "SNAPSHOT_BYTES", 1)
+    store = CacheStore(spark, tmp_path / "c")
+    rows = lambda n: spark.range(n).select(F.col("id").cast("string").alias("frame_cache_key"), F.lit(0).cast("bigint").alias("atom_i"), F.col("id").cast("double").alias("cs_iso"))
+    store.store(rows(9))
+    assert log_parts(store.index_dir)[1] == []
+    store.store(rows(1))  # less than half of what the snapshot covers
+    assert len(log_parts(store.index_dir)[1]) == 1
+    assert store.lookup(rows(20).select("frame_cache_key")).count() == 9
