@@ -454,6 +454,13 @@ SELECT k AS cache_key, output_format, seq, writer_id, row_number() OVER (ORDER B
 ORACLES["index_snapshot"] = f"""SELECT CAST(cache_key AS VARCHAR) AS cache_key, output_format, seq, writer_id, 1 AS replayed FROM ({_INDEX}) WHERE seq % 7 <> 0
 QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY (output_format = 'click') DESC, date_trunc('second', written_at) DESC, writer_id DESC, seq DESC) = 1"""
 
+_LITTLE = lambda v, n: " || ".join(f"substr(hex(({v})::BIT::BLOB), {i}, 2)" for i in range(2 * n - 1, 0, -2))
+ORACLES["structure_ids"] = f"""SELECT vec_id AS frame, sha256(encode('normalization_version=1' || chr(10) || 'numbers:(21,):<i4' || chr(10))
+|| unhex(array_to_string([{_LITTLE("[1, 6, 7, 8][i % 4 + 1]::INTEGER", 4)} for i in range(0, 21)], '')) || encode('positions:(21, 3):<f8' || chr(10))
+|| unhex(array_to_string([{_LITTLE("embedding[i]::DOUBLE", 8)} for i in range(1, 64)], '')) || encode('cell:(3, 3):<f8' || chr(10))
+|| unhex(array_to_string([{_LITTLE("(CASE WHEN label <> 0 AND i % 4 = 0 THEN 8 ELSE 0 END)::DOUBLE", 8)} for i in range(0, 9)], '')) || encode('pbc:(3,):|u1' || chr(10))
+|| unhex(CASE WHEN label = 0 THEN '000000' ELSE '010101' END)) AS structure_id FROM embeddings"""
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -40,14 +40,15 @@ class Timing:
         return {f"{k}_time_s": round(getattr(self, k), 6) for k in ("setup", "cache", "predict")}
 
 
-#: Packages whose versions a record names; "0" stands for one that is not installed.
+#: Packages whose versions a record names, and what stands for one that is not installed (a fixed value).
 NAMED = ("pyspark", "numpy", "pandas", "pyarrow")
+ABSENT = "not-installed"
 
 
 def installed() -> dict[str, str]:
     """Version by name of the packages in NAMED, from one pass over what is installed."""
     found = {name.lower(): d.version for d in importlib.metadata.distributions() if (name := d.metadata["Name"])}
-    return {p: found.get(p, "0") for p in NAMED}
+    return {p: found.get(p, ABSENT) for p in NAMED}
 
 
 def git_commit(start: Path = Path(__file__)) -> str | None:
