@@ -25,7 +25,7 @@ from atomweft.sources.structures import load_structures, resolve_inputs
 from atomweft.sources.tables import file_digests
 from atomweft.work import Workspace
 
-#: Cache keys that the run record holds; of larger runs it names a table of them.
+#: Cache keys that the driver holds for the summary. The record of a run has all of them, of larger runs written by tasks.
 KEYS_IN_RECORD = 100_000
 ORDER = ["source_file", "frame", "atom_i"]
 
@@ -73,7 +73,7 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
     ``single_file=False`` the results are a range-sorted directory, for runs that one task should not write.
     """
     config.outdir.mkdir(parents=True, exist_ok=True)
-    timing, warnings, files, error, keys, summary = Timing(), [], [], None, [], None
+    timing, warnings, files, error, keys, listed, summary = Timing(), [], [], None, [], None, None
     device, workers, normalized = config.device, config.workers, False
     began = time.perf_counter()
     work = Workspace(spark, config.outdir)
@@ -98,12 +98,10 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
             timing.setup = time.perf_counter() - began
             summary = summed(0, n_frames)
             return summary
-        listed = frames.select("frame_cache_key").orderBy("frame_cache_key")
         if n_frames <= KEYS_IN_RECORD:
-            keys = [r[0] for r in listed.collect()]
+            keys = [r[0] for r in frames.select("frame_cache_key").orderBy("frame_cache_key").collect()]
         else:
-            listed.write.mode("overwrite").parquet(str(config.outdir / "cache_keys.parquet"))
-            keys = [str(config.outdir / "cache_keys.parquet")]
+            listed = frames.select("frame_cache_key")
         timing.setup = time.perf_counter() - began
         store, cached, hit = None, None, frames.limit(0)
         if config.cache_dir is not None:
@@ -144,7 +142,7 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
         if not config.dry_run:
             if not timing.setup:
                 timing.setup = time.perf_counter() - began
-            _write_record(spark, config, summary, timing, error, files or inputs, warnings, keys, device, workers, normalized)
+            _write_record(spark, config, summary, timing, error, files or inputs, warnings, listed if listed is not None else keys, device, workers, normalized)
         work.close()
 
 
@@ -168,7 +166,7 @@ def _write_record(spark, config, summary, timing, error, inputs, warnings, keys,
     try:
         runtime = {"device": device, "workers": workers, "chunk_size": config.chunk_size, "cache_chunk_max_mb": config.cache_chunk_max_mb, "committee_enabled": config.committee}
         extra = {"error": error} if error else {}
-        record = run_record("success" if summary else "failed", timing, command="predict", args=config.command_args, config=config.as_dict(), input_files=file_digests(spark, inputs), warnings=warnings, cache_keys=sorted(keys), runtime=runtime, normalized_cell_pbc=normalized, **extra)
-        write_record(config.outdir / "run.json", record)
+        record = run_record("success" if summary else "failed", timing, command="predict", args=config.command_args, config=config.as_dict(), input_files=file_digests(spark, inputs), warnings=warnings, cache_keys=sorted(keys) if isinstance(keys, list) else [], runtime=runtime, normalized_cell_pbc=normalized, **extra)
+        write_record(config.outdir / "run.json", record, None if isinstance(keys, list) else keys)
     except Exception:
         pass

@@ -25,8 +25,8 @@ from atomweft.schema import TENSOR_COLUMNS
 COPY_BYTES = 8 << 20
 
 
-def concatenate(spark: SparkSession, parts: list[Path], target: Path, head: bytes = b"", cut: int = 0) -> None:
-    """``head`` and the bytes of ``parts`` in order, but for the last ``cut``, as one file that appears in one step; tasks copy the parts side by side."""
+def concatenate(spark: SparkSession, parts: list[Path], target: Path, head: bytes = b"", cut: int = 0, tail: bytes = b"") -> None:
+    """``head``, the bytes of ``parts`` in order but for the last ``cut``, and ``tail`` as one file that appears in one step; tasks copy the parts side by side."""
     sizes = [p.stat().st_size for p in parts]
     places = list(itertools.accumulate(sizes, initial=len(head)))
     staging = target.with_name(f".{target.name}.tmp-{secrets.token_hex(4)}")
@@ -51,6 +51,8 @@ def concatenate(spark: SparkSession, parts: list[Path], target: Path, head: byte
         if tuple(copied) != (places[-1], len(parts)):
             raise OSError(f"the parts of {target} were not copied whole")
     os.truncate(staging, places[-1] - cut if parts else places[-1])
+    with staging.open("ab") as f:
+        f.write(tail)
     os.replace(staging, target)
 
 
@@ -111,12 +113,13 @@ def write_table(df: DataFrame, path: str | Path, output_format: str, order: list
     return path
 
 
-def write_lines(lines: DataFrame, target: str | Path, cut: int = 0) -> Path:
-    """The one text column of ``lines`` as one file in their order, each with a line feed after it; of the end ``cut`` bytes are left out."""
+def write_lines(lines: DataFrame, target: str | Path, cut: int = 0, head: bytes = b"", tail: bytes = b"") -> Path:
+    """The one text column of ``lines`` as one file in their order, each with a line feed after it, between ``head`` and ``tail``; of the lines' end ``cut``
+    bytes are left out."""
     target = Path(target)
     staging = target.with_name(f".{target.name}.parts-{secrets.token_hex(4)}")
     lines.write.text(str(staging))
-    concatenate(lines.sparkSession, sorted(p for p in staging.glob("part-*") if p.stat().st_size), target, cut=cut)
+    concatenate(lines.sparkSession, sorted(p for p in staging.glob("part-*") if p.stat().st_size), target, head, cut, tail)
     shutil.rmtree(staging)
     return target
 

@@ -4,13 +4,19 @@ import json
 import random
 
 import atomweft.operators.store
+import atomweft.run
 import pytest
+from atomweft.config import PredictConfig
 from atomweft.functions.digest import structure_digest, structure_id
 from atomweft.operators.packing import pack_all
 from atomweft.operators.store import CacheStore, compact_index, index_files, log_parts, snapshot_index
+from atomweft.provenance import write_record
+from atomweft.run import run_predict
 from atomweft.work import Workspace
 from pyspark.sql import functions as F
 
+from .helpers import Ramp, hco, write
+
 
 def greedy(sizes, limit_rows, limit_bytes):
     out, no, n, held = [], 0, 0, 0
@@ -114,3 +120,19 @@ def test_the_digest_column_is_that_of_one_structure(spark):
     assert got == [structure_digest(*r) for r in rows]
     column = df.select(structure_id(F.lit(None).cast("array<int>"), "positions", "cell", "pbc").alias("s"))
     assert {r.s for r in column.collect()} == {None} and "ArrowEvalPython" not in column._jdf.queryExecution().toString()
+
+
+def test_a_large_run_has_all_keys_in_its_record(spark, tmp_path, monkeypatch):
+    """The same text as if the driver held the keys, and a run beyond KEYS_IN_RECORD has the record of one below it."""
+    record = {"a": 1, "z": [2], "cache_keys": sorted(f"{i % 40:02x}" for i in range(50))}
+    keys = spark.createDataFrame([(k,) for k in reversed(record["cache_keys"])], "k string").repartition(5)
+    write_record(tmp_path / "small.json", record)
+    write_record(tmp_path / "large.json", record, keys)
+    assert (tmp_path / "large.json").read_text() == (tmp_path / "small.json").read_text()
+    source, found = write(tmp_path / "a.xyz", hco(), hco(2.0), hco()), []
+    for name, held in (("o1", 100), ("o2", 1)):
+        monkeypatch.setattr(atomweft.run, "KEYS_IN_RECORD", held)
+        done = run_predict(spark, [source], PredictConfig(tmp_path / name, device="cpu", output_format="parquet"), Ramp)
+        found.append(json.loads((tmp_path / name / "run.json").read_text())["cache_keys"])
+    assert done.cache_keys == [] and found[0] == found[1] == sorted(found[0]) and len(found[0]) == 3
+    assert {p.name for p in (tmp_path / "o2").iterdir()} == {"results.parquet", "run.json"}
