@@ -25,14 +25,14 @@ def _static(kind: str, method: str, value: Column) -> Column:
 
 
 def double_hex(x: Column) -> Column:
-    """The eight bytes of a double, lowest first, as 16 hexadecimal digits; -0.0 and 0.0 differ."""
-    bits = _static("Double", "doubleToRawLongBits", x.cast("double")).cast("bigint")
+    """The eight bytes of a double, lowest first, as 16 hexadecimal digits; -0.0 and 0.0 differ, null is as NaN."""
+    bits = _static("Double", "doubleToRawLongBits", F.coalesce(x.cast("double"), F.lit(float("nan")))).cast("bigint")
     return F.lpad(F.hex(_static("Long", "reverseBytes", bits).cast("bigint")), 16, "0")
 
 
 def int_hex(x: Column) -> Column:
     """The four bytes of an integer, lowest first, as 8 hexadecimal digits."""
-    return F.right(F.lpad(F.hex(_static("Integer", "reverseBytes", x.cast("int")).cast("bigint")), 16, "0"), F.lit(8))
+    return F.right(F.lpad(F.hex(_static("Integer", "reverseBytes", F.coalesce(x.cast("int"), F.lit(0))).cast("bigint")), 16, "0"), F.lit(8))
 
 
 def byte_hex(x: Column) -> Column:
@@ -40,12 +40,13 @@ def byte_hex(x: Column) -> Column:
 
 
 def structure_id(numbers: str | Column, positions: str | Column, cell: str | Column, pbc: str | Column) -> Column:
-    """``structure_digest`` as a column, null if an array is. ``positions`` is a flat array x0, y0, z0, x1, ...; cell and pbc are normalised before."""
+    """``structure_digest`` as a column, null if an array is or if ``numbers`` or ``pbc`` hold a null. ``positions`` is a flat array x0, y0, z0, x1, ...; cell and pbc are normalised before."""
     numbers, positions, cell, pbc = (F.col(c) if isinstance(c, str) else c for c in (numbers, positions, cell, pbc))
     size = lambda c: F.size(c).cast("string")
     text = lambda *parts: F.encode(F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts)), "UTF-8")
     raw = lambda c, digits: F.unhex(F.array_join(F.transform(c, digits), ""))
-    return F.sha2(
+    whole = ~F.exists(numbers, lambda x: x.isNull()) & ~F.exists(pbc, lambda x: x.isNull())
+    hashed = F.sha2(
         F.concat(
             text(f"normalization_version={NORMALIZATION_VERSION}\nnumbers:(", size(numbers), ",):<i4\n"),
             raw(numbers, int_hex),
@@ -58,3 +59,4 @@ def structure_id(numbers: str | Column, positions: str | Column, cell: str | Col
         ),
         256,
     )
+    return F.when(whole, hashed)

@@ -5,6 +5,7 @@ import random
 
 import atomweft.operators.store
 import atomweft.run
+import numpy as np
 import pytest
 from atomweft.config import PredictConfig
 from atomweft.functions.digest import structure_digest, structure_id
@@ -111,13 +112,14 @@ def test_a_store_renews_its_snapshot(spark, tmp_path, monkeypatch):
 
 
 def test_the_digest_column_is_that_of_one_structure(spark):
-    """Signs of zero, the least and greatest doubles, no atoms; null arrays give null."""
+    """Signs of zero, the least and greatest doubles, no atoms, nulls and NaN; null arrays and null integers give null."""
     odd = [0.0, -0.0, 1.5, -1.1, 5e-324, -2.2250738585072014e-308, 1.7976931348623157e308, 1e-7, 123456.789]
     cell, pbc = [float(i) / 3 for i in range(9)], [1, 0, 1]
-    rows = [([1, 118, 6], odd, cell, pbc), ([], [], [0.0] * 9, [0, 0, 0]), ([-1, 2**31 - 1, 256], odd[::-1], odd, [255, 1, 0])]
+    rows = [([1, 118, 6], odd, cell, pbc), ([], [], [0.0] * 9, [0, 0, 0]), ([-1, 2**31 - 1, 256], odd[::-1], odd, [255, 1, 0]), ([1], [None, float("nan"), 0.0], cell, pbc)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, numbers array<int>, positions array<double>, cell array<double>, pbc array<int>")
     got = [r.s for r in df.select("i", structure_id("numbers", "positions", "cell", "pbc").alias("s")).orderBy("i").collect()]
-    assert got == [structure_digest(*r) for r in rows]
+    assert got == [structure_digest(n, np.array(p, "f8"), c, b) for n, p, c, b in rows]
+    assert df.select(structure_id(F.array(F.lit(None).cast("int")), "positions", "cell", "pbc").alias("s")).distinct().collect() == [(None,)]
     column = df.select(structure_id(F.lit(None).cast("array<int>"), "positions", "cell", "pbc").alias("s"))
     assert {r.s for r in column.collect()} == {None} and "ArrowEvalPython" not in column._jdf.queryExecution().toString()
 
