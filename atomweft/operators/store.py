@@ -7,12 +7,12 @@ import os
 import secrets
 import shutil
 import socket
+from collections.abc import Callable
 from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atomweft.functions.columns import index_payload
@@ -20,18 +20,13 @@ from atomweft.operators.cache import canonical, compacted, manifest
 from atomweft.operators.packing import pack_all
 from atomweft.schema import INDEX
 from atomweft.sinks import write_lines, write_text
+from atomweft.sources.chunks import read_chunks
 from atomweft.sources.index_log import parse_records, read_index, read_lines
-from atomweft.sources.tables import read_csv
 from atomweft.work import Workspace
 
 FIELDS = [x.split()[0] for x in INDEX.split(", ")]
 
 
-def local_path() -> Column:
-    """The path of a row's file as the index has it."""
-    return F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"), "%20", " ")
-
-
 def now_utc() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
@@ -127,21 +122,17 @@ class CacheStore:
             self._manifest = manifest(log_records(self.spark, self.index_dir), self.output_format).persist()
         return self._manifest
 
-    def lookup(self, keys: DataFrame) -> DataFrame | None:
-        """Cached rows of the keys (frame_cache_key) with their order ``_row``, or None. Only chunks that a key points to are opened.
+    def wanted(self, keys: DataFrame) -> DataFrame:
+        """(frame_cache_key, chunk_path, output_format) of the keys that the index knows."""
+        known = self.manifest().select(F.col("cache_key").alias("frame_cache_key"), "chunk_path", "output_format")
+        return keys.select("frame_cache_key").distinct().join(known, "frame_cache_key")
+
+    def lookup(self, keys: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame | None:
+        """Cached rows of the keys (frame_cache_key) with their order ``_row``, or None. Only chunks that a key points to are opened, by the tasks.
 
-        A key whose chunk is gone or unreadable has no rows, even if an older record has.
+        A key whose chunk is gone or unreadable has no rows, even if an older record has. ``keep`` may write the wanted keys, which are read twice.
         """
-        wanted = keys.select("frame_cache_key").distinct().join(self.manifest().withColumnRenamed("cache_key", "frame_cache_key"), "frame_cache_key")
-        chunks = wanted.select("chunk_path", "output_format").distinct().collect()  # the files to read, which Spark lists on the driver anyway
-        beside = {parent: set(os.listdir(parent)) if os.path.isdir(parent) else set() for parent in {os.path.dirname(c.chunk_path) for c in chunks}}
-        parts = []
-        for form in sorted({c.output_format for c in chunks}):
-            paths = [c.chunk_path for c in chunks if c.output_format == form and os.path.basename(c.chunk_path) in beside[os.path.dirname(c.chunk_path)]]
-            there = wanted.where(F.col("output_format") == form).select("frame_cache_key", "chunk_path")
-            for rows in (self._parquet(paths) if form == "parquet" else self._csv(paths)) if paths else ():
-                rows = rows.select("*", local_path().alias("_file"), F.monotonically_increasing_id().alias("_row"))
-                parts.append(rows.join(there, [rows.frame_cache_key == there.frame_cache_key, rows._file.startswith(there.chunk_path)], "left_semi").drop("_file"))
+        parts = read_chunks(keep(self.wanted(keys)))
         if not parts:
             return None
         found = parts[0]
@@ -149,22 +140,6 @@ class CacheStore:
             found = found.unionByName(part, allowMissingColumns=True)
         return found
 
-    def _parquet(self, paths: list[str]) -> list[DataFrame]:
-        """All chunks in one scan under their merged schema; broken files and chunks without keys have no rows."""
-        reader = self.spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-        try:
-            rows = reader.parquet(*paths)
-        except AnalysisException:  # no chunk has a readable schema
-            return []
-        return [rows] if "frame_cache_key" in rows.columns else []
-
-    def _csv(self, paths: list[str]) -> list[DataFrame]:
-        """One scan for each distinct header that names a key; the headers are found by the tasks."""
-        lines = self.spark.read.option("ignoreCorruptFiles", True).text(paths).where(F.col("value").contains("frame_cache_key"))
-        heads = lines.groupBy(local_path().alias("file")).agg(F.first("value").alias("head"))
-        groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
-        return [read_csv(self.spark, *sorted(g.files)) for g in groups]
-
     def store(self, rows: DataFrame, chunk_size: int = 200, max_chunk_mb: float = 100.0, order: list[str] | None = None) -> int:
         """Writes result rows as chunks of whole frames, then their index lines; the number of chunks.
 

@@ -107,7 +107,7 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
         if config.cache_dir is not None:
             with timing.part("cache"):
                 store = CacheStore(spark, config.cache_dir, output_format, model_name, model_version, SCHEMA_VERSION)
-                rows = store.lookup(frames)
+                rows = store.lookup(frames, keep)
                 if rows is not None and "atom_i" in rows.columns:
                     dropped = [c for c in ("structure_id", "source_file", "frame", "element", "x", "y", "z", "_row", "chunk") if c in rows.columns]
                     cached = keep(canonical(rows.drop(*(c for c in dropped if c != "_row")), "frame_cache_key", F.col("_row")).drop("_row"))
