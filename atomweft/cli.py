@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
-import importlib
 import json
 import subprocess
 import sys
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 from atomweft import __version__
 from atomweft.config import build_config
 from atomweft.errors import BackendRuntimeError, ConfigError, MissingDependencyError, PipelineError, ValidationError
@@ -64,16 +65,6 @@ def average_output(path: Path, requested: str) -> tuple[Path, str]:
     return (path if known else path.with_suffix(f".{target}")), target
 
 
-def load_factory(path: str | None):
-    if not path:
-        return None
-    module, _, name = path.partition(":")
-    try:
-        return getattr(importlib.import_module(module), name)
-    except ModuleNotFoundError as e:
-        raise MissingDependencyError(f"the predictor cannot be imported: {e}") from e
-
-
 def _session():
     from atomweft.session import get_session
 
@@ -82,47 +73,55 @@ def _session():
     return session
 
 
-def info(_: argparse.Namespace) -> None:
-    show({"tool": "atomweft", "version": __version__, "schema_version": SCHEMA_VERSION, "backend": "pluggable", "notes": ["Elements are checked before prediction.", "Committee runs predict isotropic values unless a property is given.", "Rows are in order of source_file, frame, atom_i."]})
+def info(_: argparse.Namespace, spark: SparkSession | None = None) -> dict[str, Any]:
+    return {"tool": "atomweft", "version": __version__, "schema_version": SCHEMA_VERSION, "backend": "pluggable", "notes": ["Elements are checked before prediction.", "Committee runs predict isotropic values unless a property is given.", "Rows are in order of source_file, frame, atom_i."]}
 
 
-def predict(args: argparse.Namespace) -> None:
+def predict(args: argparse.Namespace, spark: SparkSession | None = None) -> dict[str, Any]:
     from atomweft.run import run_predict
 
-    given = {k: v for k, v in vars(args).items() if k not in ("command", "inputs", "out", "config", "predictor")}
-    config = build_config(args.out, given, args.config)
-    s = run_predict(_session(), args.inputs, config, load_factory(args.predictor))
+    config = build_config(args.out, {k: v for k, v in vars(args).items() if k not in ("command", "inputs", "out", "config")}, args.config)
+    s = run_predict(spark or _session(), args.inputs, config)
     shared = {"device": s.device, "workers": s.workers, "committee_enabled": s.committee_enabled, "warnings": s.warnings}
     if config.dry_run:
-        show(shared | {"dry_run": True, "outdir": str(s.outdir), "frame_count": s.frame_count, "atom_count": s.atom_count, "property_mode": s.property_mode})
-    else:
-        show(shared | {"status": "ok", "output": str(s.output_path), "format": s.output_format, "frames": s.frame_count, "atoms": s.atom_count, "cache_hits": s.cache_hits, "cache_misses": s.cache_misses, "timings": s.timings.as_dict()})
+        return shared | {"dry_run": True, "outdir": str(s.outdir), "frame_count": s.frame_count, "atom_count": s.atom_count, "property_mode": s.property_mode}
+    return shared | {"status": "ok", "output": str(s.output_path), "format": s.output_format, "frames": s.frame_count, "atoms": s.atom_count, "cache_hits": s.cache_hits, "cache_misses": s.cache_misses, "timings": s.timings.as_dict()}
 
 
-def average(args: argparse.Namespace) -> None:
+def average(args: argparse.Namespace, spark: SparkSession | None = None) -> dict[str, Any]:
     from atomweft.operators.average import KEYS, average_per_atom
     from atomweft.sinks import write_table
     from atomweft.sources.tables import load_weights, read_results, weights_frame
 
     path, form = average_output(args.out, args.format)
-    spark = _session()
+    spark = spark or _session()
     table = read_results(spark, args.results)
     weights = load_weights(args.weights) if args.weights else None
     averaged = average_per_atom(table, weights_frame(spark, weights) if weights else None).persist()
     write_table(averaged, path, form, KEYS)
-    show({"status": "ok", "input": str(args.results), "output": str(path), "format": form, "rows": averaged.count(), "weights_applied": bool(weights)})
+    rows = averaged.count()
+    averaged.unpersist()
+    return {"status": "ok", "input": str(args.results), "output": str(path), "format": form, "rows": rows, "weights_applied": bool(weights)}
 
 
-def cache_compact(args: argparse.Namespace) -> None:
+def cache_compact(args: argparse.Namespace, spark: SparkSession | None = None) -> dict[str, Any]:
     from atomweft.operators.store import compact_index
 
-    show({"status": "ok", **compact_index(_session(), args.cache_dir, args.remove_source_indexes)})
+    return {"status": "ok", **compact_index(spark or _session(), args.cache_dir, args.remove_source_indexes)}
 
 
-def main(argv: list[str] | None = None) -> int:
+COMMANDS = {"info": info, "predict": predict, "average": average, "cache-compact": cache_compact}
+
+
+def run_command(argv: list[str], spark: SparkSession | None = None) -> dict[str, Any]:
+    """Runs a command line in ``spark``, or in a session of its own; what the command prints."""
     args = parser().parse_args(argv)
+    return COMMANDS[args.command](args, spark)
+
+
+def main(argv: list[str] | None = None) -> int:
     try:
-        {"info": info, "predict": predict, "average": average, "cache-compact": cache_compact}[args.command](args)
+        show(run_command(sys.argv[1:] if argv is None else argv))
         return 0
     except tuple(LABELS) as e:
         label = next(text for kind, text in LABELS.items() if isinstance(e, kind))

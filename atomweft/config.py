@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
@@ -10,6 +11,7 @@ from typing import Any
 
 from atomweft.errors import ConfigError
 
+# Field names, defaults, option values and the words for true and false are those of the command's contract.
 CHOICES = {
     "device": ("auto", "cpu", "cuda"),
     "output_format": ("auto", "csv", "parquet"),
@@ -23,12 +25,8 @@ TRUE, FALSE = ("1", "true", "yes", "on"), ("0", "false", "no", "off")
 
 
 def json_safe(value: Any) -> Any:
-    """Paths as text, tuples as lists, keys as text."""
-    if isinstance(value, Mapping):
-        return {str(k): json_safe(v) for k, v in value.items()}
-    if isinstance(value, (list, tuple)):
-        return list(map(json_safe, value))
-    return str(value) if isinstance(value, Path) else value
+    """What a reader of the value's JSON gets; whatever JSON has no form for, such as a path, is text."""
+    return json.loads(json.dumps(value, default=str))
 
 
 @dataclass(frozen=True)
@@ -48,6 +46,7 @@ class PredictConfig:
     dry_run: bool = False
     on_warning: str = "warn"
     force_multi_gpu: bool = False
+    predictor: str | None = None
     command_args: dict[str, Any] = field(default_factory=dict)
 
     def as_dict(self) -> dict[str, Any]:
@@ -64,8 +63,9 @@ class PredictConfig:
         return self
 
 
-def first_given(*values: Any) -> Any:
-    return next((v for v in values if v is not None), None)
+def layered(*layers: Mapping[str, Any]) -> Mapping[str, Any]:
+    """One mapping of several: the first layer that has a value other than None for a name counts."""
+    return ChainMap(*({k: v for k, v in layer.items() if v is not None} for layer in layers))
 
 
 def to_bool(value: Any, name: str) -> bool:
@@ -106,8 +106,7 @@ def build_config(outdir: Path, given: dict[str, Any], config_path: Path | None =
     file = load_mapping(config_path, "the configuration file") if config_path else {}
     file = {ALIASES.get(k, k): v for k, v in sorted(file.items(), key=lambda kv: kv[0] not in ALIASES)}
 
-    def pick(name: str, default: Any) -> Any:
-        return first_given(given.get(name), file.get(name), default)
+    pick = layered(given, file).get
 
     def convert(name: str, default: Any, kind: type) -> Any:
         try:
@@ -134,5 +133,6 @@ def build_config(outdir: Path, given: dict[str, Any], config_path: Path | None =
         dry_run=flag("dry_run"),
         on_warning="error" if flag("strict") else word("on_warning", "warn"),
         force_multi_gpu=flag("force_multi_gpu"),
+        predictor=str(path) if (path := pick("predictor", None)) else None,
         command_args={k: v for k, v in given.items() if v is not None},
     ).validate()

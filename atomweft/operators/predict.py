@@ -9,9 +9,12 @@ from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atomweft.errors import ConfigError, MissingDependencyError
+
 PREDICTED = "frame_cache_key string, n_atoms bigint, cs_iso array<double>, cs_iso_uncertainty array<double>, tensor array<array<double>>, tensor_uncertainty array<array<double>>"
 
 
@@ -110,6 +113,17 @@ def model_factory(path: str, *args: Any) -> PredictorFactory:
     return lambda device: ModelPredictor(lambda at: getattr(importlib.import_module(module), name)(*args, device=at), device)
 
 
+def load_factory(path: str) -> PredictorFactory:
+    """What ``package.module:name`` names, called with a device to make a predictor: a class, a function, or a ``model_factory``."""
+    module, _, name = path.partition(":")
+    try:
+        return getattr(importlib.import_module(module), name)
+    except ModuleNotFoundError as e:
+        raise MissingDependencyError(f"the predictor cannot be imported: {e}") from e
+    except (AttributeError, ValueError) as e:
+        raise ConfigError(f"no predictor is called {path}, give package.module:name") from e
+
+
 def cuda_available() -> bool:
     try:
         import torch
@@ -129,12 +143,35 @@ def allowed_workers(device: str, workers: int, force: bool) -> tuple[int, list[s
     return workers, []
 
 
+#: The name of GPUs among Spark's resources, and the setting that tells how many each executor has.
+GPU, GPUS_SETTING = "gpu", "spark.executor.resource.gpu.amount"
+
+
+def device_profile(spark: SparkSession, device: str, workers: int) -> ResourceProfile | None:
+    """What a task that predicts on GPUs asks for: a GPU of its own, or an equal share if several workers are allowed on one.
+
+    None on processors, in local mode (Spark has no profiles there), and where the executors of the session have no GPUs.
+    """
+    if device != "cuda" or spark.sparkContext.master.startswith("local") or not int(spark.conf.get(GPUS_SETTING, "0")):
+        return None
+    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(1).resource(GPU, 1 / max(1, workers))).build
+
+
+def prediction_tasks(frames: int, chunk_size: int, device: str, workers: int, profile: ResourceProfile | None) -> int:
+    """Tasks to predict so many frames in: one a chunk, for Spark to place. On GPUs that Spark does not schedule, no more than may share one."""
+    chunks = min(-(-frames // chunk_size), 100_000)
+    return min(chunks, workers) if device == "cuda" and profile is None else chunks
+
+
 def _nested(array: np.ndarray | None) -> list | None:
     return None if array is None else np.asarray(array, float).reshape(len(array), 9).tolist()
 
 
-def predict_frames(frames: DataFrame, factory: PredictorFactory, *, device: str, committee: bool, property_mode: str, chunk_size: int, tasks: int) -> DataFrame:
-    """PREDICTED rows of frames with frame_cache_key; each Python worker makes one predictor and sees ``chunk_size`` frames at a time."""
+def predict_frames(frames: DataFrame, factory: PredictorFactory, *, device: str, committee: bool, property_mode: str, chunk_size: int, tasks: int, profile: ResourceProfile | None = None) -> DataFrame:
+    """PREDICTED rows of frames with frame_cache_key; each Python worker makes one predictor and sees ``chunk_size`` frames at a time.
+
+    Only the stage that predicts asks for the resources of ``profile``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predictor = None
@@ -156,4 +193,4 @@ def predict_frames(frames: DataFrame, factory: PredictorFactory, *, device: str,
                 })
 
     columns = ["frame_cache_key", "numbers", "element", "positions", "cell", "pbc"]
-    return frames.select(*columns).repartition(max(1, tasks), F.col("frame_cache_key")).mapInPandas(run, PREDICTED)
+    return frames.select(*columns).repartition(max(1, tasks), F.col("frame_cache_key")).mapInPandas(run, PREDICTED, profile=profile)

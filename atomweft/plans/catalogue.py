@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from pathlib import Path
 
@@ -10,23 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from atomweft.cli import run_command
 from atomweft.config import PredictConfig
 from atomweft.functions import columns as C
 from atomweft.functions.digest import structure_id
 from atomweft.operators import average, cache
 from atomweft.operators.explode import explode_atoms, explode_predictions
 from atomweft.operators.packing import pack_all
-from atomweft.operators.predict import FramePrediction, predict_frames
+from atomweft.operators.predict import FramePrediction, ModelPredictor, predict_frames
 from atomweft.operators.store import CacheStore, compact_index, index_files, log_parts, snapshot_index
 from atomweft.operators.validate import failure, validate_frames
 from atomweft.plans import views as V
 from atomweft.plans.views import RESULTS_SQL, table
 from atomweft.run import run_predict
-from atomweft.schema import fill_missing, required_columns
-from atomweft.sinks import magres_blocks, write_lines, write_magres, write_table
+from atomweft.schema import TENSOR_COLUMNS, fill_missing, required_columns
+from atomweft.sinks import magres_blocks, write_lines, write_magres, write_table, write_text
 from atomweft.sources.index_log import latest, rank, read_index, read_lines
 from atomweft.sources.structures import load_structures
-from atomweft.sources.tables import read_results
+from atomweft.sources.tables import file_digests, read_results
 from atomweft.work import Workspace
 
 BLOCK_LINES = 53  # of 21 atoms and a cell, with the blank line after it
@@ -376,10 +378,115 @@ def magres_files(spark, sf_dir):
     return lines.select(F.lit("single").alias("mode"), "place", F.lit(None).cast("string").alias("name"), text.alias("text")).unionAll(each)
 
 
+class Ramps:
+    """A model with the method names that the adapter falls back to: values are x, those of two members lie 1 beside them, tensors are multiples of x."""
+
+    def __init__(self, device="cpu"):
+        self.device = device
+
+    def get_cs(self, f):
+        return f.positions[:, 0]
+
+    def get_cs_committee(self, f):
+        return f.positions[:, :1] + np.array([[-1.0, 1.0]])
+
+    def get_tensor(self, f):
+        return f.positions[:, 0].reshape(-1, 1, 1) * np.arange(1.0, 10).reshape(1, 3, 3)
+
+
+def ramp_predictor(device):
+    return ModelPredictor(Ramps, device)
+
+
+def predict_command(spark, sf_dir):
+    """The command with a configuration file that names the predictor: every second frame, those without a cell skipped, committee and tensors; its table
+    and what its record says of it."""
+    out = Path(V.folder(spark, "command"))
+    options = {"frames": "::2", "property": "both", "on_warning": "skip", "strict": "no", "committee": "yes", "device": "cpu", "workers": 2, "predictor": f"{__name__}:ramp_predictor"}
+    write_text(out / "options.json", json.dumps(options))
+    said = run_command(["predict", V.structure_files(spark, sf_dir), "--out", str(out / "run"), "--config", str(out / "options.json"), "--format", "parquet", "--workers", "1"], spark)
+    record = json.loads((out / "run/run.json").read_text())
+    told = {"status": record["status"], "workers": record["runtime"]["workers"], "frames": said["frames"], "keys": len(record["cache_keys"]), "warnings": len(said["warnings"]), "inputs": len(record["input_files"])}
+    values = (F.floor(F.col(c) * 100_000).alias(c) for c in ("cs_iso", "cs_xx", "cs_yz"))
+    told = (F.lit(v).cast("string" if isinstance(v, str) else "bigint").alias(k) for k, v in told.items())
+    return read_results(spark, said["output"]).select(_part(), "frame", "atom_i", *values, F.round("cs_iso_uncertainty", 5).alias("cs_iso_uncertainty"), "cs_zz_uncertainty", *told)
+
+
+def average_command(spark, sf_dir):
+    """The command over a result table with a file of weights, into a CSV file that is read back."""
+    out = Path(V.folder(spark, "command"))
+    rows = explode_atoms(V.frames(spark, sf_dir).withColumn("structure_id", F.lit("s"))).withColumns({"cs_iso": F.floor(F.col("x") * 1000).cast("double"), **{a: F.lit(0.0) for a in "xyz"}})
+    write_table(rows, out / "results.parquet", "parquet", ["source_file", "frame", "atom_i"])
+    weight = V.frames(spark, sf_dir).select(F.concat(F.lit('"'), C.frame_key(F.col("source_file"), F.col("frame")), F.lit('": '), F.col("label") + 1, F.lit(",")).alias("value"))
+    write_lines(weight, out / "weights.json", cut=2, head=b"{", tail=b"}")
+    said = run_command(["average", str(out / "results.parquet"), "--weights", str(out / "weights.json"), "--out", str(out / "means.csv")], spark)
+    return read_results(spark, said["output"]).select("atom_i", "element", "x", "z", "cs_iso", F.lit(said["rows"]).cast("bigint").alias("rows"), F.lit(said["weights_applied"]).alias("weighted"))
+
+
+def compact_command(spark, sf_dir):
+    """The command over index files of two writers, which stay: the manifest after it, with the number of index files."""
+    path = Path(V.folder(spark, "cache"))
+    for writer in "12":
+        _write_index(spark, sf_dir, path, writer, F.col("writer_id") == writer)
+    said = run_command(["cache-compact", str(path)], spark)
+    store = CacheStore(spark, path, "click")
+    return store.manifest().select("cache_key", "output_format", "seq", F.lit(said["kept_records"]).cast("bigint").alias("kept"), F.lit(said["removed_source_index_files"]).alias("removed"), F.lit(len(index_files(store.index_dir))).alias("files"))
+
+
+def input_digests(spark, sf_dir):
+    """Digests of files of documents, as a run record has them."""
+    text = F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    files = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / V.FILE_FRAMES).alias("part")).agg(F.array_join(F.transform(text, lambda x: x.text), "\n").alias("value"))
+    path = V.folder(spark, "texts")
+    files.write.partitionBy("part").text(path)
+    found = file_digests(spark, [str(p) for p in Path(path).glob("part=*/part-*")])
+    rows = spark.createDataFrame([(r["path"], r["sha256"]) for r in found], "source_file string, sha256 string")
+    return rows.select(_part(), "sha256")
+
+
+def frame_tail(spark, sf_dir):
+    """The last five frames of each structure file, the last one first."""
+    return load_structures(spark, [V.structure_files(spark, sf_dir)], ":-6:-1").select(_part(), "frame", F.element_at("positions", 1).x.alias("x"))
+
+
+def magres_tensors(spark, sf_dir):
+    """Magres blocks of all frames with whole tensors, without cells."""
+    frames = V.frames(spark, sf_dir).withColumn("structure_id", F.col("frame").cast("string"))
+    tensors = {c: F.col("x") * (k + 1) for k, c in enumerate(TENSOR_COLUMNS)}
+    return magres_blocks(explode_atoms(frames).withColumn("cs_iso", F.col("x")).withColumns(tensors)).select("frame", "text")
+
+
+def _orders_as_frames(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_orderkey").cast("string").alias("frame_cache_key"), F.col("l_shipdate").alias("t"), (F.col("l_linenumber") - 1).cast("bigint").alias("atom_i"), F.col("l_extendedprice").alias("cs_iso"))
+
+
+def lookup_chunks(spark, sf_dir):
+    """Frames stored in order of their first dates, those of one quarter looked up: their rows with the chunk that each is in."""
+    rows = _orders_as_frames(spark, sf_dir)
+    store = CacheStore(spark, V.folder(spark, "cache"))
+    store.store(rows.drop("k"), order=["t"])
+    first = rows.groupBy("frame_cache_key").agg(F.min("t").alias("t"))
+    keys = first.where("t >= '1996-01-01' AND t < '1996-04-01'").select("frame_cache_key")
+    chunk = F.regexp_extract("chunk_path", r"chunk=(\d+)$", 1).cast("bigint").alias("chunk")
+    return store.lookup(keys).join(store.wanted(keys).select("frame_cache_key", chunk), "frame_cache_key").select("frame_cache_key", "atom_i", "cs_iso", "chunk")
+
+
+def lookup_rounds(spark, sf_dir):
+    """One store, asked for all keys before, between and after two stores of rows with other columns: what it has at the end, and how much before."""
+    rows = _orders_as_frames(spark, sf_dir)
+    keys, store = rows.select("frame_cache_key"), CacheStore(spark, V.folder(spark, "cache"))
+    before = store.lookup(keys)
+    store.store(rows.where("k % 3 = 0").drop("k", "t"))
+    between = store.lookup(keys).count()
+    store.store(rows.where("k % 3 = 1").withColumn("cs_xx", F.col("cs_iso") * 2).drop("k", "t"))
+    return store.lookup(keys).select("frame_cache_key", "atom_i", "cs_iso", "cs_xx", F.lit(before is None).alias("empty_before"), F.lit(between).cast("bigint").alias("between"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     avg_unweighted, avg_weighted, avg_nonfinite, avg_zero_weight, weights_missing, manifest_latest, manifest_probe, index_compact, index_parse, index_write, utc_text, tensor_unpack, committee_std,
     schema_fill, content_hash, structure_ids, cell_missing, frame_slice, frame_last, cache_canonical, cache_complete, cache_complete_turns, cache_materialize, cache_hit, cache_miss, union_align, unsupported, first_failure,
     warn_skip, pack_count, pack_bytes, pack_whole, result_order, results_csv, avg_per_atom, cache_store, predict_run, run_figures, distinct_keys, text_block, counts, frame_keys, number_coercion, predict_norms, magres_text, magres_files, index_compacted, index_snapshot,
+    predict_command, average_command, compact_command, input_digests, frame_tail, magres_tensors, lookup_chunks, lookup_rounds,
 )} | {"explode_atoms": explode_rows, "cache_key": cache_keys}
 
 _MEAN = "SELECT atom_i, element, x, y, z, sum(cs_iso * w) / nullif(sum(w), 0) AS cs_iso, sum(cs_xx * w) / nullif(sum(w), 0) AS cs_xx FROM (SELECT *, {w} AS w FROM r) GROUP BY ALL HAVING sum(w) <> 0"
@@ -461,6 +568,22 @@ ORACLES["structure_ids"] = f"""SELECT vec_id AS frame, sha256(encode('normalizat
 || unhex(array_to_string([{_LITTLE("(CASE WHEN label <> 0 AND i % 4 = 0 THEN 8 ELSE 0 END)::DOUBLE", 8)} for i in range(0, 9)], '')) || encode('pbc:(3,):|u1' || chr(10))
 || unhex(CASE WHEN label = 0 THEN '000000' ELSE '010101' END)) AS structure_id FROM embeddings"""
 
+_ATOMS = "SELECT vec_id, label, i, (['H', 'C', 'N', 'O'])[i % 4 + 1] AS e, CAST(embedding[3 * i + 1] AS DOUBLE) AS x, CAST(embedding[3 * i + 2] AS DOUBLE) AS y, CAST(embedding[3 * i + 3] AS DOUBLE) AS z FROM (SELECT *, unnest(range(0, 21)) AS i FROM embeddings)"
+ORACLES["predict_command"] = f"""WITH f AS (SELECT * FROM ({V.FILES_SQL}) WHERE frame % 2 = 0 AND label <> 0), a AS (SELECT part, frame, i, CAST(embedding[3 * i + 1] AS DOUBLE) AS x FROM (SELECT *, unnest(range(0, 21)) AS i FROM f))
+SELECT part, frame, CAST(i AS BIGINT) AS atom_i, CAST(floor(x * 100000) AS BIGINT) AS cs_iso, 1.0::DOUBLE AS cs_iso_uncertainty, CAST(floor(x * 100000) AS BIGINT) AS cs_xx, CAST(floor(6 * x * 100000) AS BIGINT) AS cs_yz, NULL::DOUBLE AS cs_zz_uncertainty,
+'success' AS status, 1::BIGINT AS workers, (SELECT count(*) FROM f) AS frames, (SELECT count(*) FROM f) AS keys, 1::BIGINT AS warnings, (SELECT count(DISTINCT vec_id // {V.FILE_FRAMES}) FROM embeddings) AS inputs FROM a"""
+ORACLES["average_command"] = f"WITH a AS ({_ATOMS}), m AS (SELECT CAST(i AS BIGINT) AS atom_i, e AS element, 0.0::DOUBLE AS x, 0.0::DOUBLE AS z, sum(floor(x * 1000) * (label + 1)) / sum(label + 1) AS cs_iso FROM a GROUP BY ALL) SELECT *, (SELECT count(*) FROM m) AS rows, true AS weighted FROM m"
+ORACLES["compact_command"] = f"""WITH v AS (SELECT * FROM ({_INDEX}) WHERE seq % 7 <> 0 AND writer_id <> '0')
+SELECT CAST(cache_key AS VARCHAR) AS cache_key, output_format, seq, (SELECT count(*) FROM (SELECT DISTINCT cache_key, output_format FROM v)) AS kept, 0 AS removed, 3 AS files FROM v
+QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY (output_format = 'click') DESC, date_trunc('second', written_at) DESC, writer_id DESC, seq DESC) = 1"""
+ORACLES["input_digests"] = f"SELECT doc_id // {V.FILE_FRAMES} AS part, sha256(string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) || chr(10)) AS sha256 FROM documents GROUP BY 1"
+ORACLES["frame_tail"] = f"SELECT part, frame, CAST(embedding[1] AS DOUBLE) AS x FROM ({V.FILES_SQL}) QUALIFY row_number() OVER (PARTITION BY part ORDER BY frame DESC) <= 5"
+ORACLES["magres_tensors"] = f"""SELECT vec_id AS frame, '#$magres-abinitio-v1.0' || chr(10) || '[atoms]' || chr(10) || 'units atom Angstrom' || chr(10) || string_agg('atom ' || e || ' ' || e || (i + 1) || ' ' || (i + 1) || printf(' %.8f %.8f %.8f', x, y, z), chr(10) ORDER BY i) || chr(10) || '[/atoms]' || chr(10) || '[magres]' || chr(10) || 'units ms ppm' || chr(10)
+|| string_agg('ms ' || e || ' ' || (i + 1) || printf(' %.8f %.8f %.8f %.8f %.8f %.8f %.8f %.8f %.8f', x, x * 2, x * 3, x * 2, x * 4, x * 5, x * 3, x * 5, x * 6), chr(10) ORDER BY i) || chr(10) || '[/magres]' || chr(10) AS text FROM ({_ATOMS}) GROUP BY vec_id"""
+ORACLES["lookup_chunks"] = """WITH p AS (SELECT k, t, (row_number() OVER (ORDER BY t, CAST(k AS VARCHAR)) - 1) // 200 AS chunk FROM (SELECT l_orderkey AS k, min(l_shipdate) AS t FROM lineitem GROUP BY 1))
+SELECT CAST(k AS VARCHAR) AS frame_cache_key, CAST(l_linenumber - 1 AS BIGINT) AS atom_i, l_extendedprice AS cs_iso, chunk FROM p JOIN lineitem ON l_orderkey = k WHERE t >= '1996-01-01' AND t < '1996-04-01'"""
+ORACLES["lookup_rounds"] = "SELECT CAST(l_orderkey AS VARCHAR) AS frame_cache_key, CAST(l_linenumber - 1 AS BIGINT) AS atom_i, l_extendedprice AS cs_iso, CASE l_orderkey % 3 WHEN 1 THEN l_extendedprice * 2 END AS cs_xx, true AS empty_before, (SELECT count(*) FROM lineitem WHERE l_orderkey % 3 = 0) AS between FROM lineitem WHERE l_orderkey % 3 < 2"
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -15,7 +15,7 @@ from atomweft.errors import BackendRuntimeError, InputError, MissingDependencyEr
 from atomweft.functions.columns import cache_key
 from atomweft.operators.cache import canonical, hits, materialise, misses
 from atomweft.operators.explode import explode_atoms, explode_predictions
-from atomweft.operators.predict import PredictorFactory, allowed_workers, predict_frames, runtime_device
+from atomweft.operators.predict import PredictorFactory, allowed_workers, device_profile, load_factory, predict_frames, prediction_tasks, runtime_device
 from atomweft.operators.store import CacheStore, prepare_rows
 from atomweft.operators.validate import validate_frames
 from atomweft.provenance import Timing, run_record, write_record
@@ -148,11 +148,13 @@ def run_predict(spark: SparkSession, inputs: list[str], config: PredictConfig, f
 
 def _predict(miss: DataFrame, factory: PredictorFactory | None, config: PredictConfig, device: str, workers: int, mode: str, work: Workspace) -> DataFrame:
     """(frame_cache_key, atom_i, measures) of one frame for each missing key, computed now so that a failure shows here."""
-    if factory is None:
+    if factory is None and config.predictor is None:
         raise MissingDependencyError("no predictor was given")
+    factory = factory or load_factory(config.predictor)
     frames = miss.dropDuplicates(["frame_cache_key"])
-    tasks = min(-(-frames.count() // config.chunk_size), workers if device == "cuda" else 100_000)
-    made = predict_frames(frames, factory, device=device, committee=config.committee, property_mode=mode, chunk_size=config.chunk_size, tasks=tasks)
+    profile = device_profile(miss.sparkSession, device, workers)
+    tasks = prediction_tasks(frames.count(), config.chunk_size, device, workers, profile)
+    made = predict_frames(frames, factory, device=device, committee=config.committee, property_mode=mode, chunk_size=config.chunk_size, tasks=tasks, profile=profile)
     try:
         return work.keep(explode_predictions(made, mode in ("tensor", "both"), config.committee))
     except Exception as e:

@@ -37,14 +37,23 @@ def chunk_files(path: str) -> list[str]:
         return []
 
 
+def csv_rules() -> pcsv.ParseOptions:
+    """How Spark writes cells, and that lines with a wrong number of cells are passed over."""
+    return pcsv.ParseOptions(newlines_in_values=True, escape_char="\\", invalid_row_handler=lambda row: "skip")
+
+
+def csv_header(path: str) -> list[str]:
+    with pcsv.open_csv(path, parse_options=csv_rules()) as rows:
+        return rows.schema.names
+
+
 def file_columns(path: str, form: str) -> list[list[str]]:
     """Name and type of the columns of a file; [] if it is broken or has no keys."""
     try:
         if form == "parquet":
             found = [[f.name, str(f.type)] for f in pq.read_schema(path)]
         else:
-            with pcsv.open_csv(path) as rows:
-                found = [[name, "string"] for name in rows.schema.names]
+            found = [[name, "string"] for name in csv_header(path)]
     except BROKEN:
         return []
     return found if any(name == KEY for name, _ in found) else []
@@ -71,11 +80,8 @@ def file_batches(path: str, form: str, keys: list[str]) -> Iterator[pa.RecordBat
             for batch in batches:
                 yield batch.filter(pc.is_in(batch.column(KEY), pa.array(keys, batch.schema.field(KEY).type)))
         return
-    with pcsv.open_csv(path) as rows:
-        names = rows.schema.names
-    parse = pcsv.ParseOptions(newlines_in_values=True, escape_char="\\", invalid_row_handler=lambda row: "skip")
-    types = pcsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=True, quoted_strings_can_be_null=True, null_values=[""])
-    with pcsv.open_csv(path, parse_options=parse, convert_options=types) as rows:
+    types = pcsv.ConvertOptions(column_types=dict.fromkeys(csv_header(path), pa.string()), strings_can_be_null=True, quoted_strings_can_be_null=True, null_values=[""])
+    with pcsv.open_csv(path, parse_options=csv_rules(), convert_options=types) as rows:
         for batch in rows:
             yield batch.filter(pc.is_in(batch.column(KEY), pa.array(keys)))
 
