@@ -161,7 +161,15 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """``records`` with refers_to (the original's page_id) and payload_bytes of revisits filled in from the original response."""
-    originals = records.where("record_type = 'response'").select(F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes")).dropDuplicates(["_id"])
-    joined = records.join(originals, F.col("refers_to_id") == F.col("_id"), "left")
-    return joined.select(*(c for c in records.columns if c != "payload_bytes"), F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"), F.col("_page").alias("refers_to"))
+    """``records`` with refers_to (the original's page_id) and payload_bytes of revisits filled in from the original response.
+
+    Only rows that refer to another are joined, so no null key gathers the rest in one task; the originals are broadcast up to a checked number and
+    else written, so that adaptive execution can split the revisits of a hot original. A revisit whose original is not there has nulls. Give ``cut``
+    or stored records: they are read three times.
+    """
+    refers = F.col("refers_to_id").isNotNull()
+    originals = records.where("record_type = 'response' AND record_id IS NOT NULL").select(F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes")).dropDuplicates(["_id"])
+    originals = sized(stored(originals, "originals"))
+    columns = [c for c in records.columns if c != "payload_bytes"]
+    found = records.where(refers).join(originals, F.col("refers_to_id") == F.col("_id"), "left").select(*columns, F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"), F.col("_page").alias("refers_to"))
+    return records.where(~refers).select(*columns, "payload_bytes", F.lit(None).cast("bigint").alias("refers_to")).unionAll(found)

@@ -88,3 +88,26 @@ def test_large_payloads_and_files_of_others(spark, tmp_path):
     (tmp_path / "o" / "some.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(page) + gzip.compress(page + page))
     rows = warc.read_archives(spark, str(tmp_path / "o"), with_payload=True).collect()
     assert [(r.record_type, r.payload_bytes, r.intact, r.payload) for r in rows] == [("warcinfo", None, None, None)] + [("response", 3, None, "abc")] * 3
+
+
+def test_rows_without_a_reference_are_not_joined(spark, monkeypatch):
+    """With shuffled joins no task gets more than its share, though nine of ten rows refer to nothing; a revisit of what is not there has nulls."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(warc, "sized", lambda df: df)
+    for key, value in {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        spark.conf.set(key, value)
+    try:
+        again = F.col("id") % 10 == 9
+        records = spark.range(0, 4000, 1, 8).select(
+            F.when(again, "revisit").otherwise("response").alias("record_type"), F.concat(F.lit("r"), "id").alias("record_id"), F.col("id").alias("page_id"),
+            F.when(F.col("id") == 3999, "gone").when(again, F.concat(F.lit("r"), F.col("id") - 1)).alias("refers_to_id"), F.when(~again, F.col("id") * 2).alias("payload_bytes"),
+        )
+        got = warc.resolve(records).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tasks = [r.task for r in got]
+    assert len(got) == 4000 and max(map(tasks.count, set(tasks))) <= 600
+    want = {i: (i * 2, None) if i % 10 < 9 else (None, None) if i == 3999 else ((i - 1) * 2, i - 1) for i in range(4000)}
+    assert {r.page_id: (r.payload_bytes, r.refers_to) for r in got} == want
