@@ -4,7 +4,7 @@ A phrase of two to five words is as strong as its weakest cut: floor(1000 a n /
 in all of the language. As a <= r, no phrase that begins with a word of count c scores over 1000 n / c: the counts of prefixes bound all that
 grows from them.
 
-1. Texts are tokenised once, in chunks of about a million words of one language: numbers of words with zeros between pieces, and the chunk's own
+1. Texts are tokenised once, in chunks of about half a million words of one language: numbers of words with zeros between pieces, and the chunk's own
    list of words. Words are named by 64-bit hashes; should two words share one, all are hashed anew with another seed, so that names are exact.
 2. The frontier is ordered by its bounds, so by the counts of first words. A band takes the best of it, first words that cover a small share
    of all words, then twice as much each time, and grows it level by level. The phrases of a level go to the chunks as a prefix tree, at most
@@ -36,16 +36,13 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 UNKNOWN = "und"
 #: Phrases that are sent to the chunks at once, and the share of all words that the first band covers (a count of first words at least).
 NODES, SHARE = 200_000, 8
-CHUNK_WORDS = 1 << 20
-#: Bytes of text that are tokenised at once.
-SLICE_BYTES = 8 << 20
+CHUNK_WORDS = 1 << 19
+#: Bytes of text that are tokenised at once, and rows that a task hands over at once: a worker holds a few dozen times as much, beside its chunk.
+SLICE_BYTES, ROWS = 1 << 20, 1 << 16
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 32
+_LOWER = bytes(b + 32 if 0x41 <= b < 0x5B else b for b in range(256))
 #: 0: part of a word, 1: blank, 2: end of a piece.
-_KIND = np.zeros(256, np.uint8)
-_KIND[[0x20, 0x09]] = 1
-_KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
+_KIND = bytes(1 if b in b" \t" else 2 if b in b".,;:!?\n\v\f\r" else 0 for b in range(256))
 
 THOUSAND = "CAST(1000 AS DECIMAL(4,0))"
 CHUNK = "lang string, codes binary, words array<string>, counts array<bigint>"
@@ -56,16 +53,20 @@ COUNTS = [f"c{k}" for k in range(1, LONGEST + 1)]
 # --- chunks
 
 
+def _through(data: np.ndarray, table: bytes) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(table), np.uint8)
+
+
 def split_words(data: np.ndarray, starts: np.ndarray, broken: bool) -> tuple[pa.Array, np.ndarray, bool]:
     """(the words, whether a piece begins at each, whether one begins after them) of texts in a row that start at ``starts``; ``broken``: at the first word too."""
-    kind = _KIND[data]
+    kind = _through(data, _KIND)
     inside = kind == 0
     first = np.zeros(data.size, bool)
     first[starts[starts < data.size]] = True
     begins = inside & (first | np.concatenate([[True], ~inside[:-1]])) if data.size else inside
     at = np.flatnonzero(begins)
-    borders = np.cumsum((kind == 2) | first)
-    kept = np.cumsum(inside)
+    borders = np.cumsum((kind == 2) | first, dtype=np.int32)
+    kept = np.cumsum(inside, dtype=np.int32)
     here = borders[at]
     breaks = np.empty(at.size, bool)
     if at.size:
@@ -73,7 +74,7 @@ def split_words(data: np.ndarray, starts: np.ndarray, broken: bool) -> tuple[pa.
         breaks[1:] = here[1:] > here[:-1]
     after = bool(borders[-1] > here[-1]) if at.size else broken or bool(data.size and borders[-1] > 0)
     offsets = np.append(kept[at] - 1, kept[-1] if data.size else 0).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_binary(), at.size, [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[data[inside]])])
+    words = pa.Array.from_buffers(pa.large_binary(), at.size, [None, pa.py_buffer(offsets), pa.py_buffer(_through(data[inside], _LOWER))])
     return words, breaks, after
 
 
@@ -81,7 +82,7 @@ def _windows(text: np.ndarray) -> Iterator[np.ndarray]:
     """A long text in parts of about SLICE_BYTES, cut at the ends of pieces if there are any, else at blanks; a part without either is longer."""
     at, size = 0, SLICE_BYTES
     while at + size < text.size:
-        kind = _KIND[text[at : at + size]]
+        kind = _through(text[at : at + size], _KIND)
         ends = np.flatnonzero(kind[1:] == 2)
         ends = ends if ends.size else np.flatnonzero(kind[1:])
         if not ends.size:
@@ -115,11 +116,13 @@ class _Held:
         self.size += len(words)
 
     def flush(self) -> pa.RecordBatch:
-        found = pa.concat_arrays(self.words).dictionary_encode()
+        words, self.words = pa.concat_arrays(self.words), []
+        found = words.dictionary_encode()
+        del words
         codes = found.indices.to_numpy().astype(np.uint32) + 1
         counts = np.bincount(codes, minlength=len(found.dictionary) + 1)[1:]
         out = np.insert(codes, np.flatnonzero(np.concatenate(self.breaks)), 0).astype("<u4")
-        self.words, self.breaks, self.size = [], [], 0
+        self.breaks, self.size = [], 0
         values = [pa.array([self.lang]), pa.array([out.tobytes()], pa.binary()), _list(found.dictionary.cast(pa.binary()).cast(pa.string())), _list(pa.array(counts))]
         return pa.RecordBatch.from_arrays(values, ["lang", "codes", "words", "counts"])
 
@@ -143,7 +146,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     yield from own.add(data[at[k] : at[to]], at[k:to] - at[k])
                 k = to
-        if sum(x.size for x in held.values()) >= 2 * CHUNK_WORDS:  # many languages
+        if sum(x.size for x in held.values()) >= 4 * CHUNK_WORDS:  # many languages
             for own in held.values():
                 if own.size:
                     yield own.flush()
@@ -199,7 +202,7 @@ class Tree:
             own = np.flatnonzero(known[place] == word)
             code = order[place[own]] + 1
             if at is None:
-                first = np.full(wide, -1, np.int64)
+                first = np.full(wide, -1, np.int32)  # a tree has far fewer nodes
                 first[code] = own
                 node = first[codes]
                 at = np.flatnonzero(node >= 0)
@@ -226,6 +229,11 @@ def _each_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
             yield np.concatenate([[np.uint32(0)], np.frombuffer(codes.as_buffer(), "<u4"), np.zeros(LONGEST, np.uint32)]), hashes.values.to_numpy()
 
 
+def _batches(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for k in range(0, columns[0].size, ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + ROWS]) for c in columns], names)
+
+
 def _extend(tree: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (id, next, c, with_prev, low, high): how often a word follows a phrase in the chunk, how often a word is before both, its least and greatest hash."""
 
@@ -245,7 +253,8 @@ def _extend(tree: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 prev = named[before]
                 columns = [tree.value.ids[key[starts] // named.size], named[key[starts] % named.size], np.diff(np.append(starts, key.size)), np.add.reduceat((before > 0).astype(np.int64), starts)]
                 columns += [np.minimum.reduceat(prev, starts), np.maximum.reduceat(prev, starts)] if length + 1 < LONGEST else [np.zeros(starts.size, np.int64)] * 2
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "next", "c", "with_prev", "low", "high"])
+                del at, phrase, following, order, key, before, prev
+                yield from _batches(columns, ["id", "next", "c", "with_prev", "low", "high"])
 
     return run
 
@@ -257,7 +266,7 @@ def _count(tree: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         for codes, hashes in _each_chunk(batches):
             for _, _, phrase in tree.value.follow(codes, hashes):
                 found, c = np.unique(phrase, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(tree.value.ids[found]), pa.array(c)], ["id", "c"])
+                yield from _batches([tree.value.ids[found], c], ["id", "c"])
 
     return run
 

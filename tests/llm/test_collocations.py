@@ -1,7 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from atomweft.llm import collocations
@@ -104,3 +108,24 @@ def test_words_that_share_a_hash_are_hashed_anew(spark, monkeypatch):
     monkeypatch.setattr(collocations.F, "xxhash64", weak)
     _, words = collocations.tokenised(docs, 42)
     assert len(calls) == 4 and words.select("h").distinct().count() == words.count()
+
+
+def test_workers_hold_little_at_once():
+    """A worker's arrays are a small part of the 600 MB that two workers leave each other; rows leave it in bounded batches."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"word{i}" for i in range(150_000)])
+    texts = [" ".join(rng.choice(words, 2000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], ["lang", "text"])
+    tracemalloc.start()
+    chunks = list(collocations._chunks(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    numbers = {w: i + 1 for i, w in enumerate(words.tolist())}
+    named = [pa.RecordBatch.from_arrays([c.column("codes"), pa.array([[numbers[w] for w in c.column("words")[0].as_py()]])], ["codes", "hashes"]) for c in chunks]
+    tree = SimpleNamespace(value=collocations.Tree(np.arange(1, len(words) + 1)[:, None], np.ones(len(words), np.int64), np.arange(len(words))))
+    sizes, total = [], 0
+    for rows in collocations._extend(tree)(iter(named)):
+        sizes.append(rows.num_rows)
+        total += sum(rows.column("c").to_pylist())
+    assert total == sum(len(t.split()) - 1 for t in texts) and max(sizes) <= 1 << 16 < sum(sizes)
