@@ -15,7 +15,9 @@ Spark's text writer puts the segments into files, with one zero byte after each.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -38,8 +40,10 @@ FILE_BYTES = 32 << 20
 FILE_SEGMENTS = 64
 FILE_RANGE = 1000
 #: Bytes of text that are encoded at once, and pieces of text of which a worker remembers the ids.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 PIECES = 400_000
+#: New pieces that are encoded as the lines of one text.
+LINES = 64
 MAGIC = b"AWT1"
 READ = "doc_id bigint, file bigint, at bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -161,6 +165,8 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _MARK = np.zeros(256, bool)
 _MARK[[*b".,;:!?"]] = True
+#: A piece that may stand in a line of its own: no line feed in it, no white space at its end and none but one blank at its start.
+_LINE = re.compile(rb" ?(?=[!-~\xC3-\xDF\xE4-\xED])[^\n]*(?:[!-~]|[\xC3-\xDF][\x80-\xBF]|[\xE4-\xED][\x80-\xBF]{2})").fullmatch
 
 
 def piece_starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -200,6 +206,8 @@ class Encoder:
         self.tokenizer, self.pieces = Tokenizer.from_file(file), pieces
         self.end = [] if end_id is None else [end_id]
         self.known: dict[bytes, bytes] = {}
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all texts in a row, the number of ids of each)."""
@@ -228,14 +236,42 @@ class Encoder:
         new = [i for i, x in enumerate(out) if x is None]
         if len(self.known) + len(new) > self.pieces:
             self.known.clear()
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for i, e in zip(part, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in part], add_special_tokens=False)):
-                out[i] = np.array(e.ids, "<u4").tobytes()
-                if len(pieces[i]) <= 64 and len(self.known) < self.pieces:
-                    self.known[pieces[i]] = out[i]
+        lines, rest = [], []
+        for i in new:
+            (lines if self.feed is not None and _LINE(pieces[i]) else rest).append(i)
+        for some, find in ((lines, self._lines), (rest, self._each)):
+            for k in range(0, len(some), 4096):
+                part = some[k : k + 4096]
+                for i, ids in zip(part, find([pieces[i] for i in part])):
+                    out[i] = ids
+                    if len(pieces[i]) <= 64 and len(self.known) < self.pieces:
+                        self.known[pieces[i]] = ids
         return out
 
+    def _ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in a row, where each text's begin and the last ones end)."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        ends = np.cumsum([0, *map(len, found)])
+        return np.fromiter(itertools.chain.from_iterable(found), "<u4", ends[-1]), ends
+
+    def _each(self, pieces: list[bytes]) -> list[bytes]:
+        flat, ends = self._ids(pieces)
+        return _parts(flat, ends[:-1], ends[1:])
+
+    def _lines(self, pieces: list[bytes]) -> list[bytes]:
+        """Pieces are encoded as the lines of fewer texts, whose ids are cut at the line feeds; one by one should the feeds not come out as they went in."""
+        groups = [pieces[k : k + LINES] for k in range(0, len(pieces), LINES)]
+        flat, ends = self._ids([b"\n".join(g) for g in groups])
+        feeds = np.flatnonzero(flat == self.feed)
+        if np.diff(np.searchsorted(feeds, ends)).tolist() != [len(g) - 1 for g in groups]:
+            return self._each(pieces)
+        return _parts(flat, np.sort(np.append(ends[:-1], feeds + 1)), np.sort(np.append(feeds, ends[1:])))
+
+
+def _parts(flat: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[bytes]:
+    data = flat.tobytes()
+    return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * end).tolist())]
+
 
 # --- files
 

@@ -65,6 +65,32 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert [x.size for x in token_files.Encoder(FILE, None)(pa.array([], pa.string()))] == [0, 0]
 
 
+class Counting:
+    """The tokenizer, with the number of texts that it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_new_pieces_are_encoded_as_lines_of_few_texts():
+    texts = [" ".join(f"{a}{i}{b}" for i in range(k, k + 50)) for k in range(0, 5000, 50) for a, b in (("word", ""), ("é", "漢"), ("'s", "!"), ("<|endoftext|>", "ß"), ("a\tb", "\u3000c"))]
+    encode = token_files.Encoder(FILE, None)
+    encode.tokenizer = counting = Counting(encode.tokenizer)
+    want = [i for t in texts for i in counting.tokenizer.encode(t, add_special_tokens=False).ids]
+    assert encode(pa.array(texts))[0].tolist() == want
+    assert counting.texts < 25_000 / 32
+    apart = token_files.Encoder(FILE, None)
+    apart.feed = 11  # not what a line feed gives: the pieces are encoded one by one
+    assert apart(pa.array(texts))[0].tolist() == want
+    apart = token_files.Encoder(FILE, None)
+    apart.feed = None
+    assert apart(pa.array(texts))[0].tolist() == want
+
+
 def expected(rows):
     tokenizer, start, out = Tokenizer.from_file(FILE), 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
