@@ -206,6 +206,7 @@ class Encoder:
         self.tokenizer, self.pieces = Tokenizer.from_file(file), pieces
         self.end = [] if end_id is None else [end_id]
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}  # what was known when half of the pieces were last reached
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
 
@@ -227,15 +228,23 @@ class Encoder:
         lengths = sizes[order]
         ends = np.cumsum(lengths)
         first = (np.cumsum(sizes) - sizes)[order]
-        ids = flat[np.repeat(first - (ends - lengths), lengths) + np.arange(ends[-1] if ends.size else 0)]
+        place = np.repeat((first - (ends - lengths)).astype(np.int32), lengths)
+        place += np.arange(place.size, dtype=np.int32)
+        ids = flat[place]
         closing = np.append(0, ends)[per_text[1:] + np.arange(1, len(texts) + 1)]
         return ids, np.diff(closing, prepend=0)
 
     def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        out = [self.known.get(p) for p in pieces]
-        new = [i for i, x in enumerate(out) if x is None]
-        if len(self.known) + len(new) > self.pieces:
-            self.known.clear()
+        out = list(map(self.known.get, pieces))
+        new = []
+        for i, x in enumerate(out):
+            if x is None:
+                ids = self.before.get(pieces[i])
+                if ids is None:
+                    new.append(i)
+                else:
+                    out[i] = ids
+                    self._keep(pieces[i], ids)
         lines, rest = [], []
         for i in new:
             (lines if self.feed is not None and _LINE(pieces[i]) else rest).append(i)
@@ -244,10 +253,15 @@ class Encoder:
                 part = some[k : k + 4096]
                 for i, ids in zip(part, find([pieces[i] for i in part])):
                     out[i] = ids
-                    if len(pieces[i]) <= 64 and len(self.known) < self.pieces:
-                        self.known[pieces[i]] = ids
+                    if len(pieces[i]) <= 64:
+                        self._keep(pieces[i], ids)
         return out
 
+    def _keep(self, piece: bytes, ids: bytes) -> None:
+        if len(self.known) >= self.pieces // 2:
+            self.known, self.before = {}, self.known
+        self.known[piece] = ids
+
     def _ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all texts in a row, where each text's begin and the last ones end)."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]

@@ -66,13 +66,14 @@ def test_pieces_give_the_ids_of_whole_texts():
 
 
 class Counting:
-    """The tokenizer, with the number of texts that it was given."""
+    """The tokenizer, with the numbers of texts and words that it was given."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.texts = tokenizer, 0
+        self.tokenizer, self.texts, self.words = tokenizer, 0, 0
 
     def encode_batch_fast(self, texts, **how):
         self.texts += len(texts)
+        self.words += sum(len(t.split()) for t in texts)
         return self.tokenizer.encode_batch_fast(texts, **how)
 
 
@@ -91,6 +92,19 @@ def test_new_pieces_are_encoded_as_lines_of_few_texts():
     assert apart(pa.array(texts))[0].tolist() == want
 
 
+def test_common_pieces_stay_known_as_others_pass():
+    encode = token_files.Encoder(FILE, None, pieces=100)
+    encode.tokenizer = counting = Counting(encode.tokenizer)
+    common = " ".join(f"common{i}" for i in range(20))
+    seen = []
+    for k in range(30):
+        text = common + " " + " ".join(f"rare{k}x{i}" for i in range(20))
+        assert encode(pa.array([text]))[0].tolist() == counting.tokenizer.encode(text, add_special_tokens=False).ids
+        seen.append(counting.words)
+        assert len(encode.known) + len(encode.before) <= 100
+    assert np.diff(seen).tolist() == [20] * 29  # only the rare ones are new
+
+
 def expected(rows):
     tokenizer, start, out = Tokenizer.from_file(FILE), 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
