@@ -15,15 +15,16 @@ Spark's text writer puts the segments into files, with one zero byte after each.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -39,9 +40,11 @@ SEGMENT_DOCS = 1 << 16
 FILE_BYTES = 32 << 20
 FILE_SEGMENTS = 64
 FILE_RANGE = 1000
-#: Bytes of text that are encoded at once, and pieces of text of which a worker remembers the ids.
+#: Bytes of text that are cut into pieces at once, bytes of text of which the distinct pieces are looked up together, and pieces of text of which
+#: a worker remembers the ids.
 ENCODE_BYTES = 4 << 20
-PIECES = 400_000
+LOOKUP_BYTES = 8 << 20
+PIECES = 300_000
 #: New pieces that are encoded as the lines of one text.
 LINES = 64
 MAGIC = b"AWT1"
@@ -165,25 +168,29 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _MARK = np.zeros(256, bool)
 _MARK[[*b".,;:!?"]] = True
-#: A piece that may stand in a line of its own: no line feed in it, no white space at its end and none but one blank at its start.
-_LINE = re.compile(rb" ?(?=[!-~\xC3-\xDF\xE4-\xED])[^\n]*(?:[!-~]|[\xC3-\xDF][\x80-\xBF]|[\xE4-\xED][\x80-\xBF]{2})").fullmatch
+
+
+def _edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte whether a character begins, or ends, with it that is surely not white space: those of two bytes from 0xC3 on and of three
+    bytes from 0xE4 to 0xED never are."""
+    two, three, tail = (data >= 0xC3) & (data <= 0xDF), (data >= 0xE4) & (data <= 0xED), (data & 0xC0) == 0x80
+    ends = _PRINTS[data]
+    begins = ends | two | three
+    ends[1:] |= tail[1:] & two[:-1]
+    ends[2:] |= tail[2:] & three[:-2]
+    return begins, ends
 
 
 def piece_starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Where texts in a row may be cut without changing what a byte-level tokenizer makes of them; ``docs`` (starts of the texts) are among them.
 
     The tokenizer's pattern never joins a character that is not white space with a blank after it; a blank belongs to what follows unless that
-    is white space; a single line feed between two such characters stands alone; and no part has a letter before a mark. Characters of two
-    bytes from 0xC3 on and of three bytes from 0xE4 to 0xED are never white space.
+    is white space; a single line feed between two such characters stands alone; and no part has a letter before a mark.
     """
     n = data.size
     if not n:
         return np.zeros(0, np.int64)
-    two, three, tail = (data >= 0xC3) & (data <= 0xDF), (data >= 0xE4) & (data <= 0xED), (data & 0xC0) == 0x80
-    ends = _PRINTS[data]
-    ends[1:] |= tail[1:] & two[:-1]
-    ends[2:] |= tail[2:] & three[:-2]
-    begins = _PRINTS[data] | two | three
+    begins, ends = _edges(data)
     cut = np.zeros(n + 1, bool)
     between = np.zeros(n, bool)
     between[1:-1] = ends[:-2] & begins[2:]
@@ -196,116 +203,159 @@ def piece_starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
+def line_like(pieces: pa.Array) -> np.ndarray:
+    """Whether each piece may stand in a line of its own: no line feed in it, no white space at its end and none but one blank at its start."""
+    data, at = _bytes(pieces)
+    begins, ends = _edges(data)
+    first, last = at[:-1], at[1:] - 1
+    feeds = np.append(0, np.cumsum(data == 0x0A))
+    return begins[np.minimum(first + (data[first] == 0x20), last)] & ends[last] & (feeds[at[1:]] == feeds[first])
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of these large_binary values in a row, where each one's begin and the last ones end)."""
+    _, offsets, buffer = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]] if buffer else np.zeros(0, np.uint8)
+    return data, at - at[0]
+
+
+def _cut(texts: pa.Array | list) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(the pieces of all texts in a row, the number of pieces before each text and in all)."""
+    data, at = _bytes(pc.fill_null(pa.array(texts, pa.large_binary()) if isinstance(texts, list) else texts.cast(pa.large_binary()), b""))
+    starts = piece_starts(data, at[:-1])
+    pieces = pa.Array.from_buffers(pa.large_binary(), starts.size, [None, pa.py_buffer(np.append(starts, data.size).astype(np.int64)), pa.py_buffer(data)])
+    return pieces.dictionary_encode(), np.searchsorted(starts, at)  # a text's pieces: from its own start up to that of the next
+
+
+def _gather(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of entries in this order, where each one's end); those of entry i are ``sizes[i]`` numbers of ``flat`` from ``first[i]`` on."""
+    lengths = sizes[order]
+    ends = np.cumsum(lengths)
+    place = np.repeat((first[order] - (ends - lengths)).astype(np.int32), lengths)
+    place += np.arange(place.size, dtype=np.int32)
+    return flat[place], ends
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizers file, each distinct piece of a batch encoded once; the pieces seen last are remembered."""
+    """Ids of whole texts by a tokenizers file, each distinct piece of a call encoded once.
+
+    Pieces are remembered from call to call, at most ``pieces`` of them: those of the last call (``known``) and of calls before it (``before``)
+    that were seen most, where what a call has seen counts half in the next.
+    """
 
     def __init__(self, file: str, end_id: int | None, pieces: int = PIECES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer, self.pieces = Tokenizer.from_file(file), pieces
-        self.end = [] if end_id is None else [end_id]
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}  # what was known when half of the pieces were last reached
+        self.end = np.array([] if end_id is None else [end_id], np.uint32)
+        self.known = self.before = pa.array([], pa.large_binary())
+        self.ids, self.sizes, self.seen = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.float32)  # of known, then before
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: pa.Array | list) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in a row, the number of ids of each)."""
+        return next(self.parts([texts]))
+
+    def parts(self, parts: list[pa.Array]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What a call gives for each of these arrays of texts; their pieces are looked up together."""
+        nothing = pa.array([], pa.int32())
+        old = [pa.DictionaryArray.from_arrays(nothing, x) for x in (self.known, self.before)]
+        cut, per_texts = zip(*map(_cut, parts))
+        chunks = pa.chunked_array([*old, *cut]).unify_dictionaries().chunks  # what is remembered comes first
+        pieces, orders = chunks[0].dictionary, [c.indices.to_numpy() for c in chunks[2:]]
+        del cut, chunks
+        n_old = len(self.known) + len(self.before)
+        flat, first, sizes = self._encode(pieces.slice(n_old))
+        flat, first, sizes = np.concatenate([self.ids, flat]), np.append(np.cumsum(self.sizes) - self.sizes, self.ids.size + first), np.append(self.sizes, sizes)
+        self._keep(pieces, flat, first, sizes, sum(np.bincount(x, minlength=len(pieces)) for x in orders))
+        flat, first, sizes = np.append(flat, self.end), np.append(first, flat.size), np.append(sizes, self.end.size)
+        for order, per_text in zip(orders, per_texts):
+            ids, ends = _gather(flat, first, sizes, np.insert(order, per_text[1:], len(pieces)))
+            yield ids, np.diff(np.append(0, ends)[per_text[1:] + np.arange(1, per_text.size)], prepend=0)
+
+    def _keep(self, pieces: pa.Array, flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> None:
+        seen = counts.astype(np.float32)
+        seen[: self.seen.size] += self.seen / 2
+        kept = np.flatnonzero(pc.binary_length(pieces).to_numpy() <= 64)
+        if kept.size > self.pieces:
+            kept = np.sort(kept[np.argpartition(seen[kept], kept.size - self.pieces)[kept.size - self.pieces :]])
+        now = counts[kept] > 0
+        known, before = kept[now], kept[~now]
+        kept = np.append(known, before)
+        self.known, self.before = pieces.take(pa.array(known)), pieces.take(pa.array(before))
+        self.ids, self.sizes, self.seen = _gather(flat, first, sizes, kept)[0], sizes[kept], seen[kept]
+
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each piece begin, the number of ids of each piece)."""
+        first, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        found, n = [np.zeros(0, np.uint32)], 0
+        lines = line_like(pieces) if self.feed is not None else np.zeros(len(pieces), bool)
+        for own, find in ((np.flatnonzero(lines), self._lines), (np.flatnonzero(~lines), self._each)):
+            for k in range(0, own.size, 4096):
+                part = own[k : k + 4096]
+                flat, sizes[part] = find(pieces.take(pa.array(part)))
+                first[part] = n + np.cumsum(sizes[part]) - sizes[part]
+                found.append(flat)
+                n += flat.size
+        return np.concatenate(found), first, sizes
+
+    def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all texts in a row, the number of ids of each)."""
-        texts = pa.array(texts, pa.large_binary()) if isinstance(texts, list) else texts.cast(pa.large_binary())
-        texts = texts.fill_null(b"")
-        _, offsets, buffer = texts.buffers()
-        at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]] if buffer else np.zeros(0, np.uint8)
-        at = at - at[0]
-        starts = piece_starts(data, at[:-1])
-        pieces = pa.Array.from_buffers(pa.large_binary(), starts.size, [None, pa.py_buffer(np.append(starts, data.size).astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-        found = self._encode(pieces.dictionary.to_pylist()) + [np.array(self.end, "<u4").tobytes()]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat = np.frombuffer(b"".join(found), "<u4")
-        per_text = np.searchsorted(starts, at)  # a text's pieces: from its own start up to that of the next
-        order = np.insert(pieces.indices.to_numpy(), per_text[1:], len(found) - 1)
-        lengths = sizes[order]
-        ends = np.cumsum(lengths)
-        first = (np.cumsum(sizes) - sizes)[order]
-        place = np.repeat((first - (ends - lengths)).astype(np.int32), lengths)
-        place += np.arange(place.size, dtype=np.int32)
-        ids = flat[place]
-        closing = np.append(0, ends)[per_text[1:] + np.arange(1, len(texts) + 1)]
-        return ids, np.diff(closing, prepend=0)
-
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        out = list(map(self.known.get, pieces))
-        new = []
-        for i, x in enumerate(out):
-            if x is None:
-                ids = self.before.get(pieces[i])
-                if ids is None:
-                    new.append(i)
-                else:
-                    out[i] = ids
-                    self._keep(pieces[i], ids)
-        lines, rest = [], []
-        for i in new:
-            (lines if self.feed is not None and _LINE(pieces[i]) else rest).append(i)
-        for some, find in ((lines, self._lines), (rest, self._each)):
-            for k in range(0, len(some), 4096):
-                part = some[k : k + 4096]
-                for i, ids in zip(part, find([pieces[i] for i in part])):
-                    out[i] = ids
-                    if len(pieces[i]) <= 64:
-                        self._keep(pieces[i], ids)
-        return out
-
-    def _keep(self, piece: bytes, ids: bytes) -> None:
-        if len(self.known) >= self.pieces // 2:
-            self.known, self.before = {}, self.known
-        self.known[piece] = ids
-
-    def _ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(the ids of all texts in a row, where each text's begin and the last ones end)."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-        ends = np.cumsum([0, *map(len, found)])
-        return np.fromiter(itertools.chain.from_iterable(found), "<u4", ends[-1]), ends
-
-    def _each(self, pieces: list[bytes]) -> list[bytes]:
-        flat, ends = self._ids(pieces)
-        return _parts(flat, ends[:-1], ends[1:])
-
-    def _lines(self, pieces: list[bytes]) -> list[bytes]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    _each = _ids
+
+    def _lines(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Pieces are encoded as the lines of fewer texts, whose ids are cut at the line feeds; one by one should the feeds not come out as they went in."""
-        groups = [pieces[k : k + LINES] for k in range(0, len(pieces), LINES)]
-        flat, ends = self._ids([b"\n".join(g) for g in groups])
-        feeds = np.flatnonzero(flat == self.feed)
-        if np.diff(np.searchsorted(feeds, ends)).tolist() != [len(g) - 1 for g in groups]:
+        groups = np.append(np.arange(0, len(pieces), LINES), len(pieces))
+        flat, sizes = self._ids(pc.binary_join(pa.LargeListArray.from_arrays(pa.array(groups), pieces), pa.scalar(b"\n", pa.large_binary())))
+        feeds, ends = np.flatnonzero(flat == self.feed), np.append(0, np.cumsum(sizes))
+        if (np.diff(np.searchsorted(feeds, ends)) != np.diff(groups) - 1).any():
             return self._each(pieces)
-        return _parts(flat, np.sort(np.append(ends[:-1], feeds + 1)), np.sort(np.append(feeds, ends[1:])))
+        first, end = np.sort(np.append(ends[:-1], feeds + 1)), np.sort(np.append(feeds, ends[1:]))
+        return np.delete(flat, feeds), end - first
 
 
-def _parts(flat: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[bytes]:
-    data = flat.tobytes()
-    return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * end).tolist())]
+@functools.lru_cache(maxsize=1)
+def _encoder(file: str, state: tuple[int, ...], end_id: int | None) -> Encoder:
+    return Encoder(file, end_id)
 
 
-# --- files
+def encoder(file: str, end_id: int | None) -> Encoder:
+    """The encoder of this worker, which one task after another uses; another one once the file has changed."""
+    now = os.stat(file)
+    return _encoder(file, (now.st_ino, now.st_size, now.st_mtime_ns), end_id)
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ENCODE_BYTES of text, a row at least."""
-    import pyarrow.compute as pc
+# --- files
+
 
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) if len(column) else np.zeros(0)
-    first = 0
-    while first < len(column):
-        base = sizes[first - 1] if first else 0
-        end = max(first + 1, int(np.searchsorted(sizes, base + ENCODE_BYTES, "right")))
-        yield first, end
-        first = end
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Slices with about ENCODE_BYTES of text, a row at least; those with about LOOKUP_BYTES together."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        first = 0
+        while first < batch.num_rows:
+            end = max(first + 1, int(np.searchsorted(sizes, sizes[first] + ENCODE_BYTES, "right")) - 1)
+            held.append(batch.slice(first, end - first))
+            size += int(sizes[end] - sizes[first])
+            first = end
+            if size >= LOOKUP_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def _segments(tokenizer: str, end_id: int | None, segment_ids: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer, end_id)
+        encode = encoder(tokenizer, end_id)
         docs: list[int | None] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -314,17 +364,15 @@ def _segments(tokenizer: str, end_id: int | None, segment_ids: int, percent: int
             data = write_segment(np.concatenate([ids for ids, _ in held]), docs, np.concatenate([n for _, n in held]), percent)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["value"])
 
-        for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for first, end in _slices(texts):
-                ids, lengths = encode(texts.slice(first, end - first))
+        for slices in _slices(batches):
+            for names, (ids, lengths) in zip([s.column("doc_id").to_pylist() for s in slices], encode.parts([s.column("text") for s in slices])):
                 ends = np.cumsum(lengths)
                 k = 0
                 while k < lengths.size:  # whole documents until the segment is full
                     base = ends[k - 1] if k else 0
                     to = min(max(k + 1, int(np.searchsorted(ends, base + segment_ids - size, "right"))), k + SEGMENT_DOCS - len(docs), lengths.size)
                     held.append((ids[base : ends[to - 1]], lengths[k:to]))
-                    docs += names[first + k : first + to]
+                    docs += names[k:to]
                     size += int(ends[to - 1] - base)
                     k = to
                     if size >= segment_ids or len(docs) >= SEGMENT_DOCS or k < lengths.size:

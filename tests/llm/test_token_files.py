@@ -1,4 +1,5 @@
 import random
+import re
 import struct
 import zlib
 
@@ -105,6 +106,33 @@ def test_common_pieces_stay_known_as_others_pass():
     assert np.diff(seen).tolist() == [20] * 29  # only the rare ones are new
 
 
+def test_tasks_of_a_worker_share_what_is_known(tmp_path):
+    texts = [f"word{i}a common é{i} line\nend{i}, 漢{i}." for i in range(300)]
+    batches = [pa.record_batch({"doc_id": pa.array(range(k, k + 100)), "text": texts[k : k + 100]}) for k in range(0, 300, 100)]
+    file = tmp_path / "tokenizer.json"
+    file.write_bytes(open(FILE, "rb").read())
+
+    def task():
+        return [x["value"] for b in token_files._segments(str(file), 2, 1000, 95)(iter(batches)) for x in b.to_pylist()]
+
+    encode = token_files.encoder(str(file), 2)
+    encode.tokenizer = counting = Counting(encode.tokenizer)
+    written = task()
+    words = counting.words
+    assert words > 0 and task() == written and counting.words == words  # nothing is new to the second task
+    ids = np.concatenate([s.ids() for x in written for s in token_files.segments(x + b"\0")])
+    assert ids.tolist() == [i for t in texts for i in [*counting.tokenizer.encode(t, add_special_tokens=False).ids, 2]]
+    file.write_bytes(file.read_bytes() + b"\n")  # another file under the same name
+    assert token_files.encoder(str(file), 2) is not encode
+
+
+def test_pieces_are_lines_if_white_space_is_only_a_blank_before():
+    line = re.compile(rb" ?(?=[!-~\xC3-\xDF\xE4-\xED])[^\n]*(?:[!-~]|[\xC3-\xDF][\x80-\xBF]|[\xE4-\xED][\x80-\xBF]{2})").fullmatch
+    pieces = [*(t.encode() for t in awkward_texts() if t), b" ", b"a", b" a", b"  a", "é".encode(), " 漢".encode(), "ж".encode(), "a\u3000".encode(), b"a\nb"]
+    assert token_files.line_like(pa.array(pieces, pa.large_binary())).tolist() == [line(p) is not None for p in pieces]
+    assert token_files.line_like(pa.array(pieces, pa.large_binary()).slice(5, 9)).tolist() == [line(p) is not None for p in pieces[5:14]]
+
+
 def expected(rows):
     tokenizer, start, out = Tokenizer.from_file(FILE), 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
