@@ -42,8 +42,8 @@ FILE_SEGMENTS = 64
 FILE_RANGE = 1000
 #: Bytes of text that are cut into pieces at once, bytes of text of which the distinct pieces are looked up together, and pieces of text of which
 #: a worker remembers the ids.
-ENCODE_BYTES = 4 << 20
-LOOKUP_BYTES = 8 << 20
+ENCODE_BYTES = 2 << 20
+LOOKUP_BYTES = 4 << 20
 PIECES = 300_000
 #: New pieces that are encoded as the lines of one text.
 LINES = 64
