@@ -1,4 +1,5 @@
 import hashlib
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -103,3 +104,29 @@ def test_many_affected_rows_take_one_shuffle(spark, monkeypatch):
     want = key([tuple(r) for r in S.remove_repeats(docs, 100).collect()])
     monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
     assert key([tuple(r) for r in S.remove_repeats(docs, 100).collect()]) == want
+
+
+def test_no_task_builds_the_segments_of_a_hot_anchor_alone(spark, monkeypatch, tmp_path):
+    """700 texts around one passage, and 700 copies of a text with one letter changed, all of them different."""
+    rng = np.random.default_rng(9)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    passage, base = letters(160), letters(240)
+    texts = [letters(60) + passage + letters(60) for _ in range(700)] + [base[:k] + c + base[k + 1 :] for k in range(0, 240, 8) for c in "0123456789ABCDEFGHIJKLMN"][:700]
+    assert len(set(texts)) == 1400
+    mark = S._mark
+
+    def watched(length):
+        inner = mark(length)
+
+        def run(batches):
+            held = list(batches)
+            keys = [k for b in held for k in b.column("anchor").to_pylist()]
+            (tmp_path / uuid.uuid4().hex).write_text(str(max(Counter(keys).values(), default=0)))
+            return inner(iter(held))
+
+        return run
+
+    monkeypatch.setattr(S, "_mark", watched)
+    got = S.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 100, with_text=False).collect()
+    assert key([tuple(r) for r in got]) == key([(i, *w) for i, w in enumerate(brute(texts, 100))])
+    assert 1 < max(int(f.read_text()) for f in tmp_path.iterdir()) <= 512
